@@ -18,16 +18,14 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from riskloom.session import materialize
+
 BLOCK_ROWS = 8_192
 MAX_PIVOTS = 1_024
 CHUNK_ROWS = 256
 SLACK = 1e-9
 
 
-def _stack(vectors: pd.Series) -> np.ndarray:
-    return np.stack(vectors.to_numpy()).astype(np.float64)
-
-
 def collapse_copies(points: DataFrame, *, id_column: str, vector: str, keep: int, carry: Sequence[str] = ()) -> DataFrame:
     """One row per distinct vector: representative id, vector and its ``keep`` smallest-id members."""
     first = Window.partitionBy("vec").orderBy("id")
@@ -44,12 +42,15 @@ def _choose_pivots(reps: DataFrame, wanted: int, seed: int) -> np.ndarray:
 
 
 def _with_cell(reps: DataFrame, pivots: np.ndarray) -> DataFrame:
+    # Closures sent to the workers hold only plain values, so workers need not have this package.
+    chunk_rows = CHUNK_ROWS
+
     @F.pandas_udf("cell INT, radius DOUBLE")
     def nearest(vectors: pd.Series) -> pd.DataFrame:
         cells, radii = [], []
-        points = _stack(vectors)
-        for start in range(0, len(points), CHUNK_ROWS):
-            chunk = points[start : start + CHUNK_ROWS]
+        points = np.stack(vectors.to_numpy()).astype(np.float64)
+        for start in range(0, len(points), chunk_rows):
+            chunk = points[start : start + chunk_rows]
             squared = (chunk**2).sum(1)[:, None] + (pivots**2).sum(1)[None, :] - 2.0 * chunk @ pivots.T
             best = squared.argmin(1)
             cells.append(best)
@@ -84,30 +85,39 @@ def _cell_bounds(queries: DataFrame, candidates: DataFrame, pivots: np.ndarray,
 
 
 def _block_neighbors(k: int):
-    """Top-k of one query block against one candidate block."""
+    """Top-k of one query block against one candidate block.
+
+    A matrix product narrows the candidates; the survivors' distances are recomputed directly.
+    """
+    chunk_rows, relative = CHUNK_ROWS, SLACK
 
     def search(queries: pd.DataFrame, candidates: pd.DataFrame) -> pd.DataFrame:
-        empty = pd.DataFrame({"rep": pd.Series(dtype="int64"), "near": pd.Series(dtype="int64"),
-                              "distance": pd.Series(dtype="float64")})
-        if queries.empty or candidates.empty:
-            return empty
-        left, right = _stack(queries["vec"]), _stack(candidates["near_vec"])
-        left_ids, right_ids = queries["rep"].to_numpy(), candidates["near"].to_numpy()
-        right_norm = (right**2).sum(1)
-        slack = SLACK * (1.0 + right_norm.max())
-        found = []
-        for start in range(0, len(left), CHUNK_ROWS):
-            chunk = left[start : start + CHUNK_ROWS]
-            squared = (chunk**2).sum(1)[:, None] + right_norm[None, :] - 2.0 * chunk @ right.T
-            squared[left_ids[start : start + CHUNK_ROWS, None] == right_ids[None, :]] = np.inf
-            kth = np.partition(squared, min(k, squared.shape[1]) - 1, axis=1)[:, min(k, squared.shape[1]) - 1]
-            for row, limit in enumerate(kth):
-                near = np.flatnonzero((squared[row] <= limit + slack) & np.isfinite(squared[row]))
-                exact = np.sqrt(((right[near] - chunk[row]) ** 2).sum(1))
-                order = np.lexsort((right_ids[near], exact))[:k]
-                found.append(pd.DataFrame({"rep": left_ids[start + row], "near": right_ids[near][order],
-                                           "distance": exact[order]}))
-        return pd.concat(found, ignore_index=True) if found else empty
+        ids, near_ids, distances = [], [], []
+        if len(queries) and len(candidates):
+            left = np.stack(queries["vec"].to_numpy()).astype(np.float64)
+            right = np.stack(candidates["near_vec"].to_numpy()).astype(np.float64)
+            left_ids, right_ids = queries["rep"].to_numpy(), candidates["near"].to_numpy()
+            right_norm = (right**2).sum(1)
+            top = min(k, len(right))
+            for start in range(0, len(left), chunk_rows):
+                chunk, chunk_ids = left[start : start + chunk_rows], left_ids[start : start + chunk_rows]
+                norm = (chunk**2).sum(1)
+                squared = norm[:, None] + right_norm[None, :] - 2.0 * chunk @ right.T
+                squared[chunk_ids[:, None] == right_ids[None, :]] = np.inf
+                limits = np.partition(squared, top - 1, axis=1)[:, top - 1]
+                limits = limits + relative * (1.0 + norm + right_norm.max())
+                for row, limit in enumerate(limits):
+                    near = np.flatnonzero((squared[row] <= limit) & np.isfinite(squared[row]))
+                    exact = np.sqrt(((right[near] - chunk[row]) ** 2).sum(1))
+                    order = np.lexsort((right_ids[near], exact))[:top]
+                    ids.append(np.full(len(order), chunk_ids[row]))
+                    near_ids.append(right_ids[near][order])
+                    distances.append(exact[order])
+        if not ids:
+            return pd.DataFrame({"rep": [], "near": [], "distance": []})
+        return pd.DataFrame(
+            {"rep": np.concatenate(ids), "near": np.concatenate(near_ids), "distance": np.concatenate(distances)}
+        )
 
     return search
 
@@ -189,7 +199,9 @@ def nearest_neighbors(
     columns.
     """
     asked = points if queries is None else queries
-    pool = collapse_copies(points, id_column=id_column, vector=vector, keep=k + 1, carry=carry)
+    pool = materialize(
+        collapse_copies(points, id_column=id_column, vector=vector, keep=k + 1, carry=carry), "knn-points"
+    )
     reps = pool.select("rep", "vec")
     wanted = asked.select(F.col(id_column).alias("id"), F.col(vector).cast("array<double>").alias("vec"))
     owners = wanted.join(reps, "vec").select("id", "rep")
