@@ -138,8 +138,8 @@ def _modality_effects(
         F.sum("n").alias("n"), F.sum(F.col("n") * F.col("y")).alias("pos")
     )
     whole = Window.partitionBy("feature")
-    counted = modalities.withColumns({"N": F.sum("n").over(whole), "P": F.sum("pos").over(whole)})
-    n, pos, total, positives = (F.col(c).cast("double") for c in ("n", "pos", "N", "P"))
+    counted = modalities.withColumns({"rows": F.sum("n").over(whole), "positives": F.sum("pos").over(whole)})
+    n, pos, total, positives = (F.col(c).cast("double") for c in ("n", "pos", "rows", "positives"))
     spread = F.sqrt(n * (total - n)) * F.sqrt(positives * (total - positives))
     score = F.try_divide(total * pos - n * positives, null_if(spread, 0.0))
     return counted.filter(F.col("n") >= min_modal_count).select(

@@ -64,9 +64,9 @@ def running_totals(
         .groupBy(*keys, F.col(value).cast("double").alias(value))
         .agg(*[F.sum(expr).alias(name) for name, expr in measures.items()])
     )
-    cuts = [i / buckets for i in range(1, buckets)]
+    cuts = ", ".join(f"{i / buckets!r}D" for i in range(1, buckets))
     layout = counts.groupBy(*keys).agg(
-        F.array_distinct(F.percentile_approx(value, cuts, buckets * 8)).alias("__cuts"),
+        F.expr(f"array_distinct(percentile_approx(`{value}`, array({cuts}), {buckets * 8}))").alias("__cuts"),
         *[F.sum(name).alias(f"{name}_total") for name in names],
     )
     placed = attach(counts, layout, keys).withColumn(
