@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from riskloom.functions import bucket_index, nan_to_null, safe_ratio
 from riskloom.operators.cleaning import align_columns, numeric_columns
-from riskloom.operators.ranking import quantile_columns, running_totals
+from riskloom.operators.ranking import quantile_at, quantile_hits, running_totals
 from riskloom.settings import DriftSettings
 
 # ---- Fixed values -----------------------------------------------------------------------------
@@ -110,19 +110,21 @@ def numeric_drift(
         values, value="value", keys=["feature"], measures={"ref": F.col("ref"), "cur": F.col("cur")}
     )
     bins = settings.bins
-    probes = {f"q{i:04d}": i / bins for i in range(bins + 1)}
     gap = F.abs(
         safe_ratio(F.col("ref_before") + F.col("ref"), "ref_total")
         - safe_ratio(F.col("cur_before") + F.col("cur"), "cur_total")
     )
     profile = ordered.groupBy("feature").agg(
-        *quantile_columns("value", probes, count="ref"),
+        quantile_hits("value", [i / bins for i in range(bins + 1)], count="ref").alias("hits"),
         F.count_if(F.col("ref") > 0).alias("ref_distinct"),
         F.max(gap).alias("gap"),
         F.max("ref_total").alias("nr"),
         F.max("cur_total").alias("nc"),
     )
-    edges = F.array_distinct(F.array(*probes))
+    profile = profile.withColumn(
+        "edges", F.array_distinct(F.transform(F.sequence(F.lit(0), F.lit(bins)), lambda i: quantile_at("hits", i)))
+    )
+    edges = F.col("edges")
     profile = profile.select(
         "feature",
         "nr",

@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskloom.functions import bucket_index
+from riskloom.functions.columns import ColumnLike
 
 DEFAULT_BUCKETS = 256
 
@@ -94,22 +95,39 @@ def running_totals(
     )
 
 
-def _order_statistic(value: str, before: Column, n: Column, position: Column) -> Column:
-    """The value holding the 0-based ``position`` in the group's sorted order."""
-    return F.max(F.when((before <= position) & (position < before + n), F.col(value)))
+def quantile_hits(value: str, quantiles: Sequence[float], *, count: str = "n") -> Column:
+    """Aggregate over a ``running_totals`` table: the order statistics that enclose each quantile.
 
-
-def quantile_columns(value: str, quantiles: Mapping[str, float], *, count: str = "n") -> list[Column]:
-    """Aggregates over a ``running_totals`` table: exact quantiles with linear interpolation."""
+    A row contributes only the positions it holds, so the collected array has two entries per quantile
+    (lower and upper neighbour), whatever the size of the group.
+    """
     n, before, total = F.col(count), F.col(f"{count}_before"), F.col(f"{count}_total")
-    columns = []
-    for name, q in quantiles.items():
-        spot = F.lit(float(q)) * (total - 1).cast("double")
-        low = _order_statistic(value, before, n, F.floor(spot))
-        high = _order_statistic(value, before, n, F.ceil(spot))
-        weight = F.max(spot - F.floor(spot))
-        columns.append((low + (high - low) * weight).alias(name))
-    return columns
+    probes = F.array(
+        *[F.struct(F.lit(2 * i + side).alias("slot"), F.lit(float(q)).alias("q"), F.lit(side).alias("side"))
+          for i, q in enumerate(quantiles) for side in (0, 1)]
+    )
+
+    def position(probe: Column) -> Column:
+        spot = probe["q"] * (total - 1).cast("double")
+        return F.when(probe["side"] == 0, F.floor(spot)).otherwise(F.ceil(spot))
+
+    held = F.filter(probes, lambda p: (before <= position(p)) & (position(p) < before + n))
+    marked = F.transform(
+        held,
+        lambda p: F.struct(
+            p["slot"].alias("slot"),
+            F.col(value).alias("value"),
+            (p["q"] * (total - 1) - F.floor(p["q"] * (total - 1))).alias("weight"),
+        ),
+    )
+    return F.sort_array(F.flatten(F.collect_list(F.when(F.size(held) > 0, marked))))
+
+
+def quantile_at(hits: ColumnLike, index: Column | int) -> Column:
+    """Linearly interpolated ``index``-th quantile of a ``quantile_hits`` array; NULL for an empty group."""
+    found = F.col(hits) if isinstance(hits, str) else hits
+    low, high = F.get(found, index * 2), F.get(found, index * 2 + 1)
+    return low["value"] + (high["value"] - low["value"]) * low["weight"]
 
 
 def exact_quantiles(
@@ -125,7 +143,8 @@ def exact_quantiles(
     totals = running_totals(
         df, value=value, measures={"n": F.lit(1) if weight is None else weight}, keys=keys, buckets=buckets
     )
-    return totals.groupBy(*keys).agg(*quantile_columns(value, quantiles))
+    hits = totals.groupBy(*keys).agg(quantile_hits(value, list(quantiles.values())).alias("__hits"))
+    return hits.select(*keys, *[quantile_at("__hits", i).alias(name) for i, name in enumerate(quantiles)])
 
 
 def hashed_rank(

@@ -33,7 +33,7 @@ def rounded(expression: str, name: str, digits: int = 6) -> str:
 
 # ---- features ---------------------------------------------------------------------------------
 
-def aggregate_sql(spec: str, prefix: str, digits: int = 3, where: str | None = None) -> list[str]:
+def aggregate_sql(spec: str, prefix: str, digits: int = 4, where: str | None = None) -> list[str]:
     columns = []
     for column, aggs in parse_spec(spec).items():
         for agg in aggs:
@@ -55,13 +55,13 @@ def aggregate_sql(spec: str, prefix: str, digits: int = 3, where: str | None = N
     return columns
 
 
-def subset_sql(subsets: list[Subset], digits: int = 3) -> list[str]:
+def subset_sql(subsets: list[Subset], digits: int = 4) -> list[str]:
     return [
         c for s in subsets for c in aggregate_sql(s.spec, s.prefix, digits, f"{s.column} = '{s.value}'")
     ]
 
 
-def share_sql(prefix: str, column: str, values: list[str], digits: int = 3) -> list[str]:
+def share_sql(prefix: str, column: str, values: list[str], digits: int = 4) -> list[str]:
     columns = [
         rounded(f"avg(CASE WHEN {column} = '{v}' THEN 1.0 ELSE 0.0 END)", feature_name(prefix, f"{column}_{v}", "mean"), digits)
         for v in values
@@ -95,18 +95,18 @@ FROM customer LEFT JOIN per ON c_custkey = o_custkey"""
 ORACLES["client_features"] = _flagship()
 ORACLES["client_features_subset"] = grouped(
     "o_custkey", CENTS,
-    [c.replace("round(CAST(", "(CAST(").replace(", 3) + 0.0", ")") for c in subset_sql(ORDER_SUBSETS)],
+    [c.replace("round(CAST(", "(CAST(").replace(", 4) + 0.0", ")") for c in subset_sql(ORDER_SUBSETS)],
 )
 ORACLES["onehot_share"] = grouped(
     "o_custkey", "SELECT * FROM orders",
-    [c.replace("round(CAST(", "(CAST(").replace(", 3) + 0.0", ")")
+    [c.replace("round(CAST(", "(CAST(").replace(", 4) + 0.0", ")")
      for c in share_sql("ORD", "o_orderstatus", ["F", "O", "P"])],
 )
 ORACLES["bureau_feature_table"] = grouped(
     "SK_ID_CURR",
     "SELECT b.*, BB_MONTHS_BALANCE_MIN, BB_MONTHS_BALANCE_MAX, BB_MONTHS_BALANCE_SIZE FROM b LEFT JOIN bb USING (SK_ID_BUREAU)",
     [*aggregate_sql(BUREAU_SPEC.replace("BB_MONTHS_BALANCE_SIZE: mean sum", ""), "BURO"),
-     rounded("avg(BB_MONTHS_BALANCE_SIZE)", "BURO_BB_MONTHS_BALANCE_SIZE_MEAN", 3),
+     rounded("avg(BB_MONTHS_BALANCE_SIZE)", "BURO_BB_MONTHS_BALANCE_SIZE_MEAN", 4),
      "CAST(coalesce(sum(BB_MONTHS_BALANCE_SIZE), 0) AS BIGINT) AS BURO_BB_MONTHS_BALANCE_SIZE_SUM",
      *share_sql("BURO", "CREDIT_ACTIVE", ["Active", "Closed", "Sold"]), *subset_sql(BUREAU_SUBSETS),
      "CAST(count(*) AS INT) AS BURO_LOAN_COUNT"],
@@ -258,7 +258,8 @@ ORACLES["dataset_facts"] = f"""WITH {LABELLED} SELECT count(*) AS rows, 9 AS col
 
 def _cramers(features: list[str]) -> str:
     cells = " UNION ALL ".join(
-        f"SELECT '{c}' AS feature, {c} AS x, label AS y, count(*) AS n FROM rows_ WHERE {c} IS NOT NULL GROUP BY {c}, label"
+        f"SELECT '{c}' AS feature, {c} AS x, label AS y, count(*) AS n FROM rows_ WHERE {c} IS NOT NULL "
+        f"AND (SELECT count(DISTINCT {c}) FROM rows_) <= 40 GROUP BY {c}, label"
         for c in features
     )
     return f"""cells AS ({cells}),
@@ -283,15 +284,16 @@ _modal_rows = " UNION ALL ".join(
 {rounded("(SELECT corr((coalesce(" + c + ", 'MISSING') = m)::INT, label) FROM rows_)", "score")}, n,
 {rounded("(SELECT avg(label) FROM rows_ WHERE coalesce(" + c + ", 'MISSING') = m)", "target_rate_modality")},
 {rounded("(SELECT avg(label) FROM rows_ WHERE coalesce(" + c + ", 'MISSING') <> m)", "target_rate_rest")}
-FROM (SELECT coalesce({c}, 'MISSING') AS m, count(*) AS n FROM rows_ GROUP BY 1) WHERE n >= 30"""
-    for c in ("l_linestatus", "band", "priority")
+FROM (SELECT coalesce({c}, 'MISSING') AS m, count(*) AS n FROM rows_ GROUP BY 1)
+WHERE n >= 30 AND (SELECT count(DISTINCT {c}) FROM rows_) <= 40"""
+    for c in ("l_linestatus", "band", "priority", "crowded")
 )
 ORACLES["signed_association"] = f"WITH {LABELLED} {_numeric_rows} UNION ALL {_modal_rows}"
 _strengths = " UNION ALL ".join(
     f"SELECT '{c}' AS feature, 'numeric' AS type_feature, 'point_biserial' AS method, corr({c}, label) AS score FROM rows_"
     for c in NUMBERS
 )
-ORACLES["feature_target_assoc"] = f"""WITH {LABELLED}, {_cramers(['l_linestatus', 'band', 'priority'])},
+ORACLES["feature_target_assoc"] = f"""WITH {LABELLED}, {_cramers(['l_linestatus', 'band', 'priority', 'crowded'])},
 strength AS ({_strengths} UNION ALL SELECT feature, 'categorical', 'cramers_v', score FROM cv)
 SELECT feature, upper(substring(replace(feature, '_', ' '), 1, 1)) || substring(replace(feature, '_', ' '), 2) AS feature_label,
 type_feature, method, {rounded("score", "score")}, {rounded("abs(score)", "score_abs")}

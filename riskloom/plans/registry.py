@@ -123,7 +123,7 @@ def onehot_share(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def bureau_feature_table(spark: SparkSession, sf: str) -> DataFrame:
-    return tidy(bureau_features(view(spark, sf, views.BUREAU), view(spark, sf, views.BUREAU_BALANCE)), 3)
+    return tidy(bureau_features(view(spark, sf, views.BUREAU), view(spark, sf, views.BUREAU_BALANCE)), 4)
 
 
 @query

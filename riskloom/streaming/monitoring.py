@@ -17,7 +17,7 @@ from pyspark.sql.streaming import StreamingQuery
 from riskloom.functions import number, share
 from riskloom.operators.drift import all_drift, categorical_drift, drift_summary, numeric_drift
 from riskloom.operators.oplogs import FIRST_ERROR_STATUS
-from riskloom.operators.ranking import match_keys, quantile_columns, running_totals
+from riskloom.operators.ranking import match_keys, quantile_at, quantile_hits, running_totals
 from riskloom.settings import DriftSettings
 
 WINDOW_KEYS = ["window_start", "window_end", "path"]
@@ -50,7 +50,8 @@ def window_kpis(counts: DataFrame) -> DataFrame:
     )
     ordered = running_totals(counts, value="latency_ms", keys=WINDOW_KEYS, measures={"n": n})
     spots = {"latency_p50_ms": 0.50, "latency_p95_ms": 0.95, "latency_p99_ms": 0.99}
-    tail = ordered.groupBy(*WINDOW_KEYS).agg(*quantile_columns("latency_ms", spots))
+    hits = ordered.groupBy(*WINDOW_KEYS).agg(quantile_hits("latency_ms", list(spots.values())).alias("hits"))
+    tail = hits.select(*WINDOW_KEYS, *[quantile_at("hits", i).alias(name) for i, name in enumerate(spots)])
     return match_keys(base, tail, WINDOW_KEYS, "left")
 
 
