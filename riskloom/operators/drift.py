@@ -95,19 +95,8 @@ def numeric_drift(
     if not columns:
         return reference.sparkSession.createDataFrame([], _numeric_schema())
     values = _side_by_side(reference, current, columns, "double")
-
-    weighted = {side: F.sum(F.col("value") * F.col(side)) for side in ("ref", "cur")}
-    filled = {side: F.sum(F.when(F.col("value").isNotNull(), F.col(side)).otherwise(0)) for side in ("ref", "cur")}
-    basics = values.groupBy("feature").agg(
-        F.sum("ref").alias("ref_rows"),
-        F.sum("cur").alias("current_rows"),
-        filled["ref"].alias("ref_n"),
-        filled["cur"].alias("cur_n"),
-        safe_ratio(weighted["ref"], filled["ref"]).alias("reference_mean"),
-        safe_ratio(weighted["cur"], filled["cur"]).alias("current_mean"),
-    )
     ordered = running_totals(
-        values, value="value", keys=["feature"], measures={"ref": F.col("ref"), "cur": F.col("cur")}
+        values, value="value", keys=["feature"], measures={"ref": F.col("ref"), "cur": F.col("cur")}, distinct=True
     )
     bins = settings.bins
     gap = F.abs(
@@ -120,40 +109,47 @@ def numeric_drift(
         F.max(gap).alias("gap"),
         F.max("ref_total").alias("nr"),
         F.max("cur_total").alias("nc"),
+        F.sum(F.col("value") * F.col("ref")).alias("ref_sum"),
+        F.sum(F.col("value") * F.col("cur")).alias("cur_sum"),
     )
     profile = profile.withColumn(
         "edges", F.array_distinct(F.transform(F.sequence(F.lit(0), F.lit(bins)), lambda i: quantile_at("hits", i)))
     )
     edges = F.col("edges")
-    profile = profile.select(
+    profile = profile.filter("ref_distinct >= 2").select(
         "feature",
         "nr",
         "nc",
         F.when((F.col("nr") > 1) & (F.col("nc") > 1), F.col("gap")).alias("ks_statistic"),
+        safe_ratio("ref_sum", "nr").alias("reference_mean"),
+        safe_ratio("cur_sum", "nc").alias("current_mean"),
         # Outer edges are open; with fewer than three distinct edges a single bin remains.
         F.when(F.size(edges) >= 3, F.slice(edges, 2, F.size(edges) - 2))
         .otherwise(F.array().cast("array<double>"))
         .alias("inner_edges"),
-        F.col("ref_distinct"),
-    ).filter("ref_distinct >= 2")
+    )
 
+    facts = ["nr", "nc", "ks_statistic", "reference_mean", "current_mean"]
     binned = (
-        ordered.select("feature", "value", "ref", "cur")
-        .join(profile.select("feature", "inner_edges", "nr", "nc"), "feature")
+        values.filter("value IS NOT NULL")
+        .join(profile, "feature")
         .groupBy("feature", bucket_index("inner_edges", "value", max_splits=bins).alias("bin"))
-        .agg(F.sum("ref").alias("ref"), F.sum("cur").alias("cur"), F.max("nr").alias("nr"), F.max("nc").alias("nc"))
+        .agg(F.sum("ref").alias("ref"), F.sum("cur").alias("cur"), *[F.max(c).alias(c) for c in facts])
     )
     stability = binned.groupBy("feature").agg(
-        psi(safe_ratio("ref", "nr"), F.coalesce(safe_ratio("cur", "nc"), F.lit(0.0))).alias("psi")
+        psi(safe_ratio("ref", "nr"), F.coalesce(safe_ratio("cur", "nc"), F.lit(0.0))).alias("psi"),
+        *[F.max(c).alias(c) for c in facts],
     )
-    report = basics.join(profile.select("feature", "ks_statistic"), "feature").join(stability, "feature")
-    report = report.withColumns(
+    # Every feature has the same row counts; they are counted without reading a column.
+    report = stability.withColumns(
+        {"ref_rows": reference.agg(F.count("*")).scalar(), "current_rows": current.agg(F.count("*")).scalar()}
+    ).withColumns(
         {
             "feature_type": F.lit("numeric"),
-            "reference_missing_rate": 1.0 - safe_ratio("ref_n", "ref_rows"),
-            "current_missing_rate": 1.0 - safe_ratio("cur_n", "current_rows"),
+            "reference_missing_rate": 1.0 - safe_ratio("nr", "ref_rows"),
+            "current_missing_rate": 1.0 - safe_ratio("nc", "current_rows"),
             "mean_delta": F.col("current_mean") - F.col("reference_mean"),
-            "ks_pvalue": ks_pvalue(F.col("ks_statistic"), F.col("ref_n"), F.col("cur_n")),
+            "ks_pvalue": ks_pvalue(F.col("ks_statistic"), F.col("nr"), F.col("nc")),
         }
     )
     return _finish(report, settings, ks=F.col("ks_statistic")).select(*NUMERIC_COLUMNS).orderBy(F.desc("psi"), "feature")

@@ -46,6 +46,14 @@ def attach(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
     return held.select(*left.columns, *[F.col(f"__row.{c}").alias(c) for c in right.columns])
 
 
+def _group(keys: Sequence[str]) -> list[Column]:
+    """The group keys as one struct column: it is never NULL, and NULL fields compare as equal.
+
+    Plain equality on it keeps the hash partitioning of the windows usable for the joins.
+    """
+    return [F.struct(*keys).alias("__k")] if keys else []
+
+
 def running_totals(
     df: DataFrame,
     *,
@@ -53,41 +61,48 @@ def running_totals(
     measures: Mapping[str, Column],
     keys: Sequence[str] = (),
     buckets: int = DEFAULT_BUCKETS,
+    distinct: bool = False,
 ) -> DataFrame:
     """One row per (keys, value), ascending running sums per group.
 
     Output: keys, value, each measure ``m``, ``m_before`` (sum over strictly smaller values) and
-    ``m_total``. NULL values are left out.
+    ``m_total``. NULL values are left out; measures must not be NULL. ``distinct`` declares that the
+    input already has one row per (keys, value).
     """
     keys, names = list(keys), list(measures)
-    counts = (
-        df.filter(F.col(value).isNotNull())
-        .groupBy(*keys, F.col(value).cast("double").alias(value))
-        .agg(*[F.sum(expr).alias(name) for name, expr in measures.items()])
-    )
+    present = df.filter(F.col(value).isNotNull())
+    number = F.col(value).cast("double").alias(value)
+    if distinct:
+        counts = present.select(*_group(keys), number, *[e.alias(n) for n, e in measures.items()])
+    else:
+        grouped = present.groupBy(*keys, number).agg(*[F.sum(e).alias(n) for n, e in measures.items()])
+        counts = grouped.select(*_group(keys), value, *names)
+    group = ["__k"] if keys else []
+
+    # Reading the measures here too keeps this branch's shuffle identical to the others', so it is reused.
+    counts = counts.withColumn("__seen", F.when(F.greatest(*names, F.lit(0)) >= 0, F.col(value)))
     cuts = ", ".join(f"{i / buckets!r}D" for i in range(1, buckets))
-    layout = counts.groupBy(*keys).agg(
-        F.expr(f"array_distinct(percentile_approx(`{value}`, array({cuts}), {buckets * 8}))").alias("__cuts"),
-        *[F.sum(name).alias(f"{name}_total") for name in names],
-    )
-    placed = attach(counts, layout, keys).withColumn(
-        "__bucket", bucket_index("__cuts", value, max_splits=buckets - 1)
+    layout = counts.groupBy(*group).agg(
+        F.expr(f"array_distinct(percentile_approx(__seen, array({cuts}), {buckets * 8}))").alias("__cuts")
     )
-    placed = placed.drop("__cuts")
-    slot = [*keys, "__bucket"]
+    counts = counts.drop("__seen")
+    laid_out = counts.join(layout, "__k") if keys else attach(counts, layout, [])
+    placed = laid_out.withColumn("__bucket", bucket_index("__cuts", value, max_splits=buckets - 1)).drop("__cuts")
+    slot = [*group, "__bucket"]
 
     below = Window.partitionBy(*slot).orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
     local = placed.withColumns({f"{m}_before": F.coalesce(F.sum(m).over(below), F.lit(0)) for m in names})
 
-    lower = Window.partitionBy(*keys).orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        placed.groupBy(*slot)
-        .agg(*[F.sum(m).alias(f"__sum_{m}") for m in names])
-        .select(*slot, *[F.coalesce(F.sum(f"__sum_{m}").over(lower), F.lit(0)).alias(f"__off_{m}") for m in names])
+    # At most ``buckets`` rows per group.
+    lower = Window.partitionBy(*group).orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
+    whole = Window.partitionBy(*group)
+    offsets = placed.groupBy(*slot).agg(*[F.sum(m).alias(f"__sum_{m}") for m in names]).select(
+        *slot,
+        *[F.coalesce(F.sum(f"__sum_{m}").over(lower), F.lit(0)).alias(f"__off_{m}") for m in names],
+        *[F.sum(f"__sum_{m}").over(whole).alias(f"{m}_total") for m in names],
     )
-    joined = match_keys(local, offsets, slot)
-    return joined.select(
-        *keys,
+    return local.join(offsets, slot).select(
+        *[F.col(f"__k.{k}").alias(k) for k in keys],
         value,
         *names,
         *[(F.col(f"{m}_before") + F.col(f"__off_{m}")).alias(f"{m}_before") for m in names],
@@ -102,10 +117,12 @@ def quantile_hits(value: str, quantiles: Sequence[float], *, count: str = "n") -
     (lower and upper neighbour), whatever the size of the group.
     """
     n, before, total = F.col(count), F.col(f"{count}_before"), F.col(f"{count}_total")
-    probes = F.array(
-        *[F.struct(F.lit(2 * i + side).alias("slot"), F.lit(float(q)).alias("q"), F.lit(side).alias("side"))
-          for i, q in enumerate(quantiles) for side in (0, 1)]
-    )
+    cells = [
+        f"named_struct('slot', {2 * i + side}, 'q', {float(q)!r}D, 'side', {side})"
+        for i, q in enumerate(quantiles)
+        for side in (0, 1)
+    ]
+    probes = F.expr(f"array({', '.join(cells)})")
 
     def position(probe: Column) -> Column:
         spot = probe["q"] * (total - 1).cast("double")
@@ -155,15 +172,16 @@ def hashed_rank(
     Hash values are uniform, so equal slices of the hash range are balanced even when one group holds
     most rows; each slice is ranked alone and shifted by the row count of the lower slices.
     """
-    ordered = df.withColumn("__hash", F.xxhash64(*ids, F.lit(seed)))
+    ordered = df.select("*", *_group(keys), F.xxhash64(*ids, F.lit(seed)).alias("__hash"))
     ordered = ordered.withColumn("__slice", F.pmod(F.shiftright("__hash", 40), F.lit(buckets)))
-    slot = [*keys, "__slice"]
-    lower = Window.partitionBy(*keys).orderBy("__slice").rowsBetween(Window.unboundedPreceding, -1)
+    group = ["__k"] if keys else []
+    slot = [*group, "__slice"]
+    lower = Window.partitionBy(*group).orderBy("__slice").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         ordered.groupBy(*slot)
         .agg(F.count("*").alias("__n"))
         .select(*slot, F.coalesce(F.sum("__n").over(lower), F.lit(0)).alias("__off"))
     )
     local = ordered.withColumn("__local", F.row_number().over(Window.partitionBy(*slot).orderBy("__hash", *ids)))
-    ranked = match_keys(local, offsets, slot)
-    return ranked.withColumn(rank, F.col("__local") + F.col("__off")).drop("__hash", "__slice", "__local", "__off")
+    ranked = local.join(offsets, slot)
+    return ranked.select(*df.columns, (F.col("__local") + F.col("__off")).alias(rank))
