@@ -137,7 +137,14 @@ def quantile_hits(value: str, quantiles: Sequence[float], *, count: str = "n") -
             (p["q"] * (total - 1) - F.floor(p["q"] * (total - 1))).alias("weight"),
         ),
     )
-    return F.sort_array(F.flatten(F.collect_list(F.when(F.size(held) > 0, marked))))
+    # Few rows hold a position: a compiled test keeps the array work off all the others.
+    b, t = f"`{count}_before`", f"(`{count}_total` - 1)"
+    tests = [
+        f"({b} <= {side}({float(q)!r}D * {t}) AND {side}({float(q)!r}D * {t}) < {b} + `{count}`)"
+        for q in quantiles
+        for side in ("floor", "ceil")
+    ]
+    return F.sort_array(F.flatten(F.collect_list(F.when(F.expr(" OR ".join(tests)), marked))))
 
 
 def quantile_at(hits: ColumnLike, index: Column | int) -> Column:
