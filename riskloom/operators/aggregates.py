@@ -66,17 +66,23 @@ def subset_columns(subset: Subset) -> list[Column]:
     return columns
 
 
-def category_levels(df: DataFrame, columns: Sequence[str]) -> dict[str, list[str]]:
+MAX_LEVELS = 20_000
+
+
+def category_levels(df: DataFrame, columns: Sequence[str], *, max_levels: int = MAX_LEVELS) -> dict[str, list[str]]:
     """Distinct non-NULL levels per column, sorted: the fitted part of the share features.
 
-    Column names of the output depend on it, so the list has to reach the driver; it holds one entry
-    per output column. Keep it next to the data and reuse it for scoring.
+    Column names of the output depend on it, so the list has to reach the driver: one entry per output
+    column. More than ``max_levels`` entries are an error, as such a column has no usable shares. Keep
+    the list next to the data and reuse it for scoring.
     """
     if not columns:
         return {}
     long = df.unpivot([], [F.col(c).cast("string").alias(c) for c in columns], "column", "level")
-    rows = long.filter(F.col("level").isNotNull()).distinct().orderBy("column", "level").collect()
-    return {c: [r["level"] for r in rows if r["column"] == c] for c in columns}
+    rows = long.filter(F.col("level").isNotNull()).distinct().limit(max_levels + 1).collect()
+    if len(rows) > max_levels:
+        raise ValueError(f"more than {max_levels} category levels in {list(columns)}")
+    return {c: sorted(r["level"] for r in rows if r["column"] == c) for c in columns}
 
 
 def share_columns(levels: Mapping[str, Sequence[str]], prefix: str) -> list[Column]:

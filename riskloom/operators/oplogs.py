@@ -218,13 +218,14 @@ def bottlenecks(
 def fk_violations(
     child: DataFrame, parent: DataFrame, *, child_key: str = "prediction_log_id", parent_key: str = "id"
 ) -> DataFrame:
-    """Child rows without a parent and keys referenced more than once."""
-    orphans = child.join(parent, child[child_key] == parent[parent_key], "left_anti").groupBy(child_key).agg(
-        F.count("*").alias("rows")
-    )
-    repeated = child.groupBy(child_key).agg(F.count("*").alias("rows")).filter("rows > 1")
+    """Child rows without a parent and keys referenced more than once.
+
+    References are counted first, so a hot key is one row in the join.
+    """
+    references = child.groupBy(child_key).agg(F.count("*").alias("rows"))
+    orphans = references.join(parent, references[child_key] == parent[parent_key], "left_anti")
     return orphans.select(F.lit("orphan").alias("violation"), child_key, "rows").unionByName(
-        repeated.select(F.lit("repeated_reference").alias("violation"), child_key, "rows")
+        references.filter("rows > 1").select(F.lit("repeated_reference").alias("violation"), child_key, "rows")
     )
 
 

@@ -24,7 +24,13 @@ from pyspark.sql import functions as F
 from riskloom.functions import bucket_index
 from riskloom.functions.columns import ColumnLike
 
-DEFAULT_BUCKETS = 256
+MIN_BUCKETS, MAX_BUCKETS = 64, 8_192
+
+
+def bucket_count(df: DataFrame) -> int:
+    """Buckets per group: twice the session's shuffle partitions, within fixed limits."""
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(MIN_BUCKETS, min(MAX_BUCKETS, 2 * partitions))
 
 
 def match_keys(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
@@ -60,7 +66,7 @@ def running_totals(
     value: str,
     measures: Mapping[str, Column],
     keys: Sequence[str] = (),
-    buckets: int = DEFAULT_BUCKETS,
+    buckets: int | None = None,
     distinct: bool = False,
 ) -> DataFrame:
     """One row per (keys, value), ascending running sums per group.
@@ -70,6 +76,7 @@ def running_totals(
     input already has one row per (keys, value).
     """
     keys, names = list(keys), list(measures)
+    buckets = buckets or bucket_count(df)
     present = df.filter(F.col(value).isNotNull())
     number = F.col(value).cast("double").alias(value)
     if distinct:
@@ -161,7 +168,7 @@ def exact_quantiles(
     quantiles: Mapping[str, float],
     keys: Sequence[str] = (),
     weight: Column | None = None,
-    buckets: int = DEFAULT_BUCKETS,
+    buckets: int | None = None,
 ) -> DataFrame:
     """Exact interpolated quantiles per group, computed without collecting a group in one task."""
     totals = running_totals(

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,8 +28,8 @@ def create_log_tables(spark: SparkSession, database: str = "default") -> list[st
     names = []
     for table, columns in LOG_SCHEMAS.items():
         spark.sql(
-            f"CREATE TABLE IF NOT EXISTS {database}.{table} ({columns}, {LOG_DAY} DATE) "
-            f"USING parquet PARTITIONED BY ({LOG_DAY})"
+            f"CREATE TABLE IF NOT EXISTS {database}.{table} ({columns}, {LOG_DAY} DATE, batch_id INT) "
+            f"USING parquet PARTITIONED BY ({LOG_DAY}, batch_id)"
         )
         names.append(f"{database}.{table}")
     return names
@@ -57,7 +58,7 @@ def read_log(
             raw = spark.read.format("jdbc").options(**{**jdbc, "dbtable": table}).load()
         else:
             raw = spark.read.parquet(f"{root.rstrip('/')}/{table}")
-    except AnalysisException:
+    except (AnalysisException, Py4JJavaError):  # the second is what an absent database table raises
         return _empty(spark, table)
     if since is not None:
         day = F.col(LOG_DAY) if LOG_DAY in raw.columns else F.to_date("created_at")
@@ -172,15 +173,14 @@ def _typed(df: DataFrame, table: str) -> DataFrame:
 
 
 def append_log(df: DataFrame, root: str, table: str, *, batch: int | None = None) -> str:
-    """Append rows to a log table. With ``batch`` a replay overwrites that batch's own partition."""
+    """Append rows to a log table, partitioned by day and batch.
+
+    With ``batch`` (a micro-batch number) a replay overwrites the partitions of that batch only.
+    """
     path = f"{root.rstrip('/')}/{table}"
-    dated = df.withColumn(LOG_DAY, F.to_date("created_at"))
-    if batch is None:
-        dated.write.mode("append").partitionBy(LOG_DAY).parquet(path)
-        return path
-    marked = dated.withColumn("batch_id", F.lit(int(batch)))
-    writer = marked.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    writer.partitionBy("batch_id", LOG_DAY).parquet(path)
+    dated = df.withColumns({LOG_DAY: F.to_date("created_at"), "batch_id": F.lit(-1 if batch is None else int(batch))})
+    writer = dated.write.mode("append" if batch is None else "overwrite")
+    writer.option("partitionOverwriteMode", "dynamic").partitionBy(LOG_DAY, "batch_id").parquet(path)
     return path
 
 
