@@ -5,7 +5,7 @@ from __future__ import annotations
 import json
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -65,10 +65,9 @@ def scan_raw(spark: SparkSession, folder: str, table: str, columns: Sequence[str
     return nan_to_null(cleaned.select(*[F.col(c).cast(schema[c].dataType).alias(c) for c in cleaned.columns]))
 
 
-def drop_exact_duplicates(df: DataFrame, observation: Observation | None = None) -> DataFrame:
-    """Remove rows equal in every column. ``observation`` receives ``rows_in`` while the job runs."""
-    source = df if observation is None else df.observe(observation, F.count("*").alias("rows_in"))
-    return source.dropDuplicates()
+def drop_exact_duplicates(df: DataFrame) -> DataFrame:
+    """Remove rows equal in every column (NULL equals NULL); repeated keys stay."""
+    return df.dropDuplicates()
 
 
 def duplicate_count(df: DataFrame) -> DataFrame:

@@ -14,7 +14,7 @@ from riskloom.session import build_session  # noqa: E402
 def spark():
     session = build_session(
         "tests", "local[4]",
-        **{"spark.sql.shuffle.partitions": "4", "spark.ui.enabled": "false", "spark.driver.memory": "6g",
+        **{"spark.sql.shuffle.partitions": "2", "spark.ui.enabled": "false", "spark.driver.memory": "6g",
            "spark.ui.showConsoleProgress": "false"},
     )
     session.sparkContext.setLogLevel("ERROR")

@@ -19,10 +19,14 @@ from tests.conftest import records
 SMALL = [(0, 0.1), (0, 0.4), (1, 0.65), (1, 0.95)]
 
 
-def brute(y, s, t, fn_cost=10.0):
+def at_threshold(y, s, t, fn_cost=10.0):
     p = s >= t
     tp, fp = int((p & (y == 1)).sum()), int((p & (y == 0)).sum())
     fn, tn = int((~p & (y == 1)).sum()), int((~p & (y == 0)).sum())
+    return {"cost": (fn_cost * fn + fp) / len(y), "tp": tp, "fp": fp, "fn": fn, "tn": tn}
+
+
+def brute(y, s, t):
     pairs = sum((a > b) + 0.5 * (a == b) for a in s[y == 1] for b in s[y == 0])
     auc = pairs / ((y == 1).sum() * (y == 0).sum())
     ap, last, ks = 0.0, 0.0, 0.0
@@ -31,8 +35,7 @@ def brute(y, s, t, fn_cost=10.0):
         recall, fall = (hit & (y == 1)).sum() / (y == 1).sum(), (hit & (y == 0)).sum() / (y == 0).sum()
         ap += (recall - last) * (hit & (y == 1)).sum() / hit.sum()
         last, ks = recall, max(ks, recall - fall)
-    return {"cost": (fn_cost * fn + fp) / len(y), "tp": tp, "fp": fp, "fn": fn, "tn": tn, "auc": auc, "ap": ap,
-            "ks": ks, "brier": float(((s - y) ** 2).mean())}
+    return {**at_threshold(y, s, t), "auc": auc, "ap": ap, "ks": ks, "brier": float(((s - y) ** 2).mean())}
 
 
 @pytest.fixture
@@ -57,13 +60,13 @@ def test_metrics_match_brute_force(scored):
 def test_best_threshold_is_the_least_cost_candidate(scored):
     y, s, df = scored
     candidates = sorted(set(np.linspace(0, 1, 401)) | set(s))
-    rated = [(brute(y, s, t)["cost"], -brute(y, s, t)["tp"], t) for t in candidates]
+    rated = [(at_threshold(y, s, t)["cost"], -at_threshold(y, s, t)["tp"], t) for t in candidates]
     best = best_threshold(df, label="y", score="s").first()
     assert (best["business_cost"], best["threshold"]) == (pytest.approx(min(rated)[0]), pytest.approx(min(rated)[2]))
     sweep = threshold_sweep(df, label="y", score="s").orderBy("threshold").collect()
     assert len(sweep) == len(candidates)
     for r in sweep[::37]:
-        assert r["business_cost"] == pytest.approx(brute(y, s, r["threshold"])["cost"])
+        assert r["business_cost"] == pytest.approx(at_threshold(y, s, r["threshold"])["cost"])
 
 
 def test_sweep_holds_an_extra_threshold_once(frame):

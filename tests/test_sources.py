@@ -3,7 +3,6 @@ from __future__ import annotations
 import json
 
 import pytest
-from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from riskloom.plans.dataset import build_dataset, quality_reports, save_dataset
@@ -24,9 +23,7 @@ from tests.conftest import records
 
 def test_exact_duplicates(frame):
     df = frame([(1, 10, 5.0), (1, 10, 5.0), (1, 11, 5.0), (2, 12, None)], "SK_ID_CURR LONG, SK_ID_PREV LONG, AMT_CREDIT DOUBLE")
-    seen = Observation("rows")
-    kept = drop_exact_duplicates(df, seen)
-    assert kept.count() == 3 and seen.get["rows_in"] == 4
+    assert drop_exact_duplicates(df).count() == 3
     assert records(duplicate_count(df)) == [{"rows": 4, "distinct_rows": 3, "duplicates_removed": 1}]
 
 
