@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from riskloom.llm.common import table
+from riskloom.llm.decontamination import contaminated
+from riskloom.llm.near_dedup import near_duplicates
 from riskloom.llm.quality_rules import quality_rules
 from riskloom.llm.token_counts import token_counts
 
@@ -14,6 +16,14 @@ from riskloom.llm.token_counts import token_counts
 TOKENIZERS = "/opt/tokenizers"
 
 
+def op1_containment_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op7_minmax_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"), f"{TOKENIZERS}/byte_bpe_50k.json")
 
@@ -23,6 +33,6 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op8_token_counts, op10_quality_rules)
+    f.__name__: f for f in (op1_containment_search, op7_minmax_dedup, op8_token_counts, op10_quality_rules)
 }
 ORACLES: dict[str, str] = {}
