@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from riskloom.llm.common import table
 from riskloom.llm.decontamination import contaminated
 from riskloom.llm.near_dedup import near_duplicates
+from riskloom.llm.quality_cnn import quality_scores
 from riskloom.llm.quality_rules import quality_rules
 from riskloom.llm.token_counts import token_counts
 
@@ -28,11 +29,15 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"), f"{TOKENIZERS}/byte_bpe_50k.json")
 
 
+def op9_byte_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_containment_search, op7_minmax_dedup, op8_token_counts, op10_quality_rules)
+    f.__name__: f for f in (op1_containment_search, op7_minmax_dedup, op8_token_counts, op9_byte_cnn, op10_quality_rules)
 }
 ORACLES: dict[str, str] = {}
