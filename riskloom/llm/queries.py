@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from riskloom.llm.common import table
 from riskloom.llm.decontamination import contaminated
+from riskloom.llm.html_text import main_texts
 from riskloom.llm.near_dedup import near_duplicates
 from riskloom.llm.pii import find_personal_data
 from riskloom.llm.quality_cnn import quality_scores
@@ -26,6 +27,10 @@ def op3_boosted_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_personal_data(table(spark, sf_dir, "documents"))
 
 
+def op6_wrapper_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return main_texts(table(spark, sf_dir, "pages"))
+
+
 def op7_minmax_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -43,6 +48,6 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_containment_search, op3_boosted_pii, op7_minmax_dedup, op8_token_counts, op9_byte_cnn, op10_quality_rules)
+    f.__name__: f for f in (op1_containment_search, op3_boosted_pii, op6_wrapper_text, op7_minmax_dedup, op8_token_counts, op9_byte_cnn, op10_quality_rules)
 }
 ORACLES: dict[str, str] = {}
