@@ -11,6 +11,7 @@ from riskloom.llm.decontamination import contaminated
 from riskloom.llm.html_text import main_texts
 from riskloom.llm.near_dedup import near_duplicates
 from riskloom.llm.pii import find_personal_data
+from riskloom.llm.pseudo_likelihood import pseudo_likelihood
 from riskloom.llm.quality_cnn import quality_scores
 from riskloom.llm.quality_rules import quality_rules
 from riskloom.llm.token_counts import token_counts
@@ -23,6 +24,10 @@ def op1_containment_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op2_masked_likelihood(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pseudo_likelihood(table(spark, sf_dir, "documents"))
+
+
 def op3_boosted_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_personal_data(table(spark, sf_dir, "documents"))
 
@@ -48,6 +53,6 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_containment_search, op3_boosted_pii, op6_wrapper_text, op7_minmax_dedup, op8_token_counts, op9_byte_cnn, op10_quality_rules)
+    f.__name__: f for f in (op1_containment_search, op2_masked_likelihood, op3_boosted_pii, op6_wrapper_text, op7_minmax_dedup, op8_token_counts, op9_byte_cnn, op10_quality_rules)
 }
 ORACLES: dict[str, str] = {}
