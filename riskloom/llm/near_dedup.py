@@ -2,10 +2,12 @@
 
 Each permutation keeps its minimum and its maximum over a document's shingles, so 64 permutations give 128
 unbiased, nearly independent agreement bits; 25 bands of five values (a pair at similarity 0.85 meets in no band
-with a chance below 5e-7). Documents with equal sets are one class from the start. Inside a bucket, the members
-are compared with its smallest and largest member, never all with all. Only a bucket whose members are not yet one component
-is searched further: sketches of the members outside the main component against all members, in bounded blocks;
-pairs that sketches cannot exclude are confirmed on full sets.
+with a chance below 5e-7). Documents with equal sets are one class from the start, and a class takes part as one row.
+
+Inside a bucket the members are compared with one of them, the one that shares most buckets with others, never all
+with all. Buckets that are not one component after that are searched further: classes that meet in such buckets,
+directly or through others, form a group; the members outside the group's main component are compared with all
+members, in blocks of bounded size. A block tells at most one confirmed link for each member and other component.
 """
 
 from __future__ import annotations
@@ -19,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskloom.llm.common import kept_in_worker, mix, shingle_set, text_batches, word_hashes, words_of
+from riskloom.llm.common import mix, shingle_set, text_batches, word_hashes, words_of
 from riskloom.llm.components import components
 from riskloom.session import materialize
 
@@ -30,7 +32,7 @@ SHINGLE_BLOCK = 4096
 #: Sketch bytes that must agree before full sets are compared: a pair at similarity 0.85 misses it with a chance of 7e-8.
 SKETCH_AGREEMENT = 86
 #: Rows a block of the second search has on either side.
-QUERY_BLOCK, TARGET_BLOCK = 128, 512
+QUERY_BLOCK, TARGET_BLOCK = 128, 256
 #: Link threshold in percent.
 SIMILARITY = 85
 SIGNATURES = "doc_id long, n_shingles long, set_id string, bands array<long>, sketch binary"
@@ -77,71 +79,72 @@ def signatures(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, SIGNATURES)
 
 
-def close_sizes(left: str, right: str) -> F.Column:
-    """Sets whose sizes differ more than this cannot be similar enough."""
-    return F.least(left, right) * 100 >= F.greatest(left, right) * SIMILARITY
+def word_set(text: str) -> np.ndarray:
+    return shingle_set(word_hashes().of(words_of(text)))
 
 
-def confirmed(pairs: DataFrame, docs: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose full shingle sets are similar enough."""
-    nodes = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).join(nodes, "doc_id", "left_semi")
-    texts = materialize(texts, "candidate-texts")
-    both = pairs.join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")), "b")
-    both = both.join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")), "a")
-
-    def shingles(doc_id: int, text: str) -> np.ndarray:
-        recent = kept_in_worker("recent sets", dict)
-        found = recent.get((doc_id, text))
-        if found is None:
-            if len(recent) >= 16:
-                recent.pop(next(iter(recent)))
-            found = recent[doc_id, text] = shingle_set(word_hashes().of(words_of(text)))
-        return found
+def similar(left: np.ndarray, right: np.ndarray) -> bool:
+    if min(len(left), len(right)) * 100 < max(len(left), len(right)) * SIMILARITY:
+        return False
+    shared = len(np.intersect1d(left, right, assume_unique=True))
+    return 100 * shared >= SIMILARITY * (len(left) + len(right) - shared)
+
+
+def confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """The pairs (a, b) whose full shingle sets are similar enough; ``texts`` has rep and text."""
+    both = pairs.join(texts.select(F.col("rep").alias("b"), F.col("text").alias("text_b")), "b")
+    both = both.join(texts.select(F.col("rep").alias("a"), F.col("text").alias("text_a")), "a")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last: tuple[str, np.ndarray] = ("", np.zeros(0, np.uint64))  # pairs of one a follow each other
         for batch in text_batches(batches):
             keep = []
-            for a, b, text_a, text_b in zip(*(batch[c].to_pylist() for c in ("a", "b", "text_a", "text_b")), strict=True):
-                left, right = shingles(a, text_a), shingle_set(word_hashes().of(words_of(text_b)))
-                shared = len(np.intersect1d(left, right, assume_unique=True))
-                keep.append(100 * shared >= SIMILARITY * (len(left) + len(right) - shared))
+            for text_a, text_b in zip(batch["text_a"].to_pylist(), batch["text_b"].to_pylist(), strict=True):
+                if text_a != last[0]:
+                    last = (text_a, word_set(text_a))
+                keep.append(similar(last[1], word_set(text_b)))
             yield pa.RecordBatch.from_arrays([batch["a"], batch["b"]], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     return both.select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long")
 
 
-def leader_pairs(members: DataFrame, buckets: DataFrame) -> DataFrame:
-    """Every member of a bucket with the bucket's smallest and largest member."""
-    ends = buckets.select("key", F.explode(F.array("first", "last")).alias("end"))
-    pairs = members.join(ends, "key").where(F.col("rep") != F.col("end.rep"))
-    pairs = pairs.where(close_sizes("n_shingles", "end.n_shingles"))
-    return pairs.select(F.least("rep", "end.rep").alias("a"), F.greatest("rep", "end.rep").alias("b")).distinct()
-
-
-def block_pairs(members: DataFrame, buckets: DataFrame, classes: DataFrame, joined: DataFrame) -> DataFrame:
-    """Pairs of one bucket and different components that sketches cannot exclude.
-
-    The query side of a block are members outside the component of the bucket's first member, the target side all.
-    """
-    known = joined.select(F.col("node").alias("rep"), "component")
-    member = members.join(known, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
-    first = known.select(F.col("rep").alias("first_rep"), F.col("component").alias("main"))
-    large = buckets.where("size > 3").select("key", "size", F.col("first.rep").alias("first_rep"))
-    large = large.join(first, "first_rep", "left").withColumn("main", F.coalesce("main", "first_rep"))
-    member = member.join(materialize(large.select("key", "size", "main"), "large-buckets"), "key")
-    open_rows = materialize(member, "bucket-members")
-    outside = open_rows.where("component <> main").groupBy("key").agg(F.count("*").alias("outside"))
-    rows = open_rows.join(materialize(outside, "open-buckets"), "key")
-    rows = rows.join(classes.select("rep", "sketch"), "rep")
-    queries, targets = F.ceil(F.col("outside") / QUERY_BLOCK), F.ceil(F.col("size") / TARGET_BLOCK)
+def leaders(shared: DataFrame) -> DataFrame:
+    """The member of each bucket whose buckets are the largest in sum; ties go to the smaller one."""
+    weight = materialize(shared.groupBy("rep").agg(F.sum("size").alias("weight")), "weights")
+    ranked = F.struct(-F.col("weight"), "rep", "n_shingles")
+    return shared.join(weight, "rep").groupBy("key").agg(F.min(ranked).alias("leader"), F.first("size").alias("size")).select("key", "size", "leader.rep", "leader.n_shingles")
+
+
+def leader_pairs(shared: DataFrame, heads: DataFrame) -> DataFrame:
+    """Every member of a bucket with the bucket's leader, unless their sizes alone exclude a link."""
+    heads = heads.select("key", F.col("rep").alias("head"), F.col("n_shingles").alias("head_size"))
+    pairs = shared.join(heads, "key").where("rep <> head")
+    pairs = pairs.where(F.least("n_shingles", "head_size") * 100 >= F.greatest("n_shingles", "head_size") * SIMILARITY)
+    return pairs.select(F.least("rep", "head").alias("a"), F.greatest("rep", "head").alias("b")).distinct()
+
+
+def block_links(shared: DataFrame, heads: DataFrame, joined: DataFrame, classes: DataFrame, texts: DataFrame) -> DataFrame:
+    """Confirmed links between members of one bucket that the leaders have left in different components."""
+    placed = shared.where("size > 2").select("key", "rep").join(joined.withColumnRenamed("node", "rep"), "rep", "left")
+    placed = materialize(placed.withColumn("component", F.coalesce("component", "rep")), "placed")
+    split = placed.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high")
+    split = split.select("key").join(heads.select("key", F.col("rep").alias("head")), "key")
+    meeting = materialize(placed.join(materialize(split, "open-buckets"), "key").select("rep", "component", "head"), "meeting")
+    groups = components(meeting.select("rep", "head").where("rep <> head").distinct())
+    member = meeting.select("rep", "component").distinct().join(groups.withColumnRenamed("node", "rep").withColumnRenamed("component", "group"), "rep", "left")
+    member = materialize(member.withColumn("group", F.coalesce("group", "rep")), "group-members")
+    largest = F.max(F.struct("count", "component")).alias("largest")
+    shape = member.groupBy("group", "component").count().groupBy("group").agg(largest, F.sum("count").alias("size"))
+    shape = shape.select("group", "size", F.col("largest.component").alias("main"), (F.col("size") - F.col("largest.count")).alias("outside"))
+    rows = member.join(materialize(shape, "groups"), "group").join(texts, "rep").join(classes.select("rep", "n_shingles", "sketch"), "rep")
+    rows = rows.withColumns({"queries": F.ceil(F.col("outside") / QUERY_BLOCK), "targets": F.ceil(F.col("size") / TARGET_BLOCK)})
     own = F.xxhash64("rep")
-    shape = ["key", "rep", "component", "n_shingles", "sketch"]
+    columns = ["group", "rep", "component", "n_shingles", "sketch", "text"]
     asking = rows.where("component <> main").select(
-        *shape, F.pmod(own, queries).alias("q"), F.explode(F.sequence(F.lit(0), targets - 1)).alias("t"), F.lit(True).alias("asks")
+        *columns, F.pmod(own, "queries").alias("q"), F.explode(F.sequence(F.lit(0), F.col("targets") - 1)).alias("t"), F.lit(True).alias("asks")
     )
     asked = rows.select(
-        *shape, F.explode(F.sequence(F.lit(0), queries - 1)).alias("q"), F.pmod(own, targets).alias("t"), F.lit(False).alias("asks")
+        *columns, F.explode(F.sequence(F.lit(0), F.col("queries") - 1)).alias("q"), F.pmod(own, "targets").alias("t"), F.lit(False).alias("asks")
     )
 
     def block(rows: pd.DataFrame) -> pd.DataFrame:
@@ -149,15 +152,26 @@ def block_pairs(members: DataFrame, buckets: DataFrame, classes: DataFrame, join
         found = []
         if len(ask) and len(tell):
             there = np.frombuffer(b"".join(tell.sketch), np.uint8).reshape(len(tell), -1)
-            rep, component, size = tell.rep.to_numpy(), tell.component.to_numpy(), tell.n_shingles.to_numpy()
+            component, size = tell.component.to_numpy(), tell.n_shingles.to_numpy()
+            sets: dict[int, np.ndarray] = {}
             for row in ask.itertuples():
                 other = component != row.component
                 other &= np.minimum(size, row.n_shingles) * 100 >= np.maximum(size, row.n_shingles) * SIMILARITY
-                alike = (there[other] == np.frombuffer(row.sketch, np.uint8)).sum(axis=1) >= SKETCH_AGREEMENT
-                found += [(min(row.rep, x), max(row.rep, x)) for x in rep[other][alike]]
-        return pd.DataFrame(found, columns=["a", "b"])
-
-    return asking.unionByName(asked).groupBy("key", "q", "t").applyInPandas(block, "a long, b long").distinct()
+                alike = (there == np.frombuffer(row.sketch, np.uint8)).sum(axis=1)
+                own, reached = None, set()
+                for i in np.argsort(-alike, kind="stable"):
+                    if alike[i] < SKETCH_AGREEMENT:
+                        break
+                    if other[i] and component[i] not in reached:
+                        own = word_set(row.text) if own is None else own
+                        if i not in sets:
+                            sets[i] = word_set(tell.text.iloc[i])
+                        if similar(own, sets[i]):
+                            reached.add(component[i])
+                            found.append((row.rep, tell.rep.iloc[i]))
+        return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
+
+    return asking.unionByName(asked).groupBy("group", "q", "t").applyInPandas(block, "a long, b long").distinct()
 
 
 def repeated_ids(named: DataFrame, classes: DataFrame) -> DataFrame:
@@ -182,13 +196,15 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     )
     classes = materialize(classes, "classes")
     members = classes.select(F.explode("bands").alias("key"), "rep", "n_shingles")
-    member = F.struct("rep", "n_shingles")
-    buckets = members.groupBy("key").agg(F.count("*").alias("size"), F.min(member).alias("first"), F.max(member).alias("last"))
-    buckets = materialize(buckets.where("size > 1"), "buckets")
-    first_links = materialize(confirmed(materialize(leader_pairs(members, buckets), "pairs"), docs), "links")
-    joined = components(first_links)
-    more = materialize(block_pairs(members, buckets, classes, joined), "pairs")
-    links = first_links.unionByName(confirmed(more, docs)).unionByName(repeated_ids(named, classes))
+    buckets = materialize(members.groupBy("key").agg(F.count("*").alias("size")).where("size > 1"), "buckets")
+    shared = materialize(members.join(buckets, "key"), "shared-buckets")
+    heads = materialize(leaders(shared), "leaders")
+    nodes = materialize(shared.select("rep").distinct(), "candidates")
+    texts = docs.select(F.col("doc_id").cast("long").alias("rep"), F.col("text").cast("string")).join(nodes, "rep", "left_semi")
+    texts = materialize(texts, "candidate-texts")
+    first_links = materialize(confirmed(materialize(leader_pairs(shared, heads), "pairs"), texts), "links")
+    more = materialize(block_links(shared, heads, components(first_links), classes, texts), "links")
+    links = first_links.unionByName(more).unionByName(repeated_ids(named, classes))
     joined = components(links).withColumnRenamed("node", "rep")
     placed = classes.select("set_id", "rep").join(joined, "rep", "left")
     placed = materialize(placed.select("set_id", F.coalesce("component", "rep").alias("component")), "class-components")
