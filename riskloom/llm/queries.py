@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from riskloom.llm.common import table
 from riskloom.llm.decontamination import contaminated
 from riskloom.llm.html_text import main_texts
+from riskloom.llm.mixing import label_domains, mix
 from riskloom.llm.near_dedup import near_duplicates
 from riskloom.llm.pii import find_personal_data
 from riskloom.llm.pseudo_likelihood import pseudo_likelihood
@@ -32,6 +33,11 @@ def op3_boosted_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_personal_data(table(spark, sf_dir, "documents"))
 
 
+def op5_soft_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return mix(docs, label_domains(docs, table(spark, sf_dir, "labels")))
+
+
 def op6_wrapper_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return main_texts(table(spark, sf_dir, "pages"))
 
@@ -53,6 +59,6 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_containment_search, op2_masked_likelihood, op3_boosted_pii, op6_wrapper_text, op7_minmax_dedup, op8_token_counts, op9_byte_cnn, op10_quality_rules)
+    f.__name__: f for f in (op1_containment_search, op2_masked_likelihood, op3_boosted_pii, op5_soft_mixing, op6_wrapper_text, op7_minmax_dedup, op8_token_counts, op9_byte_cnn, op10_quality_rules)
 }
 ORACLES: dict[str, str] = {}
