@@ -12,6 +12,7 @@ from riskloom.llm.html_text import main_texts
 from riskloom.llm.mixing import label_domains, mix
 from riskloom.llm.near_dedup import near_duplicates
 from riskloom.llm.pii import find_personal_data
+from riskloom.llm.preferences import ECHO_SQL, echo_pairs, preference_pairs
 from riskloom.llm.pseudo_likelihood import pseudo_likelihood
 from riskloom.llm.quality_cnn import quality_scores
 from riskloom.llm.quality_rules import quality_rules
@@ -33,6 +34,10 @@ def op3_boosted_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_personal_data(table(spark, sf_dir, "documents"))
 
 
+def op4_preference_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return preference_pairs(echo_pairs(table(spark, sf_dir, "conversations")))
+
+
 def op5_soft_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return mix(docs, label_domains(docs, table(spark, sf_dir, "labels")))
@@ -59,6 +64,6 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_containment_search, op2_masked_likelihood, op3_boosted_pii, op5_soft_mixing, op6_wrapper_text, op7_minmax_dedup, op8_token_counts, op9_byte_cnn, op10_quality_rules)
+    f.__name__: f for f in (op1_containment_search, op2_masked_likelihood, op3_boosted_pii, op4_preference_pairs, op5_soft_mixing, op6_wrapper_text, op7_minmax_dedup, op8_token_counts, op9_byte_cnn, op10_quality_rules)
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op4_preference_pairs": ECHO_SQL}
