@@ -158,3 +158,21 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
         docs = docs.mapInArrow(run, schema)
     return docs
+
+
+CONTAINED_SQL = r"""
+WITH said AS (
+  SELECT 'd' AS side, doc_id AS id, text FROM documents UNION ALL SELECT 'i', item_id, text FROM benchmark
+), split AS (
+  SELECT side, id, list_filter(string_split_regex(lower(text), '[\x09-\x0D ]+'), lambda x: x <> '') AS w FROM said WHERE text IS NOT NULL
+), placed AS (
+  SELECT side, id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM split WHERE len(w) > 0
+), shingles AS (
+  SELECT DISTINCT side, id, array_to_string(w[i : i + 4], ' ') AS s FROM placed
+), items AS (
+  SELECT id, s, count(*) OVER (PARTITION BY id) AS n FROM shingles WHERE side = 'i'
+)
+SELECT d.id AS doc_id, items.id AS item_id, count(*) AS n_shared, max(n) AS n_item, count(*) / max(n) AS containment
+FROM shingles d JOIN items USING (s) WHERE d.side = 'd'
+GROUP BY d.id, items.id HAVING 100 * count(*) >= 80 * max(n)
+"""

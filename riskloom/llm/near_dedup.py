@@ -225,3 +225,24 @@ def drop_near_duplicates(docs: DataFrame) -> DataFrame:
     place = Window.partitionBy("__stays").orderBy(F.xxhash64("text"), "text")
     stay = stay.withColumn("__place", F.row_number().over(place)).where("__place = 1")
     return stay.select(*[F.col(f"`{c}`") for c in docs.columns]).unionByName(docs.where("doc_id IS NULL"))
+
+
+NEAR_SQL = r"""
+WITH RECURSIVE split AS (
+  SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[\x09-\x0D ]+'), lambda x: x <> '') AS w FROM documents
+), placed AS (
+  SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM split WHERE len(w) > 0
+), shingles AS MATERIALIZED (
+  SELECT DISTINCT doc_id, array_to_string(w[i : i + 4], ' ') AS s FROM placed
+), sizes AS MATERIALIZED (
+  SELECT doc_id, count(s) AS n FROM split LEFT JOIN shingles USING (doc_id) GROUP BY doc_id
+), common AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n FROM shingles a JOIN shingles b USING (s) WHERE a.doc_id <> b.doc_id GROUP BY ALL
+), links AS MATERIALIZED (
+  SELECT a, b FROM common JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b WHERE 100 * common.n >= 85 * (x.n + y.n - common.n)
+), reached AS (
+  SELECT doc_id AS a, doc_id AS b FROM split UNION SELECT reached.a, links.b FROM reached JOIN links ON reached.b = links.a
+)
+SELECT doc_id, n AS n_shingles, min(b) AS component_id, min(b) = doc_id AS kept FROM sizes JOIN reached ON a = doc_id GROUP BY doc_id, n
+"""

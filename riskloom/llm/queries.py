@@ -7,10 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from riskloom.llm.common import table
-from riskloom.llm.decontamination import contaminated
+from riskloom.llm.decontamination import CONTAINED_SQL, contaminated
 from riskloom.llm.html_text import main_texts
 from riskloom.llm.mixing import label_domains, mix
-from riskloom.llm.near_dedup import near_duplicates
+from riskloom.llm.near_dedup import NEAR_SQL, near_duplicates
 from riskloom.llm.pii import find_personal_data
 from riskloom.llm.preferences import ECHO_SQL, echo_pairs, preference_pairs
 from riskloom.llm.pseudo_likelihood import pseudo_likelihood
@@ -66,4 +66,8 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_containment_search, op2_masked_likelihood, op3_boosted_pii, op4_preference_pairs, op5_soft_mixing, op6_wrapper_text, op7_minmax_dedup, op8_token_counts, op9_byte_cnn, op10_quality_rules)
 }
-ORACLES: dict[str, str] = {"op4_preference_pairs": ECHO_SQL}
+ORACLES: dict[str, str] = {
+    "op1_containment_search": CONTAINED_SQL,
+    "op4_preference_pairs": ECHO_SQL,
+    "op7_minmax_dedup": NEAR_SQL,
+}
