@@ -19,7 +19,7 @@ def slugify(value: ColumnLike, default: str = "benchmark") -> Column:
 
 def capitalize_label(value: ColumnLike) -> Column:
     words = F.lower(F.replace(_col(value), F.lit("_"), F.lit(" ")))
-    return F.concat(F.upper(F.substring(words, 1, 1)), F.substring(words, 2, 1_000_000))
+    return F.concat(F.upper(F.substring(words, 1, 1)), F.substr(words, F.lit(2)))
 
 
 def truncate(value: ColumnLike, limit: int = MAX_ERROR_MESSAGE) -> Column:

@@ -1,6 +1,6 @@
 """Spec-driven group aggregation: one pass over the child table, no join back.
 
-A spec is text, one column per line: ``COLUMN: agg agg ...``. Whole-table aggregates, subset
+A spec maps columns to their aggregates. Whole-table aggregates, subset
 aggregates and category shares of a table all land in one ``groupBy``, so the child table is shuffled
 once on its client key, after a map-side partial aggregation that also flattens a hot client.
 """
@@ -26,6 +26,9 @@ AGGREGATES = {
 }
 
 
+Spec = Mapping[str, Sequence[str]]
+
+
 @dataclass(frozen=True)
 class Subset:
     """Aggregates over the rows where ``column = value``; NULL for a group without such rows."""
@@ -33,12 +36,7 @@ class Subset:
     prefix: str
     column: str
     value: str
-    spec: str
-
-
-def parse_spec(text: str) -> dict[str, list[str]]:
-    lines = filter(None, (line.strip() for line in text.splitlines()))
-    return {name.strip(): aggs.split() for name, aggs in (line.split(":") for line in lines)}
+    spec: Spec
 
 
 def feature_name(prefix: str, *parts: object) -> str:
@@ -47,10 +45,10 @@ def feature_name(prefix: str, *parts: object) -> str:
     return f"{prefix}_{tail}"
 
 
-def spec_columns(spec: str, prefix: str) -> list[Column]:
+def spec_columns(spec: Spec, prefix: str) -> list[Column]:
     return [
         AGGREGATES[agg](F.col(column)).alias(feature_name(prefix, column, agg))
-        for column, aggs in parse_spec(spec).items()
+        for column, aggs in spec.items()
         for agg in aggs
     ]
 
@@ -59,30 +57,41 @@ def subset_columns(subset: Subset) -> list[Column]:
     inside = F.col(subset.column) == F.lit(subset.value)
     hits = F.count_if(inside)
     columns = []
-    for column, aggs in parse_spec(subset.spec).items():
+    for column, aggs in subset.spec.items():
         for agg in aggs:
             value = AGGREGATES[agg](F.when(inside, F.col(column)))
             columns.append(F.when(hits > 0, value).alias(feature_name(subset.prefix, column, agg)))
     return columns
 
 
-MAX_LEVELS = 20_000
+def level_table(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Rows (column, level): the distinct non-NULL levels, however many. Save it next to the data to score later."""
+    long = df.unpivot([], [F.col(c).cast("string").alias(c) for c in columns], "column", "level")
+    return long.filter(F.col("level").isNotNull()).distinct()
+
+
+def category_levels(df: DataFrame, columns: Sequence[str]) -> dict[str, list[str]]:
+    """Levels per column, sorted: the fitted part of the wide share features.
 
+    Every level becomes a column of the wide table, so the list reaches the driver like the table's own schema.
+    For columns with more levels than a table should have columns, use ``share_rows``.
+    """
+    found: dict[str, list[str]] = {c: [] for c in columns}
+    for column, level in level_table(df, columns).collect() if columns else ():
+        found[column].append(level)
+    return {c: sorted(levels) for c, levels in found.items()}
 
-def category_levels(df: DataFrame, columns: Sequence[str], *, max_levels: int = MAX_LEVELS) -> dict[str, list[str]]:
-    """Distinct non-NULL levels per column, sorted: the fitted part of the share features.
 
-    Column names of the output depend on it, so the list has to reach the driver: one entry per output
-    column. More than ``max_levels`` entries are an error, as such a column has no usable shares. Keep
-    the list next to the data and reuse it for scoring.
+def share_rows(df: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:
+    """Rows (key, column, level, share) for any number of levels; a NULL level stands for missing values.
+
+    Only levels a group has get a row; nothing is collected, and copies of a level collapse before the shuffle.
     """
-    if not columns:
-        return {}
-    long = df.unpivot([], [F.col(c).cast("string").alias(c) for c in columns], "column", "level")
-    rows = long.filter(F.col("level").isNotNull()).distinct().limit(max_levels + 1).collect()
-    if len(rows) > max_levels:
-        raise ValueError(f"more than {max_levels} category levels in {list(columns)}")
-    return {c: sorted(r["level"] for r in rows if r["column"] == c) for c in columns}
+    known = df.filter(F.col(key).isNotNull())
+    long = known.unpivot([key], [F.col(c).cast("string").alias(c) for c in columns], "column", "level")
+    counted = long.groupBy(key, "column", "level").agg(F.count("*").alias("n"))
+    total = known.groupBy(key).agg(F.count("*").alias("rows"))
+    return counted.join(total, key).select(key, "column", "level", (F.col("n") / F.col("rows")).alias("share"))
 
 
 def share_columns(levels: Mapping[str, Sequence[str]], prefix: str) -> list[Column]:
@@ -102,13 +111,13 @@ def aggregate_by(
     key: str,
     *,
     prefix: str,
-    spec: str = "",
+    spec: Spec | None = None,
     subsets: Sequence[Subset] = (),
     levels: Mapping[str, Sequence[str]] | None = None,
     extra: Sequence[Column] = (),
 ) -> DataFrame:
     columns = [
-        *spec_columns(spec, prefix),
+        *spec_columns(spec or {}, prefix),
         *share_columns(levels or {}, prefix),
         *extra,
         *[c for subset in subsets for c in subset_columns(subset)],

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -23,32 +23,36 @@ from riskloom.functions import (
 DAYS_SENTINEL = 365243
 DAYS_PER_YEAR = 365.25
 GENDER_PLACEHOLDER = "XNA"
-PREVIOUS_DAY_COLUMNS = """
-    DAYS_FIRST_DRAWING DAYS_FIRST_DUE DAYS_LAST_DUE_1ST_VERSION DAYS_LAST_DUE DAYS_TERMINATION
-""".split()
-EXT_SOURCES = "EXT_SOURCE_1 EXT_SOURCE_2 EXT_SOURCE_3".split()
-PHONE_FLAGS = "FLAG_MOBIL FLAG_EMP_PHONE FLAG_WORK_PHONE FLAG_CONT_MOBILE FLAG_PHONE FLAG_EMAIL".split()
-ADDRESS_MISMATCHES = """
-    REG_REGION_NOT_LIVE_REGION REG_REGION_NOT_WORK_REGION LIVE_REGION_NOT_WORK_REGION
-    REG_CITY_NOT_LIVE_CITY REG_CITY_NOT_WORK_CITY LIVE_CITY_NOT_WORK_CITY
-""".split()
+PREVIOUS_DAY_COLUMNS = [
+    "DAYS_FIRST_DRAWING", "DAYS_FIRST_DUE", "DAYS_LAST_DUE_1ST_VERSION", "DAYS_LAST_DUE", "DAYS_TERMINATION",
+]
+EXT_SOURCES = ["EXT_SOURCE_1", "EXT_SOURCE_2", "EXT_SOURCE_3"]
+PHONE_FLAGS = [
+    "FLAG_MOBIL", "FLAG_EMP_PHONE", "FLAG_WORK_PHONE", "FLAG_CONT_MOBILE", "FLAG_PHONE", "FLAG_EMAIL",
+]
+ADDRESS_MISMATCHES = [
+    "REG_REGION_NOT_LIVE_REGION", "REG_REGION_NOT_WORK_REGION", "LIVE_REGION_NOT_WORK_REGION",
+    "REG_CITY_NOT_LIVE_CITY", "REG_CITY_NOT_WORK_CITY", "LIVE_CITY_NOT_WORK_CITY",
+]
 DOCUMENT_PREFIX = "FLAG_DOCUMENT_"
-# name = numerator / denominator
-APPLICATION_RATIOS = """
-    CREDIT_TO_INCOME_RATIO = AMT_CREDIT / AMT_INCOME_TOTAL
-    ANNUITY_TO_INCOME_RATIO = AMT_ANNUITY / AMT_INCOME_TOTAL
-    CREDIT_TO_ANNUITY_RATIO = AMT_CREDIT / AMT_ANNUITY
-    GOODS_TO_CREDIT_RATIO = AMT_GOODS_PRICE / AMT_CREDIT
-    INCOME_PER_PERSON = AMT_INCOME_TOTAL / CNT_FAM_MEMBERS
-    ANNUITY_PER_PERSON = AMT_ANNUITY / CNT_FAM_MEMBERS
-    CHILDREN_RATIO = CNT_CHILDREN / CNT_FAM_MEMBERS
-"""
-PREVIOUS_RATIOS = """
-    APP_CREDIT_RATIO = AMT_APPLICATION / AMT_CREDIT
-    DOWN_PAYMENT_RATIO = AMT_DOWN_PAYMENT / AMT_CREDIT
-    GOODS_CREDIT_RATIO = AMT_GOODS_PRICE / AMT_CREDIT
-"""
-INSTALMENT_RATIOS = "PAYMENT_RATIO = AMT_PAYMENT / AMT_INSTALMENT"
+# name: (numerator, denominator)
+APPLICATION_RATIOS = {
+    "CREDIT_TO_INCOME_RATIO": ("AMT_CREDIT", "AMT_INCOME_TOTAL"),
+    "ANNUITY_TO_INCOME_RATIO": ("AMT_ANNUITY", "AMT_INCOME_TOTAL"),
+    "CREDIT_TO_ANNUITY_RATIO": ("AMT_CREDIT", "AMT_ANNUITY"),
+    "GOODS_TO_CREDIT_RATIO": ("AMT_GOODS_PRICE", "AMT_CREDIT"),
+    "INCOME_PER_PERSON": ("AMT_INCOME_TOTAL", "CNT_FAM_MEMBERS"),
+    "ANNUITY_PER_PERSON": ("AMT_ANNUITY", "CNT_FAM_MEMBERS"),
+    "CHILDREN_RATIO": ("CNT_CHILDREN", "CNT_FAM_MEMBERS"),
+}
+PREVIOUS_RATIOS = {
+    "APP_CREDIT_RATIO": ("AMT_APPLICATION", "AMT_CREDIT"),
+    "DOWN_PAYMENT_RATIO": ("AMT_DOWN_PAYMENT", "AMT_CREDIT"),
+    "GOODS_CREDIT_RATIO": ("AMT_GOODS_PRICE", "AMT_CREDIT"),
+}
+INSTALMENT_RATIOS = {
+    "PAYMENT_RATIO": ("AMT_PAYMENT", "AMT_INSTALMENT"),
+}
 # -----------------------------------------------------------------------------------------------
 
 
@@ -59,14 +63,8 @@ def present(df: DataFrame, columns: Sequence[str] = (), *, prefix: str | None =
     return [c for c in columns if c in df.columns]
 
 
-def ratio_columns(text: str) -> dict[str, Column]:
-    """``NAME = numerator / denominator`` lines as safe-ratio expressions."""
-    parsed = {}
-    for line in filter(None, (raw.strip() for raw in text.splitlines())):
-        name, formula = (part.strip() for part in line.split("="))
-        numerator, denominator = (part.strip() for part in formula.split("/"))
-        parsed[name] = safe_ratio(numerator, denominator)
-    return parsed
+def ratio_columns(ratios: Mapping[str, tuple[str, str]]) -> dict[str, Column]:
+    return {name: safe_ratio(numerator, denominator) for name, (numerator, denominator) in ratios.items()}
 
 
 def sentinel_to_null(df: DataFrame, columns: Sequence[str], sentinel: float = DAYS_SENTINEL) -> DataFrame:

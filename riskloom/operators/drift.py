@@ -132,7 +132,7 @@ def numeric_drift(
     facts = ["nr", "nc", "ks_statistic", "reference_mean", "current_mean"]
     binned = (
         values.filter("value IS NOT NULL")
-        .join(profile, "feature")
+        .join(F.broadcast(profile), "feature")  # one row per numeric column of the table
         .groupBy("feature", bucket_index("inner_edges", "value", max_splits=bins).alias("bin"))
         .agg(F.sum("ref").alias("ref"), F.sum("cur").alias("cur"), *[F.max(c).alias(c) for c in facts])
     )

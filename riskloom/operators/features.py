@@ -1,4 +1,7 @@
-"""Client features from the child tables, the left-join assembly and its coverage report."""
+"""Client features from the child tables, the left-join assembly and its coverage report.
+
+Shares of category levels are made for the ``levels`` passed in (see ``aggregates.category_levels``), none without.
+"""
 
 from __future__ import annotations
 
@@ -7,123 +10,121 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskloom.operators.aggregates import Subset, aggregate_by, category_levels
-from riskloom.operators.cleaning import category_columns, clean_instalments, clean_previous_applications
+from riskloom.operators.aggregates import Subset, aggregate_by
+from riskloom.operators.cleaning import clean_instalments, clean_previous_applications
 
 CLIENT_KEY = "SK_ID_CURR"
 
 # ---- Fixed values: aggregation specs, "COLUMN: aggregates" -------------------------------------
-BALANCE_SPEC = "MONTHS_BALANCE: min max size"
-
-BUREAU_SPEC = """
-    DAYS_CREDIT: min max mean var
-    CREDIT_DAY_OVERDUE: max mean
-    DAYS_CREDIT_ENDDATE: min max mean
-    DAYS_ENDDATE_FACT: min max mean
-    AMT_CREDIT_MAX_OVERDUE: max mean
-    CNT_CREDIT_PROLONG: sum mean
-    AMT_CREDIT_SUM: max mean sum
-    AMT_CREDIT_SUM_DEBT: max mean sum
-    AMT_CREDIT_SUM_LIMIT: max mean sum
-    AMT_CREDIT_SUM_OVERDUE: max mean sum
-    DAYS_CREDIT_UPDATE: min max mean
-    AMT_ANNUITY: max mean
-    BB_MONTHS_BALANCE_MIN: min
-    BB_MONTHS_BALANCE_MAX: max
-    BB_MONTHS_BALANCE_SIZE: mean sum
-"""
+BALANCE_SPEC = {
+    "MONTHS_BALANCE": ["min", "max", "size"],
+}
+
+BUREAU_SPEC = {
+    "DAYS_CREDIT": ["min", "max", "mean", "var"],
+    "CREDIT_DAY_OVERDUE": ["max", "mean"],
+    "DAYS_CREDIT_ENDDATE": ["min", "max", "mean"],
+    "DAYS_ENDDATE_FACT": ["min", "max", "mean"],
+    "AMT_CREDIT_MAX_OVERDUE": ["max", "mean"],
+    "CNT_CREDIT_PROLONG": ["sum", "mean"],
+    "AMT_CREDIT_SUM": ["max", "mean", "sum"],
+    "AMT_CREDIT_SUM_DEBT": ["max", "mean", "sum"],
+    "AMT_CREDIT_SUM_LIMIT": ["max", "mean", "sum"],
+    "AMT_CREDIT_SUM_OVERDUE": ["max", "mean", "sum"],
+    "DAYS_CREDIT_UPDATE": ["min", "max", "mean"],
+    "AMT_ANNUITY": ["max", "mean"],
+    "BB_MONTHS_BALANCE_MIN": ["min"],
+    "BB_MONTHS_BALANCE_MAX": ["max"],
+    "BB_MONTHS_BALANCE_SIZE": ["mean", "sum"],
+}
 BUREAU_SUBSETS = [
-    Subset("ACTIVE", "CREDIT_ACTIVE", "Active", """
-        AMT_CREDIT_SUM: sum mean
-        AMT_CREDIT_SUM_DEBT: sum mean
-        AMT_CREDIT_SUM_OVERDUE: sum mean
-        AMT_ANNUITY: mean max
-    """),
-    Subset("CLOSED", "CREDIT_ACTIVE", "Closed", """
-        AMT_CREDIT_SUM: sum mean
-        DAYS_ENDDATE_FACT: max mean
-    """),
+    Subset("ACTIVE", "CREDIT_ACTIVE", "Active", {
+        "AMT_CREDIT_SUM": ["sum", "mean"],
+        "AMT_CREDIT_SUM_DEBT": ["sum", "mean"],
+        "AMT_CREDIT_SUM_OVERDUE": ["sum", "mean"],
+        "AMT_ANNUITY": ["mean", "max"],
+    }),
+    Subset("CLOSED", "CREDIT_ACTIVE", "Closed", {
+        "AMT_CREDIT_SUM": ["sum", "mean"],
+        "DAYS_ENDDATE_FACT": ["max", "mean"],
+    }),
 ]
 
-PREVIOUS_SPEC = """
-    AMT_ANNUITY: min max mean
-    AMT_APPLICATION: min max mean
-    AMT_CREDIT: min max mean
-    APP_CREDIT_RATIO: min max mean var
-    AMT_DOWN_PAYMENT: min max mean
-    AMT_GOODS_PRICE: min max mean
-    HOUR_APPR_PROCESS_START: min max mean
-    RATE_DOWN_PAYMENT: min max mean
-    DAYS_DECISION: min max mean
-    CNT_PAYMENT: max mean sum
-    DAYS_FIRST_DUE: min max mean
-    DAYS_LAST_DUE_1ST_VERSION: min max mean
-    DAYS_LAST_DUE: min max mean
-    DAYS_TERMINATION: min max mean
-"""
+PREVIOUS_SPEC = {
+    "AMT_ANNUITY": ["min", "max", "mean"],
+    "AMT_APPLICATION": ["min", "max", "mean"],
+    "AMT_CREDIT": ["min", "max", "mean"],
+    "APP_CREDIT_RATIO": ["min", "max", "mean", "var"],
+    "AMT_DOWN_PAYMENT": ["min", "max", "mean"],
+    "AMT_GOODS_PRICE": ["min", "max", "mean"],
+    "HOUR_APPR_PROCESS_START": ["min", "max", "mean"],
+    "RATE_DOWN_PAYMENT": ["min", "max", "mean"],
+    "DAYS_DECISION": ["min", "max", "mean"],
+    "CNT_PAYMENT": ["max", "mean", "sum"],
+    "DAYS_FIRST_DUE": ["min", "max", "mean"],
+    "DAYS_LAST_DUE_1ST_VERSION": ["min", "max", "mean"],
+    "DAYS_LAST_DUE": ["min", "max", "mean"],
+    "DAYS_TERMINATION": ["min", "max", "mean"],
+}
 PREVIOUS_SUBSETS = [
-    Subset("APPROVED", "NAME_CONTRACT_STATUS", "Approved", """
-        AMT_CREDIT: max mean
-        AMT_ANNUITY: max mean
-        CNT_PAYMENT: mean sum
-    """),
-    Subset("REFUSED", "NAME_CONTRACT_STATUS", "Refused", """
-        AMT_APPLICATION: max mean
-        AMT_CREDIT: max mean
-    """),
+    Subset("APPROVED", "NAME_CONTRACT_STATUS", "Approved", {
+        "AMT_CREDIT": ["max", "mean"],
+        "AMT_ANNUITY": ["max", "mean"],
+        "CNT_PAYMENT": ["mean", "sum"],
+    }),
+    Subset("REFUSED", "NAME_CONTRACT_STATUS", "Refused", {
+        "AMT_APPLICATION": ["max", "mean"],
+        "AMT_CREDIT": ["max", "mean"],
+    }),
 ]
 
-POS_SPEC = """
-    MONTHS_BALANCE: max mean size
-    CNT_INSTALMENT: mean sum
-    CNT_INSTALMENT_FUTURE: mean sum
-    SK_DPD: max mean
-    SK_DPD_DEF: max mean
-"""
-
-INSTALMENT_SPEC = """
-    NUM_INSTALMENT_VERSION: nunique
-    DPD: max mean sum
-    DBD: max mean sum
-    PAYMENT_RATIO: min max mean var
-    PAYMENT_DIFF: min max mean sum
-    AMT_INSTALMENT: min max mean sum
-    AMT_PAYMENT: min max mean sum
-    DAYS_ENTRY_PAYMENT: min max mean
-    DAYS_INSTALMENT: min max mean
-"""
-
-CARD_SPEC = """
-    MONTHS_BALANCE: min max mean size
-    AMT_BALANCE: min max mean sum
-    AMT_CREDIT_LIMIT_ACTUAL: max mean
-    AMT_DRAWINGS_ATM_CURRENT: max mean sum
-    AMT_DRAWINGS_CURRENT: max mean sum
-    AMT_DRAWINGS_OTHER_CURRENT: max mean sum
-    AMT_DRAWINGS_POS_CURRENT: max mean sum
-    AMT_INST_MIN_REGULARITY: max mean
-    AMT_PAYMENT_CURRENT: max mean sum
-    AMT_PAYMENT_TOTAL_CURRENT: max mean sum
-    AMT_RECEIVABLE_PRINCIPAL: max mean sum
-    AMT_RECIVABLE: max mean sum
-    AMT_TOTAL_RECEIVABLE: max mean sum
-    CNT_DRAWINGS_ATM_CURRENT: max mean sum
-    CNT_DRAWINGS_CURRENT: max mean sum
-    CNT_DRAWINGS_OTHER_CURRENT: max mean sum
-    CNT_DRAWINGS_POS_CURRENT: max mean sum
-    CNT_INSTALMENT_MATURE_CUM: max mean sum
-    SK_DPD: max mean
-    SK_DPD_DEF: max mean
-"""
+POS_SPEC = {
+    "MONTHS_BALANCE": ["max", "mean", "size"],
+    "CNT_INSTALMENT": ["mean", "sum"],
+    "CNT_INSTALMENT_FUTURE": ["mean", "sum"],
+    "SK_DPD": ["max", "mean"],
+    "SK_DPD_DEF": ["max", "mean"],
+}
+
+INSTALMENT_SPEC = {
+    "NUM_INSTALMENT_VERSION": ["nunique"],
+    "DPD": ["max", "mean", "sum"],
+    "DBD": ["max", "mean", "sum"],
+    "PAYMENT_RATIO": ["min", "max", "mean", "var"],
+    "PAYMENT_DIFF": ["min", "max", "mean", "sum"],
+    "AMT_INSTALMENT": ["min", "max", "mean", "sum"],
+    "AMT_PAYMENT": ["min", "max", "mean", "sum"],
+    "DAYS_ENTRY_PAYMENT": ["min", "max", "mean"],
+    "DAYS_INSTALMENT": ["min", "max", "mean"],
+}
+
+CARD_SPEC = {
+    "MONTHS_BALANCE": ["min", "max", "mean", "size"],
+    "AMT_BALANCE": ["min", "max", "mean", "sum"],
+    "AMT_CREDIT_LIMIT_ACTUAL": ["max", "mean"],
+    "AMT_DRAWINGS_ATM_CURRENT": ["max", "mean", "sum"],
+    "AMT_DRAWINGS_CURRENT": ["max", "mean", "sum"],
+    "AMT_DRAWINGS_OTHER_CURRENT": ["max", "mean", "sum"],
+    "AMT_DRAWINGS_POS_CURRENT": ["max", "mean", "sum"],
+    "AMT_INST_MIN_REGULARITY": ["max", "mean"],
+    "AMT_PAYMENT_CURRENT": ["max", "mean", "sum"],
+    "AMT_PAYMENT_TOTAL_CURRENT": ["max", "mean", "sum"],
+    "AMT_RECEIVABLE_PRINCIPAL": ["max", "mean", "sum"],
+    "AMT_RECIVABLE": ["max", "mean", "sum"],
+    "AMT_TOTAL_RECEIVABLE": ["max", "mean", "sum"],
+    "CNT_DRAWINGS_ATM_CURRENT": ["max", "mean", "sum"],
+    "CNT_DRAWINGS_CURRENT": ["max", "mean", "sum"],
+    "CNT_DRAWINGS_OTHER_CURRENT": ["max", "mean", "sum"],
+    "CNT_DRAWINGS_POS_CURRENT": ["max", "mean", "sum"],
+    "CNT_INSTALMENT_MATURE_CUM": ["max", "mean", "sum"],
+    "SK_DPD": ["max", "mean"],
+    "SK_DPD_DEF": ["max", "mean"],
+}
 # -----------------------------------------------------------------------------------------------
 
 Levels = Mapping[str, Sequence[str]]
 
 
-def _levels(df: DataFrame, levels: Levels | None) -> Levels:
-    return category_levels(df, category_columns(df)) if levels is None else levels
-
-
 def _row_count(name: str):
     return F.count("*").cast("int").alias(name)
 
@@ -134,10 +135,9 @@ def balance_features(balance: DataFrame) -> DataFrame:
 
 
 def bureau_features(bureau: DataFrame, balance: DataFrame, levels: Levels | None = None) -> DataFrame:
-    fitted = _levels(bureau, levels)
     loans = bureau.join(balance_features(balance), "SK_ID_BUREAU", "left")
     return aggregate_by(
-        loans, CLIENT_KEY, prefix="BURO", spec=BUREAU_SPEC, subsets=BUREAU_SUBSETS, levels=fitted,
+        loans, CLIENT_KEY, prefix="BURO", spec=BUREAU_SPEC, subsets=BUREAU_SUBSETS, levels=levels,
         extra=[_row_count("BURO_LOAN_COUNT")],
     )
 
@@ -145,13 +145,13 @@ def bureau_features(bureau: DataFrame, balance: DataFrame, levels: Levels | None
 def previous_features(previous: DataFrame, levels: Levels | None = None) -> DataFrame:
     return aggregate_by(
         clean_previous_applications(previous), CLIENT_KEY, prefix="PREV", spec=PREVIOUS_SPEC,
-        subsets=PREVIOUS_SUBSETS, levels=_levels(previous, levels), extra=[_row_count("PREV_APPLICATION_COUNT")],
+        subsets=PREVIOUS_SUBSETS, levels=levels, extra=[_row_count("PREV_APPLICATION_COUNT")],
     )
 
 
 def pos_features(pos: DataFrame, levels: Levels | None = None) -> DataFrame:
     return aggregate_by(
-        pos, CLIENT_KEY, prefix="POS", spec=POS_SPEC, levels=_levels(pos, levels),
+        pos, CLIENT_KEY, prefix="POS", spec=POS_SPEC, levels=levels,
         extra=[_row_count("POS_CASH_COUNT")],
     )
 
@@ -165,7 +165,7 @@ def instalment_features(instalments: DataFrame) -> DataFrame:
 
 def card_features(cards: DataFrame, levels: Levels | None = None) -> DataFrame:
     return aggregate_by(
-        cards, CLIENT_KEY, prefix="CC", spec=CARD_SPEC, levels=_levels(cards, levels),
+        cards, CLIENT_KEY, prefix="CC", spec=CARD_SPEC, levels=levels,
         extra=[
             _row_count("CREDIT_CARD_LINE_COUNT"),
             F.count_distinct("SK_ID_PREV").cast("int").alias("CREDIT_CARD_PREV_COUNT"),

@@ -18,14 +18,14 @@ from riskloom.operators.ranking import exact_quantiles
 # ---- Fixed values -----------------------------------------------------------------------------
 EMPTY_NUMBER, EMPTY_TEXT = 0.0, "missing"
 BINARY_FLAGS = [
-    *"FLAG_MOBIL FLAG_EMP_PHONE FLAG_WORK_PHONE FLAG_CONT_MOBILE FLAG_PHONE FLAG_EMAIL".split(),
+    "FLAG_MOBIL", "FLAG_EMP_PHONE", "FLAG_WORK_PHONE", "FLAG_CONT_MOBILE", "FLAG_PHONE", "FLAG_EMAIL",
     *[f"FLAG_DOCUMENT_{i}" for i in range(2, 22)],
-    *"""REG_REGION_NOT_LIVE_REGION REG_REGION_NOT_WORK_REGION LIVE_REGION_NOT_WORK_REGION
-        REG_CITY_NOT_LIVE_CITY REG_CITY_NOT_WORK_CITY LIVE_CITY_NOT_WORK_CITY DAYS_EMPLOYED_ANOM""".split(),
+    "REG_REGION_NOT_LIVE_REGION", "REG_REGION_NOT_WORK_REGION", "LIVE_REGION_NOT_WORK_REGION",
+    "REG_CITY_NOT_LIVE_CITY", "REG_CITY_NOT_WORK_CITY", "LIVE_CITY_NOT_WORK_CITY", "DAYS_EMPLOYED_ANOM",
+]
+UNIT_INTERVALS = [
+    "EXT_SOURCE_1", "EXT_SOURCE_2", "EXT_SOURCE_3", "EXT_SOURCES_MEAN", "EXT_SOURCES_MIN", "EXT_SOURCES_MAX",
 ]
-UNIT_INTERVALS = """
-    EXT_SOURCE_1 EXT_SOURCE_2 EXT_SOURCE_3 EXT_SOURCES_MEAN EXT_SOURCES_MIN EXT_SOURCES_MAX
-""".split()
 # -----------------------------------------------------------------------------------------------
 
 

@@ -23,21 +23,33 @@ RESULT_SCHEMA = """
     holdout_ks_statistic DOUBLE,
     true_negatives BIGINT, false_positives BIGINT, false_negatives BIGINT, true_positives BIGINT
 """
-IDENTITY = "selected_as_best model base_model sampling"
-CV_VIEW = f"""{IDENTITY} threshold cv_business_cost cv_roc_auc cv_average_precision cv_accuracy
-    cv_balanced_accuracy oof_roc_auc oof_average_precision oof_precision oof_recall oof_f1 oof_accuracy
-    oof_balanced_accuracy best_params run_id""".split()
-HOLDOUT_VIEW = f"""{IDENTITY} threshold holdout_business_cost holdout_business_score holdout_roc_auc
-    holdout_average_precision holdout_accuracy holdout_balanced_accuracy holdout_precision holdout_recall
-    holdout_f1 holdout_brier_score holdout_ks_statistic true_negatives false_positives false_negatives
-    true_positives best_params run_id""".split()
-THRESHOLD_VIEW = f"""{IDENTITY} selection_basis threshold holdout_business_cost holdout_business_score
-    holdout_precision holdout_recall holdout_f1 true_negatives false_positives false_negatives
-    true_positives run_id""".split()
-PERFORMANCE_VIEW = """rank selected_as_best model base_model sampling family estimator_class strategie_seuil
-    threshold precision_1 recall_1 f1_1 f2_1 prc_auc train_precision_1 train_recall_1 train_f1_1 train_f2_1
-    train_prc_auc holdout_business_cost holdout_business_score cv_business_cost cv_roc_auc
-    cv_average_precision tn fp fn tp best_params run_id""".split()
+IDENTITY = ["selected_as_best", "model", "base_model", "sampling"]
+CV_VIEW = [
+    *IDENTITY,
+    "threshold", "cv_business_cost", "cv_roc_auc", "cv_average_precision", "cv_accuracy",
+    "cv_balanced_accuracy", "oof_roc_auc", "oof_average_precision", "oof_precision", "oof_recall", "oof_f1",
+    "oof_accuracy", "oof_balanced_accuracy", "best_params", "run_id",
+]
+HOLDOUT_VIEW = [
+    *IDENTITY,
+    "threshold", "holdout_business_cost", "holdout_business_score", "holdout_roc_auc",
+    "holdout_average_precision", "holdout_accuracy", "holdout_balanced_accuracy", "holdout_precision",
+    "holdout_recall", "holdout_f1", "holdout_brier_score", "holdout_ks_statistic", "true_negatives",
+    "false_positives", "false_negatives", "true_positives", "best_params", "run_id",
+]
+THRESHOLD_VIEW = [
+    *IDENTITY,
+    "selection_basis", "threshold", "holdout_business_cost", "holdout_business_score", "holdout_precision",
+    "holdout_recall", "holdout_f1", "true_negatives", "false_positives", "false_negatives", "true_positives",
+    "run_id",
+]
+PERFORMANCE_VIEW = [
+    "rank", "selected_as_best", "model", "base_model", "sampling", "family", "estimator_class",
+    "strategie_seuil", "threshold", "precision_1", "recall_1", "f1_1", "f2_1", "prc_auc", "train_precision_1",
+    "train_recall_1", "train_f1_1", "train_f2_1", "train_prc_auc", "holdout_business_cost",
+    "holdout_business_score", "cv_business_cost", "cv_roc_auc", "cv_average_precision", "tn", "fp", "fn", "tp",
+    "best_params", "run_id",
+]
 SELECTION_BASIS = "out_of_fold_business_cost_minimization"
 # -----------------------------------------------------------------------------------------------
 

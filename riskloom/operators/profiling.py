@@ -54,6 +54,11 @@ def missingness_report(df: DataFrame, *, with_coverage: bool = False) -> DataFra
     return report.filter(F.col("missing_ratio") > 0).orderBy(F.desc("missing_ratio"), "column")
 
 
+def most_missing(df: DataFrame, n: int) -> DataFrame:
+    """The ``n`` most incomplete columns of the missingness report."""
+    return missingness_report(df).orderBy(F.desc("missing_ratio"), "column").limit(n)
+
+
 def schema_summary(df: DataFrame) -> DataFrame:
     types = dict(df.dtypes)
     kinds = F.create_map(*[F.lit(x) for c in df.columns for x in (c, types[c])])
@@ -177,7 +182,8 @@ def raw_overview(
         path = f"{folder.rstrip('/')}/{table}"
         header = header_of(spark, path, (encodings or {}).get(table, "UTF-8"))
         keys = [k for k in RAW_TABLE_KEYS.get(table, []) if k in header]
-        scanned = scan_raw(spark, folder, table, keys) if keys else _scan_text(spark, path, header, encodings, table)
+        encoding = (encodings or {}).get(table, "UTF-8")
+        scanned = scan_raw(spark, folder, table, keys, encoding) if keys else _scan_text(spark, path, header, encodings, table)
         stats = [F.lit(table).alias("table_name"), F.count("*").alias("rows"), F.lit(len(header)).alias("columns")]
         for key in keys:
             distinct = F.count_distinct(F.col(key)) + F.coalesce(F.max(F.col(key).isNull().cast("int")), F.lit(0))

@@ -24,13 +24,13 @@ from pyspark.sql import functions as F
 from riskloom.functions import bucket_index
 from riskloom.functions.columns import ColumnLike
 
-MIN_BUCKETS, MAX_BUCKETS = 64, 8_192
+MIN_BUCKETS = 64
 
 
 def bucket_count(df: DataFrame) -> int:
-    """Buckets per group: twice the session's shuffle partitions, within fixed limits."""
+    """Buckets per group: twice the session's shuffle partitions, which are set by the size of the data."""
     partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return max(MIN_BUCKETS, min(MAX_BUCKETS, 2 * partitions))
+    return max(MIN_BUCKETS, 2 * partitions)
 
 
 def match_keys(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
@@ -93,7 +93,14 @@ def running_totals(
         F.expr(f"array_distinct(percentile_approx(__seen, array({cuts}), {buckets * 8}))").alias("__cuts")
     )
     counts = counts.drop("__seen")
-    laid_out = counts.join(layout, "__k") if keys else attach(counts, layout, [])
+    if keys:
+        # A group's rows are met by its cuts in several salted places, so no task holds all values of one group.
+        salts = max(1, buckets // 8)
+        spread = layout.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+        salted = counts.withColumn("__salt", F.pmod(F.hash(value), F.lit(salts)))
+        laid_out = salted.join(spread, ["__k", "__salt"]).drop("__salt")
+    else:
+        laid_out = attach(counts, layout, [])
     placed = laid_out.withColumn("__bucket", bucket_index("__cuts", value, max_splits=buckets - 1)).drop("__cuts")
     slot = [*group, "__bucket"]
 
@@ -178,16 +185,22 @@ def exact_quantiles(
     return hits.select(*keys, *[quantile_at("__hits", i).alias(name) for i, name in enumerate(quantiles)])
 
 
+def _hash_slice(column: str, slices: int) -> Column:
+    """Slice of a 64-bit hash, in the order of the hash's top 32 bits."""
+    return F.floor((F.shiftright(column, 32) + F.lit(1 << 31)) * F.lit(slices) / F.lit(1 << 32)).cast("int")
+
+
 def hashed_rank(
-    df: DataFrame, *, keys: Sequence[str], ids: Sequence[str], seed: int, rank: str = "rank", buckets: int = 1024
+    df: DataFrame, *, keys: Sequence[str], ids: Sequence[str], seed: int, rank: str = "rank", buckets: int | None = None
 ) -> DataFrame:
     """1-based rank of every row in its group, in hashed-id order.
 
     Hash values are uniform, so equal slices of the hash range are balanced even when one group holds
     most rows; each slice is ranked alone and shifted by the row count of the lower slices.
     """
+    buckets = buckets or bucket_count(df)
     ordered = df.select("*", *_group(keys), F.xxhash64(*ids, F.lit(seed)).alias("__hash"))
-    ordered = ordered.withColumn("__slice", F.pmod(F.shiftright("__hash", 40), F.lit(buckets)))
+    ordered = ordered.withColumn("__slice", _hash_slice("__hash", buckets))
     group = ["__k"] if keys else []
     slot = [*group, "__slice"]
     lower = Window.partitionBy(*group).orderBy("__slice").rowsBetween(Window.unboundedPreceding, -1)

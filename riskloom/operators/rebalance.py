@@ -18,6 +18,7 @@ from riskloom.session import materialize
 from riskloom.settings import RebalanceSettings
 
 STRATEGIES = ("baseline", "smote", "borderline_smote", "adasyn", "smote_under")
+DRAWS_AT_ONCE = 10_000
 BORDERLINE_NEIGHBORHOOD = 10  # fixed value: neighbours inspected to find the border
 
 
@@ -156,8 +157,14 @@ def adasyn(
     )
     weight = safe_ratio("others", "found")
     total = share.agg(F.sum(weight)).scalar()
-    planned = share.withColumn("made", F.rint(safe_ratio(weight, total) * F.lit(need)).cast("int"))
-    choices = planned.filter("made > 0").select("id", F.explode(F.sequence(F.lit(1), F.col("made"))).alias("draw"))
+    planned = share.withColumn("made", F.rint(safe_ratio(weight, total) * F.lit(need)).cast("bigint"))
+    # a base row with many draws becomes ranges of draws on different tasks before the draws themselves
+    ranges = planned.filter("made > 0").select(
+        "id", "made", F.explode(F.sequence(F.lit(0), F.floor((F.col("made") - 1) / DRAWS_AT_ONCE))).alias("range")
+    ).repartition("id", "range")
+    first = F.col("range") * DRAWS_AT_ONCE + 1
+    last = F.least(F.col("made").cast("bigint"), (F.col("range") + 1) * DRAWS_AT_ONCE)
+    choices = ranges.select("id", F.explode(F.sequence(first, last)).alias("draw"))
     partners = materialize(
         _minority_partners(base, label, minority, id_column=id_column, vector=vector, k=settings.neighbors, seed=seed),
         "adasyn-neighbors",
@@ -175,6 +182,8 @@ def rebalance(
     """Apply one named strategy to a training table (never to the rows it is evaluated on)."""
     if strategy not in STRATEGIES:
         raise ValueError(f"Unsupported sampling strategy: {strategy}")
+    # synthetic values may be NULL to the type checker, so the vectors' elements must be allowed to be
+    df = df.withColumn(vector, F.col(vector).cast("array<double>"))
     shared = dict(id_column=id_column, vector=vector, label=label, minority=minority, settings=settings, seed=seed)
     if strategy == "baseline":
         return _with_flag(df.select(id_column, vector, label), False)

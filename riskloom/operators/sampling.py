@@ -17,12 +17,17 @@ from pyspark.sql import functions as F
 from riskloom.functions import hash_order, safe_ratio
 
 ROWS_PER_SLICE = 250_000
-MAX_SLICES = 16_384
+MAX_CLASSES = 10_000
+BROADCAST_ROWS = 200_000
 
 
 def class_counts(df: DataFrame, label: str) -> dict[object, int]:
-    """Rows per class, on the driver (one entry per class)."""
-    return {r[label]: r["n"] for r in df.groupBy(label).agg(F.count("*").alias("n")).collect()}
+    """Rows per class, on the driver (one entry per class). A label with more classes than MAX_CLASSES is an id or a
+    measurement, not a label, and is refused."""
+    rows = df.groupBy(label).agg(F.count("*").alias("n")).limit(MAX_CLASSES + 1).collect()
+    if len(rows) > MAX_CLASSES:
+        raise ValueError(f"{label} has more than {MAX_CLASSES} classes")
+    return {r[label]: r["n"] for r in rows}
 
 
 def proportional_quotas(counts: Mapping[object, int], size: int) -> dict[object, int]:
@@ -59,13 +64,13 @@ def partition_by_rank(
     seed: int,
     part: str = "part",
     total: int | None = None,
+    slice_bits: int | None = None,
 ) -> DataFrame:
     """Number of class boundaries below each row's 1-based rank in hashed-id order."""
     rows = total or max(1, sum(class_counts(df, label).values()))
-    slices = max(16, min(MAX_SLICES, rows // ROWS_PER_SLICE))
-    hashed = df.withColumn("__h", hash_order(*ids, seed=seed)).withColumn(
-        "__s", F.pmod(F.shiftright("__h", 32), F.lit(slices))
-    )
+    # Slices are the top bits of the hash, so the order is the order of the hashes however many slices there are.
+    bits = slice_bits or max(4, (rows // ROWS_PER_SLICE).bit_length())
+    hashed = df.withColumn("__h", hash_order(*ids, seed=seed)).withColumn("__s", F.shiftright("__h", 64 - bits))
     bounds = _cut_table(cuts, F.col("__c"))
     lower = Window.partitionBy("__c").orderBy("__t").rowsBetween(Window.unboundedPreceding, -1)
     intervals = (
@@ -80,9 +85,10 @@ def partition_by_rank(
         )
         .drop("__n")
     )
-    # At most classes x MAX_SLICES rows, so it always fits a broadcast.
+    # One row per class and slice of 250,000 rows; broadcast where that is provably small, else joined on the slice.
     same = F.col(label).eqNullSafe(F.col("__c")) & (F.col("__s") == F.col("__t"))
-    placed = hashed.join(F.broadcast(intervals), same)
+    small = len(cuts) << bits <= BROADCAST_ROWS
+    placed = hashed.join(F.broadcast(intervals) if small else intervals, same)
     settled = placed.filter("__first = __last").withColumn(part, F.col("__first"))
     inside = Window.partitionBy("__c", "__t").orderBy("__h", *ids)
     ranked = placed.filter("__first <> __last").withColumn("__r", F.row_number().over(inside) + F.col("__before"))
@@ -133,7 +139,13 @@ def stratified_folds(
 
 
 def random_sample(df: DataFrame, n: int, *, ids: Sequence[str], seed: int = 42) -> DataFrame:
-    return df.orderBy(hash_order(*ids, seed=seed), *ids).limit(n)
+    """The ``n`` rows whose hashed ids come first; any ``n``, as no task holds more than a slice."""
+    total = df.count()
+    if n >= total:
+        return df
+    whole = df.withColumn("__all", F.lit(0))
+    parted = partition_by_rank(whole, label="__all", ids=ids, cuts={0: [n]}, seed=seed, part="__part", total=total)
+    return parted.filter("__part = 0").drop("__part", "__all")
 
 
 def undersample(

@@ -56,15 +56,18 @@ def _weight_args(weighted: bool) -> dict:
 def _logistic(params: Mapping, shape: TrainingShape, seed: int) -> Estimator:
     # The penalty strength is given as its inverse, relative to the summed loss.
     return LogisticRegression(
-        maxIter=int(params.get("max_iter", 100)), standardization=False,
+        maxIter=int(params.get("max_iter", 4000)), standardization=False,
         regParam=1.0 / (params["C"] * shape.rows), elasticNetParam=1.0 if params["penalty"] == "l1" else 0.0,
         **_weight_args(params.get("weighted", False)),
     )
 
 
+DEEPEST_TREE = 30  # the library's own ceiling: trees "without limit" end there
+
+
 def _forest(params: Mapping, shape: TrainingShape, seed: int) -> Estimator:
     return RandomForestClassifier(
-        numTrees=params["n_estimators"], maxDepth=params["max_depth"] or 30, seed=seed,
+        numTrees=params["n_estimators"], maxDepth=params["max_depth"] or DEEPEST_TREE, seed=seed,
         minInstancesPerNode=params["min_samples_leaf"], **_weight_args(params.get("weighted", False)),
     )
 

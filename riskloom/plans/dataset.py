@@ -7,8 +7,9 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
+from riskloom.operators.aggregates import category_levels
 from riskloom.operators.association import feature_target_associations, signed_associations
-from riskloom.operators.cleaning import clean_applications, split_by_label, union_train_test
+from riskloom.operators.cleaning import category_columns, clean_applications, split_by_label, union_train_test
 from riskloom.operators.features import (
     bureau_features,
     card_features,
@@ -66,13 +67,23 @@ def client_features(
     return join_features(clean_applications(applications), frames), frames
 
 
+def fitted_levels(tables: Mapping[str, DataFrame]) -> dict[str, dict[str, list[str]]]:
+    """Category levels of the child tables whose shares become columns; each list as long as its columns."""
+    sources = {
+        "bureau": "bureau.csv", "previous_application": "previous_application.csv", "pos_cash": "POS_CASH_balance.csv",
+        "credit_card": "credit_card_balance.csv",
+    }
+    return {name: category_levels(tables[t], category_columns(tables[t])) for name, t in sources.items()}
+
+
 def build_dataset(spark: SparkSession, folder: str, settings: DatasetSettings = DatasetSettings()) -> ClientDataset:
     loaded = {t: load_raw(spark, folder, t) for t in ["application_train.csv", "application_test.csv", *CHILD_TABLES]}
     tables = {name: df for name, (df, _) in loaded.items()}
     applications = union_train_test(
         tables["application_train.csv"], tables["application_test.csv"], target=settings.target
     )
-    joined, frames = client_features(applications, {t: tables[t] for t in CHILD_TABLES})
+    fitted = fitted_levels(tables)
+    joined, frames = client_features(applications, {t: tables[t] for t in CHILD_TABLES}, fitted)
     wide = materialize(joined, "client-features")
     kept, dropped = drop_constant_columns(wide, excluded=[settings.id_column, settings.target])
     train, test = split_by_label(kept, target=settings.target)

@@ -8,15 +8,15 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riskloom.functions import capitalize_label, f_beta, slugify
 from riskloom.functions.payload import flatten_json, payload_object
 from riskloom.operators import association, drift, fairness, oplogs, profiling, sampling, scorecurve
-from riskloom.operators.aggregates import Subset, aggregate_by, category_levels
-from riskloom.operators.cleaning import clean_applications, split_by_label, union_train_test
+from riskloom.operators.aggregates import Subset, aggregate_by, category_levels, share_rows
+from riskloom.operators.cleaning import category_columns, clean_applications, split_by_label, union_train_test
 from riskloom.operators.decisions import decide
 from riskloom.operators.explain import extreme_clients
 from riskloom.operators.features import (
@@ -75,18 +75,22 @@ def tidy(df: DataFrame, digits: int = 6) -> DataFrame:
 
 # ---- features ---------------------------------------------------------------------------------
 
-ORDER_SPEC = """
-    O_TOTAL_CENTS: min max mean sum
-    LI_L_QUANTITY_SUM: max mean sum
-    LI_L_LINENUMBER_MAX: max mean
-"""
-LINE_SPEC = """
-    L_QUANTITY: sum mean
-    L_LINENUMBER: max size
-"""
+ORDER_SPEC = {
+    "O_TOTAL_CENTS": ["min", "max", "mean", "sum"],
+    "LI_L_QUANTITY_SUM": ["max", "mean", "sum"],
+    "LI_L_LINENUMBER_MAX": ["max", "mean"],
+}
+LINE_SPEC = {
+    "L_QUANTITY": ["sum", "mean"],
+    "L_LINENUMBER": ["max", "size"],
+}
 ORDER_SUBSETS = [
-    Subset("OPEN", "o_orderstatus", "O", "O_TOTAL_CENTS: sum mean"),
-    Subset("FINISHED", "o_orderstatus", "F", "O_TOTAL_CENTS: sum max mean"),
+    Subset("OPEN", "o_orderstatus", "O", {
+        "O_TOTAL_CENTS": ["sum", "mean"],
+    }),
+    Subset("FINISHED", "o_orderstatus", "F", {
+        "O_TOTAL_CENTS": ["sum", "max", "mean"],
+    }),
 ]
 
 
@@ -121,19 +125,31 @@ def onehot_share(spark: SparkSession, sf: str) -> DataFrame:
     return aggregate_by(orders, "o_custkey", prefix="ORD", levels=levels)
 
 
+def _levels(df: DataFrame) -> dict[str, list[str]]:
+    return category_levels(df, category_columns(df))
+
+
+@query
+def share_rows_long(spark: SparkSession, sf: str) -> DataFrame:
+    return tidy(share_rows(table(spark, sf, "orders"), "o_custkey", ["o_orderstatus", "o_orderpriority"]))
+
+
 @query
 def bureau_feature_table(spark: SparkSession, sf: str) -> DataFrame:
-    return tidy(bureau_features(view(spark, sf, views.BUREAU), view(spark, sf, views.BUREAU_BALANCE)), 4)
+    loans = view(spark, sf, views.BUREAU)
+    return tidy(bureau_features(loans, view(spark, sf, views.BUREAU_BALANCE), _levels(loans)), 4)
 
 
 @query
 def previous_feature_table(spark: SparkSession, sf: str) -> DataFrame:
-    return tidy(previous_features(view(spark, sf, views.PREVIOUS)), 5)
+    rows = view(spark, sf, views.PREVIOUS)
+    return tidy(previous_features(rows, _levels(rows)), 5)
 
 
 @query
 def pos_feature_table(spark: SparkSession, sf: str) -> DataFrame:
-    return tidy(pos_features(view(spark, sf, views.POS)), 5)
+    rows = view(spark, sf, views.POS)
+    return tidy(pos_features(rows, _levels(rows)), 5)
 
 
 @query
@@ -143,7 +159,8 @@ def instalment_feature_table(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def card_feature_table(spark: SparkSession, sf: str) -> DataFrame:
-    return tidy(card_features(view(spark, sf, views.CARDS)), 5)
+    rows = view(spark, sf, views.CARDS)
+    return tidy(card_features(rows, _levels(rows)), 5)
 
 
 @query
@@ -225,7 +242,9 @@ def raw_file_overview(spark: SparkSession, sf: str) -> DataFrame:
     for name, text in {"bureau.csv": views.BUREAU, "bureau_balance.csv": views.BUREAU_BALANCE}.items():
         write_table(view(spark, sf, text), f"{folder}/{name}")
     overview = profiling.raw_overview(spark, folder, ["bureau.csv", "bureau_balance.csv"])
-    return overview.drop("file_size_mb")
+    parts = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder).agg(F.sum("length")).first()[0]
+    whole = F.abs(F.sum("file_size_mb").over(Window.partitionBy()) - parts / 1024 / 1024) < 0.02
+    return overview.withColumn("size_is_whole", (F.col("file_size_mb") > 0) & whole).drop("file_size_mb")
 
 
 @query
@@ -245,8 +264,12 @@ def json_lines_sink(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def file_sizes(spark: SparkSession, sf: str) -> DataFrame:
-    """Inventory of the given files; sizes come from file metadata."""
-    return file_inventory(spark, f"{sf.rstrip('/')}/*.parquet")
+    """Inventory of a copy of the small tables in several part files; sizes come from file metadata."""
+    folder = scratch_path(spark, "sizes")
+    for name in ("region", "nation", "customer"):
+        write_table(table(spark, sf, name).repartition(3), f"{folder}/{name}.parquet")
+    sizes = file_inventory(spark, f"{folder}/*.parquet")
+    return sizes.select("table_name", (F.col("file_size_mb") >= 0).alias("has_size"))
 
 
 def _calls(spark: SparkSession, sf: str) -> DataFrame:
@@ -589,10 +612,18 @@ def json_key_values(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def payload_kinds(spark: SparkSession, sf: str) -> DataFrame:
-    """Document text as a payload cell: hardly any is JSON, so nearly all become NULL."""
-    texts = table(spark, sf, "documents").select("doc_id", payload_object("text").alias("payload"))
-    numbers = table(spark, sf, "documents").select("doc_id", payload_object(F.col("n_chars").cast("string")).alias("payload"))
-    return texts.filter("payload IS NULL").select("doc_id", "payload").unionByName(numbers)
+    """All documents' texts, an object and a number per document as payload cells."""
+    docs = table(spark, sf, "documents")
+    cells = {
+        "text": F.col("text"), "object": F.to_json(F.struct("n_chars", "lang")), "number": F.col("n_chars").cast("string"),
+    }
+    parts = [docs.select("doc_id", F.lit(kind).alias("kind"), payload_object(cell).alias("payload")) for kind, cell in cells.items()]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+@query
+def most_missing_columns(spark: SparkSession, sf: str) -> DataFrame:
+    return tidy(profiling.most_missing(view(spark, sf, views.PREVIOUS), 5).select("column", "missing_ratio", "missing_count"))
 
 
 @query

@@ -142,17 +142,17 @@ def _calls(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def stream_kpis(spark: SparkSession, sf: str) -> DataFrame:
-    """Hourly KPIs per path from a finished stream; windows the watermark has closed."""
+    """Hourly KPIs per path of all windows of a finished stream, open ones too."""
     root = scratch_path(spark, "kpis")
-    _finish(monitoring.start_kpis(_calls(spark, sf), path=f"{root}/out", checkpoint=f"{root}/checkpoint"))
-    return tidy(spark.read.parquet(f"{root}/out").drop("batch_id"))
+    _finish(monitoring.start_window_counts(_calls(spark, sf), path=f"{root}/out", checkpoint=f"{root}/checkpoint"))
+    return tidy(monitoring.current_kpis(spark, f"{root}/out"))
 
 
 @query
 def stream_counts(spark: SparkSession, sf: str) -> DataFrame:
     root = scratch_path(spark, "counts")
     _finish(monitoring.start_counts(_calls(spark, sf), "status_code", path=f"{root}/out", checkpoint=f"{root}/checkpoint"))
-    return spark.read.parquet(f"{root}/out")
+    return monitoring.latest_counts(spark, f"{root}/out")
 
 
 @query

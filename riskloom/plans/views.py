@@ -3,10 +3,10 @@
 ``{name}`` stands for a table. Amounts are whole numbers so that sums are exact in any order.
 """
 
-TABLES = (
-    "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels "
-    "conversations"
-).split()
+TABLES = [
+    "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings",
+    "pages", "benchmark", "labels", "conversations",
+]
 
 
 def _gap(expression: str, key: str, step: int) -> str:
@@ -37,8 +37,9 @@ FROM {{orders}}
 """
 
 BUREAU_BALANCE = """
-SELECT l_orderkey AS SK_ID_BUREAU, CAST(-l_linenumber AS DOUBLE) AS MONTHS_BALANCE, l_returnflag AS STATUS
-FROM {lineitem} WHERE l_orderkey % 9 <> 0
+SELECT CASE WHEN l_orderkey % 9 = 0 THEN -l_orderkey ELSE l_orderkey END AS SK_ID_BUREAU,
+       CAST(-l_linenumber AS DOUBLE) AS MONTHS_BALANCE, l_returnflag AS STATUS
+FROM {lineitem}
 """
 
 PREVIOUS = f"""

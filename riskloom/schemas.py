@@ -17,21 +17,23 @@ RAW_TABLE_KEYS = {
 }
 
 RAW_CATEGORICAL = {
-    "application": """
-        NAME_CONTRACT_TYPE CODE_GENDER FLAG_OWN_CAR FLAG_OWN_REALTY NAME_TYPE_SUITE NAME_INCOME_TYPE
-        NAME_EDUCATION_TYPE NAME_FAMILY_STATUS NAME_HOUSING_TYPE OCCUPATION_TYPE
-        WEEKDAY_APPR_PROCESS_START ORGANIZATION_TYPE FONDKAPREMONT_MODE HOUSETYPE_MODE
-        WALLSMATERIAL_MODE EMERGENCYSTATE_MODE""",
-    "bureau": "CREDIT_ACTIVE CREDIT_CURRENCY CREDIT_TYPE",
-    "bureau_balance": "STATUS",
-    "previous_application": """
-        NAME_CONTRACT_TYPE WEEKDAY_APPR_PROCESS_START FLAG_LAST_APPL_PER_CONTRACT
-        NAME_CASH_LOAN_PURPOSE NAME_CONTRACT_STATUS NAME_PAYMENT_TYPE CODE_REJECT_REASON
-        NAME_TYPE_SUITE NAME_CLIENT_TYPE NAME_GOODS_CATEGORY NAME_PORTFOLIO NAME_PRODUCT_TYPE
-        CHANNEL_TYPE NAME_SELLER_INDUSTRY NAME_YIELD_GROUP PRODUCT_COMBINATION""",
-    "POS_CASH_balance": "NAME_CONTRACT_STATUS",
-    "installments_payments": "",
-    "credit_card_balance": "NAME_CONTRACT_STATUS",
+    "application": [
+        "NAME_CONTRACT_TYPE", "CODE_GENDER", "FLAG_OWN_CAR", "FLAG_OWN_REALTY", "NAME_TYPE_SUITE",
+        "NAME_INCOME_TYPE", "NAME_EDUCATION_TYPE", "NAME_FAMILY_STATUS", "NAME_HOUSING_TYPE",
+        "OCCUPATION_TYPE", "WEEKDAY_APPR_PROCESS_START", "ORGANIZATION_TYPE", "FONDKAPREMONT_MODE",
+        "HOUSETYPE_MODE", "WALLSMATERIAL_MODE", "EMERGENCYSTATE_MODE",
+    ],
+    "bureau": ["CREDIT_ACTIVE", "CREDIT_CURRENCY", "CREDIT_TYPE"],
+    "bureau_balance": ["STATUS"],
+    "previous_application": [
+        "NAME_CONTRACT_TYPE", "WEEKDAY_APPR_PROCESS_START", "FLAG_LAST_APPL_PER_CONTRACT",
+        "NAME_CASH_LOAN_PURPOSE", "NAME_CONTRACT_STATUS", "NAME_PAYMENT_TYPE", "CODE_REJECT_REASON",
+        "NAME_TYPE_SUITE", "NAME_CLIENT_TYPE", "NAME_GOODS_CATEGORY", "NAME_PORTFOLIO", "NAME_PRODUCT_TYPE",
+        "CHANNEL_TYPE", "NAME_SELLER_INDUSTRY", "NAME_YIELD_GROUP", "PRODUCT_COMBINATION",
+    ],
+    "POS_CASH_balance": ["NAME_CONTRACT_STATUS"],
+    "installments_payments": [],
+    "credit_card_balance": ["NAME_CONTRACT_STATUS"],
 }
 
 # Tokens read as a missing cell in delimited text.
@@ -68,7 +70,7 @@ def log_schema(table: str) -> T.StructType:
 def categorical_columns(table: str) -> list[str]:
     stem = table.removesuffix(".csv")
     stem = "application" if stem.startswith("application_") else stem
-    return RAW_CATEGORICAL.get(stem, "").split()
+    return list(RAW_CATEGORICAL.get(stem, []))
 
 
 def raw_schema(table: str, header: list[str]) -> T.StructType:

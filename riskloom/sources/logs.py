@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -39,6 +38,13 @@ def _empty(spark: SparkSession, table: str) -> DataFrame:
     return spark.createDataFrame([], log_schema(table))
 
 
+def _table_lookup(url: str, table: str) -> str:
+    """A query with a row if the database has the table, from the catalog its kind of database has."""
+    if url.startswith("jdbc:sqlite"):
+        return f"SELECT name FROM sqlite_master WHERE name = '{table}'"
+    return f"SELECT table_name FROM information_schema.tables WHERE lower(table_name) = '{table}'"
+
+
 def read_log(
     spark: SparkSession,
     root: str,
@@ -47,19 +53,26 @@ def read_log(
     since: str | None = None,
     jdbc: Mapping[str, str] | None = None,
 ) -> DataFrame:
-    """One log table; an absent table reads as empty. ``since`` (a date) prunes day partitions.
+    """One log table; an absent table reads as empty, every other failure is raised. ``since`` (a date) prunes day
+    partitions.
 
     ``jdbc`` holds connection options; add partitionColumn, lowerBound, upperBound and numPartitions to
     read in parallel.
     """
     schema = log_schema(table)
-    try:
-        if jdbc is not None:
-            raw = spark.read.format("jdbc").options(**{**jdbc, "dbtable": table}).load()
-        else:
+    if jdbc is not None:
+        reader = spark.read.format("jdbc").options(**jdbc)
+        listed = reader.option("query", _table_lookup(jdbc["url"], table)).load()
+        if listed.isEmpty():
+            return _empty(spark, table)
+        raw = reader.option("dbtable", table).load()
+    else:
+        try:
             raw = spark.read.parquet(f"{root.rstrip('/')}/{table}")
-    except (AnalysisException, Py4JJavaError):  # the second is what an absent database table raises
-        return _empty(spark, table)
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return _empty(spark, table)
     if since is not None:
         day = F.col(LOG_DAY) if LOG_DAY in raw.columns else F.to_date("created_at")
         raw = raw.filter(day >= F.lit(since).cast("date"))

@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from riskloom.functions import nan_to_null
 from riskloom.schemas import NA_TOKENS, raw_schema
+from riskloom.session import materialize
 
 FORMATS = {"csv": {"header": "true"}, "parquet": {}}
 
@@ -53,12 +54,14 @@ def tokens_to_null(df: DataFrame) -> DataFrame:
     return df.withColumns({c: F.when(~F.trim(c).isin(*NA_TOKENS), F.col(c)) for c in text}) if text else df
 
 
-def scan_raw(spark: SparkSession, folder: str, table: str, columns: Sequence[str] | None = None) -> DataFrame:
+def scan_raw(
+    spark: SparkSession, folder: str, table: str, columns: Sequence[str] | None = None, encoding: str = "UTF-8"
+) -> DataFrame:
     """Raw CSV with an explicit schema; numbers are read leniently and missing tokens become NULL."""
     path = f"{folder.rstrip('/')}/{table}"
-    schema = raw_schema(table, header_of(spark, path))
+    schema = raw_schema(table, header_of(spark, path, encoding))
     as_text = T.StructType([T.StructField(f.name, T.StringType(), True) for f in schema])
-    raw = spark.read.schema(as_text).option("header", True).csv(path)
+    raw = spark.read.schema(as_text).option("header", True).option("encoding", encoding).csv(path)
     if columns is not None:
         raw = raw.select(*[c for c in columns if c in schema.names])
     cleaned = tokens_to_null(raw)
@@ -72,25 +75,30 @@ def drop_exact_duplicates(df: DataFrame) -> DataFrame:
 
 def duplicate_count(df: DataFrame) -> DataFrame:
     """Rows, distinct rows and exact duplicates of a table, from one pre-aggregated shuffle."""
-    copies = df.groupBy(*df.columns).agg(F.count("*").alias("__copies"))
+    return _copy_counts(df.groupBy(*df.columns).agg(F.count("*").alias("__copies")))
+
+
+def _copy_counts(copies: DataFrame) -> DataFrame:
     return copies.agg(
         F.coalesce(F.sum("__copies"), F.lit(0)).alias("rows"), F.count("*").alias("distinct_rows")
     ).withColumn("duplicates_removed", F.col("rows") - F.col("distinct_rows"))
 
 
 def load_raw(spark: SparkSession, folder: str, table: str) -> tuple[DataFrame, DataFrame]:
-    """De-duplicated raw table and its one-row duplicate count."""
+    """De-duplicated raw table and its one-row duplicate count, both from one shuffle that is written once."""
     raw = scan_raw(spark, folder, table)
-    return drop_exact_duplicates(raw), duplicate_count(raw)
+    copies = materialize(raw.groupBy(*raw.columns).agg(F.count("*").alias("__copies")), "distinct-rows")
+    return copies.drop("__copies"), _copy_counts(copies)
 
 
 def file_inventory(spark: SparkSession, glob: str) -> DataFrame:
-    """File name and size in MB; only file metadata is read."""
-    files = spark.read.format("binaryFile").load(glob).select("path", "length")
-    return files.select(
-        F.element_at(F.split("path", "/"), -1).alias("table_name"),
-        F.round(F.col("length") / F.lit(1024 * 1024), 2).alias("file_size_mb"),
-    )
+    """Size in MB per table, a file or a folder of part files; only file metadata is read."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(glob).select("path", "length")
+    # the outermost part of the path that is named like a table; a file with another name stands for itself
+    named = F.regexp_extract("path", r"/([^/]+\.(?:csv|parquet))(?:/|$)", 1)
+    table = F.when(named != "", named).otherwise(F.element_at(F.split("path", "/"), -1))
+    sizes = files.groupBy(table.alias("table_name")).agg(F.sum("length").alias("bytes"))
+    return sizes.select("table_name", F.round(F.col("bytes") / F.lit(1024 * 1024), 2).alias("file_size_mb"))
 
 
 def write_reports(tables: Mapping[str, DataFrame], folder: str, *, fmt: str = "parquet") -> dict[str, str]:

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -78,31 +78,68 @@ def start_kpis(
     )
 
 
+def start_window_counts(
+    calls: DataFrame, *, path: str, checkpoint: str, window: str = "1 hour", watermark: str = "10 minutes", **trigger
+) -> StreamingQuery:
+    """Keep the counts of all windows, open ones too: each micro-batch writes the counts it has changed."""
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        marked = batch.withColumn("batch_id", F.lit(int(batch_id)))
+        writer = marked.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        writer.partitionBy("batch_id").parquet(path)
+
+    return (
+        latency_counts(calls, window=window, watermark=watermark)
+        .writeStream.outputMode("update")
+        .foreachBatch(handle)
+        .option("checkpointLocation", checkpoint)
+        .trigger(**(trigger or {"availableNow": True}))
+        .start()
+    )
+
+
+def current_kpis(spark: SparkSession, path: str) -> DataFrame:
+    """KPIs of all windows so far from the newest counts; counts only grow, so the newest are the largest."""
+    counts = spark.read.parquet(path)
+    newest = counts.groupBy(*WINDOW_KEYS, "latency_ms").agg(F.max("calls").alias("calls"), F.max("errors").alias("errors"))
+    return window_kpis(newest)
+
+
 def running_counts(df: DataFrame, *keys: str) -> DataFrame:
     """Running counters, e.g. per decision or status code."""
     return df.groupBy(*keys).agg(F.count("*").alias("count"))
 
 
 def start_counts(df: DataFrame, *keys: str, path: str, checkpoint: str, **trigger) -> StreamingQuery:
-    """Keep the newest full set of counters in ``path``."""
+    """Write each full set of counters to its own batch folder, so that a reader always finds a whole one."""
 
-    def replace(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(path)
+    def add(batch: DataFrame, batch_id: int) -> None:
+        marked = batch.withColumn("batch_id", F.lit(int(batch_id)))
+        writer = marked.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        writer.partitionBy("batch_id").parquet(path)
 
     return (
         running_counts(df, *keys)
         .writeStream.outputMode("complete")
-        .foreachBatch(replace)
+        .foreachBatch(add)
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or {"availableNow": True}))
         .start()
     )
 
 
+def latest_counts(spark: SparkSession, path: str) -> DataFrame:
+    """The newest full set of counters."""
+    sets = spark.read.parquet(path)
+    newest = sets.agg(F.max("batch_id")).first()[0]
+    return sets.filter(F.col("batch_id") == newest).drop("batch_id")
+
+
 def drift_sink(
     reference: DataFrame, path: str, *, settings: DriftSettings = DriftSettings()
 ) -> Callable[[DataFrame, int], None]:
-    """Drift of each micro-batch against a fixed reference, one partition per batch."""
+    """Drift of each micro-batch against a fixed reference, one partition per batch: rows are judged as they arrive,
+    so what a batch is, is set by the trigger."""
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         drift = all_drift(

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from riskloom.operators.aggregates import Subset, aggregate_by, category_levels, feature_name
+from riskloom.operators.aggregates import Subset, aggregate_by, category_levels, feature_name, share_rows
 from riskloom.operators.cleaning import (
     align_columns,
     clean_applications,
@@ -63,7 +63,7 @@ def test_names():
 def test_subset_is_null_without_rows_and_zero_for_all_null(frame):
     df = frame([(1, "A", None), (1, "B", 5.0), (2, "B", 1.0), (None, "A", 9.0)], "k LONG, s STRING, x DOUBLE")
     out = {r["k"]: r for r in aggregate_by(
-        df, "k", prefix="P", spec="x: sum mean", subsets=[Subset("ACTIVE", "s", "A", "x: sum mean")]).collect()}
+        df, "k", prefix="P", spec={"x": ["sum", "mean"]}, subsets=[Subset("ACTIVE", "s", "A", {"x": ["sum", "mean"]})]).collect()}
     assert set(out) == {1, 2}
     assert (out[1]["ACTIVE_X_SUM"], out[1]["ACTIVE_X_MEAN"]) == (0.0, None)
     assert (out[2]["ACTIVE_X_SUM"], out[2]["ACTIVE_X_MEAN"], out[2]["P_X_SUM"]) == (None, None, 1.0)
@@ -77,6 +77,13 @@ def test_shares_include_missing(frame):
     assert out == {1: (0.5, 0.0, 0.5), 2: (0.0, 1.0, 0.0)}
 
 
+def test_any_number_of_levels(spark):
+    df = spark.range(30_000).selectExpr("id % 7 AS k", "concat('level', id) AS s")
+    assert len(category_levels(df, ["s"])["s"]) == 30_000
+    rows = share_rows(df, "k", ["s"]).agg({"share": "sum", "level": "count"}).first()
+    assert abs(rows["sum(share)"] - 7) < 1e-6 and rows["count(level)"] == 30_000
+
+
 def test_domain_builders(frame):
     columns = ["DAYS_CREDIT", "CREDIT_DAY_OVERDUE", "DAYS_CREDIT_ENDDATE", "DAYS_ENDDATE_FACT", "AMT_CREDIT_MAX_OVERDUE",
                "CNT_CREDIT_PROLONG", "AMT_CREDIT_SUM", "AMT_CREDIT_SUM_DEBT", "AMT_CREDIT_SUM_LIMIT",
@@ -84,7 +91,7 @@ def test_domain_builders(frame):
     schema = "SK_ID_CURR LONG, SK_ID_BUREAU LONG, CREDIT_ACTIVE STRING, " + ", ".join(f"{c} DOUBLE" for c in columns)
     bureau = frame([(1, 10, "Active", *[float(i) for i in range(12)]), (1, 11, "Closed", *[2.0] * 12)], schema)
     balance = frame([(10, -1.0, "0"), (10, -3.0, "C")], "SK_ID_BUREAU LONG, MONTHS_BALANCE DOUBLE, STATUS STRING")
-    row = bureau_features(bureau, balance).first()
+    row = bureau_features(bureau, balance, category_levels(bureau, ["CREDIT_ACTIVE"])).first()
     assert row["BURO_LOAN_COUNT"] == 2 and row["BURO_BB_MONTHS_BALANCE_MIN_MIN"] == -3.0
     assert row["BURO_BB_MONTHS_BALANCE_SIZE_SUM"] == 2 and row["ACTIVE_AMT_CREDIT_SUM_SUM"] == 6.0
     assert row["BURO_CREDIT_ACTIVE_ACTIVE_MEAN"] == 0.5 and row["BURO_CREDIT_ACTIVE_NAN_MEAN"] == 0.0
@@ -138,7 +145,7 @@ def test_feature_joins_do_not_reshuffle_the_aggregates(frame):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         child = frame([(1, 2.0)], "SK_ID_CURR LONG, x DOUBLE")
-        frames = {n: aggregate_by(child, "SK_ID_CURR", prefix=n, spec="x: sum") for n in ("A", "B", "C")}
+        frames = {n: aggregate_by(child, "SK_ID_CURR", prefix=n, spec={"x": ["sum"]}) for n in ("A", "B", "C")}
         joined = join_features(frame([(1,)], "SK_ID_CURR LONG"), frames)
         plan = joined._jdf.queryExecution().executedPlan().toString()
         assert plan.count("Exchange hashpartitioning") <= 4
@@ -148,10 +155,9 @@ def test_feature_joins_do_not_reshuffle_the_aggregates(frame):
 
 
 def test_card_counts(frame):
-    from riskloom.operators.aggregates import parse_spec
     from riskloom.operators.features import CARD_SPEC
 
-    names = list(parse_spec(CARD_SPEC))
+    names = list(CARD_SPEC)
     schema = "SK_ID_CURR LONG, SK_ID_PREV LONG, NAME_CONTRACT_STATUS STRING, " + ", ".join(f"{c} DOUBLE" for c in names)
     df = frame([(1, 5, "Active", *[1.0] * len(names)), (1, 5, "Active", *[None] * len(names)), (1, 6, None, *[3.0] * len(names))], schema)
     row = card_features(df).first()
