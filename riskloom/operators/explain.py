@@ -100,16 +100,18 @@ def linear_shap(
 
 def permutation_shap(
     sample: DataFrame, model: Model, *, id_column: str, vector: str, names: Sequence[str],
-    background: DataFrame, permutations: int = 4, seed: int = 42,
+    background: DataFrame, background_rows: int = 100, permutations: int = 4, seed: int = 42,
 ) -> DataFrame:
     """Sampled Shapley values for any model, for a sample of clients.
 
-    Every (client, draw) walks one random feature order from a background row to the client's row; a
-    feature's value is the mean change in probability when it is switched. Values of a client add up to
-    its probability minus the mean probability of its background rows.
+    Every (client, draw) walks one random feature order from the background to the client's row; the model's answer
+    at a step is its mean over all ``background_rows`` rows (all of ``background``, if it has fewer), and a feature's
+    value is the mean change when it is switched. Values of a client add up to its probability minus ``base_value``,
+    the mean probability of the background, which is the same for all clients. ``permutations`` is the number of
+    walks a client.
     """
     spark, width = sample.sparkSession, len(names)
-    base = random_sample(background, 100, ids=[id_column], seed=seed)
+    base = random_sample(background, background_rows, ids=[id_column], seed=seed)
     numbered = base.select(
         (F.row_number().over(Window.orderBy(hash_order(id_column, seed=seed), id_column)) - 1).alias("slot"),
         vector_to_array(vector).alias("base"),
@@ -119,18 +121,20 @@ def permutation_shap(
         F.col(id_column).alias("client_id"),
         vector_to_array(vector).alias("own"),
         F.explode(F.sequence(F.lit(0), F.lit(permutations - 1))).alias("draw"),
-    ).withColumn("slot", F.pmod(hash_order("client_id", "draw", seed=seed), F.lit(backgrounds)).cast("int"))
+    )
     order = F.array_sort(
         F.transform(
             F.sequence(F.lit(0), F.lit(width - 1)),
             lambda i: F.struct(F.xxhash64(F.col("client_id"), F.col("draw"), i, F.lit(seed)).alias("h"), i.alias("i")),
         )
     )
-    walks = walks.join(F.broadcast(numbered), "slot").withColumn("order", F.transform(order, lambda s: s["i"]))
+    walks = walks.withColumn("order", F.transform(order, lambda s: s["i"]))
     # turn[i] is the step at which feature i is switched: the inverse of ``order``.
     turns = F.array_sort(F.transform("order", lambda i, at: F.struct(i.alias("i"), at.alias("at"))))
     walks = walks.withColumn("turn", F.transform(turns, lambda s: s["at"]))
     steps = walks.select("*", F.explode(F.sequence(F.lit(0), F.lit(width))).alias("step"))
+    # every step meets every background row: at most background_rows rows, sent to every task
+    steps = steps.withColumn("slot", F.explode(F.sequence(F.lit(0), F.lit(backgrounds - 1)))).join(F.broadcast(numbered), "slot")
     mixed = F.transform(
         "turn", lambda at, i: F.when(at < F.col("step"), F.get("own", i)).otherwise(F.get("base", i))
     )
@@ -140,13 +144,16 @@ def permutation_shap(
         array_to_vector(mixed).alias(model.getFeaturesCol()),
     )
     scored = model.transform(probes).withColumn("p", positive_probability())
+    scored = scored.groupBy("client_id", "draw", "step", "position").agg(F.avg("p").alias("p"), F.first("feature_value").alias("feature_value"))
+    start = F.first("p").over(Window.partitionBy("client_id", "draw").orderBy("step"))
+    scored = scored.withColumn("start", start)
     before = F.lag("p").over(Window.partitionBy("client_id", "draw").orderBy("step"))
     changes = scored.withColumn("change", F.col("p") - before).filter("step > 0")
     values = changes.groupBy("client_id", "position").agg(
-        F.avg("change").alias("shap_value"), F.max("feature_value").alias("feature_value")
+        F.avg("change").alias("shap_value"), F.max("feature_value").alias("feature_value"), F.avg("start").alias("base_value")
     )
     return values.join(F.broadcast(feature_mapping(spark, names)), "position").select(
-        "client_id", "transformed_feature", "source_feature", "feature_kind", "feature_value", "shap_value"
+        "client_id", "transformed_feature", "source_feature", "feature_kind", "feature_value", "shap_value", "base_value"
     )
 
 

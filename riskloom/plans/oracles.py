@@ -208,8 +208,8 @@ ORACLES["onehot_share"] = grouped(
 ORACLES["share_rows_long"] = f"""WITH long AS (
 SELECT o_custkey, 'o_orderstatus' AS "column", o_orderstatus AS level FROM orders
 UNION ALL SELECT o_custkey, 'o_orderpriority', o_orderpriority FROM orders)
-SELECT o_custkey, "column", level, {rounded("count(*) / (SELECT count(*) FROM orders o WHERE o.o_custkey = long.o_custkey)", "share")}
-FROM long GROUP BY ALL"""
+SELECT o_custkey, "column", level, {rounded("count(*) / any_value(n)", "share")}
+FROM long JOIN (SELECT o_custkey, count(*) AS n FROM orders GROUP BY 1) USING (o_custkey) GROUP BY o_custkey, "column", level"""
 ORACLES["bureau_feature_table"] = grouped(
     "SK_ID_CURR",
     "SELECT b.*, BB_MONTHS_BALANCE_MIN, BB_MONTHS_BALANCE_MAX, BB_MONTHS_BALANCE_SIZE FROM b LEFT JOIN bb USING (SK_ID_BUREAU)",
@@ -772,3 +772,44 @@ ORACLES["stream_dedup"] = "SELECT event_id AS request_id, event_type FROM events
 ORACLES["stream_scoring"] = """SELECT CASE WHEN c_custkey % 10 = 0 THEN 422 ELSE 200 END AS status_code, '/predict' AS path, count(*) AS calls,
 count(*) FILTER (c_custkey % 10 = 0) AS payloads, count(*) FILTER (c_custkey % 10 <> 0) AS scored,
 CAST(sum(c_custkey % 100) AS DOUBLE) AS latency_total FROM customer GROUP BY ALL"""
+
+_clients = """clients AS (SELECT c_custkey, CAST(c_acctbal < 1500 AND coalesce(f, 0) > 0.2 AS INT) AS TARGET FROM customer LEFT JOIN
+(SELECT o_custkey, avg(CASE WHEN o_orderstatus = 'F' THEN 1.0 ELSE 0.0 END) AS f FROM orders GROUP BY 1) ON c_custkey = o_custkey)"""
+ORACLES["oof_coverage"] = f"""WITH {_clients} SELECT TARGET, count(*) AS predictions, count(*) AS clients, count(*) AS valid
+FROM clients GROUP BY TARGET"""
+ORACLES["batch_score_coverage"] = "SELECT count(*) AS scored, count(*) AS clients, count(*) AS consistent FROM customer"
+ORACLES["boosting_smote"] = """SELECT 'boosting_shallow__smote' AS model_name, 'smote' AS sampling_strategy, count(*) AS predictions,
+count(*) AS clients FROM customer"""
+ORACLES["shap_additivity"] = "SELECT 6 AS clients, 6 AS additive, TRUE AS one_base"
+
+# ---- report views -----------------------------------------------------------------------------------
+_placed = f"""placed AS (SELECT *, CAST(row_number() OVER (ORDER BY cv_business_cost, cv_average_precision DESC, cv_roc_auc DESC, model_name) AS INT) AS rank,
+model_name AS model, base_model_name AS base_model, sampling_strategy AS sampling FROM ({plain(views.RESULTS).replace("{{}}", "{}")}))"""
+_who = "rank = 1 AS selected_as_best, model, base_model, sampling"
+_matrix = "true_negatives, false_positives, false_negatives, true_positives"
+ORACLES["report_cv"] = f"""WITH {_placed} SELECT {_who}, threshold, cv_business_cost, cv_roc_auc, cv_average_precision, cv_accuracy,
+cv_balanced_accuracy, oof_roc_auc, oof_average_precision, oof_precision, oof_recall, oof_f1, oof_accuracy, oof_balanced_accuracy,
+best_params, run_id FROM placed"""
+ORACLES["report_holdout"] = f"""WITH {_placed} SELECT {_who}, threshold, holdout_business_cost, holdout_business_score, holdout_roc_auc,
+holdout_average_precision, holdout_accuracy, holdout_balanced_accuracy, holdout_precision, holdout_recall, holdout_f1,
+holdout_brier_score, holdout_ks_statistic, {_matrix}, best_params, run_id FROM placed"""
+ORACLES["report_threshold"] = f"""WITH {_placed} SELECT {_who}, 'out_of_fold_business_cost_minimization' AS selection_basis, threshold,
+holdout_business_cost, holdout_business_score, holdout_precision, holdout_recall, holdout_f1, {_matrix}, run_id FROM placed"""
+ORACLES["report_performance"] = f"""WITH {_placed} SELECT rank, {_who},
+CASE base_model WHEN 'base0' THEN 'linear' WHEN 'base1' THEN 'boosting_tree' ELSE 'other' END AS family,
+CASE base_model WHEN 'base0' THEN 'LogisticRegression' WHEN 'base1' THEN 'GBTClassifier' END AS estimator_class,
+'cv_business_cost_optimized' AS strategie_seuil, {", ".join(rounded(c, c) for c in ("threshold", "holdout_business_cost",
+"holdout_business_score", "cv_business_cost", "cv_roc_auc", "cv_average_precision"))},
+{rounded("holdout_precision", "precision_1")}, {rounded("holdout_recall", "recall_1")}, {rounded("holdout_f1", "f1_1")},
+{rounded("CASE WHEN 4 * holdout_precision + holdout_recall = 0 THEN 0 ELSE 5 * holdout_precision * holdout_recall / (4 * holdout_precision + holdout_recall) END", "f2_1")},
+{rounded("holdout_average_precision", "prc_auc")}, {rounded("oof_precision", "train_precision_1")},
+{rounded("oof_recall", "train_recall_1")}, {rounded("oof_f1", "train_f1_1")},
+{rounded("CASE WHEN 4 * oof_precision + oof_recall = 0 THEN 0 ELSE 5 * oof_precision * oof_recall / (4 * oof_precision + oof_recall) END", "train_f2_1")},
+{rounded("oof_average_precision", "train_prc_auc")}, true_negatives AS tn, false_positives AS fp, false_negatives AS fn,
+true_positives AS tp, best_params, run_id FROM placed"""
+ORACLES["report_best"] = f"WITH {_placed} SELECT model, rank, TRUE AS selected_as_best, {rounded('threshold', 'threshold')} FROM placed WHERE rank = 1"
+ORACLES["report_runs"] = f"""WITH {_placed} SELECT 'campaign' AS scope, 'Spring run' AS campaign_name, '' AS model, '' AS base_model,
+'' AS sampling, 'root' AS run_id, FALSE AS selected_as_best, CAST(NULL AS DOUBLE) AS threshold,
+CAST(NULL AS DOUBLE) AS holdout_business_cost, CAST(NULL AS DOUBLE) AS holdout_roc_auc
+UNION ALL SELECT 'model', 'Spring run', model, base_model, sampling, coalesce(run_id, ''), rank = 1, threshold,
+holdout_business_cost, holdout_roc_auc FROM placed"""

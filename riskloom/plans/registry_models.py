@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from riskloom.functions.payload import to_payload
-from riskloom.operators import explain, sampling
+from riskloom.operators import explain, leaderboard
 from riskloom.operators.decisions import batch_predictions, positive_probability
 from riskloom.plans import views
 from riskloom.plans.candidates import BASE_CANDIDATES, Candidate, expand_candidates, grid
@@ -22,7 +22,7 @@ from riskloom.sources.models import ScoringBundle, load_bundle, save_bundle
 from riskloom.streaming import monitoring
 from riskloom.streaming.scoring import deduplicated, start_scoring
 
-SETTINGS = ExperimentSettings(dataset=DatasetSettings(id_column="c_custkey", drop_columns=("c_custkey",)), folds=2)
+SETTINGS = ExperimentSettings(dataset=DatasetSettings(id_column="c_custkey", drop_columns=("c_custkey",)), folds=5)
 PARAMS = {"C": 1.0, "penalty": "l2"}
 
 
@@ -74,6 +74,57 @@ def batch_score(spark: SparkSession, sf: str) -> DataFrame:
     return batch_predictions(clients.drop("TARGET"), model, id_column="c_custkey", threshold=0.3)
 
 
+@query
+def oof_coverage(spark: SparkSession, sf: str) -> DataFrame:
+    """Every client is predicted once, out of fold or held out, with a probability and its own label."""
+    rows = oof_predictions(spark, sf)
+    valid = F.count_if(F.col("probability").between(0, 1))
+    return rows.groupBy("TARGET").agg(
+        F.count("*").alias("predictions"), F.count_distinct("c_custkey").alias("clients"), valid.alias("valid")
+    )
+
+
+@query
+def batch_score_coverage(spark: SparkSession, sf: str) -> DataFrame:
+    """Every client is scored, and the decision follows its probability and the threshold."""
+    rows = batch_score(spark, sf)
+    follows = F.col("default_prediction") == (F.col("default_probability") >= 0.3).cast("int")
+    return rows.agg(F.count("*").alias("scored"), F.count_distinct("c_custkey").alias("clients"), F.count_if(follows).alias("consistent"))
+
+
+@query
+def boosting_smote(spark: SparkSession, sf: str) -> DataFrame:
+    """Boosted trees on synthetic minority rows made inside each training fold; counts of its out-of-fold rows."""
+    base = {"boosting_shallow": replace(
+        BASE_CANDIDATES["boosting_shallow"], grid=grid(n_estimators=[5], learning_rate=[0.1], max_depth=[3])
+    )}
+    results, outcomes, best = run_experiment(_clients(spark, sf), expand_candidates(sampling=["smote"], base=base), SETTINGS)
+    outcome = outcomes[best]
+    rows = outcome.oof.unionByName(outcome.holdout)
+    named = results.select(F.col("model_name"), F.col("sampling_strategy"))
+    return rows.agg(F.count("*").alias("predictions"), F.count_distinct("c_custkey").alias("clients")).select(
+        named.select("model_name").scalar().alias("model_name"), named.select("sampling_strategy").scalar().alias("sampling_strategy"), "*"
+    )
+
+
+@query
+def shap_additivity(spark: SparkSession, sf: str) -> DataFrame:
+    """Permutation values of some clients add up to their probability above one common base value."""
+    clients, model = _fitted(spark, sf)
+    prepared = model.transform(clients)
+    names, fitted = explain.feature_names(prepared), model.stages[-1]
+    plain = prepared.drop("rawPrediction", "prediction").withColumn("p", positive_probability()).drop("probability")
+    chosen = explain.extreme_clients(plain, 3, id_column="c_custkey", probability="p")
+    values = explain.permutation_shap(
+        chosen.select("c_custkey", "features"), fitted, id_column="c_custkey", vector="features", names=names,
+        background=plain.select("c_custkey", "features"), background_rows=20,
+    )
+    sums = values.groupBy("client_id").agg(F.sum("shap_value").alias("total"), F.max("base_value").alias("base"))
+    joined = sums.join(chosen.select(F.col("c_custkey").alias("client_id"), "p"), "client_id")
+    exact = F.count_if(F.abs(F.col("total") + F.col("base") - F.col("p")) < 1e-9)
+    return joined.agg(F.count("*").alias("clients"), exact.alias("additive"), (F.max("base") - F.min("base") < 1e-12).alias("one_base"))
+
+
 @query
 def importance_rollup(spark: SparkSession, sf: str) -> DataFrame:
     clients, model = _fitted(spark, sf)
@@ -99,10 +150,8 @@ def global_shap_values(spark: SparkSession, sf: str) -> DataFrame:
     clients, model = _fitted(spark, sf)
     prepared = model.transform(clients)
     names, fitted = explain.feature_names(prepared), model.stages[-1]
-    background = sampling.random_sample(prepared, 500, ids=["c_custkey"])
     values = explain.linear_shap(
         prepared, id_column="c_custkey", vector="features", coefficients=fitted.coefficients.toArray(), names=names,
-        background=background,
     )
     return explain.global_shap_by_source(values)
 
@@ -124,6 +173,44 @@ def local_explanations(spark: SparkSession, sf: str) -> DataFrame:
     return explain.local_shap(values, clients_of, top=5, by_source=True)
 
 
+# ---- report views over one row per candidate ------------------------------------------------------
+
+def _results(spark: SparkSession, sf: str) -> DataFrame:
+    return view(spark, sf, views.RESULTS)
+
+
+@query
+def report_cv(spark: SparkSession, sf: str) -> DataFrame:
+    return leaderboard.cv_view(_results(spark, sf))
+
+
+@query
+def report_holdout(spark: SparkSession, sf: str) -> DataFrame:
+    return leaderboard.holdout_view(_results(spark, sf))
+
+
+@query
+def report_threshold(spark: SparkSession, sf: str) -> DataFrame:
+    return leaderboard.threshold_view(_results(spark, sf))
+
+
+@query
+def report_performance(spark: SparkSession, sf: str) -> DataFrame:
+    classes = {"base0": "LogisticRegression", "base1": "GBTClassifier"}
+    return tidy(leaderboard.performance_view(_results(spark, sf), classes))
+
+
+@query
+def report_best(spark: SparkSession, sf: str) -> DataFrame:
+    best = leaderboard.best_model_view(report_performance(spark, sf))
+    return best.select("model", "rank", "selected_as_best", "threshold")
+
+
+@query
+def report_runs(spark: SparkSession, sf: str) -> DataFrame:
+    return leaderboard.runs_view(_results(spark, sf), campaign_name="Spring run", root_run_id="root")
+
+
 # ---- streams over the given files ---------------------------------------------------------------
 
 def stream(spark: SparkSession, sf: str, name: str) -> DataFrame:

@@ -213,3 +213,22 @@ SELECT l_shipdate >= TIMESTAMP '1999-01-01 00:00:00' AS is_current,
        concat('S', CAST(l_suppkey % 35 AS VARCHAR(10))) AS source
 FROM {lineitem}
 """
+
+# One row per candidate for the report views: every line number stands for a model, measures are its line sums.
+_RESULT_MEASURES = [
+    "threshold", "cv_business_cost", "cv_roc_auc", "cv_average_precision", "cv_accuracy", "cv_balanced_accuracy",
+    "oof_roc_auc", "oof_average_precision", "oof_precision", "oof_recall", "oof_f1", "oof_accuracy",
+    "oof_balanced_accuracy", "holdout_business_cost", "holdout_business_score", "holdout_roc_auc",
+    "holdout_average_precision", "holdout_accuracy", "holdout_balanced_accuracy", "holdout_precision",
+    "holdout_recall", "holdout_f1", "holdout_brier_score", "holdout_ks_statistic",
+]
+RESULTS = (
+    "SELECT concat('model', CAST(l_linenumber AS STRING)) AS model_name, concat('base', CAST(l_linenumber % 3 AS STRING)) AS base_model_name, "
+    "CASE WHEN l_linenumber % 2 = 0 THEN 'smote' ELSE 'baseline' END AS sampling_strategy, "
+    "CASE WHEN l_linenumber = 1 THEN NULL ELSE concat('run', CAST(l_linenumber AS STRING)) END AS run_id, '{{}}' AS best_params, "
+    + ", ".join(
+        f"CAST(count(*) % {i + 11} AS DOUBLE) / {i + 11} AS {name}" for i, name in enumerate(_RESULT_MEASURES)
+    )
+    + ", count(*) AS true_negatives, count(*) + 1 AS false_positives, count(*) + 2 AS false_negatives, "
+    "count(*) + 3 AS true_positives FROM {lineitem} GROUP BY l_linenumber"
+)

@@ -39,6 +39,28 @@ def table(spark):
 SETTINGS = ExperimentSettings(folds=2)
 
 
+SMALL_GRIDS = {
+    "logistic_regression": dict(C=[1.0], penalty=["l2"], max_iter=[20]),
+    "random_forest": dict(n_estimators=[3], max_depth=[None], min_samples_leaf=[1]),
+    "boosting_shallow": dict(n_estimators=[2], learning_rate=[0.1], max_depth=[2]),
+    "boosting_leafy": dict(n_estimators=[2], learning_rate=[0.1], max_depth=[2]),
+    "mlp": dict(hidden_layer_sizes=[(3,)], max_iter=[10]),
+}
+
+
+@pytest.mark.parametrize(
+    ("model", "strategy"),
+    zip(SMALL_GRIDS, ["smote", "baseline", "borderline_smote", "smote_under", "adasyn"], strict=True),
+)
+def test_every_model_fits_with_sampling_inside_the_folds(table, model, strategy):
+    base = {model: replace(BASE_CANDIDATES[model], grid=grid(**SMALL_GRIDS[model]))}
+    results, outcomes, best = run_experiment(table, expand_candidates(sampling=[strategy], base=base), SETTINGS)
+    outcome = outcomes[best]
+    assert outcome.oof.count() + outcome.holdout.count() == 160
+    assert outcome.oof.filter("probability BETWEEN 0 AND 1").count() == outcome.oof.count()
+    assert results.first()["sampling_strategy"] == strategy
+
+
 def test_candidate_names_and_unknown_names():
     names = expand_candidates(["logistic_regression", "mlp"], ["baseline", "smote"])
     assert list(names) == ["logistic_regression", "logistic_regression__smote", "mlp", "mlp__smote"]
