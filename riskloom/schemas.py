@@ -44,14 +44,14 @@ NA_TOKENS = (
 
 # ---- Fixed values: production log tables ------------------------------------------------------
 LOG_SCHEMAS = {
-    "prediction_logs": """id BIGINT, request_payload STRING, response_payload STRING,
+    "prediction_logs": """id STRING, request_payload STRING, response_payload STRING,
         default_probability DOUBLE, credit_decision STRING, latency_ms DOUBLE, created_at TIMESTAMP""",
-    "production_inputs": """id BIGINT, prediction_log_id BIGINT, input_payload STRING,
+    "production_inputs": """id STRING, prediction_log_id STRING, input_payload STRING,
         feature_count INT, created_at TIMESTAMP""",
-    "production_outputs": """id BIGINT, prediction_log_id BIGINT, output_payload STRING,
+    "production_outputs": """id STRING, prediction_log_id STRING, output_payload STRING,
         default_probability DOUBLE, business_threshold DOUBLE, predicted_default INT,
         credit_decision STRING, latency_ms DOUBLE, created_at TIMESTAMP""",
-    "api_call_logs": """id BIGINT, method STRING, path STRING, status_code INT, latency_ms DOUBLE,
+    "api_call_logs": """id STRING, method STRING, path STRING, status_code INT, latency_ms DOUBLE,
         request_payload STRING, error_type STRING, error_message STRING, client_host STRING,
         user_agent STRING, created_at TIMESTAMP""",
 }

@@ -139,12 +139,12 @@ def prediction_log_rows(scored: DataFrame) -> dict[str, DataFrame]:
     """The three log rows of each scored request.
 
     ``scored`` has request_id, request_payload, the four response columns, latency_ms and created_at.
-    The log id is a hash of the request id, so a replayed micro-batch produces the same rows.
+    The log id is the request id, so a replayed micro-batch produces the same rows.
     """
     response = ["default_probability", "business_threshold", "predicted_default", "credit_decision"]
     logged = scored.withColumns(
         {
-            "id": F.xxhash64("request_id"),
+            "id": F.col("request_id").cast("string"),
             "response_payload": F.to_json(F.struct(*response)),
             "feature_count": payload_size("request_payload").cast("int"),
         }
@@ -169,7 +169,7 @@ def api_call_rows(calls: DataFrame) -> DataFrame:
     return _typed(
         calls.withColumns(
             {
-                "id": F.xxhash64("request_id"),
+                "id": F.col("request_id").cast("string"),
                 "error_type": F.when(failed, F.concat(F.lit("http_"), F.col("status_code").cast("string"))),
                 "error_message": F.when(failed, truncate(reason)),
                 "request_payload": F.when(failed, given("request_payload")),
