@@ -56,8 +56,10 @@ def vocabulary(docs: DataFrame) -> dict[bytes, int]:
 
     counted = docs.select(F.col("text").cast("string")).mapInArrow(run, "word binary, n long")
     total = counted.groupBy("word").agg(F.sum("n").alias("n"))
-    top = total.orderBy(F.desc("n"), "word").limit(OWN_WORDS).collect()
-    return {bytes(r.word): number for number, r in enumerate(top)}
+    # the best of every task meet in one task that keeps OWN_WORDS of them; only those come to the driver
+    top = materialize(total.orderBy(F.desc("n"), "word").limit(OWN_WORDS), "vocabulary")
+    ordered = sorted(top.collect(), key=lambda r: (-r.n, bytes(r.word)))
+    return {bytes(r.word): number for number, r in enumerate(ordered)}
 
 
 def _counted(counts: Counter) -> pa.RecordBatch:
