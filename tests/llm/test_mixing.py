@@ -43,10 +43,13 @@ def test_rates_equal_plain_projected_gradient(frame):
     tokens, rates = [r.n_tokens for r in rows], [1.0] * len(rows)
     totals = lambda: [sum(a * t * q[k] for a, t, q in zip(rates, tokens, p, strict=True)) for k in (0, 1)]
     mass, whole = totals(), sum(tokens)
+    before = float("inf")
     for _ in range(mixing.ITERATIONS):
         missed = [s - whole * t for s, t in zip(totals(), targets.values(), strict=True)]
-        if max(map(abs, missed)) <= mixing.TOLERANCE * whole:
+        error = sum(m * m / own for m, own in zip(missed, mass, strict=True)) ** 0.5
+        if max(map(abs, missed)) <= mixing.TOLERANCE * whole or error >= before * (1 - mixing.PROGRESS):
             break
+        before = error
         rates = [max(0.0, a - sum(q[k] * missed[k] / mass[k] for k in (0, 1))) for a, q in zip(rates, p, strict=True)]
     assert [r.rate for r in rows] == pytest.approx(rates, rel=1e-6, abs=1e-9)
 
@@ -67,5 +70,5 @@ def test_odd_rows(spark, frame):
     kept = weighted(docs, labelled, TARGETS)
     assert kept.columns == [*docs.columns, "mix_rate", "mix_copies"] and kept.count() == 12
     nothing = frame([], "__id long, __domain string")
-    assert {r.p_left for r in mix(docs, nothing, TARGETS).collect()} == {pytest.approx(1 / 3)}
+    assert all(r.p_left == pytest.approx(1 / 3) for r in mix(docs, nothing, TARGETS).collect())
     assert mix(empty_docs(spark), labelled, TARGETS).count() == 0
