@@ -30,6 +30,8 @@ EVIDENCE_WORDS = 40.0
 SMOOTHING = 0.5
 #: Iterations at most, and the share of the corpus by which domains may miss their targets.
 ITERATIONS, TOLERANCE = 60, 1e-5
+#: Least share by which a step must lessen the error, and steps between two writes of the rates.
+PROGRESS, STEPS_AT_ONCE = 1e-3, 8
 #: Target shares of the registered query.
 TARGETS = {"en": 0.55, "de": 0.16, "fr": 0.15, "es": 0.11, "toxic": 0.01, "low": 0.02}
 
@@ -99,35 +101,42 @@ def posteriors(docs: DataFrame, weights: DataFrame, priors: list[float]) -> Data
 
 
 def rate(steps: list[list[float]]) -> Column:
-    """A document's rate: 1 before the first step; each step moves against the gradient, never below 0."""
-    value = F.lit(1.0)
+    """A document's rate after further steps; each step moves against the gradient, never below 0."""
+    value = F.col("__rate")
     for step in steps:
         move = sum((F.lit(d) * F.col("__posterior")[k] for k, d in enumerate(step)), F.lit(0.0))
         value = F.greatest(F.lit(0.0), value - move)
     return value
 
 
-def fitted_steps(members: DataFrame, targets: list[float]) -> list[list[float]]:
-    """Steps of projected gradient descent on sum((total - target)^2 / mass) over the domains.
+def fitted_rates(members: DataFrame, targets: list[float]) -> DataFrame:
+    """``members`` with ``__rate``, by projected gradient descent on sum((total - target)^2 / mass) over the domains.
 
     ``mass`` is a domain's total at rate 1. Scaled by a document's tokens the gradient of its rate is its posterior
-    times (total - target) / mass, and a step of 1 never overshoots. A domain without mass cannot be moved.
+    times (total - target) / mass, and a step of 1 never overshoots. A domain without mass cannot be moved. The
+    descent ends when all targets are met, or when a step no longer brings them nearer (targets out of reach).
     """
-    def totals(steps: list[list[float]]) -> list[float]:
-        own = [F.coalesce(F.sum(rate(steps) * F.col("__tokens") * F.col("__posterior")[k]), F.lit(0.0)) for k in range(len(targets))]
-        return list(members.agg(*own).first())
-
-    mass = totals([])
-    whole = sum(mass)
+    found = members.withColumn("__rate", F.lit(1.0))
     steps: list[list[float]] = []
-    reached = mass
+
+    def totals() -> list[float]:
+        own = [F.coalesce(F.sum(F.col("__now") * F.col("__tokens") * F.col("__posterior")[k]), F.lit(0.0)) for k in range(len(targets))]
+        return list(found.withColumn("__now", rate(steps)).agg(*own).first())
+
+    mass = reached = totals()
+    whole, before = sum(mass), float("inf")
     for _ in range(ITERATIONS if whole else 0):
         missed = [r - whole * t for r, t in zip(reached, targets, strict=True)]
-        if max(abs(m) for m, own in zip(missed, mass, strict=True) if own > 0) <= TOLERANCE * whole:
+        error = sum(m * m / own for m, own in zip(missed, mass, strict=True) if own > 0) ** 0.5
+        worst = max(abs(m) for m, own in zip(missed, mass, strict=True) if own > 0)
+        if worst <= TOLERANCE * whole or error >= before * (1 - PROGRESS):
             break
+        before = error
+        if len(steps) == STEPS_AT_ONCE:  # written out, so that the expression stays short
+            found, steps = materialize(found.withColumn("__rate", rate(steps)), "rates"), []
         steps.append([m / own if own > 0 else 0.0 for m, own in zip(missed, mass, strict=True)])
-        reached = totals(steps)
-    return steps
+        reached = totals()
+    return found.withColumn("__rate", rate(steps))
 
 
 def mixture(docs: DataFrame, labelled: DataFrame, targets: Mapping[str, float]) -> tuple[DataFrame, list[str]]:
@@ -136,7 +145,7 @@ def mixture(docs: DataFrame, labelled: DataFrame, targets: Mapping[str, float])
     shares = [targets[d] / sum(targets.values()) for d in domains]
     weights, priors = fitted(docs, labelled, domains)
     members = materialize(posteriors(docs, weights, priors), "memberships")
-    return members.withColumn("__rate", rate(fitted_steps(members, shares))), domains
+    return fitted_rates(members, shares), domains
 
 
 def whole_copies() -> Column:
