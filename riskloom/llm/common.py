@@ -10,11 +10,10 @@ from typing import Any
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 #: Words remembered per task; more words are hashed anew each time, with the same result.
-REMEMBERED_WORDS = 400_000
+REMEMBERED_WORDS = 100_000
 #: Odd multipliers that make the sum of five word hashes depend on their order.
 ORDER_KEYS = np.array(
     [0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0x85EBCA77C2B2AE63],
@@ -80,7 +79,3 @@ def text_batches(batches: Iterator[pa.RecordBatch], size: int = 256) -> Iterator
     for batch in batches:
         for start in range(0, batch.num_rows, size):
             yield batch.slice(start, size)
-
-
-def long_key(column: Column | str) -> Column:
-    return F.col(column).cast("long") if isinstance(column, str) else column.cast("long")
