@@ -89,7 +89,7 @@ def _block_neighbors(k: int):
 
     A matrix product narrows the candidates; the survivors' distances are recomputed directly.
     """
-    chunk_rows, relative = CHUNK_ROWS, SLACK
+    chunk_rows, relative, cells_at_once = CHUNK_ROWS, SLACK, 65_536
 
     def search(queries: pd.DataFrame, candidates: pd.DataFrame) -> pd.DataFrame:
         ids, near_ids, distances = [], [], []
@@ -106,13 +106,23 @@ def _block_neighbors(k: int):
                 squared[chunk_ids[:, None] == right_ids[None, :]] = np.inf
                 limits = np.partition(squared, top - 1, axis=1)[:, top - 1]
                 limits = limits + relative * (1.0 + norm + right_norm.max())
-                for row, limit in enumerate(limits):
-                    near = np.flatnonzero((squared[row] <= limit) & np.isfinite(squared[row]))
-                    exact = np.sqrt(((right[near] - chunk[row]) ** 2).sum(1))
-                    order = np.lexsort((right_ids[near], exact))[:top]
-                    ids.append(np.full(len(order), chunk_ids[row]))
-                    near_ids.append(right_ids[near][order])
-                    distances.append(exact[order])
+                squared[squared > limits[:, None]] = np.inf
+                width = int(np.isfinite(squared).sum(axis=1).max())
+                if not width:
+                    continue
+                part = np.argpartition(squared, width - 1, axis=1)[:, :width]
+                kept = np.isfinite(np.take_along_axis(squared, part, axis=1))
+                exact = np.full(part.shape, np.inf)
+                rows, places = np.nonzero(kept)
+                for at in range(0, len(rows), cells_at_once):
+                    r, c = rows[at : at + cells_at_once], places[at : at + cells_at_once]
+                    exact[r, c] = np.sqrt(((right[part[r, c]] - chunk[r]) ** 2).sum(axis=1))
+                order = np.lexsort((right_ids[part], exact), axis=1)[:, :top]
+                found = np.take_along_axis(exact, order, axis=1)
+                valid = np.isfinite(found)
+                ids.append(np.repeat(chunk_ids, valid.sum(axis=1)))
+                near_ids.append(right_ids[np.take_along_axis(part, order, axis=1)][valid])
+                distances.append(found[valid])
         if not ids:
             return pd.DataFrame({"rep": [], "near": [], "distance": []})
         return pd.DataFrame(
