@@ -3,10 +3,12 @@
 Four exact generators find the base spans. Four wider ones then read the text with the valid base spans masked and
 propose looser forms: other separators, bracketed or spelled-out signs, longer addresses. Each candidate has format
 and context features with few levels. The candidates of the exact generators, labelled by the format's own check
-(octets, check digit, number of digits), train the boosted trees: what is counted over the whole corpus is how
-often each combination of levels comes with either label, and trees fitted to those counts are the same as trees
-fitted to all candidates. The trees become one CASE expression; a threshold per kind, set where the labelled
-candidates reach a required precision, selects which further candidates are reported and redacted.
+(octets, check digit, number of digits), train the boosted trees; the label is no feature. What is counted over the
+whole corpus is how often each combination of levels comes with either label, and trees fitted to those counts are the
+same as trees fitted to all candidates. The trees become one CASE expression; a threshold per kind, set where the
+labelled candidates of documents held out from the trees reach a required precision, selects which of the wider
+candidates that pass the check of their own form are reported and redacted. Exact candidates that fail are known to be
+wrong and never added.
 
 Positions are code points. They come from splitting a text by a pattern: gaps and matches alternate, so running sums
 of their lengths are the starts. Patterns are written so that a failed try is never repeated inside the same run of
@@ -31,21 +33,23 @@ BASE = {
 #: Wider forms.
 WIDE = {
     "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+ ?(?:@|\(at\)|\[at\]| at ) ?[A-Za-z0-9-]{1,63}+(?: ?(?:\(dot\)|\[dot\]| dot ) ?[A-Za-z0-9-]{2,63}+)++",
-    "ip": r"(?<![0-9A-Za-z:])(?:[0-9A-Fa-f]{1,4}:){4,7}[0-9A-Fa-f]{1,4}(?![0-9A-Za-z:])",
+    "ip": r"(?<![0-9A-Za-z:.])(?:[0-9A-Fa-f]{0,4}:){2,7}(?:[0-9A-Fa-f]{1,4}|(?<=::))(?!:?[0-9A-Za-z])",
     "card": r"(?<![0-9])[0-9]{4}(?:[./_ -]{1,3}[0-9]{4,6}){2}[./_ -]{1,3}[0-9]{1,7}(?![0-9])",
     "phone": r"(?<![0-9A-Za-z+.])(?:00[0-9]{1,3}[ .-]?)?(?:\([0-9]{2,4}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{3,4}(?![0-9A-Za-z])",
 }
 #: A kind is looked for only in texts that match its hint: every match of either form does.
-HINTS = {"email": r"@|\(dot\)|\[dot\]| dot ", "ip": "[0-9]", "card": "[0-9]", "phone": "[0-9]"}
-FEATURES = ("kind", "valid", "digits", "left", "right", "separators", "cue")
+HINTS = {"email": r"@|\(dot\)|\[dot\]| dot ", "ip": "[0-9]|:[0-9A-Fa-f:]", "card": "[0-9]", "phone": "[0-9]"}
+FEATURES = ("kind", "digits", "left", "right", "separators", "cue")
 #: Words near the left of a span that speak for or against it.
 CUES = r"(?i)(?:mail|phone|call|tel|fax|mobile|card|visa|pay|ip|server|host|address|contact)\W*$"
 COUNTER_CUES = r"(?i)(?:version|page|isbn|id|no|nr|token|key|hash|order|ref|sku|lot)\W*$"
 #: Matches put together at a time; only bounds how much is copied per match.
 BLOCK = 128
 TREES, SHRINKAGE, PENALTY = 30, 0.3, 1.0
-#: Share of labelled candidates above a threshold that must be right.
+#: Share of held-out labelled candidates above a threshold that must be right.
 PRECISION = 0.99
+#: One of so many documents, by a hash of doc_id, is held out from the trees and sets the thresholds.
+HELD_OUT = 4
 _OCTET = "0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
 
 
@@ -58,7 +62,7 @@ def _luhn(digits: str) -> str:
 
 
 def _valid(kind: str, value: str) -> str:
-    """SQL for the format's own check."""
+    """SQL for the exact form's own check."""
     digits = f"regexp_replace({value}, '[^0-9]', '')"
     return {
         "email": "true",
@@ -68,6 +72,22 @@ def _valid(kind: str, value: str) -> str:
     }[kind]
 
 
+def _wide_valid(kind: str, value: str) -> str:
+    """SQL for the wider form's own check.
+
+    Spelled-out mail addresses end in a top-level domain of letters; where both signs are plain words, only in one of
+    two letters or a common one. IPv6 addresses have eight groups, or two to seven around one double colon.
+    """
+    group = "[0-9A-Fa-f]{1,4}"
+    run = f"{group}(?::{group})*"
+    return {
+        "email": f"CASE WHEN regexp_like({value}, r'[@(\\[]') THEN regexp_like({value}, r'[A-Za-z]{{2,24}}$') AND NOT regexp_like({value}, r'[0-9-][A-Za-z]*$') "
+        f"ELSE regexp_like({value}, r'(?i) (?:[a-z]{{2}}|com|net|org|edu|gov|mil|int|info|biz|name|dev|app)$') END",
+        "ip": f"(regexp_like({value}, r'^{group}(?::{group}){{7}}$') "
+        f"OR regexp_like({value}, r'^(?:{run})?::(?:{run})?$') AND regexp_count({value}, '[0-9A-Fa-f]+') BETWEEN 2 AND 7)",
+    }.get(kind) or _valid(kind, value)
+
+
 def _char_class(char: str) -> str:
     return (
         f"CASE WHEN {char} = '' THEN 0 WHEN regexp_like({char}, r'\\s') THEN 1 WHEN regexp_like({char}, '[0-9]') THEN 2 "
@@ -106,7 +126,7 @@ def _located(rows: DataFrame, text: str, name: str, pattern: str, kind: str, wid
     code = KINDS.index(kind)
     rows = rows.withColumn(name, F.expr(f"""transform({name}, c -> named_struct(
         'start', c.start, 'code', {code}, 'end', c.end, 'wide', {str(wide).lower()},
-        'valid', CASE WHEN {_valid(kind, 'c.value')} THEN 1 ELSE 0 END,
+        'valid', CASE WHEN {(_wide_valid if wide else _valid)(kind, 'c.value')} THEN 1 ELSE 0 END,
         'digits', CAST(least(length(regexp_replace(c.value, '[^0-9]', '')), 20) AS INT),
         'left', {_char_class("right(c.before, 1)")}, 'right', {_char_class("coalesce(c.after, '')")},
         'separators', CASE WHEN regexp_like(c.value, ' ') THEN 1 ELSE 0 END + CASE WHEN regexp_like(c.value, '-') THEN 2 ELSE 0 END
@@ -140,8 +160,8 @@ def candidates(docs: DataFrame, *carried: Column) -> DataFrame:
 class BoostedTrees:
     """Depth-two trees over feature levels, boosted for log loss on counted level combinations."""
 
-    def __init__(self, counts: list[tuple[tuple[int, ...], float, float]]):
-        """``counts``: levels, weight of label 0, weight of label 1."""
+    def __init__(self, counts: list[tuple[tuple[int, ...], float, float]], held_out: list[tuple[tuple[int, ...], float, float]]):
+        """``counts``: levels, weight of label 0, weight of label 1. ``held_out``: the same, for the thresholds."""
         self.trees: list[tuple] = []
         self.thresholds = {k: None for k in range(len(KINDS))}
         good, bad = sum(c[2] for c in counts), sum(c[1] for c in counts)
@@ -156,7 +176,7 @@ class BoostedTrees:
             tree = self._grow(counts, gradient, curvature, list(range(len(counts))), 2)
             self.trees.append(tree)
             score = [s + self._apply(tree, c[0]) for s, c in zip(score, counts, strict=True)]
-        self._calibrate(counts, score)
+        self._calibrate(held_out, [self.bias + sum(self._apply(t, c[0]) for t in self.trees) for c in held_out] if counts else [])
 
     def _grow(self, counts, gradient, curvature, rows, depth):
         total = sum(gradient[i] for i in rows), sum(curvature[i] for i in rows)
@@ -185,15 +205,18 @@ class BoostedTrees:
         return tree
 
     def _calibrate(self, counts, score) -> None:
-        """Per kind the lowest score from which on the labelled candidates are precise enough."""
-        for kind in self.thresholds:
+        """Per kind the lowest score from which on the held-out labelled candidates are precise enough.
+
+        Between it and the next lower score seen, half way; where all are precise enough, even odds or less.
+        """
+        for kind in self.thresholds if score else ():
             zero = one = 0.0
             own = sorted((-s, c[1], c[2]) for c, s in zip(counts, score, strict=True) if c[0][0] == kind)
             for i, (negative, a, b) in enumerate(own):
                 zero, one = zero + a, one + b
                 last = i + 1 == len(own) or own[i + 1][0] > negative
                 if last and one >= PRECISION * (zero + one):
-                    self.thresholds[kind] = -negative
+                    self.thresholds[kind] = (-negative - own[i + 1][0]) / 2 if i + 1 < len(own) else min(0.0, -negative)
 
     def sql(self, candidate: str) -> str:
         def case(tree) -> str:
@@ -213,16 +236,18 @@ class BoostedTrees:
 
 
 def trained(docs: DataFrame) -> BoostedTrees:
-    """Trees fitted to the counts of feature levels over all documents.
+    """Trees fitted to the counts of feature levels over the documents, thresholds from those held out.
 
-    What comes to the driver is one row per combination of levels that occurs: 4 kinds, 2 checks, 21 digit
+    What comes to the driver is one row per combination of levels that occurs on either side: 4 kinds, 21 digit
     counts, 5 by 5 neighbours, 8 separators and 3 cues bound it at 100,800.
     """
-    each = candidates(docs).select(F.explode("base").alias("c"))
+    held = F.pmod(F.xxhash64("doc_id"), F.lit(HELD_OUT)) == 0
+    each = candidates(docs).select(held.alias("held"), F.explode("base").alias("c"))
     levels = [F.col(f"c.{name}").alias(name) for name in FEATURES]
-    counted = each.groupBy(*levels).agg(F.sum(F.lit(1).cast("double")).alias("n"))
-    rows = sorted((tuple(r)[:-1], r["n"]) for r in counted.collect())
-    return BoostedTrees([(r, n * (1 - r[1]), n * r[1]) for r, n in rows])
+    label = F.col("c.valid").cast("double")
+    counted = each.groupBy("held", *levels).agg(F.sum(1 - label).alias("zero"), F.sum(label).alias("one"))
+    rows = sorted((r.held, (tuple(r)[1:-2], r.zero, r.one)) for r in counted.collect())
+    return BoostedTrees(*([counts for side, counts in rows if side == held_out] for held_out in (False, True)))
 
 
 def _joined(column: str) -> Column:
@@ -236,7 +261,7 @@ def personal_spans(docs: DataFrame) -> DataFrame:
     rows = candidates(docs)
     narrow = "named_struct('start', c.start, 'code', c.code, 'end', c.end)"
     rows = rows.withColumn("base_spans", F.expr(f"array_sort(transform(filter(base, c -> c.valid = 1), c -> {narrow}))"))
-    rows = rows.withColumn("added", F.expr(f"transform(filter(concat(wide, filter(base, c -> c.valid = 0)), c -> {chosen}), c -> {narrow})"))
+    rows = rows.withColumn("added", F.expr(f"transform(filter(wide, c -> c.valid = 1 AND {chosen}), c -> {narrow})"))
     rows = rows.withColumn("all_spans", F.expr("array_sort(array_distinct(concat(base_spans, added)))"))
     return rows.select("doc_id", "text", "base_spans", "all_spans")
 
@@ -263,7 +288,7 @@ def redact(docs: DataFrame) -> DataFrame:
     rows = candidates(docs, F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__row"))
     narrow = "named_struct('start', c.start, 'code', c.code, 'end', c.end)"
     rows = rows.withColumn("spans", F.expr(
-        f"array_sort(transform(concat(filter(base, c -> c.valid = 1), filter(concat(wide, filter(base, c -> c.valid = 0)), c -> {chosen})), c -> {narrow}))"
+        f"array_sort(transform(concat(filter(base, c -> c.valid = 1), filter(wide, c -> c.valid = 1 AND {chosen})), c -> {narrow}))"
     ))
     clean = F.expr(
         f"""aggregate(spans, named_struct('at', 0L, 'out', ''), (a, s) -> CASE

@@ -82,6 +82,25 @@ def test_wider_forms_are_added_and_failing_ones_are_not(frame):
     assert got[91].n_added == 0 and got[92].spans == "" and got[41].n_added == 0
 
 
+def test_context_decides_and_wider_forms_have_their_own_checks(frame):
+    seen = [(i, f"pay 4111111111111111 from 10.0.0.{i} by x{i}@y.zz") for i in range(60)]
+    seen += [(i, f"ref 4111111111111112 end, k4111111111111112z") for i in range(60, 120)]
+    seen += [(i, "so 4111111111111111 it is") for i in range(120, 180)]
+    asked = {
+        200: "pay 4111.1111.1111.1111 now", 201: "ref 4111.1111.1111.1111 now", 202: "so 4111.1111.1111.1111 now", 203: "so k4111.1111.1111.1111z now",
+        210: "from 2001:db8::ff00:42:8329 up", 211: "from 2001:0db8:0:0:0:ff00:42:8329 up", 212: "at 12:30:45 or 00:1a:2b:3c:4d:5e or 1::2::3 or ::1",
+        220: "by jane at example dot com", 221: "look at the dot matrix", 222: "by jane (at) example (dot) museum",
+    }
+    docs = frame(seen + list(asked.items()), "doc_id long, text string")
+    trees = trained(docs)
+    assert len({node[0] for tree in trees.trees for node in (tree, *tree[2:]) if isinstance(node, tuple)}) > 1
+    got = {r.doc_id: r.spans for r in check(docs) if r.doc_id >= 200}
+    assert got == {
+        200: "card:4:23", 201: "", 202: "card:3:22", 203: "", 210: "ip:5:27", 211: "ip:5:33", 212: "",
+        220: "email:3:26", 221: "", 222: f"email:3:{len(asked[222])}",
+    }
+
+
 def test_thresholds_only_where_labels_allow(frame):
     model = trained(frame([(1, "no data at all")], "doc_id long, text string"))
     assert set(model.thresholds.values()) == {None} and model.selects("c") == "false"
