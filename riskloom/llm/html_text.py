@@ -4,9 +4,11 @@ Every page becomes a tree of elements in which runs of equal siblings are one no
 node with many texts), so that trees stay small. The most frequent tree of a host is its reference; all trees of
 the host are aligned with it by simple tree matching (the largest order-preserving matching of children, level by
 level). A reference node whose text is the same on every page of the host that has it, while the pages differ
-elsewhere, is template; a node whose text varies is a slot for content. What marks itself as something else than the
-article (navigation, headers of a site, footers, asides, forms, adverts, notices, comments) is no content in either
-case, and where a page marks its article, the slots inside it are the content.
+elsewhere, is template, inside a marked article as well; a node whose text varies is a slot for content. Pages with
+a marked article count as different when its texts differ, so that copies of one article do not look like template.
+What marks itself as something else than the article (navigation, headers of a site, footers, asides, forms, adverts,
+notices, comments) is no content in either case. On a page that marks its article, the article's nodes are content
+unless they are template, and nodes beside it are content where the wrapper has found them to be slots.
 
 Texts of nodes are only hashed and counted over the host; pages stay where they are. Reference trees and template
 nodes are small tables with one row per host.
@@ -235,12 +237,18 @@ class Page:
             texts[b.node].append(b.text)
         return [text_hash("\n".join(t)) if t else None for t in texts]
 
-    def main_text(self, template: set[int]) -> str:
-        """Blocks of the marked article or else of the slots; in either case without what is marked as something else."""
+    def page_hash(self, hashes: list[int | None]) -> int:
+        """What makes a page differ from others: the texts of its marked article, or else all texts."""
+        inside = {b.node for b in self.blocks if b.article and not b.outside}
+        return text_hash(json.dumps([h for node, h in enumerate(hashes) if node in inside] if inside else hashes))
+
+    def main_text(self, template: set[int], slots: set[int] = frozenset()) -> str:
+        """Blocks of the marked article and of the known slots, or without a mark all blocks; none that is template or marked as something else."""
+        open_to = [b for b in self.blocks if not b.outside and b.node not in template]
         if self.has_article:
-            kept = [b for b in self.blocks if b.article and not b.outside]
+            kept = [b for b in open_to if b.article or b.node in slots and not b.linked]
         else:
-            kept = [b for b in self.blocks if not b.outside and not b.linked and b.node not in template]
+            kept = [b for b in open_to if not b.linked]
         return "\n".join(b.text for b in kept)
 
 
@@ -295,7 +303,7 @@ def _pages(pages: DataFrame) -> DataFrame:
 
 
 def wrappers(pages: DataFrame) -> DataFrame:
-    """One row per host: its reference tree and the nodes of it that are template.
+    """One row per host: its reference tree and the nodes of it that are template, and those that are slots.
 
     Trees and nodes are counted over all pages of all hosts; a host's pages never come together in one task.
     """
@@ -306,7 +314,7 @@ def wrappers(pages: DataFrame) -> DataFrame:
             for html in batch["html"].to_pylist():
                 page = Page(html or "")
                 tree, hashes = page.tree(), page.node_hashes()
-                rows.append((text_hash(tree), tree, hashes, text_hash(json.dumps(hashes))))
+                rows.append((text_hash(tree), tree, hashes, page.page_hash(hashes)))
             columns = list(zip(*rows, strict=True)) or [()] * 4
             types = [pa.int64(), pa.string(), pa.list_(pa.int64()), pa.int64()]
             arrays = [pa.array(c, t) for c, t in zip(columns, types, strict=True)]
@@ -334,7 +342,8 @@ def wrappers(pages: DataFrame) -> DataFrame:
         F.min("low").alias("low"), F.max("high").alias("high"), F.sum("pages").alias("pages")
     )
     # at most as many places as the reference tree has nodes
-    template = template.where(f"low = high AND pages >= {TEMPLATE_PAGES}").groupBy("host").agg(F.sort_array(F.collect_list("place")).alias("template"))
+    sides = [F.sort_array(F.collect_list(F.when(F.expr(is_one), F.col("place")))).alias(name) for name, is_one in (("template", "low = high"), ("slots", "low < high"))]
+    template = template.where(f"pages >= {TEMPLATE_PAGES}").groupBy("host").agg(*sides)
     return materialize(references.join(template, "host", "left"), "wrappers")
 
 
@@ -342,9 +351,8 @@ def main_texts(pages: DataFrame) -> DataFrame:
     """One row per page row: page_id, url, text (main text, empty if there is none) and n_chars.
 
     Null html counts as empty. Pages without a readable host have no wrapper: only marks on the page decide. A host
-    with fewer than TEMPLATE_PAGES different pages has no template either. Inside a marked article nothing is
-    dropped as template, because copies of one article on a host look like template. Null page ids and urls are kept,
-    repeated rows give repeated results, other columns are ignored.
+    with fewer than TEMPLATE_PAGES different pages has no template either. Null page ids and urls are kept, repeated
+    rows give repeated results, other columns are ignored.
     """
     rows = _pages(pages).join(wrappers(pages), "host", "left")
 
@@ -352,18 +360,21 @@ def main_texts(pages: DataFrame) -> DataFrame:
         known = kept_in_worker("aligned trees", dict)
         for batch in text_batches(batches):
             texts = []
-            for html, reference, template in zip(*(batch[c].to_pylist() for c in ("html", "reference", "template")), strict=True):
+            for html, reference, template, slots in zip(*(batch[c].to_pylist() for c in ("html", "reference", "template", "slots")), strict=True):
                 page = Page(html or "")
                 constant: set[int] = set()
-                if template and not page.has_article:
+                varying: set[int] = set()
+                if template or slots:
                     key = page.tree(), reference
                     if key not in known:
                         if len(known) >= 1000:
                             known.clear()
                         known[key] = align(*key)
-                    constant = {node for node, place in enumerate(known[key]) if place in set(template)}
-                texts.append(page.main_text(constant))
+                    fixed, free = set(template), set(slots)
+                    constant = {node for node, place in enumerate(known[key]) if place in fixed}
+                    varying = {node for node, place in enumerate(known[key]) if place in free}
+                texts.append(page.main_text(constant, varying))
             arrays = [batch["page_id"], batch["url"], pa.array(texts, pa.string()), pa.array(map(len, texts), pa.int64())]
             yield pa.RecordBatch.from_arrays(arrays, ["page_id", "url", "text", "n_chars"])
 
-    return rows.select("page_id", "url", "html", "reference", "template").mapInArrow(run, "page_id long, url string, text string, n_chars long")
+    return rows.select("page_id", "url", "html", "reference", "template", "slots").mapInArrow(run, "page_id long, url string, text string, n_chars long")

@@ -62,3 +62,15 @@ def test_constant_nodes_of_a_host_are_template(spark, frame):
     assert got[302] == got[None] == ""
     assert {r.host: len(r.template or []) for r in wrappers(pages).collect()}["h.example"] == 2
     assert main_texts(pages.where("false")).count() == 0
+
+
+def test_wrapper_decides_inside_and_beside_marked_articles(frame):
+    page = "<div class=lead>Lead {0}</div><div class=box>Site box</div><article><div class=by>By our desk</div><p>Story {0}</p></article>"
+    rows = [(i, f"http://a.example/{i}", page.format(i)) for i in range(8)]
+    copy = "<i>{0}</i>" + page.format("same")  # differs only beside the article
+    rows += [(100 + i, f"http://copies.example/{i}", copy.format(i)) for i in range(8)]
+    rows += [(200, "http://few.example/", page.format("few"))]
+    got = {r.page_id: r.text for r in main_texts(frame(rows, "page_id long, url string, html string")).collect()}
+    assert all(got[i] == f"Lead {i}\nStory {i}" for i in range(8))
+    assert all(got[100 + i] == "By our desk\nStory same" for i in range(8))
+    assert got[200] == "By our desk\nStory few"
