@@ -5,9 +5,8 @@ go through one hidden layer to a softmax in two steps, over classes of words and
 document's score is the sum of the log-probabilities of all its words.
 
 The vocabulary counts all words of all documents; words beyond it share buckets by hash. Training passes over all
-documents in ROUNDS rounds: each task trains a copy of the network on its documents (every TARGET_STEP-th word, at
-an offset that changes with document and round, is a target; the windows between them cover every word), and the
-copies are averaged, weighted by their targets. The sum over tasks is an ordinary aggregation by parameter number,
+documents in ROUNDS rounds: each task trains a copy of the network on its documents (every ROUNDS-th word, at an
+offset that changes with document and round, is a target, so that each word is one once), and the copies are averaged, weighted by their targets. The sum over tasks is an ordinary aggregation by parameter number,
 so that only one network comes to the driver.
 """
 
@@ -31,7 +30,7 @@ OTHER_BUCKETS = 256
 OWN_WORDS = CLASSES * PER_CLASS - OTHER_BUCKETS
 EDGE = CLASSES * PER_CLASS  # stands for what is before and after a text
 SIDE, EMBEDDING, HIDDEN = 2, 16, 32
-ROUNDS, TARGET_STEP, TARGETS_PER_STEP = 2, 16, 1024
+ROUNDS, TARGETS_PER_STEP = 2, 1024
 RATE = 0.5
 #: Distinct words a task counts before it passes the counts on.
 COUNTED_WORDS = 300_000
@@ -197,6 +196,11 @@ def _log_share(values: np.ndarray, chosen: np.ndarray) -> np.ndarray:
     return picked - np.log(values.sum(axis=1))
 
 
+def targets_of(count: int, turn: int) -> np.ndarray:
+    """Places of the words of a text that a round predicts; each place belongs to one round."""
+    return np.arange((count + turn) % ROUNDS, count, ROUNDS)
+
+
 def train_round(sequences: DataFrame, network: WindowNetwork, turn: int) -> WindowNetwork:
     """One pass of all tasks over all documents, and the average of their networks."""
     start = network.flat
@@ -207,7 +211,7 @@ def train_round(sequences: DataFrame, network: WindowNetwork, turn: int) -> Wind
         for batch in text_batches(batches):
             for packed in batch["words"].to_pylist():
                 ids = unpacked(packed)
-                picked = np.arange((len(ids) + turn * TARGET_STEP // ROUNDS) % TARGET_STEP, len(ids), TARGET_STEP)
+                picked = targets_of(len(ids), turn)
                 contexts.append(WindowNetwork.windows(ids)[picked])
                 targets.append(ids[picked])
                 waiting += len(picked)

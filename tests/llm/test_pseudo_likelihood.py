@@ -4,7 +4,7 @@ from collections import Counter
 import numpy as np
 
 from riskloom.llm.pseudo_likelihood import (
-    EDGE, OWN_WORDS, WindowNetwork, numbered, pseudo_likelihood, score_sequences, trained_model, unpacked, vocabulary, words,
+    EDGE, OWN_WORDS, ROUNDS, WindowNetwork, numbered, pseudo_likelihood, score_sequences, targets_of, trained_model, unpacked, vocabulary, words,
 )
 from tests.llm.helpers import SF, empty_docs, odd_docs
 
@@ -63,3 +63,13 @@ def test_odd_rows(spark):
         assert (r.n_words == 0) == (r.mean_log_likelihood is None) and r.log_likelihood <= 0
     assert len({r.log_likelihood for r in got if r.doc_id == 8}) == 1
     assert pseudo_likelihood(empty_docs(spark)).count() == 0
+
+
+def test_every_word_is_a_target_once(spark, frame):
+    for count in (0, 1, 2, 7, 15, 40):
+        assert sorted(np.concatenate([targets_of(count, turn) for turn in range(ROUNDS)]).tolist()) == list(range(count))
+    # texts of two words train as well
+    sequences = numbered(docs := frame([(i, "left right") for i in range(3000)], "doc_id long, text string"), vocabulary(docs))
+    first = sequences.limit(1)
+    blank, fitted = (score_sequences(first, n).first().log_likelihood for n in (WindowNetwork(), trained_model(sequences)))
+    assert fitted > blank + 0.5
