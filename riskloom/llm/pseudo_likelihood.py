@@ -4,7 +4,9 @@ Every word is predicted from the words on both sides of it: the embeddings of th
 go through one hidden layer to a softmax in two steps, over classes of words and over the words of the class. The
 document's score is the sum of the log-probabilities of all its words.
 
-The vocabulary counts all words of all documents; words beyond it share buckets by hash. Training passes over all
+The vocabulary counts all words of all documents; words beyond it share buckets by hash. Inside its bucket such a word
+has the share of its count in the bucket's, over all documents: the counts of all these words are a table, and the
+logs of the shares are joined to the words of each document and added to its sum. Training passes over all
 documents in ROUNDS rounds: each task trains a copy of the network on its documents (every ROUNDS-th word, at an
 offset that changes with document and round, is a target, so that each word is one once), and the copies are averaged, weighted by their targets. The sum over tasks is an ordinary aggregation by parameter number,
 so that only one network comes to the driver.
@@ -74,21 +76,49 @@ class WordNumbers(dict):
             self[word] = number
         return number
 
-    def of(self, text: str | None) -> np.ndarray:
+    def of(self, text: str | None) -> tuple[np.ndarray, list[bytes]]:
+        """Numbers of all words, and the words that have none of their own."""
         found = words(text)
-        return np.fromiter(map(self.__getitem__, found), np.uint16, len(found))
+        ids = np.fromiter(map(self.__getitem__, found), np.uint16, len(found))
+        return ids, [found[k] for k in np.flatnonzero(ids >= OWN_WORDS)]
 
 
 def numbered(docs: DataFrame, numbers: dict[bytes, int]) -> DataFrame:
-    """doc_id and its words as 16-bit numbers, two bytes each; read by every later pass in place of the texts."""
+    """doc_id and its words as 16-bit numbers, two bytes each; read by every later pass in place of the texts.
+
+    ``rest`` has the 64-bit hashes of the distinct words outside the vocabulary, ``times`` how often each occurs.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words_of = WordNumbers(numbers)
         for batch in text_batches(batches):
-            packed = [words_of.of(text).tobytes() for text in batch["text"].to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(packed, pa.binary())], ["doc_id", "words"])
+            packed, rest, times = [], [], []
+            for text in batch["text"].to_pylist():
+                ids, others = words_of.of(text)
+                packed.append(ids.tobytes())
+                counted = Counter(others)
+                rest.append(np.fromiter(map(xxhash.xxh3_64_intdigest, counted), np.uint64, len(counted)).view(np.int64))
+                times.append(list(counted.values()))
+            arrays = [batch["doc_id"], pa.array(packed, pa.binary()), pa.array(rest, pa.list_(pa.int64())), pa.array(times, pa.list_(pa.int32()))]
+            yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "words", "rest", "times"])
+
+    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, "doc_id long, words binary, rest array<long>, times array<int>")
+
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, "doc_id long, words binary")
+def within_buckets(sequences: DataFrame) -> DataFrame:
+    """row and ``within``: the sum of log(count of the word / count of its bucket) over its words outside the vocabulary.
+
+    Terms are summed as whole billionths, so that equal rows have equal sums in any order.
+    """
+    each = sequences.select("row", F.explode(F.arrays_zip("rest", "times")).alias("w")).select("row", F.col("w.rest").alias("hash"), F.col("w.times").alias("n"))
+    counts = each.groupBy("hash").agg(F.sum("n").alias("total"))
+    # OTHER_BUCKETS rows, whatever the size of the corpus; a power of two, so that the sign of the hash does not matter
+    bucket = F.col("hash").bitwiseAND(F.lit(OTHER_BUCKETS - 1))
+    counts = materialize(counts.withColumn("bucket", bucket), "rare-words")
+    buckets = counts.groupBy("bucket").agg(F.sum("total").alias("whole"))
+    shares = counts.join(F.broadcast(buckets), "bucket").select("hash", F.log(F.col("total") / F.col("whole")).alias("share"))
+    term = F.round(F.col("n") * F.col("share") * 1e9).cast("long")
+    return each.join(shares, "hash").groupBy("row").agg((F.sum(term) / 1e9).alias("within"))
 
 
 def unpacked(packed: bytes) -> np.ndarray:
@@ -249,8 +279,13 @@ def trained_model(sequences: DataFrame) -> WindowNetwork:
 
 
 def score_sequences(sequences: DataFrame, network: WindowNetwork) -> DataFrame:
-    """One row per row: doc_id, n_words, log_likelihood (the sum over all words) and mean_log_likelihood."""
+    """One row per row: doc_id, n_words, log_likelihood (the sum over all words) and mean_log_likelihood.
+
+    Words outside the vocabulary count as their buckets, unless ``sequences`` has the numbers ``row`` of its rows.
+    """
     flat = network.flat
+    by_row = "row" in sequences.columns
+    sent = ["doc_id", "words", *(["row"] if by_row else [])]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = WindowNetwork(flat)
@@ -263,9 +298,15 @@ def score_sequences(sequences: DataFrame, network: WindowNetwork) -> DataFrame:
                 target = np.concatenate([ids[i] for i in rows])
                 found = np.concatenate([own.log_probability(context[a : a + 16384], target[a : a + 16384]) for a in range(0, len(target), 16384)] or [np.zeros(0)])
                 sums[rows] = np.bincount(np.repeat(np.arange(len(rows)), sizes[rows]), found, len(rows))
-            yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(sizes), pa.array(sums)], ["doc_id", "n_words", "log_likelihood"])
-
-    scored = sequences.mapInArrow(run, "doc_id long, n_words long, log_likelihood double")
+            own_rows = [batch["row"]] if by_row else []
+            arrays = [batch["doc_id"], pa.array(sizes), pa.array(sums), *own_rows]
+            yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "n_words", "log_likelihood", "row"][: len(arrays)])
+
+    schema = "doc_id long, n_words long, log_likelihood double" + (", row long" if by_row else "")
+    scored = sequences.select(*sent).mapInArrow(run, schema)
+    if by_row:
+        whole = F.col("log_likelihood") + F.coalesce("within", F.lit(0.0))
+        scored = scored.join(within_buckets(sequences), "row", "left").select("doc_id", "n_words", whole.alias("log_likelihood"))
     return scored.withColumn("mean_log_likelihood", F.when(F.col("n_words") > 0, F.col("log_likelihood") / F.col("n_words")))
 
 
@@ -282,5 +323,6 @@ def pseudo_likelihood(docs: DataFrame) -> DataFrame:
     Null and empty texts have no words, a sum of 0 and a null mean. Null ids are kept, repeated rows give equal
     scores, other columns are ignored. An empty table gives an empty result.
     """
-    sequences = materialize(numbered(docs, vocabulary(docs)), "word-numbers")
+    rows = numbered(docs, vocabulary(docs)).withColumn("row", F.monotonically_increasing_id())
+    sequences = materialize(rows, "word-numbers")
     return score_sequences(sequences, trained_model(sequences))

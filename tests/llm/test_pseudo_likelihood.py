@@ -1,10 +1,13 @@
+import math
 import random
 from collections import Counter
 
 import numpy as np
+import xxhash
+from pyspark.sql import functions as F
 
 from riskloom.llm.pseudo_likelihood import (
-    EDGE, OWN_WORDS, ROUNDS, WindowNetwork, numbered, pseudo_likelihood, score_sequences, targets_of, trained_model, unpacked, vocabulary, words,
+    EDGE, OTHER_BUCKETS, OWN_WORDS, ROUNDS, WindowNetwork, numbered, pseudo_likelihood, score_sequences, targets_of, trained_model, unpacked, vocabulary, within_buckets, words,
 )
 from tests.llm.helpers import SF, empty_docs, odd_docs
 
@@ -73,3 +76,19 @@ def test_every_word_is_a_target_once(spark, frame):
     first = sequences.limit(1)
     blank, fitted = (score_sequences(first, n).first().log_likelihood for n in (WindowNetwork(), trained_model(sequences)))
     assert fitted > blank + 0.5
+
+
+def test_rare_words_have_shares_of_their_buckets(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    known = vocabulary(docs)
+    rare = [(r.doc_id, [w for w in words(r.text) if w not in known]) for r in docs.collect()]
+    count = Counter(w for _, own in rare for w in own)
+    bucket_of = lambda w: xxhash.xxh3_64_intdigest(w) % OTHER_BUCKETS
+    whole = Counter()
+    for w, n in count.items():
+        whole[bucket_of(w)] += n
+    expected = {i: sum(math.log(count[w] / whole[bucket_of(w)]) for w in own) for i, own in rare if own}
+    got = {r.row: r.within for r in within_buckets(numbered(docs, known).withColumn("row", F.col("doc_id"))).collect()}
+    assert expected.keys() == got.keys() and all(abs(got[i] - v) < 1e-5 for i, v in expected.items())
+    scored = pseudo_likelihood(docs)
+    assert scored.columns == ["doc_id", "n_words", "log_likelihood", "mean_log_likelihood"] and scored.count() == docs.count()
