@@ -16,6 +16,7 @@ from riskloom.llm.preferences import ECHO_SQL, echo_pairs, preference_pairs
 from riskloom.llm.pseudo_likelihood import pseudo_likelihood
 from riskloom.llm.quality_cnn import quality_scores
 from riskloom.llm.quality_rules import quality_rules
+from riskloom.llm.repetition_runs import run_digests, seeded_rewrite, word_runs
 from riskloom.llm.token_counts import token_counts
 
 #: Folder of the public tokenizer files.
@@ -63,8 +64,12 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_word_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return run_digests(word_runs(table(spark, sf_dir, "documents"), seeded_rewrite))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_containment_search, op2_masked_likelihood, op3_boosted_pii, op4_preference_pairs, op5_soft_mixing, op6_wrapper_text, op7_minmax_dedup, op8_token_counts, op9_byte_cnn, op10_quality_rules)
+    f.__name__: f for f in (op1_containment_search, op2_masked_likelihood, op3_boosted_pii, op4_preference_pairs, op5_soft_mixing, op6_wrapper_text, op7_minmax_dedup, op8_token_counts, op9_byte_cnn, op10_quality_rules, op11_word_runs)
 }
 ORACLES: dict[str, str] = {
     "op1_containment_search": CONTAINED_SQL,
