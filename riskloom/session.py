@@ -49,6 +49,19 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/riskloom/{label}-{uuid.uuid4().hex}"
 
 
+def stored(df: DataFrame, label: str) -> tuple[DataFrame, str]:
+    """``df`` written to the shared folder and read back, and where it lies, for ``discard``."""
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Remove a table of ``stored`` that nothing reads any more."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: cuts lineage and outlives executors."""
     path = scratch_path(df.sparkSession, label)
