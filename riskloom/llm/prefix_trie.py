@@ -278,7 +278,7 @@ WITH t AS (
          coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL
 ), convs AS (
   SELECT conv_id, ((list_reduce(list_prepend(4294967295, flatten(list_transform(string_split(CAST(conv_id AS VARCHAR), ''),
-         c -> [CAST(ascii(c) AS BIGINT), 0, 0, 0, 0, 0, 0, 0]))), lambda a, x: xor(xor(a, x) >> 1, 3988292384 * (xor(a, x) & 1))))) AS crc
+         lambda c: [CAST(ascii(c) AS BIGINT), 0, 0, 0, 0, 0, 0, 0]))), lambda a, x: xor(xor(a, x) >> 1, 3988292384 * (xor(a, x) & 1))))) AS crc
   FROM (SELECT DISTINCT conv_id FROM t)
 ), kept AS (
   SELECT conv_id, xor(crc, 4294967295) % 9 AS h FROM convs
