@@ -418,6 +418,26 @@ def root_histogram(df: DataFrame, *, features: str, label: str, weight: str | No
     return named.join(table, "slot").select("feature", "bin", "gradient", "hessian", "rows"), cuts
 
 
+def first_splits(df: DataFrame, *, features: str, label: str, names: Sequence[str], weight: str | None = None, settings: BoostingSettings = BoostingSettings()) -> DataFrame:
+    """The best split of each feature at the root of the first tree: feature, threshold, missing_left, gain, left_rows.
+
+    ``threshold`` is NULL where all present values go left; a feature without any valid split has no row.
+    """
+    table, cuts = root_histogram(df, features=features, label=label, weight=weight, settings=settings)
+    layout = Layout.of(cuts)
+    at = F.element_at(F.lit(layout.starts.tolist()), F.col("feature") + 1) + F.col("bin")
+    sums = _collected(table.select(at.alias("slot"), "gradient", "hessian", "rows"), 1, layout.total)[:, 0]
+    gains, found = split_gains(sums, layout, settings), []
+    for name, start, count, borders in zip(names, layout.starts, layout.counts, cuts, strict=True):
+        own = gains[:, start : start + count]
+        side, last = divmod(int(own.argmax()), int(count))
+        if own[side, last] > LEAST_GAIN:
+            border = float(borders[last - 1]) if last <= len(borders) else None
+            rows = int(sums[2, start + (not side) : start + last + 1].sum())
+            found.append((name, border, bool(side), float(own[side, last]), rows))
+    return df.sparkSession.createDataFrame(found, "feature STRING, threshold DOUBLE, missing_left BOOLEAN, gain DOUBLE, left_rows LONG")
+
+
 def _measured(rows: DataFrame) -> tuple[DataFrame, int]:
     first = rows.select(F.size("cells").alias("n")).first()
     if first is None:

@@ -29,8 +29,8 @@ BATCH_ROWS = 4096
 def leaf_paths(tree: Mapping) -> list[tuple[float, list[tuple[int, float, list[tuple[float, bool, bool]]]]]]:
     """(value, path) of every leaf; a path has each feature once: its share of training rows and its tests.
 
-    A test is (largest value that goes left, whether missing values go left, whether the path goes left). Leaves that
-    no training row has reached weigh nothing and are left out.
+    A test is (largest value that goes left, whether missing values go left, whether the path goes left). Below a node
+    that no training row has reached, both ways have the same share.
     """
     found = []
     waiting: list[tuple[int, dict]] = [(0, {})]
@@ -38,13 +38,12 @@ def leaf_paths(tree: Mapping) -> list[tuple[float, list[tuple[int, float, list[t
         node, path = waiting.pop()
         feature = tree["feature"][node]
         if feature < 0:
-            if tree["cover"][node] or not path:
-                found.append((tree["value"][node], [(f, share, tests) for f, (share, tests) in path.items()]))
+            found.append((tree["value"][node], [(f, share, tests) for f, (share, tests) in path.items()]))
             continue
         for side, goes_left in (("left", True), ("right", False)):
             child = tree[side][node]
             share, tests = path.get(feature, (1.0, []))
-            share *= tree["cover"][child] / tree["cover"][node] if tree["cover"][node] else 0.0
+            share *= tree["cover"][child] / tree["cover"][node] if tree["cover"][node] else 0.5
             test = (tree["threshold"][node], bool(tree["missing_left"][node]), goes_left)
             waiting.append((child, {**path, feature: (share, [*tests, test])}))
     return found
@@ -79,10 +78,11 @@ def _explainer():
                 known[0] *= share
             weights = [factorial(k) * factorial(d - 1 - k) / factorial(d) for k in range(d)]
             for one, (feature, share, _) in zip(follows, path, strict=True):
-                # without this feature: divide by (share + one x), from the top where one is 1, else by the share
+                # without this feature: divide by (share + one x), from the top where one is 1, else by the share; where
+                # both are 0 the feature adds nothing
                 rest, total = known[d], np.zeros(len(cells))
                 for k in range(d - 1, -1, -1):
-                    without = np.where(one > 0, rest, known[k] / share)
+                    without = np.where(one > 0, rest, known[k] / share if share else 0.0)
                     total += weights[k] * without
                     rest = known[k] - share * rest
                 values[:, feature] += value * (one - share) * total
@@ -128,6 +128,33 @@ def tree_shap(df: DataFrame, *, id_column: str, vector: str, base: float, trees:
     )
 
 
+def counted_cover(df: DataFrame, *, cells: str, trees: Sequence[Mapping]) -> list[dict]:
+    """The trees with ``cover`` counted over the rows of ``df``: for trees that come without their training counts."""
+    trees = [{**tree, "cover": [0] * len(tree["feature"])} for tree in trees]
+    plain = [(t["feature"], t["threshold"], t["missing_left"], t["left"], t["right"]) for t in trees]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = [np.zeros(len(t[0]), np.int64) for t in plain]
+        for batch in batches:
+            own = np.asarray(batch["cells"].flatten(), float).reshape(batch.num_rows, -1)
+            for count, (feature, border, missing_left, left, right) in zip(counts, plain, strict=True):
+                inside = {0: np.arange(len(own))}
+                for node in range(len(feature)):  # children come after their parents
+                    rows = inside.pop(node)
+                    count[node] += len(rows)
+                    if feature[node] >= 0:
+                        cell = own[rows, feature[node]]
+                        ok = np.where(np.isnan(cell), missing_left[node], cell <= border[node]).astype(bool)
+                        inside[left[node]], inside[right[node]] = rows[ok], rows[~ok]
+        rows = [(t, node, int(n)) for t, count in enumerate(counts) for node, n in enumerate(count)]
+        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows, strict=True)], ["tree", "node", "n"])
+
+    parts = df.select(F.col(cells).alias("cells")).mapInArrow(run, "tree long, node long, n long")
+    for row in parts.groupBy("tree", "node").agg(F.sum("n").alias("n")).collect():  # as many rows as the trees have nodes
+        trees[row["tree"]]["cover"][row["node"]] = row["n"]
+    return trees
+
+
 def forest_of(model: Model) -> tuple[float, list[dict]]:
     """Base value and trees of the library's booster or of a built-in tree model.
 

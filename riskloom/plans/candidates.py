@@ -8,12 +8,12 @@ from itertools import product
 
 from pyspark.ml import Estimator
 from pyspark.ml.classification import (
-    GBTClassifier,
     LogisticRegression,
     MultilayerPerceptronClassifier,
     RandomForestClassifier,
 )
 
+from riskloom.operators.boosting import BoostingSettings, LeafwiseBoosting
 from riskloom.operators.rebalance import strategies
 
 
@@ -72,12 +72,22 @@ def _forest(params: Mapping, shape: TrainingShape, seed: int) -> Estimator:
     )
 
 
-def _boosting(params: Mapping, shape: TrainingShape, seed: int) -> Estimator:
-    return GBTClassifier(
-        maxIter=params["n_estimators"], stepSize=params["learning_rate"], maxDepth=params["max_depth"],
-        subsamplingRate=0.8, featureSubsetStrategy="0.8", seed=seed,
-        **_weight_args(params.get("weighted", False)),
+def _shallow_boosting(params: Mapping, shape: TrainingShape, seed: int) -> Estimator:
+    # with as many leaves as the depth allows, trees grow level by level
+    depth = params["max_depth"]
+    settings = BoostingSettings(
+        trees=params["n_estimators"], learning_rate=params["learning_rate"], max_depth=depth, max_leaves=2**depth,
+        min_rows=1, min_hessian=1.0, penalty=1.0, row_share=0.8, column_share=0.8, seed=seed,
+    )
+    return LeafwiseBoosting(settings, **_weight_args(params.get("weighted", False)))
+
+
+def _leafy_boosting(params: Mapping, shape: TrainingShape, seed: int) -> Estimator:
+    settings = BoostingSettings(
+        trees=params["n_estimators"], learning_rate=params["learning_rate"], max_leaves=params["num_leaves"],
+        column_share=0.8, seed=seed,
     )
+    return LeafwiseBoosting(settings, **_weight_args(params.get("weighted", False)))
 
 
 def _perceptron(params: Mapping, shape: TrainingShape, seed: int) -> Estimator:
@@ -94,11 +104,11 @@ BASE_CANDIDATES = {
                   grid(C=[0.1, 0.5, 1.0, 2.0], penalty=["l1", "l2"]), weighting="balanced"),
         Candidate("random_forest", "random_forest", "RandomForestClassifier", _forest,
                   grid(n_estimators=[300], max_depth=[None, 16], min_samples_leaf=[1, 5]), weighting="balanced"),
-        Candidate("boosting_shallow", "boosting_shallow", "GBTClassifier", _boosting,
+        Candidate("boosting_shallow", "boosting_shallow", "LeafwiseBoosting", _shallow_boosting,
                   grid(n_estimators=[300, 500], learning_rate=[0.03, 0.05], max_depth=[4, 6]),
                   weighting="positive_ratio"),
-        Candidate("boosting_leafy", "boosting_leafy", "GBTClassifier", _boosting,
-                  grid(n_estimators=[300, 500], learning_rate=[0.03, 0.05], max_depth=[5, 6]),
+        Candidate("boosting_leafy", "boosting_leafy", "LeafwiseBoosting", _leafy_boosting,
+                  grid(n_estimators=[300, 500], learning_rate=[0.03, 0.05], num_leaves=[31, 63]),
                   weighting="balanced"),
         Candidate("mlp", "mlp", "MultilayerPerceptronClassifier", _perceptron,
                   grid(hidden_layer_sizes=[(64,), (64, 32)]), scaled=True),

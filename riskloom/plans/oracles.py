@@ -780,6 +780,55 @@ FROM clients GROUP BY TARGET"""
 ORACLES["batch_score_coverage"] = "SELECT count(*) AS scored, count(*) AS clients, count(*) AS consistent FROM customer"
 ORACLES["boosting_smote"] = """SELECT 'boosting_shallow__smote' AS model_name, 'smote' AS sampling_strategy, count(*) AS predictions,
 count(*) AS clients FROM customer"""
+_cells = f"""{_clients}, cells AS (SELECT clients.c_custkey, TARGET AS y, n AS n_orders, floor(c_acctbal / 100) AS balance,
+CAST(c_nationkey AS DOUBLE) AS nation FROM clients JOIN customer USING (c_custkey) LEFT JOIN
+(SELECT o_custkey, CAST(count(*) AS DOUBLE) AS n FROM orders GROUP BY 1) ON c_custkey = o_custkey)"""
+# Gradients and second derivatives of the logistic loss at the common share of ones, in whole units of 2 ** -24.
+ORACLES["boosting_split_gains"] = f"""WITH {_cells}, long AS (
+  SELECT 'n_orders' AS feature, n_orders AS v, y FROM cells UNION ALL SELECT 'balance', balance, y FROM cells UNION ALL SELECT 'nation', nation, y FROM cells
+), p AS (SELECT avg(y) AS p FROM cells), graded AS (
+  SELECT feature, v, CAST(round((p - y) * 16777216) AS BIGINT) AS g, CAST(round(p * (1 - p) * 16777216) AS BIGINT) AS h FROM long, p
+), absent AS (
+  SELECT feature, coalesce(sum(g) FILTER (v IS NULL), 0) AS mg, coalesce(sum(h) FILTER (v IS NULL), 0) AS mh, count(*) FILTER (v IS NULL) AS mn,
+  sum(g) AS tg, sum(h) AS th, count(*) AS tn, max(v) AS top FROM graded GROUP BY feature
+), below AS (
+  SELECT DISTINCT feature, v, sum(g) OVER w AS g, sum(h) OVER w AS h, count(*) OVER w AS n FROM graded WHERE v IS NOT NULL
+  WINDOW w AS (PARTITION BY feature ORDER BY v)
+), sides AS (
+  SELECT feature, v, side, g + side * mg AS lg, h + side * mh AS lh, n + side * mn AS ln, tg, th, tn, top
+  FROM below JOIN absent USING (feature), (VALUES (0), (1)) AS s(side)
+), gains AS (
+  SELECT *, (lg / 16777216.0) * (lg / 16777216.0) / (lh / 16777216.0) + ((tg - lg) / 16777216.0) * ((tg - lg) / 16777216.0) / ((th - lh) / 16777216.0)
+  - (tg / 16777216.0) * (tg / 16777216.0) / (th / 16777216.0) AS gain FROM sides
+  WHERE ln >= 20 AND tn - ln >= 20 AND lh >= 16777.216 AND th - lh >= 16777.216
+), best AS (
+  SELECT *, row_number() OVER (PARTITION BY feature ORDER BY gain DESC, side, v) AS place FROM gains
+)
+SELECT feature, CASE WHEN v < top THEN v END AS threshold, side = 1 AS missing_left, {rounded("gain", "gain", 4)}, ln AS left_rows
+FROM best WHERE place = 1 AND gain > 1e-9"""
+ORACLES["tree_shap_additivity"] = "SELECT c_custkey AS client_id, TRUE AS additive, TRUE AS base_is_mean FROM customer"
+# All eight sets of known features; an unknown one splits a client in the shares of all clients that reach the node.
+ORACLES["tree_shap_values"] = f"""WITH {_cells}, told AS (
+  SELECT c_custkey, CAST(coalesce(n_orders <= 10, TRUE) AS INT) AS o10, CAST(coalesce(n_orders <= 20, TRUE) AS INT) AS o20,
+  CAST(balance <= 20 AS INT) AS b20, CAST(balance <= 50 AS INT) AS b50, CAST(nation <= 12 AS INT) AS n12 FROM cells
+), shares AS (
+  SELECT avg(o10) AS so, avg(b20) FILTER (o10 = 1) AS sb, avg(n12) FILTER (o10 = 0) AS sn, avg(b50) AS sb50, avg(o20) FILTER (b50 = 0) AS so20 FROM told
+), known AS (
+  SELECT * FROM (VALUES (0), (1)) AS x(ko), (VALUES (0), (1)) AS y(kb), (VALUES (0), (1)) AS z(kn)
+), chances AS (
+  SELECT c_custkey, ko, kb, kn, CASE ko WHEN 1 THEN o10 ELSE so END AS po, CASE kb WHEN 1 THEN b20 ELSE coalesce(sb, 0.5) END AS pb,
+  CASE kn WHEN 1 THEN n12 ELSE coalesce(sn, 0.5) END AS pn, CASE kb WHEN 1 THEN b50 ELSE sb50 END AS qb, CASE ko WHEN 1 THEN o20 ELSE coalesce(so20, 0.5) END AS qo
+  FROM told, shares, known
+), game AS (
+  SELECT c_custkey, ko, kb, kn, CASE ko + kb + kn WHEN 0 THEN 2 WHEN 1 THEN 1 WHEN 2 THEN 2 END / 6.0 AS w_out,
+  CASE ko + kb + kn WHEN 1 THEN 2 WHEN 2 THEN 1 WHEN 3 THEN 2 END / 6.0 AS w_in,
+  po * (pb * 0.1 + (1 - pb) * -0.2) + (1 - po) * (pn * 0.3 + (1 - pn) * -0.1) + qb * 0.05 + (1 - qb) * (qo * -0.3 + (1 - qo) * 0.2) AS v FROM chances
+), sums AS (
+  SELECT c_custkey, sum(CASE ko WHEN 1 THEN w_in ELSE -w_out END * v) AS n_orders, sum(CASE kb WHEN 1 THEN w_in ELSE -w_out END * v) AS balance,
+  sum(CASE kn WHEN 1 THEN w_in ELSE -w_out END * v) AS nation, sum(v) FILTER (ko + kb + kn = 0) AS base FROM game GROUP BY c_custkey
+)
+SELECT c_custkey AS client_id, source_feature, {rounded("shap_value", "shap_value")}, {rounded("base", "base_value")}
+FROM (UNPIVOT sums ON n_orders, balance, nation INTO NAME source_feature VALUE shap_value)"""
 ORACLES["shap_additivity"] = "SELECT 6 AS clients, 6 AS additive, TRUE AS one_base"
 
 # ---- report views -----------------------------------------------------------------------------------

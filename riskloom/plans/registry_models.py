@@ -11,7 +11,9 @@ from pyspark.sql.streaming import StreamingQuery
 
 from riskloom.functions.payload import to_payload
 from riskloom.operators import explain, leaderboard
+from riskloom.operators.boosting import BoostingSettings, first_splits, margin_column, train
 from riskloom.operators.decisions import batch_predictions, positive_probability
+from riskloom.operators.tree_shap import counted_cover, shap_arrays, tree_shap
 from riskloom.plans import views
 from riskloom.plans.candidates import BASE_CANDIDATES, Candidate, expand_candidates, grid
 from riskloom.plans.experiment import feature_columns, refit, run_experiment
@@ -107,6 +109,62 @@ def boosting_smote(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+CELLS = ["n_orders", "balance", "nation"]
+
+
+def _client_cells(spark: SparkSession, sf: str) -> DataFrame:
+    """Every client with whole-number features as an array; clients without orders lack their count."""
+    balance = F.floor(F.col("c_acctbal") / 100).cast("double")
+    named = _clients(spark, sf).join(table(spark, sf, "customer").select("c_custkey", "c_nationkey"), "c_custkey")
+    cells = F.array(F.col("n_orders").cast("double"), balance, F.col("c_nationkey").cast("double"))
+    return named.select("c_custkey", F.col("TARGET").alias("label"), cells.alias("cells"))
+
+
+@query
+def boosting_split_gains(spark: SparkSession, sf: str) -> DataFrame:
+    """The best first split of every feature, from the summed histograms of all clients."""
+    return tidy(first_splits(_client_cells(spark, sf), features="cells", label="label", names=CELLS), 4)
+
+
+@query
+def tree_shap_additivity(spark: SparkSession, sf: str) -> DataFrame:
+    """Leaf-wise boosting on all clients; each client's Shapley values add up to its margin, their base is the mean."""
+    clients = _client_cells(spark, sf)
+    settings = BoostingSettings(trees=10, max_leaves=16, learning_rate=0.2)
+    base, trees = train(clients, features="cells", label="label", settings=settings)
+    trees = [vars(t) for t in trees]
+    present = clients.withColumn("cells", F.transform("cells", lambda v: F.coalesce(v, F.lit(float("nan")))))
+    margins = present.select(F.col("c_custkey").alias("client_id"), margin_column(F.col("cells"), base, trees).alias("margin"))
+    values = shap_arrays(present, id_column="c_custkey", cells="cells", base=base, trees=trees)
+    total = F.aggregate("values", F.lit(0.0), lambda a, v: a + v) + F.col("base_value")
+    joined = values.select("client_id", total.alias("total"), "base_value").join(margins, "client_id")
+    mean = margins.agg(F.avg("margin")).scalar()
+    return joined.select(
+        "client_id", (F.abs(F.col("total") - F.col("margin")) < 1e-9).alias("additive"),
+        (F.abs(F.col("base_value") - mean) < 1e-6).alias("base_is_mean"),
+    )
+
+
+#: Two trees on (orders, balance, nation): nodes as (feature, largest value to the left, missing left, left, right, value).
+SMALL_FOREST = [
+    [(0, 10.0, True, 1, 2, 0.0), (1, 20.0, False, 3, 4, 0.0), (2, 12.0, False, 5, 6, 0.0),
+     (-1, 0.0, False, 0, 0, 0.1), (-1, 0.0, False, 0, 0, -0.2), (-1, 0.0, False, 0, 0, 0.3), (-1, 0.0, False, 0, 0, -0.1)],
+    [(1, 50.0, False, 1, 2, 0.0), (-1, 0.0, False, 0, 0, 0.05), (0, 20.0, True, 3, 4, 0.0),
+     (-1, 0.0, False, 0, 0, -0.3), (-1, 0.0, False, 0, 0, 0.2)],
+]
+
+
+@query
+def tree_shap_values(spark: SparkSession, sf: str) -> DataFrame:
+    """Exact Shapley values of a small given forest for every client, covers counted over all clients."""
+    columns = ["feature", "threshold", "missing_left", "left", "right", "value"]
+    trees = [dict(zip(columns, map(list, zip(*nodes, strict=True)), strict=True)) for nodes in SMALL_FOREST]
+    clients = _client_cells(spark, sf).withColumn("cells", F.transform("cells", lambda v: F.coalesce(v, F.lit(float("nan")))))
+    trees = counted_cover(clients, cells="cells", trees=trees)
+    values = tree_shap(clients, id_column="c_custkey", vector="cells", base=0.0, trees=trees, names=[f"{c}__num" for c in CELLS])
+    return tidy(values.select("client_id", "source_feature", "shap_value", "base_value"))
+
+
 @query
 def shap_additivity(spark: SparkSession, sf: str) -> DataFrame:
     """Permutation values of some clients add up to their probability above one common base value."""

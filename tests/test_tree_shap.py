@@ -12,7 +12,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import functions as F
 
 from riskloom.operators.boosting import BoostingSettings, LeafwiseBoosting, train
-from riskloom.operators.tree_shap import expected_value, forest_of, leaf_paths, shap_arrays, tree_shap
+from riskloom.operators.tree_shap import counted_cover, expected_value, forest_of, leaf_paths, shap_arrays, tree_shap
 from tests.test_boosting import sample
 
 
@@ -63,6 +63,20 @@ def test_values_equal_all_subsets(boosted):
         np.testing.assert_allclose([got[i, f"f{k}"] for k in range(len(names))], subsets(trees, x[i]), atol=1e-12)
 
 
+def test_leaves_without_training_rows_count_where_a_row_reaches_them(frame):
+    tree = {"feature": [0, 1, -1, -1, 2, -1, -1], "threshold": [0.0, 0.0, 0.0, 0.0, 5.0, 0.0, 0.0], "missing_left": [False] * 7,
+            "left": [1, 2, 0, 0, 5, 0, 0], "right": [4, 3, 0, 0, 6, 0, 0], "value": [0.0, 0.0, 1.0, 2.0, 0.0, 3.0, 4.0]}
+    rows = [(1, [-1.0, -1.0, 9.0]), (2, [-1.0, -1.0, 1.0]), (3, [-2.0, -1.0, 1.0])]
+    df = frame(rows, "id long, cells array<double>")
+    (counted,) = counted_cover(df, cells="cells", trees=[tree])
+    assert counted["cover"] == [3, 3, 3, 0, 0, 0, 0]
+    asked = [*rows, (4, [1.0, 1.0, 1.0]), (5, [-1.0, 1.0, 9.0])]
+    values = shap_arrays(frame(asked, "id long, cells array<double>"), id_column="id", cells="cells", base=0.5, trees=[counted])
+    reached = {**counted, "cover": [3, 3, 3, 0, 1e-300, 5e-301, 5e-301]}
+    for r in values.collect():
+        np.testing.assert_allclose(r["values"], subsets([reached], dict(asked)[r.client_id]), atol=1e-12)
+
+
 def test_every_client_adds_up_to_its_margin(boosted):
     df, x, base, trees = boosted
     cells = df.withColumn("cells", F.transform("cells", lambda v: F.coalesce(v, F.lit(float("nan")))))
