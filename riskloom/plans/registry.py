@@ -288,8 +288,7 @@ def log_store(spark: SparkSession, sf: str) -> DataFrame:
         F.col("id").cast("string").alias("request_id"), "request_payload", "default_probability",
         "business_threshold", "predicted_default", "credit_decision", "latency_ms", "created_at",
     )
-    for name, rows in logs.prediction_log_rows(scored).items():
-        logs.append_log(rows, root, name)
+    logs.append_logs(logs.prediction_log_rows(scored), root)
     inputs = logs.load_production_inputs(spark, root, "k INT").select("prediction_log_id", "feature_count", "k")
     outputs = logs.load_production_outputs(spark, root).select(
         "prediction_log_id", "default_probability", "predicted_default", "credit_decision", "latency_ms"

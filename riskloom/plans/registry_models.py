@@ -20,6 +20,7 @@ from riskloom.plans.experiment import feature_columns, refit, run_experiment
 from riskloom.plans.registry import query, table, tidy, view
 from riskloom.session import scratch_path
 from riskloom.settings import DatasetSettings, ExperimentSettings
+from riskloom.sources.logs import read_log
 from riskloom.sources.models import ScoringBundle, load_bundle, save_bundle
 from riskloom.streaming import monitoring
 from riskloom.streaming.scoring import deduplicated, start_scoring
@@ -344,8 +345,8 @@ def stream_scoring(spark: SparkSession, sf: str) -> DataFrame:
         F.timestamp_seconds(F.lit(1_704_067_200) + F.col("c_custkey")).alias("created_at"),
     )
     _finish(start_scoring(requests, bundle, log_root=f"{root}/logs", checkpoint=f"{root}/checkpoint"))
-    calls = spark.read.parquet(f"{root}/logs/api_call_logs")
-    scored = spark.read.parquet(f"{root}/logs/prediction_logs").select("id", F.lit(1).alias("scored"))
+    calls = read_log(spark, f"{root}/logs", "api_call_logs")
+    scored = read_log(spark, f"{root}/logs", "prediction_logs").select("id", F.lit(1).alias("scored"))
     return calls.join(scored, "id", "left").groupBy("status_code", "path").agg(
         F.count("*").alias("calls"), F.count("request_payload").alias("payloads"), F.count("scored").alias("scored"),
         F.sum("latency_ms").alias("latency_total"),

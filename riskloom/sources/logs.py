@@ -1,7 +1,15 @@
-"""Production log store: four append-only tables partitioned by day, readable from Parquet or JDBC."""
+"""Production log store: four append-only tables partitioned by day, readable from Parquet or JDBC.
+
+The rows of a batch go to several tables, and are either all readable or not at all: parts are written first, each
+batch to folders of its own (``attempt=...``), then one small commit file names the attempt. Readers take committed
+attempts only, so what a crash leaves behind is never read, and a batch that is replayed after its commit is not
+written again. ``compact_logs`` puts many small attempts into one by a commit that replaces theirs.
+"""
 
 from __future__ import annotations
 
+import json
+import uuid
 from collections.abc import Mapping, Sequence
 
 from pyspark.errors import AnalysisException
@@ -13,8 +21,12 @@ from riskloom.functions import reason_phrase, truncate
 from riskloom.functions.payload import flatten_json, payload_object, payload_size
 from riskloom.operators.oplogs import FIRST_ERROR_STATUS
 from riskloom.schemas import LOG_SCHEMAS, RESPONSE_SCHEMA, log_schema
+from riskloom.session import discard
 
-LOG_DAY = "log_date"
+LOG_DAY, ATTEMPT = "log_date", "attempt"
+COMMITS, COMMIT_SCHEMA = "commits", "attempt STRING, tables ARRAY<STRING>, replaces ARRAY<STRING>"
+#: What a table without any file is told by.
+ABSENT = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
 INPUT_METADATA = ["id", "prediction_log_id", "created_at", "feature_count"]
 OUTPUT_METADATA = [
     "id", "prediction_log_id", "created_at", "default_probability", "business_threshold",
@@ -27,8 +39,8 @@ def create_log_tables(spark: SparkSession, database: str = "default") -> list[st
     names = []
     for table, columns in LOG_SCHEMAS.items():
         spark.sql(
-            f"CREATE TABLE IF NOT EXISTS {database}.{table} ({columns}, {LOG_DAY} DATE, batch_id INT) "
-            f"USING parquet PARTITIONED BY ({LOG_DAY}, batch_id)"
+            f"CREATE TABLE IF NOT EXISTS {database}.{table} ({columns}, {ATTEMPT} STRING, {LOG_DAY} DATE) "
+            f"USING parquet PARTITIONED BY ({ATTEMPT}, {LOG_DAY})"
         )
         names.append(f"{database}.{table}")
     return names
@@ -53,8 +65,8 @@ def read_log(
     since: str | None = None,
     jdbc: Mapping[str, str] | None = None,
 ) -> DataFrame:
-    """One log table; an absent table reads as empty, every other failure is raised. ``since`` (a date) prunes day
-    partitions.
+    """The committed rows of one log table; an absent table reads as empty, every other failure is raised. ``since``
+    (a date) prunes day partitions. A table written by others, without attempts, is read as it is.
 
     ``jdbc`` holds connection options; add partitionColumn, lowerBound, upperBound and numPartitions to
     read in parallel.
@@ -70,9 +82,11 @@ def read_log(
         try:
             raw = spark.read.parquet(f"{root.rstrip('/')}/{table}")
         except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
+            if error.getCondition() not in ABSENT:
                 raise
             return _empty(spark, table)
+        if ATTEMPT in raw.columns:
+            raw = raw.join(committed(spark, root).filter(F.array_contains("tables", table)), ATTEMPT, "left_semi")
     if since is not None:
         day = F.col(LOG_DAY) if LOG_DAY in raw.columns else F.to_date("created_at")
         raw = raw.filter(day >= F.lit(since).cast("date"))
@@ -185,16 +199,100 @@ def _typed(df: DataFrame, table: str) -> DataFrame:
     return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in log_schema(table)])
 
 
-def append_log(df: DataFrame, root: str, table: str, *, batch: int | None = None) -> str:
-    """Append rows to a log table, partitioned by day and batch.
+def _entries(spark: SparkSession, root: str) -> DataFrame:
+    try:
+        return spark.read.schema(COMMIT_SCHEMA).json(f"{root.rstrip('/')}/{COMMITS}")
+    except AnalysisException as error:
+        if error.getCondition() not in ABSENT:
+            raise
+        return spark.createDataFrame([], COMMIT_SCHEMA)
+
+
+def committed(spark: SparkSession, root: str) -> DataFrame:
+    """(attempt, tables) of every commit that no later one has replaced."""
+    entries = _entries(spark, root)
+    replaced = entries.select(F.explode("replaces").alias(ATTEMPT))
+    return entries.join(replaced, ATTEMPT, "left_anti").select(ATTEMPT, "tables")
+
+
+def _publish(spark: SparkSession, root: str, name: str, entry: Mapping) -> bool:
+    """Make a commit visible by one rename; False if there is one of this name already."""
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    final = path(f"{root.rstrip('/')}/{COMMITS}/{name}.json")
+    draft = path(f"{root.rstrip('/')}/{COMMITS}/.{uuid.uuid4().hex}.draft")  # hidden from readers
+    files = final.getFileSystem(spark._jsc.hadoopConfiguration())
+    out = files.create(draft, False)
+    try:
+        out.write(bytearray(json.dumps(entry).encode()))
+    finally:
+        out.close()
+    if not files.exists(final) and files.rename(draft, final):
+        return True
+    files.delete(draft, False)
+    return False
+
+
+def _is_published(spark: SparkSession, root: str, name: str) -> bool:
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/{COMMITS}/{name}.json")
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
+
+
+def _write_attempt(rows: Mapping[str, DataFrame], root: str, name: str, replaces: Sequence[str] = ()) -> bool:
+    """Parts of all tables, then their commit."""
+    spark = next(iter(rows.values())).sparkSession
+    attempt = f"a{uuid.uuid4().hex}"
+    for table, df in rows.items():
+        dated = df.withColumns({ATTEMPT: F.lit(attempt), LOG_DAY: F.to_date("created_at")})
+        dated.write.mode("append").partitionBy(ATTEMPT, LOG_DAY).parquet(f"{root.rstrip('/')}/{table}")
+    entry = {"attempt": attempt, "tables": sorted(rows), "replaces": list(replaces)}
+    if _publish(spark, root, name or attempt, entry):
+        return True
+    for table in rows:  # another writer has committed the same batch meanwhile
+        discard(spark, f"{root.rstrip('/')}/{table}/{ATTEMPT}={attempt}")
+    return False
+
+
+def append_logs(rows: Mapping[str, DataFrame], root: str, *, batch: int | None = None, writer: str = "main") -> bool:
+    """Append rows to several log tables as one commit; False if this batch of this writer has been committed before.
+
+    Without ``batch`` every call is a batch of its own. Batch numbers are counted by ``writer``: streams that log to
+    the same folder, or that start anew, need names of their own.
+    """
+    if not rows:
+        return False
+    spark = next(iter(rows.values())).sparkSession
+    name = "" if batch is None else f"{writer}-{int(batch)}"
+    if name and _is_published(spark, root, name):
+        return False
+    return _write_attempt(rows, root, name)
+
+
+def append_log(df: DataFrame, root: str, table: str, *, batch: int | None = None, writer: str = "main") -> str:
+    """Append rows to one log table, as a commit of its own."""
+    append_logs({table: df}, root, batch=batch, writer=f"{writer}-{table}")
+    return f"{root.rstrip('/')}/{table}"
+
+
+def compact_logs(spark: SparkSession, root: str, *, tables: Sequence[str] = tuple(LOG_SCHEMAS)) -> int:
+    """Write all committed rows as one attempt that replaces theirs; returns how many attempts it replaced.
 
-    With ``batch`` (a micro-batch number) a replay overwrites the partitions of that batch only.
+    Readers see either the old attempts or the new one. Only one compaction may run at a time.
     """
-    path = f"{root.rstrip('/')}/{table}"
-    dated = df.withColumns({LOG_DAY: F.to_date("created_at"), "batch_id": F.lit(-1 if batch is None else int(batch))})
-    writer = dated.write.mode("append" if batch is None else "overwrite")
-    writer.option("partitionOverwriteMode", "dynamic").partitionBy(LOG_DAY, "batch_id").parquet(path)
-    return path
+    old = [r[ATTEMPT] for r in committed(spark, root).select(ATTEMPT).collect()]  # as many as batches since the last time
+    if len(old) < 2:
+        return 0
+    rows = {table: read_log(spark, root, table) for table in tables}
+    _write_attempt(rows, root, "", replaces=old)
+    return len(old)
+
+
+def drop_replaced(spark: SparkSession, root: str, *, tables: Sequence[str] = tuple(LOG_SCHEMAS)) -> int:
+    """Remove the parts of replaced attempts, once no reader that began before the compaction is left."""
+    gone = [r[0] for r in _entries(spark, root).select(F.explode("replaces")).distinct().collect()]
+    for attempt in gone:
+        for table in tables:
+            discard(spark, f"{root.rstrip('/')}/{table}/{ATTEMPT}={attempt}")
+    return len(gone)
 
 
 def export_logs(spark: SparkSession, root: str, target: str, *, tables: Sequence[str] = tuple(LOG_SCHEMAS)) -> list[str]:

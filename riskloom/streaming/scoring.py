@@ -1,7 +1,7 @@
 """Streaming scoring: JSON requests -> validation -> model -> decision -> four log tables.
 
-Each micro-batch writes its own ``batch_id`` partition in overwrite mode and log ids are hashes of the
-request id, so a batch replayed after a failure replaces its rows instead of repeating them.
+The four tables of a micro-batch are one commit of the log store, named by the query and the batch: a crash leaves all
+of them or none, and a batch replayed after its commit is not written again.
 """
 
 from __future__ import annotations
@@ -16,7 +16,7 @@ from pyspark.storagelevel import StorageLevel
 from riskloom.operators.decisions import score
 from riskloom.operators.oplogs import PREDICT_PATH
 from riskloom.operators.validation import ALL_RULES, Rule, parse_requests
-from riskloom.sources.logs import api_call_rows, append_log, prediction_log_rows
+from riskloom.sources.logs import api_call_rows, append_logs, prediction_log_rows
 from riskloom.sources.models import ScoringBundle
 
 ACCEPTED, REJECTED = 200, 422
@@ -35,8 +35,11 @@ def checked_requests(
     return parsed.withColumn("status_code", F.when(F.size("violations") > 0, REJECTED).otherwise(ACCEPTED))
 
 
-def log_batch(bundle: ScoringBundle, log_root: str) -> Callable[[DataFrame, int], None]:
-    """foreachBatch handler: valid requests are scored and logged, every request is logged as a call."""
+def log_batch(bundle: ScoringBundle, log_root: str, writer: str = "scoring") -> Callable[[DataFrame, int], None]:
+    """foreachBatch handler: valid requests are scored and logged, every request is logged as a call.
+
+    Batches are named by the query's own id, which a new checkpoint changes; ``writer`` serves where there is none.
+    """
     keep = ["request_id", "request_payload", "latency_ms", "created_at"]
 
     def handle(batch: DataFrame, batch_id: int) -> None:
@@ -44,8 +47,6 @@ def log_batch(bundle: ScoringBundle, log_root: str) -> Callable[[DataFrame, int]
         try:
             accepted = held.filter(F.col("status_code") == ACCEPTED)
             scored = score(accepted, bundle.model, keep=keep, threshold=bundle.threshold)
-            for table, rows in prediction_log_rows(scored).items():
-                append_log(rows, log_root, table, batch=batch_id)
             calls = held.withColumns(
                 {
                     "method": F.lit("POST"),
@@ -53,7 +54,9 @@ def log_batch(bundle: ScoringBundle, log_root: str) -> Callable[[DataFrame, int]
                     "error_message": F.when(F.size("violations") > 0, F.concat_ws(" ", "violations")),
                 }
             )
-            append_log(api_call_rows(calls), log_root, "api_call_logs", batch=batch_id)
+            query = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+            rows = {**prediction_log_rows(scored), "api_call_logs": api_call_rows(calls)}
+            append_logs(rows, log_root, batch=batch_id, writer=query or writer)
         finally:
             held.unpersist()
 

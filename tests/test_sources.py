@@ -89,9 +89,8 @@ def scored(frame):
 
 def test_log_store_roundtrip_and_replay(spark, tmp_path, frame):
     root = str(tmp_path / "logs")
-    for _ in range(2):  # the same micro-batch twice leaves one copy
-        for table, rows in logs.prediction_log_rows(scored(frame)).items():
-            logs.append_log(rows, root, table, batch=7)
+    for first in (True, False):  # the same micro-batch twice leaves one copy
+        assert logs.append_logs(logs.prediction_log_rows(scored(frame)), root, batch=7) is first
     inputs = logs.load_production_inputs(spark, root).orderBy("feature_count").collect()
     assert [(r["feature_count"], r["AGE_YEARS"], r["CODE_GENDER"]) for r in inputs] == [(1, 50.0, None), (2, 30.0, "F")]
     outputs = {r["credit_decision"]: r for r in logs.load_production_outputs(spark, root).collect()}
@@ -102,6 +101,40 @@ def test_log_store_roundtrip_and_replay(spark, tmp_path, frame):
     assert len(exported) == 4 and spark.read.option("header", True).csv(exported[0]).count() == 2
 
 
+def test_a_crash_between_the_tables_leaves_no_part_of_a_prediction(spark, tmp_path, frame):
+    root = str(tmp_path / "logs")
+    rows = logs.prediction_log_rows(scored(frame))
+    logs.append_logs(rows, root, batch=0)
+    fails = F.raise_error(F.lit("lost executor")).cast("string")
+    broken = {**rows, "production_outputs": rows["production_outputs"].withColumn("credit_decision", fails)}
+    with pytest.raises(Exception, match="lost executor"):
+        logs.append_logs(broken, root, batch=1)
+    written = spark.read.parquet(f"{root}/production_inputs").count()
+    assert written == 4  # the parts of two tables are there, but no reader sees them
+    for table in rows:
+        assert logs.read_log(spark, root, table).count() == 2
+    assert logs.append_logs(rows, root, batch=1) and not logs.append_logs(rows, root, batch=1)
+    assert logs.append_logs(rows, root, batch=1, writer="other")
+    for table in rows:
+        assert logs.read_log(spark, root, table).count() == 6
+    before = sorted(map(repr, logs.read_log(spark, root, "production_outputs").collect()))
+    assert logs.compact_logs(spark, root) == 3 and logs.compact_logs(spark, root) == 0
+    assert logs.drop_replaced(spark, root) == 3
+    assert sorted(map(repr, logs.read_log(spark, root, "production_outputs").collect())) == before
+    assert not logs.append_logs(rows, root, batch=1) and logs.append_logs(rows, root, batch=2)
+    assert logs.read_log(spark, root, "prediction_logs").count() == 8
+
+
+def test_a_commit_of_the_same_batch_by_another_writer_wins(spark, tmp_path, frame, monkeypatch):
+    root = str(tmp_path / "logs")
+    rows = logs.prediction_log_rows(scored(frame))
+    logs.append_logs(rows, root, batch=3)
+    monkeypatch.setattr(logs, "_is_published", lambda *_: False)  # both writers looked before either had committed
+    assert not logs.append_logs(rows, root, batch=3)
+    assert spark.read.parquet(f"{root}/prediction_logs").count() == 2
+    assert logs.append_logs({}, root) is False
+
+
 def test_fallback_to_the_prediction_log(spark, tmp_path, frame):
     root = str(tmp_path / "logs")
     logs.append_log(logs.prediction_log_rows(scored(frame))["prediction_logs"], root, "prediction_logs")
