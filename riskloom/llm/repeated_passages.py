@@ -162,8 +162,9 @@ def repeated_spots(keyed: DataFrame) -> DataFrame:
     spark = keyed.sparkSession
     seeds, seeds_path = stored(keyed.select("rid", "tag", "text").mapInArrow(_seeds, SEEDS), "seeds")
     per_anchor = seeds.groupBy("anchor").agg(F.count("*").alias("n"), F.min("reach").alias("low"), F.max("reach").alias("high"))
-    joined = seeds.join(per_anchor.where("n > 1").selectExpr("anchor", "low = high AS alike"), "anchor")
-    joined, _ = stored(joined, "joined-seeds")
+    # Stored before the join, as below: both sides are then plain exchanges, and a hot anchor's seeds can be split.
+    shared, _ = stored(per_anchor.where("n > 1").selectExpr("anchor", "low = high AS alike"), "shared-anchors")
+    joined, _ = stored(seeds.join(shared, "anchor"), "joined-seeds")
     discard(spark, seeds_path)
     apart = joined.where("NOT alike")
     groups = apart.groupBy("anchor", "reach").agg(F.count("*").alias("n"), F.min(F.struct("rid", "spot")).alias("one"))
@@ -172,6 +173,7 @@ def repeated_spots(keyed: DataFrame) -> DataFrame:
     asked = _gathered(groups.select("one.rid", "one.spot"))
     windows, _ = stored(keyed.join(asked, "rid").select("rid", "tag", "text", "spots").mapInArrow(_extended, EXTENDED), "extended-seeds")
     twice = windows.groupBy("left", "right").agg(F.count("*").alias("n")).where("n > 1").select("left", "right")
+    twice, _ = stored(twice, "shared-windows")
     single = windows.join(twice, ["left", "right"]).select("rid", "spot")
     return joined.where("alike").select("rid", "spot").unionByName(whole).unionByName(single)
 
