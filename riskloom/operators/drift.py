@@ -8,6 +8,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -56,8 +58,53 @@ def drift_level(
     )
 
 
-def ks_pvalue(statistic: Column, n: Column, m: Column, terms: int = 40) -> Column:
-    """Asymptotic two-sided p-value of the two-sample KS statistic."""
+#: The KS p-value is exact up to this many values on the larger side, asymptotic beyond.
+EXACT_KS_ROWS = 10_000
+
+
+def _path_share():
+    """A function that gives the share of lattice paths from (0, 0) to (n, m) that reach |i m - j n| >= steps."""
+
+    def share(steps: int, n: int, m: int) -> float:
+        if steps <= 0:
+            return 1.0
+        outside, low, chance = 0.0, 0, np.ones(1)  # chance of being at (low + place, k - low - place), still inside
+        for k in range(1, n + m + 1):
+            rest = n + m - k + 1
+            i = np.arange(low, low + len(chance) + 1)
+            moved = np.zeros(len(i))
+            moved[:-1] += chance * ((m - (k - 1 - i[:-1])) / rest)
+            moved[1:] += chance * ((n - i[:-1]) / rest)
+            inside = np.abs(i * m - (k - i) * n) < steps
+            outside += moved[~inside].sum()
+            kept = np.flatnonzero(inside)
+            if not len(kept):
+                break
+            low, chance = low + int(kept[0]), moved[kept[0] : kept[-1] + 1]
+        return min(float(outside), 1.0)
+
+    return share
+
+
+def exact_ks_pvalue(steps: Column, n: Column, m: Column) -> Column:
+    """Chance that two samples of n and m values from one distribution are at least ``steps / (n m)`` apart.
+
+    All orders of the values are equally likely, and each is a path of steps to the right and up; the chances of being
+    inside the band are carried from diagonal to diagonal, so nothing overflows, and what leaves the band is summed.
+    NULL beyond EXACT_KS_ROWS.
+    """
+    share, most = _path_share(), EXACT_KS_ROWS
+
+    @F.pandas_udf("double")
+    def pvalue(steps: pd.Series, n: pd.Series, m: pd.Series) -> pd.Series:
+        rows = zip(steps, n, m, strict=True)
+        return pd.Series([share(int(s), int(a), int(b)) if pd.notna(s) and 0 < min(a, b) and max(a, b) <= most else None for s, a, b in rows], dtype="float64")
+
+    return pvalue(steps, n, m)
+
+
+def asymptotic_ks_pvalue(statistic: Column, n: Column, m: Column, terms: int = 40) -> Column:
+    """Two-sided p-value of the two-sample KS statistic for large samples."""
     scaled = F.sqrt(n * m / (n + m)) * statistic
     series = F.aggregate(
         F.sequence(F.lit(1), F.lit(terms)),
@@ -67,6 +114,11 @@ def ks_pvalue(statistic: Column, n: Column, m: Column, terms: int = 40) -> Colum
     return F.when(scaled < 0.04, 1.0).otherwise(F.greatest(F.least(series, F.lit(1.0)), F.lit(0.0)))
 
 
+def ks_pvalue(statistic: Column, steps: Column, n: Column, m: Column) -> Column:
+    """Exact where ``steps`` (the statistic times n m) is given, that is for small samples, else asymptotic."""
+    return F.when(statistic.isNotNull(), F.coalesce(exact_ks_pvalue(steps, n, m), asymptotic_ks_pvalue(statistic, n, m)))
+
+
 def _side_by_side(reference: DataFrame, current: DataFrame, columns: Sequence[str], kind: str) -> DataFrame:
     """(feature, value, ref, cur) with one row per distinct value and how often each side holds it."""
 
@@ -103,7 +155,11 @@ def numeric_drift(
         safe_ratio(F.col("ref_before") + F.col("ref"), "ref_total")
         - safe_ratio(F.col("cur_before") + F.col("cur"), "cur_total")
     )
+    # The same gap in whole steps, for the exact p-value of small samples.
+    whole = (F.col("ref_before") + F.col("ref")) * F.col("cur_total") - (F.col("cur_before") + F.col("cur")) * F.col("ref_total")
+    small = F.greatest("ref_total", "cur_total") <= EXACT_KS_ROWS
     profile = ordered.groupBy("feature").agg(
+        F.max(F.when(small, F.abs(whole))).alias("steps"),
         quantile_hits("value", [i / bins for i in range(bins + 1)], count="ref").alias("hits"),
         F.count_if(F.col("ref") > 0).alias("ref_distinct"),
         F.max(gap).alias("gap"),
@@ -120,6 +176,7 @@ def numeric_drift(
         "feature",
         "nr",
         "nc",
+        "steps",
         F.when((F.col("nr") > 1) & (F.col("nc") > 1), F.col("gap")).alias("ks_statistic"),
         safe_ratio("ref_sum", "nr").alias("reference_mean"),
         safe_ratio("cur_sum", "nc").alias("current_mean"),
@@ -129,7 +186,7 @@ def numeric_drift(
         .alias("inner_edges"),
     )
 
-    facts = ["nr", "nc", "ks_statistic", "reference_mean", "current_mean"]
+    facts = ["nr", "nc", "steps", "ks_statistic", "reference_mean", "current_mean"]
     binned = (
         values.filter("value IS NOT NULL")
         .join(F.broadcast(profile), "feature")  # one row per numeric column of the table
@@ -149,7 +206,7 @@ def numeric_drift(
             "reference_missing_rate": 1.0 - safe_ratio("nr", "ref_rows"),
             "current_missing_rate": 1.0 - safe_ratio("nc", "current_rows"),
             "mean_delta": F.col("current_mean") - F.col("reference_mean"),
-            "ks_pvalue": ks_pvalue(F.col("ks_statistic"), F.col("nr"), F.col("nc")),
+            "ks_pvalue": ks_pvalue(F.col("ks_statistic"), F.col("steps"), F.col("nr"), F.col("nc")),
         }
     )
     return _finish(report, settings, ks=F.col("ks_statistic")).select(*NUMERIC_COLUMNS).orderBy(F.desc("psi"), "feature")

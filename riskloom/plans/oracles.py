@@ -551,6 +551,11 @@ def _level(ks: bool) -> str:
             f"WHEN {moderate} THEN 'moderate' ELSE 'low' END AS drift_level")
 
 
+def _ks_series(scaled: str) -> str:
+    terms = f"list_transform(range(1, 41), lambda k: CASE WHEN k % 2 = 1 THEN 2.0 ELSE -2.0 END * exp(-2.0 * k * k * ({scaled}) * ({scaled})))"
+    return f"CASE WHEN {scaled} < 0.04 THEN 1.0 ELSE greatest(least(list_sum({terms}), 1.0), 0.0) END"
+
+
 _probes = ", ".join(f"{i / 10}" for i in range(11))
 _long_numbers = " UNION ALL ".join(
     f"SELECT '{c}' AS feature, CAST({c} AS DOUBLE) AS v, is_current AS cur FROM periods" for c in DRIFT_NUMBERS
@@ -575,7 +580,23 @@ FROM basic JOIN psis USING (feature) JOIN kss USING (feature)),
 numeric_report AS (SELECT *, {_level(True)} FROM num)"""
 ORACLES["numeric_drift"] = f"""WITH {PERIODS}, {NUMERIC} SELECT feature, feature_type,
 {", ".join(rounded(c, c) for c in ("reference_missing_rate", "current_missing_rate", "missing_rate_delta", "reference_mean", "current_mean", "mean_delta", "psi", "ks_statistic"))},
-current_rows, drift_level FROM numeric_report"""
+{rounded(_ks_series("sqrt(nr * nc / (nr + nc)::DOUBLE) * ks_statistic"), "ks_pvalue")}, current_rows, drift_level FROM numeric_report"""
+# Paths of one step per value, row by row: prev[j + 2] counts those to (i, j) that stay inside the band, as a share of 2 ** (i + j).
+ORACLES["ks_small_samples"] = f"""WITH RECURSIVE sides AS (SELECT s_nationkey >= 12 AS cur, floor(s_acctbal) AS balance, CAST(s_suppkey % 7 AS DOUBLE) AS week FROM supplier),
+vals AS (SELECT cur, feature, v FROM (UNPIVOT sides ON balance, week INTO NAME feature VALUE v)),
+sizes AS (SELECT feature, count(*) FILTER (NOT cur) AS n, count(*) FILTER (cur) AS m FROM vals GROUP BY feature),
+gaps AS (SELECT feature, max(abs(cr * m - cc * n)) AS h FROM (SELECT DISTINCT feature, v, count(*) FILTER (NOT cur) OVER w AS cr, count(*) FILTER (cur) OVER w AS cc
+  FROM vals WINDOW w AS (PARTITION BY feature ORDER BY v)) JOIN sizes USING (feature) GROUP BY feature),
+paths AS (
+  SELECT feature, n, m, h, CAST(0 AS BIGINT) AS i, list_prepend(0.0::DOUBLE, list_transform(range(0, m + 1), lambda j: CASE WHEN j * n < h THEN pow(0.5::DOUBLE, j) ELSE 0.0 END)) AS prev
+  FROM sizes JOIN gaps USING (feature)
+  UNION ALL SELECT feature, n, m, h, i + 1, list_reduce(list_prepend([0.0::DOUBLE], list_transform(range(0, m + 1), lambda j: [j::DOUBLE])),
+    lambda acc, x: list_append(acc, CASE WHEN abs((i + 1) * m - x[1] * n) < h THEN (prev[CAST(x[1] AS INT) + 2] + acc[len(acc)]) / 2 ELSE 0.0 END))
+  FROM paths WHERE i < n
+)
+SELECT feature, {rounded("h / (n * m)::DOUBLE", "ks_statistic")},
+{rounded("1 - exp(ln(greatest(prev[m + 2], 1e-300)) + (n + m) * ln(2) - lgamma(n + m + 1) + lgamma(n + 1) + lgamma(m + 1))", "ks_pvalue")}, m AS current_rows
+FROM paths WHERE i = n"""
 _long_texts = " UNION ALL ".join(f"SELECT '{c}' AS feature, {c} AS v, is_current AS cur FROM periods" for c in ("status", "source"))
 CATEGORICAL = f"""texts AS ({_long_texts}),
 tbasic AS (SELECT feature, 'categorical' AS feature_type,
@@ -603,6 +624,34 @@ ORDER BY everything.psi DESC, feature LIMIT 3"""
 ORACLES["stream_drift"] = f"""WITH {PERIODS}, {NUMERIC}, {CATEGORICAL}
 SELECT feature, {rounded("psi", "psi")}, drift_level, current_rows FROM numeric_report
 UNION ALL SELECT feature, {rounded("psi", "psi")}, drift_level, current_rows FROM categorical_report"""
+# Windows of 90 days since 1970; every bin of the reference takes part in every window.
+_window = "time_bucket(INTERVAL 90 DAY, created_at, TIMESTAMP '1970-01-01')"
+_timed_numbers = " UNION ALL ".join(f"SELECT '{c}' AS feature, CAST({c} AS DOUBLE) AS v, is_current AS cur, {_window} AS w FROM periods" for c in DRIFT_NUMBERS)
+_timed_texts = " UNION ALL ".join(f"SELECT '{c}' AS feature, {c} AS v, is_current AS cur, {_window} AS w FROM periods" for c in ("status", "source"))
+ORACLES["stream_window_drift"] = f"""WITH periods AS ({plain(views.TIMED_PERIODS)}), nums AS ({_timed_numbers}), texts AS ({_timed_texts}),
+edges AS (SELECT feature, list_sort(list_distinct(quantile_cont(v, [{_probes}]) FILTER (NOT cur))) AS e FROM nums GROUP BY feature),
+inner_ AS (SELECT feature, CASE WHEN len(e) >= 3 THEN e[2:len(e) - 1] ELSE [] END AS e FROM edges WHERE len(e) >= 2),
+tops AS (SELECT feature, v, row_number() OVER (PARTITION BY feature ORDER BY count(*) DESC, v) AS place FROM texts WHERE NOT cur AND v IS NOT NULL GROUP BY feature, v),
+binned AS (SELECT feature, 'numeric' AS kind, cur, w, CASE WHEN v IS NULL THEN -1 ELSE len(list_filter(e, lambda x: x <= v)) + 1 END AS bin FROM nums JOIN inner_ USING (feature)
+  UNION ALL SELECT t.feature, 'categorical', cur, w, CASE WHEN t.v IS NULL THEN -1 WHEN place <= 20 THEN place ELSE 0 END FROM texts t LEFT JOIN tops p ON t.feature = p.feature AND t.v = p.v),
+ref AS (SELECT feature, kind, bin, count(*) AS r FROM binned WHERE NOT cur GROUP BY ALL),
+cur AS (SELECT w, feature, bin, count(*) AS c FROM binned WHERE cur GROUP BY ALL),
+slots AS (SELECT DISTINCT feature, kind, bin FROM binned),
+grid AS (SELECT ws.w, s.feature, s.kind, s.bin, coalesce(r, 0) AS r, coalesce(c, 0) AS c FROM (SELECT DISTINCT w FROM cur) ws, slots s
+  LEFT JOIN ref ON ref.feature = s.feature AND ref.bin = s.bin LEFT JOIN cur ON cur.w = ws.w AND cur.feature = s.feature AND cur.bin = s.bin),
+based AS (SELECT *, sum(c) OVER f AS rows_, sum(r) OVER f AS ref_rows, sum(CASE WHEN kind = 'categorical' OR bin >= 0 THEN r END) OVER f AS rb,
+  sum(CASE WHEN kind = 'categorical' OR bin >= 0 THEN c END) OVER f AS cb, sum(CASE WHEN bin >= 0 THEN r ELSE 0 END) OVER o AS rbelow,
+  sum(CASE WHEN bin >= 0 THEN c ELSE 0 END) OVER o AS cbelow FROM grid WINDOW f AS (PARTITION BY w, feature), o AS (PARTITION BY w, feature ORDER BY bin)),
+told AS (SELECT w, feature, kind, sum(CASE WHEN bin = -1 THEN r ELSE 0 END) / max(ref_rows)::DOUBLE AS reference_missing_rate,
+  sum(CASE WHEN bin = -1 THEN c ELSE 0 END) / max(rows_)::DOUBLE AS current_missing_rate, max(rows_) AS current_rows,
+  max(CASE WHEN kind = 'numeric' AND bin >= 0 THEN abs(rbelow / rb::DOUBLE - cbelow / cb::DOUBLE) END) AS ks_statistic,
+  sum(CASE WHEN (kind = 'categorical' OR bin >= 0) AND r + c > 0 THEN (greatest(c / cb::DOUBLE, 1e-6) - greatest(r / rb::DOUBLE, 1e-6))
+  * ln(greatest(c / cb::DOUBLE, 1e-6) / greatest(r / rb::DOUBLE, 1e-6)) ELSE 0 END) AS psi FROM based GROUP BY w, feature, kind),
+levels AS (SELECT *, current_missing_rate - reference_missing_rate AS missing_rate_delta FROM told)
+SELECT w AS window_start, w + INTERVAL 90 DAY AS window_end, feature, kind AS feature_type, {rounded("reference_missing_rate", "reference_missing_rate")},
+{rounded("current_missing_rate", "current_missing_rate")}, {rounded("psi", "psi")}, {rounded("ks_statistic", "border_gap")},
+CAST(current_rows AS BIGINT) AS current_rows, CASE WHEN kind = 'numeric' THEN num_level ELSE cat_level END AS drift_level
+FROM (SELECT *, {_level(True).replace("drift_level", "num_level")}, {_level(False).replace("drift_level", "cat_level")} FROM levels)"""
 ORACLES["histogram"] = f"""WITH s AS (SELECT min(value) AS lo, max(value) AS hi, (max(value) - min(value)) / 30 AS w FROM events)
 SELECT CAST(least(floor((value - lo) / w), 29) + 1 AS INT) AS bin,
 {rounded("any_value(lo + least(floor((value - lo) / w), 29) * w)", "bin_start")},

@@ -486,8 +486,17 @@ def _periods(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
 
 @query
 def numeric_drift(spark: SparkSession, sf: str) -> DataFrame:
-    """The p-value is left out: it is an approximation without a SQL counterpart."""
-    return tidy(drift.numeric_drift(*_periods(spark, sf)).drop("ks_pvalue"))
+    return tidy(drift.numeric_drift(*_periods(spark, sf)))
+
+
+@query
+def ks_small_samples(spark: SparkSession, sf: str) -> DataFrame:
+    """Suppliers of the first nations against the others: samples small enough for exact p-values."""
+    suppliers = table(spark, sf, "supplier").select(
+        "s_nationkey", F.floor("s_acctbal").cast("double").alias("balance"), (F.col("s_suppkey") % 7).cast("double").alias("week")
+    )
+    sides = [suppliers.filter(side).drop("s_nationkey") for side in ("s_nationkey < 12", "s_nationkey >= 12")]
+    return tidy(drift.numeric_drift(*sides).select("feature", "ks_statistic", "ks_pvalue", "current_rows"))
 
 
 @query

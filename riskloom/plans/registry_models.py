@@ -291,7 +291,7 @@ def stream_kpis(spark: SparkSession, sf: str) -> DataFrame:
     """Hourly KPIs per path of all windows of a finished stream, open ones too."""
     root = scratch_path(spark, "kpis")
     _finish(monitoring.start_window_counts(_calls(spark, sf), path=f"{root}/out", checkpoint=f"{root}/checkpoint"))
-    return tidy(monitoring.current_kpis(spark, f"{root}/out"))
+    return tidy(monitoring.current_kpis(spark, f"{root}/out", view(spark, sf, views.CALLS)))
 
 
 @query
@@ -327,6 +327,18 @@ def stream_drift(spark: SparkSession, sf: str) -> DataFrame:
     return tidy(features.select("feature", "psi", "drift_level", "current_rows"))
 
 
+@query
+def stream_window_drift(spark: SparkSession, sf: str) -> DataFrame:
+    """Drift of every 90 days of later lines against all earlier ones, by the time of the lines."""
+    root = scratch_path(spark, "window-drift")
+    profile = monitoring.drift_profile(view(spark, sf, views.PERIODS).filter("NOT is_current").drop("is_current"))
+    current = spark.sql(views.TIMED_PERIODS, lineitem=stream(spark, sf, "lineitem")).filter("is_current").drop("is_current")
+    running = monitoring.start_window_drift(current, profile, path=f"{root}/out", checkpoint=f"{root}/checkpoint", window="90 days")
+    _finish(running)
+    found = monitoring.current_drift(spark, f"{root}/out", profile)
+    return tidy(found.drop("missing_rate_delta"))
+
+
 @query
 def stream_scoring(spark: SparkSession, sf: str) -> DataFrame:
     """Requests built from customers, scored by a saved bundle; the call log by status."""

@@ -213,6 +213,8 @@ SELECT l_shipdate >= TIMESTAMP '1999-01-01 00:00:00' AS is_current,
        concat('S', CAST(l_suppkey % 35 AS VARCHAR(10))) AS source
 FROM {lineitem}
 """
+# The same with the time of each line.
+TIMED_PERIODS = PERIODS.replace("SELECT ", "SELECT CAST(l_shipdate AS TIMESTAMP) AS created_at, ", 1)
 
 # One row per candidate for the report views: every line number stands for a model, measures are its line sums.
 _RESULT_MEASURES = [

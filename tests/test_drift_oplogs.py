@@ -1,15 +1,20 @@
 from __future__ import annotations
 
+from itertools import combinations
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from riskloom.operators.drift import (
     all_drift,
+    asymptotic_ks_pvalue,
     categorical_drift,
     drift_level,
     drift_summary,
+    exact_ks_pvalue,
     histogram,
+    ks_pvalue,
     numeric_drift,
     strongest_drift,
 )
@@ -154,3 +159,30 @@ def test_integrity_and_latest(frame):
     assert rows == {("orphan", 9): 1, ("repeated_reference", 1): 2}
     df = frame([(1, 5), (2, 7), (3, 6)], "id INT, created_at INT")
     assert [r["id"] for r in latest_rows(df, 2, ties=["id"]).collect()] == [2, 3]
+
+
+def test_exact_ks_pvalue_equals_counting_every_order(frame):
+    cases = [(n, m, h) for n, m in ((1, 1), (2, 3), (4, 4), (5, 3), (6, 7)) for h in {1, n, m, n * m // 2, n * m, n * m + 1}]
+    rows = frame([(i, *c) for i, c in enumerate(cases)], "i INT, n LONG, m LONG, h LONG")
+    got = {r["i"]: r["p"] for r in rows.select("i", exact_ks_pvalue(F.col("h"), F.col("n"), F.col("m")).alias("p")).collect()}
+    for i, (n, m, h) in enumerate(cases):
+        orders = far = 0
+        for places in combinations(range(n + m), n):
+            a = b = 0
+            worst = 0
+            for k in range(n + m):
+                a, b = a + (k in places), b + (k not in places)
+                worst = max(worst, abs(a * m - b * n))
+            orders, far = orders + 1, far + (worst >= h)
+        assert got[i] == pytest.approx(far / orders, abs=1e-12)
+
+
+def test_ks_pvalue_of_larger_samples(frame):
+    rows = frame([(0, 3000, 2500), (200_000, 3000, 2500), (400_000, 3000, 2500), (7_500_000, 3000, 2500), (5, 20_000, 4)], "h LONG, n LONG, m LONG")
+    statistic = F.col("h") / (F.col("n") * F.col("m"))
+    exact, near = (exact_ks_pvalue(F.col("h"), F.col("n"), F.col("m")), asymptotic_ks_pvalue(statistic, F.col("n"), F.col("m")))
+    got = rows.select("h", exact.alias("exact"), near.alias("near"), ks_pvalue(statistic, F.col("h"), F.col("n"), F.col("m")).alias("p")).collect()
+    assert got[0]["exact"] == 1.0 and 0 < got[3]["exact"] < 1e-300 or got[3]["exact"] == 0.0
+    for r in got[1:3]:
+        assert r["exact"] == pytest.approx(r["near"], abs=0.02) and r["p"] == r["exact"]
+    assert got[4]["exact"] is None and got[4]["p"] == got[4]["near"]

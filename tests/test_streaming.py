@@ -51,10 +51,10 @@ def test_window_kpis_equal_the_batch_result(spark, tmp_path):
     source, out = str(tmp_path / "in"), str(tmp_path / "out")
     df.coalesce(1).write.parquet(source)
     stream = spark.readStream.schema(df.schema).parquet(source)
-    monitoring.start_kpis(stream, path=out, checkpoint=str(tmp_path / "cp")).awaitTermination()
+    monitoring.start_kpis(stream, lambda: spark.read.parquet(source), path=out, checkpoint=str(tmp_path / "cp")).awaitTermination()
     found = {(r["window_start"].hour, r["path"]): r for r in spark.read.parquet(out).collect()}
     assert set(found) == {(h, p) for h in (0, 1) for p in ("/p", None)}
-    batch = {(r["window_start"].hour, r["path"]): r for r in monitoring.window_kpis(monitoring.latency_counts(df)).collect()}
+    batch = {(r["window_start"].hour, r["path"]): r for r in monitoring.window_kpis(monitoring.latency_counts(df), df).collect()}
     for key, row in found.items():
         values = [r[3] for r in rows if int(r[0][11:13]) == key[0] and r[1] == key[1]]
         assert row["total_calls"] == len(values) and abs(row["latency_p95_ms"] - np.quantile(values, 0.95)) < 1e-9
@@ -75,3 +75,62 @@ def test_counts_and_deduplication(spark, tmp_path):
              .option("checkpointLocation", str(tmp_path / "cp2")).trigger(availableNow=True).start())
     query.awaitTermination()
     assert spark.read.parquet(str(tmp_path / "once")).count() == 4
+
+
+def test_latency_buckets_keep_the_order_and_the_state_stays_small(spark, tmp_path):
+    values = [-1e9, -3.0, -1e-4, 0.0, 1e-4, 1e-3, 0.5, 1.0, 1.02, 7.5, 1e6, 1e12, None]
+    df = spark.createDataFrame([(v,) for v in values], "v DOUBLE").withColumn("b", monitoring.latency_bucket(F.col("v")))
+    buckets = [r["b"] for r in df.collect()]
+    assert buckets[:-1] == sorted(buckets[:-1]) and buckets[-1] is None
+    assert max(map(abs, buckets[:-1])) == monitoring.BUCKETS
+
+    draw = np.random.default_rng(4)
+    latencies = np.exp(draw.normal(3, 2, 20_000))
+    rows = [("2024-01-01 00:10:00", "/p", 200, float(v)) for v in latencies] + [("2024-01-01 00:20:00", "/same", 200, 100.0)] * 500
+    calls = spark.createDataFrame(rows, "created_at STRING, path STRING, status_code INT, latency_ms DOUBLE")
+    source, out = str(tmp_path / "in"), str(tmp_path / "out")
+    calls.repartition(4).write.parquet(source)
+    stream = spark.readStream.schema(calls.schema).option("maxFilesPerTrigger", 1).parquet(source)
+    running = monitoring.start_window_counts(stream, path=out, checkpoint=str(tmp_path / "cp"))
+    running.awaitTermination()
+    state = max(p.stateOperators[0].numRowsTotal for p in running.recentProgress if p.stateOperators)
+    assert state < 1_300 and len(set(latencies)) > 19_000
+    found = {r["path"]: r for r in monitoring.current_kpis(spark, out, spark.read.parquet(source)).collect()}
+    for name, q in (("latency_p50_ms", 0.5), ("latency_p95_ms", 0.95), ("latency_p99_ms", 0.99)):
+        assert found["/p"][name] == pytest.approx(np.quantile(latencies, q), rel=1e-12) and found["/same"][name] == 100.0
+    assert found["/p"]["total_calls"] == 20_000 and found["/p"]["latency_max_ms"] == latencies.max()
+    small = monitoring.compact_counts(spark, out, str(tmp_path / "small"))
+    again = {r["path"]: r for r in monitoring.current_kpis(spark, small, spark.read.parquet(source)).collect()}
+    assert again == found
+
+
+def test_window_drift_does_not_depend_on_the_trigger(spark, tmp_path):
+    draw = np.random.default_rng(9)
+
+    def rows(n, shift, start):
+        return [(f"2024-01-{start + i * 5 // n:02d} 12:00:00", float(draw.normal(shift)) if i % 9 else None, "abcd"[int(draw.integers(0, 3 + (shift > 0)))], i % 2 == 0)
+                for i in range(n)]
+
+    schema = "created_at STRING, x DOUBLE, s STRING, flag BOOLEAN"
+    profile = monitoring.drift_profile(spark.createDataFrame(rows(400, 0.0, 1), schema).drop("created_at"))
+    assert {p["feature"] for p in profile} == {"x", "s", "flag"}
+    source = tmp_path / "in"
+    current = rows(600, 0.8, 10)
+    for k in range(10):  # ten files in order of time
+        part = spark.createDataFrame(current[60 * k : 60 * k + 60], schema).coalesce(1)
+        part.write.mode("append").parquet(str(source))
+    typed = spark.read.parquet(str(source)).withColumn("created_at", F.col("created_at").cast("timestamp"))
+    batch = monitoring.window_drift(monitoring.drift_counts(typed, profile), profile)
+
+    def plain(df):
+        return sorted((tuple(round(v, 9) if isinstance(v, float) else v for v in r) for r in df.select(*sorted(df.columns)).collect()), key=repr)
+
+    want = plain(batch)
+    assert len(want) == 15 and {r["drift_level"] for r in batch.collect()} >= {"high"}
+    for files in (1, 3, 10):
+        stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", files).parquet(str(source))
+        out = str(tmp_path / f"out{files}")
+        monitoring.start_window_drift(stream, profile, path=out, checkpoint=str(tmp_path / f"cp{files}"), watermark="30 days").awaitTermination()
+        assert plain(monitoring.current_drift(spark, out, profile)) == want
+    lacking = monitoring.drift_counts(typed.drop("x"), profile)
+    assert {r["current_missing_rate"] for r in monitoring.window_drift(lacking, profile).where("feature = 'x'").collect()} == {1.0}
