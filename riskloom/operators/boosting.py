@@ -37,6 +37,8 @@ UNITS = 1 << 24
 LEAST_GAIN = 1e-9
 #: Bytes of histograms a task may hold; more leaves take more passes.
 PASS_BYTES = 64 << 20
+#: Tables of all tasks up to this size are sent to the driver as they are.
+DIRECT_BYTES = 32 << 20
 BINNED = "key long, label double, weight double, bins binary, margin double"
 
 
@@ -200,15 +202,19 @@ def _pass(rows: DataFrame, *, pending: list[dict], tree: dict, targets: Sequence
         used = np.flatnonzero(sums[2])
         yield pa.RecordBatch.from_arrays([pa.array(used), *[pa.array(s[used]) for s in sums]], ["slot", "gradient", "hessian", "rows"])
 
-    parts = rows.mapInArrow(run, "slot long, gradient long, hessian long, rows long")
+    return rows.mapInArrow(run, "slot long, gradient long, hessian long, rows long")
+
+
+def _summed(parts: DataFrame) -> DataFrame:
     return parts.groupBy("slot").agg(*[F.sum(c).alias(c) for c in ("gradient", "hessian", "rows")])
 
 
-def _collected(table: DataFrame, leaves: int, total: int) -> np.ndarray:
-    found = table.toArrow()
+def _collected(parts: DataFrame, leaves: int, total: int) -> np.ndarray:
+    """Histograms on the driver, from rows with a slot each or several."""
+    found = parts.toArrow()
     sums = np.zeros((3, leaves * total), np.int64)
     for k, name in enumerate(("gradient", "hessian", "rows")):
-        sums[k, np.asarray(found["slot"])] = np.asarray(found[name])
+        np.add.at(sums[k], np.asarray(found["slot"]), np.asarray(found[name]))
     return sums.reshape(3, leaves, total)
 
 
@@ -387,6 +393,7 @@ def _moved(rows: DataFrame, pending: list[dict]) -> DataFrame:
 def _histograms(rows: DataFrame, layout: Layout, pending: list[dict], settings: BoostingSettings, turn: int):
     """A function of (tree, leaves) that gives the histogram of each leaf, in as many passes as memory asks for."""
     at_once = max(1, PASS_BYTES // (24 * layout.total))
+    tasks = rows.rdd.getNumPartitions()
 
     def find(tree: dict, leaves: Sequence[int]) -> list[np.ndarray]:
         found = []
@@ -394,7 +401,9 @@ def _histograms(rows: DataFrame, layout: Layout, pending: list[dict], settings:
             targets = list(leaves[start : start + at_once])
             table = _pass(rows, pending=pending, tree=tree, targets=targets, starts=layout.starts, total=layout.total,
                           row_share=settings.row_share, turn=settings.seed * 1_000_003 + turn)
-            sums = _collected(table, len(targets), layout.total)
+            # a few small tables are added up here, which saves a shuffle; the sums are the same
+            few = 32 * tasks * len(targets) * layout.total <= DIRECT_BYTES
+            sums = _collected(table if few else _summed(table), len(targets), layout.total)
             found += [sums[:, i] for i in range(len(targets))]
         return found
 
@@ -412,7 +421,7 @@ def root_histogram(df: DataFrame, *, features: str, label: str, weight: str | No
     binned = binned_rows(rows, cuts, base_margin(rows))
     tree = Tree()
     tree.add(0.0, 0)
-    table = _pass(binned, pending=[], tree=asdict(tree), targets=[0], starts=layout.starts, total=layout.total, row_share=1.0, turn=0)
+    table = _summed(_pass(binned, pending=[], tree=asdict(tree), targets=[0], starts=layout.starts, total=layout.total, row_share=1.0, turn=0))
     slots = [(int(s + b), f, b) for f, (s, n) in enumerate(zip(layout.starts, layout.counts, strict=True)) for b in range(n)]
     named = df.sparkSession.createDataFrame(slots, "slot long, feature int, bin int")  # the bins of all features
     return named.join(table, "slot").select("feature", "bin", "gradient", "hessian", "rows"), cuts
