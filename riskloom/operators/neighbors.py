@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from riskloom.operators.neighbor_index import neighbor_lists
 from riskloom.session import materialize
 
 BLOCK_ROWS = 8_192
@@ -202,11 +203,13 @@ def nearest_neighbors(
     carry: Sequence[str] = (),
     seed: int = 42,
     block: int = BLOCK_ROWS,
+    recall: float | None = None,
 ) -> DataFrame:
     """(id, neighbors) with the k nearest other points by (distance, id), closest first.
 
     ``queries`` is a subset of ``points``; all points by default. Each neighbour carries its ``carry``
-    columns.
+    columns. With ``recall`` the lists come from the hashed index, which holds that share of the exact ones (as it
+    measures) and whose cost does not grow with the square of the table.
     """
     asked = points if queries is None else queries
     pool = materialize(
@@ -217,7 +220,12 @@ def nearest_neighbors(
     owners = wanted.join(reps, "vec").select("id", "rep")
     query_reps = reps if queries is None else reps.join(wanted.select("vec").distinct(), "vec", "left_semi")
 
-    near = nearest_representatives(query_reps, reps, k, seed=seed, block=block)
+    if recall is None:
+        near = nearest_representatives(query_reps, reps, k, seed=seed, block=block)
+    else:
+        lists, _ = neighbor_lists(reps, k, recall=recall, seed=seed)
+        near = lists.join(query_reps.select("rep"), "rep", "left_semi").select("rep", F.explode("found").alias("m"))
+        near = near.select("rep", "m.near", "m.distance")
     own = query_reps.select("rep", F.col("rep").alias("near"), F.lit(0.0).alias("distance"))
     members = pool.select(F.col("rep").alias("near"), "members")
     ranked = (

@@ -36,11 +36,15 @@ def _with_flag(df: DataFrame, flag: bool) -> DataFrame:
     return df.withColumn("synthetic", F.lit(flag))
 
 
+ORIGIN = ["base_id", "partner_id"]
+
+
 def _interpolate(
     choices: DataFrame, df: DataFrame, partners: DataFrame, *, id_column: str, vector: str, label: str,
-    minority: object, k: int, seed: int,
+    minority: object, k: int, seed: int, trace: bool = False,
 ) -> DataFrame:
-    """Rows between a base point and one of its minority neighbours; ``choices`` is (draw, id)."""
+    """Rows between a base point and one of its minority neighbours; ``choices`` is (draw, id). With ``trace`` they
+    carry the ids of both."""
     points = df.select(F.col(id_column).alias("id"), F.col(vector).cast("array<double>").alias("vec"))
     chosen = choices.join(partners, "id").filter(F.size("neighbors") > 0)
     pick = F.floor(_unit(seed + 1, "draw", "id") * F.size("neighbors")).cast("int")
@@ -55,13 +59,15 @@ def _interpolate(
         F.lit(None).cast(kinds[id_column]).alias(id_column),
         mixed.cast(kinds[vector]).alias(vector),
         F.lit(minority).cast(kinds[label]).alias(label),
+        *([F.col("id").alias(ORIGIN[0]), F.col("partner").alias(ORIGIN[1])] if trace else []),
     )
 
 
-def _minority_partners(df: DataFrame, label: str, minority: object, *, id_column: str, vector: str, k: int, seed: int):
-    return nearest_neighbors(
-        df.filter(F.col(label) == F.lit(minority)), k, id_column=id_column, vector=vector, seed=seed
-    )
+def _minority_partners(
+    df: DataFrame, label: str, minority: object, *, id_column: str, vector: str, settings: RebalanceSettings, seed: int
+):
+    chosen = df.filter(F.col(label) == F.lit(minority))
+    return nearest_neighbors(chosen, settings.neighbors, id_column=id_column, vector=vector, seed=seed, recall=settings.recall)
 
 
 def _draw_uniform(bases: DataFrame, need: int, seed: int) -> DataFrame:
@@ -77,7 +83,7 @@ def _draw_uniform(bases: DataFrame, need: int, seed: int) -> DataFrame:
 
 def smote(
     df: DataFrame, *, id_column: str, vector: str, label: str, minority: object = 1,
-    settings: RebalanceSettings = RebalanceSettings(), seed: int = 42,
+    settings: RebalanceSettings = RebalanceSettings(), seed: int = 42, trace: bool = False,
 ) -> DataFrame:
     """Raise the minority to ``oversampling_ratio`` x majority; unchanged if it is already there."""
     base = df.select(id_column, vector, label)
@@ -85,22 +91,23 @@ def smote(
     if need <= 0:
         return _with_flag(base, False)
     partners = materialize(
-        _minority_partners(base, label, minority, id_column=id_column, vector=vector, k=settings.neighbors, seed=seed),
+        _minority_partners(base, label, minority, id_column=id_column, vector=vector, settings=settings, seed=seed),
         "smote-neighbors",
     )
     choices = _draw_uniform(partners.select("id"), need, seed)
     made = _interpolate(choices, base, partners, id_column=id_column, vector=vector, label=label,
-                        minority=minority, k=settings.neighbors, seed=seed)
-    return _with_flag(base, False).unionByName(_with_flag(made, True))
+                        minority=minority, k=settings.neighbors, seed=seed, trace=trace)
+    return _with_flag(base, False).unionByName(_with_flag(made, True), allowMissingColumns=True)
 
 
 def _majority_share(
-    df: DataFrame, *, id_column: str, vector: str, label: str, minority: object, k: int, seed: int
+    df: DataFrame, *, id_column: str, vector: str, label: str, minority: object, k: int, seed: int,
+    recall: float | None = None,
 ) -> DataFrame:
     """(id, others, found): other-class rows among the k nearest rows of every minority row."""
     around = nearest_neighbors(
         df, k, id_column=id_column, vector=vector, carry=[label], seed=seed,
-        queries=df.filter(F.col(label) == F.lit(minority)),
+        queries=df.filter(F.col(label) == F.lit(minority)), recall=recall,
     )
     others = F.size(F.filter("neighbors", lambda m: m[label] != F.lit(minority)))
     return around.select("id", others.alias("others"), F.size("neighbors").alias("found"))
@@ -119,7 +126,7 @@ def danger_points(
 
 def borderline_smote(
     df: DataFrame, *, id_column: str, vector: str, label: str, minority: object = 1,
-    settings: RebalanceSettings = RebalanceSettings(), seed: int = 42,
+    settings: RebalanceSettings = RebalanceSettings(), seed: int = 42, trace: bool = False,
 ) -> DataFrame:
     """SMOTE whose base points are the minority rows at the class border."""
     base = df.select(id_column, vector, label)
@@ -133,17 +140,17 @@ def borderline_smote(
     if danger.isEmpty():
         return _with_flag(base, False)
     partners = materialize(
-        _minority_partners(base, label, minority, id_column=id_column, vector=vector, k=settings.neighbors, seed=seed),
+        _minority_partners(base, label, minority, id_column=id_column, vector=vector, settings=settings, seed=seed),
         "border-neighbors",
     )
     made = _interpolate(_draw_uniform(danger, need, seed), base, partners, id_column=id_column, vector=vector,
-                        label=label, minority=minority, k=settings.neighbors, seed=seed)
-    return _with_flag(base, False).unionByName(_with_flag(made, True))
+                        label=label, minority=minority, k=settings.neighbors, seed=seed, trace=trace)
+    return _with_flag(base, False).unionByName(_with_flag(made, True), allowMissingColumns=True)
 
 
 def adasyn(
     df: DataFrame, *, id_column: str, vector: str, label: str, minority: object = 1,
-    settings: RebalanceSettings = RebalanceSettings(), seed: int = 42,
+    settings: RebalanceSettings = RebalanceSettings(), seed: int = 42, trace: bool = False,
 ) -> DataFrame:
     """Synthetic rows per minority row in proportion to the other-class share around it."""
     base = df.select(id_column, vector, label)
@@ -152,7 +159,7 @@ def adasyn(
         return _with_flag(base, False)
     share = materialize(
         _majority_share(base, id_column=id_column, vector=vector, label=label, minority=minority,
-                        k=settings.neighbors, seed=seed),
+                        k=settings.neighbors, seed=seed, recall=settings.recall),
         "adasyn-share",
     )
     weight = safe_ratio("others", "found")
@@ -166,13 +173,13 @@ def adasyn(
     last = F.least(F.col("made").cast("bigint"), (F.col("range") + 1) * DRAWS_AT_ONCE)
     choices = ranges.select("id", F.explode(F.sequence(first, last)).alias("draw"))
     partners = materialize(
-        _minority_partners(base, label, minority, id_column=id_column, vector=vector, k=settings.neighbors, seed=seed),
+        _minority_partners(base, label, minority, id_column=id_column, vector=vector, settings=settings, seed=seed),
         "adasyn-neighbors",
     )
     made = _interpolate(choices.select(F.col("draw").cast("bigint").alias("draw"), "id"), base, partners,
                         id_column=id_column, vector=vector, label=label, minority=minority,
-                        k=settings.neighbors, seed=seed)
-    return _with_flag(base, False).unionByName(_with_flag(made, True))
+                        k=settings.neighbors, seed=seed, trace=trace)
+    return _with_flag(base, False).unionByName(_with_flag(made, True), allowMissingColumns=True)
 
 
 def rebalance(

@@ -800,6 +800,11 @@ ORACLES["borderline_smote_rows"] = f"WITH {_vectors} {_smote}"
 ORACLES["adasyn_rows"] = f"""WITH {_vectors}, {_near(5)}, share AS (SELECT vec_id, sum(1 - other) / 5.0 AS r FROM near WHERE mine = 1 GROUP BY vec_id),
 need AS (SELECT {_raised} AS n FROM v)
 {_class_rows} UNION ALL SELECT 1, true, CAST(sum(round_even(r / (SELECT sum(r) FROM share) * (SELECT n FROM need), 0)) AS BIGINT), 64 FROM share"""
+for _name in ("smote", "borderline_smote", "adasyn"):  # all synthetic rows lie between a base and one of its neighbours
+    _made = ORACLES[f"{_name}_rows"]
+    ORACLES[f"{_name}_segments"] = f"SELECT CAST(n AS BIGINT) AS synthetic, CAST(n AS BIGINT) AS between, CAST(n AS BIGINT) AS near FROM ({_made}) WHERE synthetic"
+ORACLES["knn_index_recall"] = """SELECT count(*) FILTER (vec_id % 100 = 0) AS queries, count(*) FILTER (vec_id % 100 = 0) * least(5, count(*) - 1) AS neighbours,
+TRUE AS recall_reached FROM embeddings"""
 ORACLES["smote_under_rows"] = f"""WITH {_vectors}, k AS (SELECT {_raised} AS made, count(*) FILTER (minority = 1) AS p FROM v)
 SELECT 1 AS minority, false AS synthetic, p AS n, 64 AS width FROM k UNION ALL SELECT 1, true, made, 64 FROM k
 UNION ALL SELECT 0, false, CAST(floor((p + made) / 0.7) AS BIGINT), 64 FROM k"""

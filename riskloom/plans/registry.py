@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -740,6 +740,55 @@ def knn_join(spark: SparkSession, sf: str) -> DataFrame:
     return tidy(near.select("vec_id", (F.col("place") + 1).alias("place"), F.col("near.id").alias("near_id"), F.col("near.distance").alias("distance")))
 
 
+@query
+def knn_index_recall(spark: SparkSession, sf: str) -> DataFrame:
+    """Lists of the hashed index over all vectors, for ids divisible by 100, against the exact join."""
+    points = _vectors(spark, sf)
+    asked = points.filter(F.col("vec_id") % 100 == 0)
+    exact, found = (
+        nearest_neighbors(points, 5, id_column="vec_id", vector="embedding", queries=asked, recall=recall)
+        .select("id", F.posexplode("neighbors").alias("place", "m")).select("id", "place", "m.distance")
+        for recall in (None, 0.95)
+    )
+    limit = exact.groupBy("id").agg(F.max("distance").alias("limit"), F.count("*").alias("n"))
+    hits = found.join(limit, "id").groupBy("id", "n").agg(F.count_if(F.col("distance") <= F.col("limit") * (1 + 1e-9)).alias("hits"))
+    return hits.agg(F.count("*").alias("queries"), F.sum("n").alias("neighbours"), (F.sum("hits") >= 0.9 * F.sum("n")).alias("recall_reached"))
+
+
+def _segments(made: DataFrame, points: DataFrame) -> DataFrame:
+    """Every synthetic row again: does it lie between its base and its partner, and is the partner one of the base's
+    five nearest minority rows (as the exact join of its own query finds them)?"""
+    minority = points.filter("minority = 1").select("vec_id", "embedding")
+    base, partner = (minority.select(F.col("vec_id").alias(f"{n}_id"), F.col("embedding").cast("array<double>").alias(n)) for n in ("base", "partner"))
+    near = nearest_neighbors(minority, 5, id_column="vec_id", vector="embedding").select(F.col("id").alias("base_id"), F.explode("neighbors.id").alias("partner_id"))
+    rows = made.filter("synthetic").join(base, "base_id").join(partner, "partner_id").join(near.withColumn("is_near", F.lit(True)), ["base_id", "partner_id"], "left")
+
+    def apart(a: str, b: str) -> Column:
+        return F.sqrt(F.aggregate(F.zip_with(a, b, lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda t, v: t + v))
+
+    rows = rows.withColumn("row", F.col("embedding").cast("array<double>"))
+    between = F.abs(apart("row", "base") + apart("row", "partner") - apart("base", "partner")) < 1e-6
+    return rows.agg(F.count("*").alias("synthetic"), F.count_if(between).alias("between"), F.count("is_near").alias("near"))
+
+
+@query
+def smote_segments(spark: SparkSession, sf: str) -> DataFrame:
+    points = _vectors(spark, sf)
+    return _segments(smote(points, **VECTORS, trace=True), points)
+
+
+@query
+def borderline_smote_segments(spark: SparkSession, sf: str) -> DataFrame:
+    points = _vectors(spark, sf)
+    return _segments(borderline_smote(points, **VECTORS, trace=True), points)
+
+
+@query
+def adasyn_segments(spark: SparkSession, sf: str) -> DataFrame:
+    points = _vectors(spark, sf)
+    return _segments(adasyn(points, **VECTORS, trace=True), points)
+
+
 @query
 def border_points(spark: SparkSession, sf: str) -> DataFrame:
     return danger_points(_vectors(spark, sf), **VECTORS)

@@ -40,6 +40,7 @@ class RebalanceSettings:
     oversampling_ratio: float = 0.3
     undersampling_ratio: float = 0.7
     neighbors: int = 5
+    recall: float | None = None  # of the neighbour index; None: the exact join
 
 
 @dataclass(frozen=True)
