@@ -8,8 +8,9 @@ The vocabulary counts all words of all documents; words beyond it share buckets
 has the share of its count in the bucket's, over all documents: the counts of all these words are a table, and the
 logs of the shares are joined to the words of each document and added to its sum. Training passes over all
 documents in ROUNDS rounds: each task trains a copy of the network on its documents (every ROUNDS-th word, at an
-offset that changes with document and round, is a target, so that each word is one once), and the copies are averaged, weighted by their targets. The sum over tasks is an ordinary aggregation by parameter number,
-so that only one network comes to the driver.
+offset that changes with document and round, is a target, so that each word is one once), and the copies are averaged,
+weighted by their targets. Steps grow with what a task has trained on, so that a small corpus has enough of them. The
+sum over tasks is an ordinary aggregation by parameter number, so that only one network comes to the driver.
 """
 
 from __future__ import annotations
@@ -32,8 +33,12 @@ OTHER_BUCKETS = 256
 OWN_WORDS = CLASSES * PER_CLASS - OTHER_BUCKETS
 EDGE = CLASSES * PER_CLASS  # stands for what is before and after a text
 SIDE, EMBEDDING, HIDDEN = 2, 16, 32
-ROUNDS, TARGETS_PER_STEP = 2, 1024
+ROUNDS = 2
+#: Targets of a task's first steps and of its last ones; the rate grows with the root of a step's size.
+FIRST_STEP, LAST_STEP = 1024, 8192
 RATE = 0.5
+#: Classes of word counts, eight for each doubling, that tell where the vocabulary ends.
+COUNT_CLASSES = 8
 #: Distinct words a task counts before it passes the counts on.
 COUNTED_WORDS = 300_000
 
@@ -56,9 +61,16 @@ def vocabulary(docs: DataFrame) -> dict[bytes, int]:
         yield _counted(counts)
 
     counted = docs.select(F.col("text").cast("string")).mapInArrow(run, "word binary, n long")
-    total = counted.groupBy("word").agg(F.sum("n").alias("n"))
-    # the best of every task meet in one task that keeps OWN_WORDS of them; only those come to the driver
-    top = materialize(total.orderBy(F.desc("n"), "word").limit(OWN_WORDS), "vocabulary")
+    total = materialize(counted.groupBy("word").agg(F.sum("n").alias("n")), "word-counts")
+    # a few hundred rows tell the class of counts in which the vocabulary ends; only words from there on are ordered
+    kind = F.floor(F.log2("n") * COUNT_CLASSES)
+    sizes = total.groupBy(kind.alias("kind")).agg(F.count("*").alias("words")).collect()
+    lowest, held = 0, 0
+    for row in sorted(sizes, key=lambda r: -r.kind):
+        if held >= OWN_WORDS:
+            break
+        lowest, held = row.kind, held + row.words
+    top = materialize(total.where(kind >= lowest).orderBy(F.desc("n"), "word").limit(OWN_WORDS), "vocabulary")
     ordered = sorted(top.collect(), key=lambda r: (-r.n, bytes(r.word)))
     return {bytes(r.word): number for number, r in enumerate(ordered)}
 
@@ -118,11 +130,12 @@ def within_buckets(sequences: DataFrame) -> DataFrame:
     buckets = counts.groupBy("bucket").agg(F.sum("total").alias("whole"))
     shares = counts.join(F.broadcast(buckets), "bucket").select("hash", F.log(F.col("total") / F.col("whole")).alias("share"))
     term = F.round(F.col("n") * F.col("share") * 1e9).cast("long")
-    return each.join(shares, "hash").groupBy("row").agg((F.sum(term) / 1e9).alias("within"))
+    # a partition's rare words fit in memory, so neither side has to be sorted
+    return each.join(shares.hint("shuffle_hash"), "hash").groupBy("row").agg((F.sum(term) / 1e9).alias("within"))
 
 
 def unpacked(packed: bytes) -> np.ndarray:
-    return np.frombuffer(packed, np.uint16).astype(np.int64)
+    return np.frombuffer(packed, np.uint16)
 
 
 class WindowNetwork:
@@ -149,11 +162,11 @@ class WindowNetwork:
         )
 
     @staticmethod
-    def windows(ids: np.ndarray) -> np.ndarray:
-        """For each word the numbers of the words on both sides of it."""
-        padded = np.concatenate([np.full(SIDE, EDGE), ids, np.full(SIDE, EDGE)])
-        around = [k for k in range(2 * SIDE + 1) if k != SIDE]
-        return np.stack([padded[k : k + len(ids)] for k in around], axis=1)
+    def windows(ids: np.ndarray, first: int = 0, step: int = 1) -> np.ndarray:
+        """For every ``step``-th word the numbers of the words on both sides of it."""
+        edge = np.full(SIDE, EDGE, np.uint16)
+        padded = np.concatenate([edge, ids.astype(np.uint16, copy=False), edge])
+        return np.stack([padded[k + first : k + len(ids) : step] for k in range(2 * SIDE + 1) if k != SIDE], axis=1)
 
     def _forward(self, context: np.ndarray):
         seen = self.embedding[context].reshape(len(context), -1)
@@ -181,7 +194,8 @@ class WindowNetwork:
         error = _shares(by_class)
         error[np.arange(len(target)), kind] -= 1
         back = error @ self.to_class.T
-        rate = RATE / len(target)
+        step = RATE * max(1.0, len(target) / FIRST_STEP) ** 0.5
+        rate = np.float32(step / len(target))
         updates = []
         for k, rows in _by_class(kind):
             own = _shares(hidden[rows] @ self.to_word[k] + self.word_bias[k])
@@ -198,11 +212,11 @@ class WindowNetwork:
         self.inner -= rate * (seen.T @ back)
         self.inner_bias -= rate * back.sum(axis=0)
         ids = context.ravel()
-        order = np.argsort(ids, kind="stable")
-        starts = np.flatnonzero(np.concatenate([[True], np.diff(ids[order]) > 0]))
+        order = np.argsort(ids, kind="stable")  # 16-bit numbers: a radix sort
+        starts = np.flatnonzero(np.concatenate([[True], ids[order][1:] != ids[order][:-1]]))
         sums = np.add.reduceat(to_seen[order], starts)
-        counts = np.diff(np.append(starts, len(ids)))[:, None]
-        self.embedding[ids[order][starts]] -= RATE * sums / np.sqrt(counts)
+        counts = np.diff(np.append(starts, len(ids)))[:, None].astype(np.float32)
+        self.embedding[ids[order][starts]] -= np.float32(RATE) * sums / np.sqrt(counts)
 
 
 def _by_class(kind: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
@@ -228,7 +242,11 @@ def _log_share(values: np.ndarray, chosen: np.ndarray) -> np.ndarray:
 
 def targets_of(count: int, turn: int) -> np.ndarray:
     """Places of the words of a text that a round predicts; each place belongs to one round."""
-    return np.arange((count + turn) % ROUNDS, count, ROUNDS)
+    return np.arange(first_target(count, turn), count, ROUNDS)
+
+
+def first_target(count: int, turn: int) -> int:
+    return (count + turn) % ROUNDS
 
 
 def train_round(sequences: DataFrame, network: WindowNetwork, turn: int) -> WindowNetwork:
@@ -241,15 +259,15 @@ def train_round(sequences: DataFrame, network: WindowNetwork, turn: int) -> Wind
         for batch in text_batches(batches):
             for packed in batch["words"].to_pylist():
                 ids = unpacked(packed)
-                picked = targets_of(len(ids), turn)
-                contexts.append(WindowNetwork.windows(ids)[picked])
-                targets.append(ids[picked])
-                waiting += len(picked)
-                if waiting >= 16 * TARGETS_PER_STEP:
-                    trained += _steps(own, contexts, targets)
+                first = first_target(len(ids), turn)
+                contexts.append(WindowNetwork.windows(ids, first, ROUNDS))
+                targets.append(ids[first::ROUNDS])
+                waiting += len(targets[-1])
+                if waiting >= 2 * LAST_STEP:
+                    trained = _steps(own, contexts, targets, trained)
                     contexts, targets, waiting = [], [], 0
         if waiting:
-            trained += _steps(own, contexts, targets)
+            trained = _steps(own, contexts, targets, trained)
         if trained:
             change = (own.flat.astype(np.float64) - start) * trained
             numbers_ = np.arange(len(change))
@@ -264,11 +282,15 @@ def train_round(sequences: DataFrame, network: WindowNetwork, turn: int) -> Wind
     return WindowNetwork(flat)
 
 
-def _steps(network: WindowNetwork, contexts: list[np.ndarray], targets: list[np.ndarray]) -> int:
+def _steps(network: WindowNetwork, contexts: list[np.ndarray], targets: list[np.ndarray], trained: int) -> int:
+    """Steps over all the targets; returns how many the task has trained on by then."""
     context, target = np.concatenate(contexts), np.concatenate(targets)
-    for at in range(0, len(target), TARGETS_PER_STEP):
-        network.train(context[at : at + TARGETS_PER_STEP], target[at : at + TARGETS_PER_STEP])
-    return len(target)
+    at = 0
+    while at < len(target):
+        size = min(max(FIRST_STEP, trained // 8), LAST_STEP, len(target) - at)
+        network.train(context[at : at + size], target[at : at + size])
+        at, trained = at + size, trained + size
+    return trained
 
 
 def trained_model(sequences: DataFrame) -> WindowNetwork:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from riskloom.llm.pseudo_likelihood import (
     EDGE, OTHER_BUCKETS, OWN_WORDS, ROUNDS, WindowNetwork, numbered, pseudo_likelihood, score_sequences, targets_of, trained_model, unpacked, vocabulary, within_buckets, words,
 )
+from riskloom.session import materialize
 from tests.llm.helpers import SF, empty_docs, odd_docs
 
 
@@ -92,3 +93,32 @@ def test_rare_words_have_shares_of_their_buckets(spark):
     assert expected.keys() == got.keys() and all(abs(got[i] - v) < 1e-5 for i, v in expected.items())
     scored = pseudo_likelihood(docs)
     assert scored.columns == ["doc_id", "n_words", "log_likelihood", "mean_log_likelihood"] and scored.count() == docs.count()
+
+
+def test_whole_result_of_fifty_documents_equals_a_plain_sum(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").where("doc_id < 50")
+    numbers = vocabulary(docs)
+    sequences = materialize(numbered(docs, numbers).withColumn("row", F.monotonically_increasing_id()), "test-words")
+    network = trained_model(sequences)
+    texts = {r.doc_id: words(r.text) for r in docs.collect()}
+    number = lambda w: numbers.get(w, OWN_WORDS + xxhash.xxh3_64_intdigest(w) % OTHER_BUCKETS)
+    rare = Counter(w for own in texts.values() for w in own if w not in numbers)
+    bucket = Counter()
+    for w, n in rare.items():
+        bucket[number(w)] += n
+    got = {r.doc_id: r for r in score_sequences(sequences, network).collect()}
+    assert len(got) == 50 and sum(rare.values()) > 100
+    for doc_id, own in texts.items():
+        ids, total = [number(w) for w in own], 0.0
+        for k, w in enumerate(own):
+            around = [ids[k + d] if 0 <= k + d < len(ids) else EDGE for d in (-2, -1, 1, 2)]
+            hidden = np.tanh(np.concatenate([network.embedding[i] for i in around]) @ network.inner + network.inner_bias[0])
+            by_class = hidden @ network.to_class + network.class_bias[0]
+            kind, place = divmod(ids[k], network.to_word.shape[2])
+            by_word = hidden @ network.to_word[kind] + network.word_bias[kind]
+            total += by_class[kind] - np.log(np.exp(by_class).sum()) + by_word[place] - np.log(np.exp(by_word).sum())
+            if w in rare:
+                total += np.log(rare[w] / bucket[ids[k]])
+        assert got[doc_id].n_words == len(own)
+        assert abs(got[doc_id].log_likelihood - total) < 1e-3 * max(1.0, abs(total))
+
