@@ -2,7 +2,9 @@
 
 A spec maps columns to their aggregates. Whole-table aggregates, subset
 aggregates and category shares of a table all land in one ``groupBy``, so the child table is shuffled
-once on its client key, after a map-side partial aggregation that also flattens a hot client.
+once on its client key, after a map-side partial aggregation that also flattens a hot client. Distinct counts are
+the exception: inside that ``groupBy`` they would send its wide buffers through two shuffles, so they are counted from
+the narrow pairs of key and value, and joined on the key.
 """
 
 from __future__ import annotations
@@ -21,10 +23,11 @@ AGGREGATES = {
     "mean": lambda c: F.avg(c.cast("double")),
     "sum": sum0,
     "var": lambda c: F.var_samp(c.cast("double")),
-    "nunique": F.count_distinct,
     "size": lambda c: F.count("*"),
 }
 
+#: Counted apart from the others.
+DISTINCT = "nunique"
 
 Spec = Mapping[str, Sequence[str]]
 
@@ -50,9 +53,16 @@ def spec_columns(spec: Spec, prefix: str) -> list[Column]:
         AGGREGATES[agg](F.col(column)).alias(feature_name(prefix, column, agg))
         for column, aggs in spec.items()
         for agg in aggs
+        if agg != DISTINCT
     ]
 
 
+def distinct_counts(df: DataFrame, key: str, column: str, name: str) -> DataFrame:
+    """Rows (key, name): distinct non-NULL values of a column per key."""
+    pairs = df.filter(F.col(column).isNotNull()).select(key, F.col(column).alias("__value")).distinct()
+    return pairs.groupBy(key).agg(F.count("*").alias(name))
+
+
 def subset_columns(subset: Subset) -> list[Column]:
     inside = F.col(subset.column) == F.lit(subset.value)
     hits = F.count_if(inside)
@@ -115,11 +125,19 @@ def aggregate_by(
     subsets: Sequence[Subset] = (),
     levels: Mapping[str, Sequence[str]] | None = None,
     extra: Sequence[Column] = (),
+    distinct: Mapping[str, str] | None = None,
 ) -> DataFrame:
+    """One row per non-NULL key. ``distinct`` names further distinct counts: result column -> counted column."""
+    counted = {feature_name(prefix, c, DISTINCT): c for c, aggs in (spec or {}).items() if DISTINCT in aggs}
+    counted |= distinct or {}
     columns = [
         *spec_columns(spec or {}, prefix),
         *share_columns(levels or {}, prefix),
         *extra,
         *[c for subset in subsets for c in subset_columns(subset)],
     ]
-    return df.filter(F.col(key).isNotNull()).groupBy(key).agg(*columns)
+    known = df.filter(F.col(key).isNotNull())
+    wide = known.groupBy(key).agg(*columns)
+    for name, column in counted.items():
+        wide = wide.join(distinct_counts(known, key, column, name), key, "left").fillna(0, [name])
+    return wide

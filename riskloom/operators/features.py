@@ -164,13 +164,11 @@ def instalment_features(instalments: DataFrame) -> DataFrame:
 
 
 def card_features(cards: DataFrame, levels: Levels | None = None) -> DataFrame:
-    return aggregate_by(
+    features = aggregate_by(
         cards, CLIENT_KEY, prefix="CC", spec=CARD_SPEC, levels=levels,
-        extra=[
-            _row_count("CREDIT_CARD_LINE_COUNT"),
-            F.count_distinct("SK_ID_PREV").cast("int").alias("CREDIT_CARD_PREV_COUNT"),
-        ],
+        extra=[_row_count("CREDIT_CARD_LINE_COUNT")], distinct={"CREDIT_CARD_PREV_COUNT": "SK_ID_PREV"},
     )
+    return features.withColumn("CREDIT_CARD_PREV_COUNT", F.col("CREDIT_CARD_PREV_COUNT").cast("int"))
 
 
 def join_features(base: DataFrame, frames: Mapping[str, DataFrame], key: str = CLIENT_KEY) -> DataFrame:

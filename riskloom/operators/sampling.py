@@ -13,21 +13,17 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from riskloom.functions import hash_order, safe_ratio
 
 ROWS_PER_SLICE = 250_000
-MAX_CLASSES = 10_000
 BROADCAST_ROWS = 200_000
 
 
 def class_counts(df: DataFrame, label: str) -> dict[object, int]:
-    """Rows per class, on the driver (one entry per class). A label with more classes than MAX_CLASSES is an id or a
-    measurement, not a label, and is refused."""
-    rows = df.groupBy(label).agg(F.count("*").alias("n")).limit(MAX_CLASSES + 1).collect()
-    if len(rows) > MAX_CLASSES:
-        raise ValueError(f"{label} has more than {MAX_CLASSES} classes")
-    return {r[label]: r["n"] for r in rows}
+    """Rows per class, on the driver: one entry per class, however many classes there are."""
+    return {r[label]: r["n"] for r in df.groupBy(label).agg(F.count("*").alias("n")).collect()}
 
 
 def proportional_quotas(counts: Mapping[object, int], size: int) -> dict[object, int]:
@@ -41,14 +37,10 @@ def proportional_quotas(counts: Mapping[object, int], size: int) -> dict[object,
     return quotas
 
 
-def _cut_table(cuts: Mapping[object, Sequence[int]], label: Column) -> Column:
-    """Array of rank boundaries for the row's class."""
-    chosen = None
-    for value, ranks in cuts.items():
-        bounds = F.array(*[F.lit(int(r)) for r in ranks]).cast("array<bigint>")
-        hit = label.eqNullSafe(F.lit(value))
-        chosen = F.when(hit, bounds) if chosen is None else chosen.when(hit, bounds)
-    return chosen
+def _cut_table(df: DataFrame, label: str, cuts: Mapping[object, Sequence[int]]) -> DataFrame:
+    """One row per class: its value and its rank boundaries."""
+    kind = T.StructType([T.StructField("__k", df.schema[label].dataType), T.StructField("__cuts", T.ArrayType(T.LongType()))])
+    return df.sparkSession.createDataFrame([(c, [int(r) for r in ranks]) for c, ranks in cuts.items()], kind)
 
 
 def _part_of(cuts: Column, rank: Column) -> Column:
@@ -71,19 +63,20 @@ def partition_by_rank(
     # Slices are the top bits of the hash, so the order is the order of the hashes however many slices there are.
     bits = slice_bits or max(4, (rows // ROWS_PER_SLICE).bit_length())
     hashed = df.withColumn("__h", hash_order(*ids, seed=seed)).withColumn("__s", F.shiftright("__h", 64 - bits))
-    bounds = _cut_table(cuts, F.col("__c"))
+    bounds = F.col("__cuts")
     lower = Window.partitionBy("__c").orderBy("__t").rowsBetween(Window.unboundedPreceding, -1)
     intervals = (
         hashed.groupBy(F.col(label).alias("__c"), F.col("__s").alias("__t"))
         .agg(F.count("*").alias("__n"))
         .withColumn("__before", F.coalesce(F.sum("__n").over(lower), F.lit(0)))
+        .join(_cut_table(df, label, cuts), F.col("__c").eqNullSafe(F.col("__k")))
         .withColumns(
             {
                 "__first": _part_of(bounds, F.col("__before") + 1),
                 "__last": _part_of(bounds, F.col("__before") + F.col("__n")),
             }
         )
-        .drop("__n")
+        .drop("__n", "__k")
     )
     # One row per class and slice of 250,000 rows; broadcast where that is provably small, else joined on the slice.
     same = F.col(label).eqNullSafe(F.col("__c")) & (F.col("__s") == F.col("__t"))
@@ -93,7 +86,7 @@ def partition_by_rank(
     inside = Window.partitionBy("__c", "__t").orderBy("__h", *ids)
     ranked = placed.filter("__first <> __last").withColumn("__r", F.row_number().over(inside) + F.col("__before"))
     contested = ranked.withColumn(part, _part_of(bounds, F.col("__r"))).drop("__r")
-    return settled.unionByName(contested).drop("__h", "__s", "__c", "__t", "__before", "__first", "__last")
+    return settled.unionByName(contested).drop("__h", "__s", "__c", "__t", "__before", "__first", "__last", "__cuts")
 
 
 def stratified_sample(df: DataFrame, *, label: str, ids: Sequence[str], size: int, seed: int = 42) -> DataFrame:

@@ -35,6 +35,7 @@ class Candidate:
     sampling: str = "baseline"
     scaled: bool = False
     weighting: str | None = None  # "balanced", "positive_ratio" or None
+    together: bool = False  # all settings of all folds are logistic regressions, trained in the same passes
 
     @property
     def weighted(self) -> bool:
@@ -101,7 +102,7 @@ BASE_CANDIDATES = {
     c.name: c
     for c in [
         Candidate("logistic_regression", "logistic_regression", "LogisticRegression", _logistic,
-                  grid(C=[0.1, 0.5, 1.0, 2.0], penalty=["l1", "l2"]), weighting="balanced"),
+                  grid(C=[0.1, 0.5, 1.0, 2.0], penalty=["l1", "l2"]), weighting="balanced", together=True),
         Candidate("random_forest", "random_forest", "RandomForestClassifier", _forest,
                   grid(n_estimators=[300], max_depth=[None, 16], min_samples_leaf=[1, 5]), weighting="balanced"),
         Candidate("boosting_shallow", "boosting_shallow", "LeafwiseBoosting", _shallow_boosting,

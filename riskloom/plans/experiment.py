@@ -22,6 +22,7 @@ from pyspark.storagelevel import StorageLevel
 
 from riskloom.operators.decisions import positive_probability
 from riskloom.operators.leaderboard import RESULT_SCHEMA, champion
+from riskloom.operators.linear_grid import Penalty, as_classifier, fit_logistic_grid, probabilities
 from riskloom.operators.rebalance import rebalance
 from riskloom.operators.sampling import balanced_weights, class_weight_ratio, stratified_folds, stratified_split
 from riskloom.operators.scorecurve import best_threshold, evaluate_threshold
@@ -84,7 +85,16 @@ def training_matrix(
     return prepared
 
 
+def _penalty(params: Mapping):
+    """The penalty of a setting: its strength is given as its inverse, relative to the summed loss."""
+    return lambda rows: Penalty(params["penalty"], 1.0 / (params["C"] * rows))
+
+
 def _fit(matrix: DataFrame, candidate: Candidate, params: Mapping, settings: ExperimentSettings) -> Model:
+    if candidate.together:
+        rows = matrix.withColumn(FOLD, F.lit(0))
+        weight = WEIGHT if candidate.weighted else None
+        return as_classifier(matrix.sparkSession, fit_logistic_grid(rows, [_penalty(params)], fold=FOLD, label=LABEL, weight=weight)[0][0])
     facts = matrix.agg(F.count("*").alias("rows")).first()
     shape = TrainingShape(rows=facts["rows"], width=matrix.first()["features"].size)
     asked = {**params, "weighted": candidate.weighted}
@@ -113,6 +123,8 @@ def _prepare(df: DataFrame, candidate: Candidate, settings: ExperimentSettings)
 
 def cross_validate(train: DataFrame, candidate: Candidate, settings: ExperimentSettings) -> DataFrame:
     """(grid, fold, id, target, probability) for every parameter set and held-out fold."""
+    if candidate.together:
+        return _cross_validate_together(train, candidate, settings)
     pieces: list[DataFrame] = []
     for fold in range(settings.folds):
         seen = train.filter(F.col(FOLD) != fold)
@@ -140,6 +152,28 @@ def cross_validate(train: DataFrame, candidate: Candidate, settings: ExperimentS
     return union
 
 
+def _cross_validate_together(train: DataFrame, candidate: Candidate, settings: ExperimentSettings) -> DataFrame:
+    """The same for logistic regressions: each fold is prepared on its own, then all are trained in the same passes."""
+    data = settings.dataset
+    seen_rows, held_rows = None, []
+    for fold in range(settings.folds):
+        seen = train.filter(F.col(FOLD) != fold)
+        preparation = _prepare(seen, candidate, settings)
+        matrix = training_matrix(seen, preparation, candidate, settings).drop("id").withColumn(FOLD, F.lit(fold))
+        seen_rows = matrix if seen_rows is None else seen_rows.unionByName(matrix)
+        held_rows.append(preparation.transform(train.filter(F.col(FOLD) == fold)))
+    models = fit_logistic_grid(
+        seen_rows, [_penalty(p) for p in candidate.grid], fold=FOLD, label=LABEL, weight=WEIGHT if candidate.weighted else None
+    )
+    union = None
+    for fold, held in enumerate(held_rows):
+        chances = F.posexplode(probabilities(vector_to_array("features"), models[fold])).alias("grid", "probability")
+        scored = held.select(F.lit(fold).alias(FOLD), F.col(data.id_column), F.col(data.target).cast("int").alias(data.target), chances)
+        scored = scored.select("grid", FOLD, data.id_column, data.target, "probability")
+        union = scored if union is None else union.unionByName(scored)
+    return materialize(union, f"cv-{candidate.name}")
+
+
 def grid_scores(predictions: DataFrame, settings: ExperimentSettings) -> DataFrame:
     """Mean fold metrics per parameter set; each fold is rated at its own best threshold."""
     keys, target = ["grid", FOLD], settings.dataset.target

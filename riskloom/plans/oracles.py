@@ -721,7 +721,7 @@ ORACLES["payload_kinds"] = """SELECT doc_id, 'text' AS kind, CASE WHEN NOT coale
 WHEN json_type(text) = 'OBJECT' THEN text ELSE '{"payload":' || text || '}' END AS payload FROM documents
 UNION ALL SELECT doc_id, 'object', '{"n_chars":' || n_chars || ',"lang":"' || lang || '"}' FROM documents
 UNION ALL SELECT doc_id, 'number', '{"payload":' || n_chars || '}' FROM documents"""
-ORACLES["file_sizes"] = "SELECT unnest(['region.parquet', 'nation.parquet', 'customer.parquet']) AS table_name, TRUE AS has_size"
+ORACLES["file_sizes"] = f"SELECT t || '.parquet' AS table_name, TRUE AS size_is_whole FROM (SELECT unnest({list(views.TABLES)!r}) AS t)"
 _previous_columns = [
     "SK_ID_CURR", "SK_ID_PREV", "NAME_CONTRACT_STATUS", "AMT_ANNUITY", "AMT_APPLICATION", "AMT_CREDIT", "AMT_DOWN_PAYMENT",
     "AMT_GOODS_PRICE", "HOUR_APPR_PROCESS_START", "RATE_DOWN_PAYMENT", "DAYS_DECISION", "CNT_PAYMENT", "DAYS_FIRST_DRAWING",
@@ -831,6 +831,7 @@ _clients = """clients AS (SELECT c_custkey, CAST(c_acctbal < 1500 AND coalesce(f
 (SELECT o_custkey, avg(CASE WHEN o_orderstatus = 'F' THEN 1.0 ELSE 0.0 END) AS f FROM orders GROUP BY 1) ON c_custkey = o_custkey)"""
 ORACLES["oof_coverage"] = f"""WITH {_clients} SELECT TARGET, count(*) AS predictions, count(*) AS clients, count(*) AS valid
 FROM clients GROUP BY TARGET"""
+ORACLES["selection_recomputed"] = "SELECT count(*) AS predictions, TRUE AS threshold_is_cheapest, TRUE AS counts_follow, TRUE AS cost_follows FROM customer"
 ORACLES["batch_score_coverage"] = "SELECT count(*) AS scored, count(*) AS clients, count(*) AS consistent FROM customer"
 ORACLES["boosting_smote"] = """SELECT 'boosting_shallow__smote' AS model_name, 'smote' AS sampling_strategy, count(*) AS predictions,
 count(*) AS clients FROM customer"""

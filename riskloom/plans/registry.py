@@ -264,12 +264,17 @@ def json_lines_sink(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def file_sizes(spark: SparkSession, sf: str) -> DataFrame:
-    """Inventory of a copy of the small tables in several part files; sizes come from file metadata."""
-    folder = scratch_path(spark, "sizes")
-    for name in ("region", "nation", "customer"):
-        write_table(table(spark, sf, name).repartition(3), f"{folder}/{name}.parquet")
+    """Inventory of all tables; each size is held against the sum of its part files' lengths, listed table by table."""
+    folder = sf.rstrip("/")
     sizes = file_inventory(spark, f"{folder}/*.parquet")
-    return sizes.select("table_name", (F.col("file_size_mb") >= 0).alias("has_size"))
+    listed = None
+    for name in views.TABLES:
+        parts = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(f"{folder}/{name}.parquet")
+        one = parts.agg(F.sum("length").alias("bytes"), F.count("*").alias("parts")).withColumn("table_name", F.lit(f"{name}.parquet"))
+        listed = one if listed is None else listed.unionByName(one)
+    joined = sizes.join(listed, "table_name", "left")
+    whole = (F.col("parts") > 0) & (F.col("file_size_mb") == F.round(F.col("bytes") / F.lit(1024 * 1024), 2))
+    return joined.select("table_name", F.coalesce(whole, F.lit(False)).alias("size_is_whole"))
 
 
 def _calls(spark: SparkSession, sf: str) -> DataFrame:

@@ -13,6 +13,7 @@ from riskloom.functions.payload import to_payload
 from riskloom.operators import explain, leaderboard
 from riskloom.operators.boosting import BoostingSettings, first_splits, margin_column, train
 from riskloom.operators.decisions import batch_predictions, positive_probability
+from riskloom.operators.ranking import running_totals
 from riskloom.operators.tree_shap import counted_cover, shap_arrays, tree_shap
 from riskloom.plans import views
 from riskloom.plans.candidates import BASE_CANDIDATES, Candidate, expand_candidates, grid
@@ -55,8 +56,31 @@ def _experiment(spark: SparkSession, sf: str, **axes):
 
 @query
 def train_select_score(spark: SparkSession, sf: str) -> DataFrame:
-    """Grid x folds, out-of-fold threshold, hold-out check: one result row per candidate."""
-    return _experiment(spark, sf, C=[0.5, 2.0], penalty=["l2"])[0]
+    """The whole grid of logistic regressions on five folds, out-of-fold threshold, hold-out check: one row."""
+    return _experiment(spark, sf, C=[0.1, 0.5, 1.0, 2.0], penalty=["l1", "l2"])[0]
+
+
+@query
+def selection_recomputed(spark: SparkSession, sf: str) -> DataFrame:
+    """The same selection, its result row recomputed from the written predictions: is the threshold as cheap as the
+    cheapest of all out-of-fold probabilities, and do the hold-out's counts and cost follow from it?"""
+    results, outcomes, best = _experiment(spark, sf, C=[0.1, 0.5, 1.0, 2.0], penalty=["l1", "l2"])
+    told, oof, holdout, cost = results.first(), outcomes[best].oof, outcomes[best].holdout, SETTINGS.cost
+    totals = running_totals(oof, value="probability", measures={"n": F.lit(1), "p": F.col("TARGET")})
+    # a threshold at a probability misses the ones below it and flags the zeros from it on
+    wrong = cost.fn_cost * F.col("p_before") + cost.fp_cost * ((F.col("n_total") - F.col("p_total")) - (F.col("n_before") - F.col("p_before")))
+    curve = totals.select("probability", (wrong / F.col("n_total")).alias("cost"))
+    least = curve.agg(F.min("cost").alias("least"), F.min(F.when(F.col("probability") >= told["threshold"], F.struct("probability", "cost")))["cost"].alias("own"))
+    flagged, default = F.col("probability") >= told["threshold"], F.col("TARGET") == 1
+    fn, fp = F.count_if(default & ~flagged), F.count_if(~default & flagged)
+    checked = holdout.agg(
+        (F.count("*") + oof.count()).alias("predictions"),
+        ((fn == told["false_negatives"]) & (fp == told["false_positives"]) & (F.count_if(default & flagged) == told["true_positives"])
+         & (F.count_if(~default & ~flagged) == told["true_negatives"])).alias("counts_follow"),
+        (F.abs((cost.fn_cost * fn + cost.fp_cost * fp) / F.count("*") - told["holdout_business_cost"]) < 1e-9).alias("cost_follows"),
+    )
+    cheapest = least.select(F.col("own") <= F.col("least") + 1e-9).scalar()
+    return checked.select("predictions", cheapest.alias("threshold_is_cheapest"), "counts_follow", "cost_follows")
 
 
 @query
