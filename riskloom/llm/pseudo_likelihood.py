@@ -34,8 +34,8 @@ OWN_WORDS = CLASSES * PER_CLASS - OTHER_BUCKETS
 EDGE = CLASSES * PER_CLASS  # stands for what is before and after a text
 SIDE, EMBEDDING, HIDDEN = 2, 16, 32
 ROUNDS = 2
-#: Targets of a task's first steps and of its last ones; the rate grows with the root of a step's size.
-FIRST_STEP, LAST_STEP = 1024, 8192
+#: Targets of a task's first steps and of its last ones.
+FIRST_STEP, LAST_STEP = 1024, 4096
 RATE = 0.5
 #: Classes of word counts, eight for each doubling, that tell where the vocabulary ends.
 COUNT_CLASSES = 8
@@ -177,38 +177,52 @@ class WindowNetwork:
         by_class += self.class_bias
         return seen, hidden, by_class
 
+    def _sorted(self, context: np.ndarray, target: np.ndarray):
+        """Targets in order of their class, so that a class is a slice: order, classes, their cuts, places in them."""
+        kind = (target // PER_CLASS).astype(np.uint8)
+        order = np.argsort(kind, kind="stable")  # few distinct small numbers: a radix sort
+        kind = kind[order]
+        cuts = np.concatenate([[0], np.flatnonzero(kind[1:] != kind[:-1]) + 1, [len(kind)]])
+        return order, context[order], kind, cuts, (target % PER_CLASS)[order]
+
+    def _by_word(self, hidden: np.ndarray, kind: np.ndarray, cuts: np.ndarray) -> np.ndarray:
+        own = np.empty((len(hidden), PER_CLASS), np.float32)
+        for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
+            np.matmul(hidden[a:b], self.to_word[kind[a]], out=own[a:b])
+        own += self.word_bias[kind]
+        return own
+
     def log_probability(self, context: np.ndarray, target: np.ndarray) -> np.ndarray:
+        if not len(target):
+            return np.zeros(0)
+        order, context, kind, cuts, place = self._sorted(context, target)
         _, hidden, by_class = self._forward(context)
-        kind, place = (target // PER_CLASS).astype(np.uint8), target % PER_CLASS
-        out = _log_share(by_class, kind)
-        for k, rows in _by_class(kind):
-            own = hidden[rows] @ self.to_word[k]
-            own += self.word_bias[k]
-            out[rows] += _log_share(own, place[rows])
+        out = np.empty(len(target))
+        out[order] = _log_share(by_class, kind) + _log_share(self._by_word(hidden, kind, cuts), place)
         return out
 
     def train(self, context: np.ndarray, target: np.ndarray) -> None:
         """One step of gradient descent on the mean log loss, embeddings at a rate per occurrence."""
+        _, context, kind, cuts, place = self._sorted(context, target)
         seen, hidden, by_class = self._forward(context)
-        kind, place = (target // PER_CLASS).astype(np.uint8), target % PER_CLASS
+        every = np.arange(len(target))
         error = _shares(by_class)
-        error[np.arange(len(target)), kind] -= 1
+        error[every, kind] -= 1
+        own = _shares(self._by_word(hidden, kind, cuts))
+        own[every, place] -= 1
         back = error @ self.to_class.T
-        step = RATE * max(1.0, len(target) / FIRST_STEP) ** 0.5
-        rate = np.float32(step / len(target))
-        updates = []
-        for k, rows in _by_class(kind):
-            own = _shares(hidden[rows] @ self.to_word[k] + self.word_bias[k])
-            own[np.arange(len(rows)), place[rows]] -= 1
-            back[rows] += own @ self.to_word[k].T
-            updates.append((k, hidden[rows].T @ own, own.sum(axis=0)))
+        rate = np.float32(RATE / len(target))
+        of_word = np.float32(rate * CLASSES / 8)
+        bias = np.add.reduceat(own, cuts[:-1], axis=0)
+        for k, (a, b) in enumerate(zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)):
+            one = kind[a]
+            back[a:b] += own[a:b] @ self.to_word[one].T
+            self.to_word[one] -= of_word * (hidden[a:b].T @ own[a:b])
+            self.word_bias[one] -= of_word * bias[k]
         back *= 1 - hidden**2
         to_seen = (back @ self.inner.T).reshape(-1, EMBEDDING)
         self.to_class -= rate * (hidden.T @ error)
         self.class_bias -= rate * error.sum(axis=0)
-        for k, weights, bias in updates:
-            self.to_word[k] -= rate * CLASSES * weights / 8
-            self.word_bias[k] -= rate * CLASSES * bias / 8
         self.inner -= rate * (seen.T @ back)
         self.inner_bias -= rate * back.sum(axis=0)
         ids = context.ravel()
@@ -219,13 +233,6 @@ class WindowNetwork:
         self.embedding[ids[order][starts]] -= np.float32(RATE) * sums / np.sqrt(counts)
 
 
-def _by_class(kind: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
-    order = np.argsort(kind, kind="stable")  # few distinct small numbers: a radix sort
-    cuts = np.flatnonzero(np.diff(kind[order])) + 1
-    for rows in np.split(order, cuts) if len(order) else []:
-        yield int(kind[rows[0]]), rows
-
-
 def _shares(values: np.ndarray) -> np.ndarray:
     """Softmax of each row, in place. Values stay far from overflow: the hidden units lie between -1 and 1."""
     np.exp(values, out=values)
@@ -318,7 +325,7 @@ def score_sequences(sequences: DataFrame, network: WindowNetwork) -> DataFrame:
             for rows in _bounded(sizes):
                 context = np.concatenate([WindowNetwork.windows(ids[i]) for i in rows])
                 target = np.concatenate([ids[i] for i in rows])
-                found = np.concatenate([own.log_probability(context[a : a + 16384], target[a : a + 16384]) for a in range(0, len(target), 16384)] or [np.zeros(0)])
+                found = np.concatenate([own.log_probability(context[a : a + LAST_STEP], target[a : a + LAST_STEP]) for a in range(0, len(target), LAST_STEP)] or [np.zeros(0)])
                 sums[rows] = np.bincount(np.repeat(np.arange(len(rows)), sizes[rows]), found, len(rows))
             own_rows = [batch["row"]] if by_row else []
             arrays = [batch["doc_id"], pa.array(sizes), pa.array(sums), *own_rows]
