@@ -7,13 +7,10 @@ from dataclasses import dataclass, replace
 from itertools import product
 
 from pyspark.ml import Estimator
-from pyspark.ml.classification import (
-    LogisticRegression,
-    MultilayerPerceptronClassifier,
-    RandomForestClassifier,
-)
+from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 
 from riskloom.operators.boosting import BoostingSettings, LeafwiseBoosting
+from riskloom.operators.perceptron import Perceptron, PerceptronSettings
 from riskloom.operators.rebalance import strategies
 
 
@@ -92,9 +89,9 @@ def _leafy_boosting(params: Mapping, shape: TrainingShape, seed: int) -> Estimat
 
 
 def _perceptron(params: Mapping, shape: TrainingShape, seed: int) -> Estimator:
-    return MultilayerPerceptronClassifier(
-        layers=[shape.width, *params["hidden_layer_sizes"], 2], maxIter=int(params.get("max_iter", 300)), seed=seed
-    )
+    return Perceptron(PerceptronSettings(
+        hidden=tuple(params["hidden_layer_sizes"]), alpha=params["alpha"], max_rounds=int(params.get("max_iter", 300)), seed=seed
+    ))
 
 
 # ---- Fixed values: candidate models and their grids ---------------------------------------------
@@ -111,8 +108,8 @@ BASE_CANDIDATES = {
         Candidate("boosting_leafy", "boosting_leafy", "LeafwiseBoosting", _leafy_boosting,
                   grid(n_estimators=[300, 500], learning_rate=[0.03, 0.05], num_leaves=[31, 63]),
                   weighting="balanced"),
-        Candidate("mlp", "mlp", "MultilayerPerceptronClassifier", _perceptron,
-                  grid(hidden_layer_sizes=[(64,), (64, 32)]), scaled=True),
+        Candidate("mlp", "mlp", "Perceptron", _perceptron,
+                  grid(hidden_layer_sizes=[(64,), (64, 32)], alpha=[1e-4, 1e-3]), scaled=True),
     ]
 }
 # -----------------------------------------------------------------------------------------------

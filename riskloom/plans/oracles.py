@@ -861,6 +861,7 @@ ORACLES["boosting_split_gains"] = f"""WITH {_cells}, long AS (
 )
 SELECT feature, CASE WHEN v < top THEN v END AS threshold, side = 1 AS missing_left, {rounded("gain", "gain", 4)}, ln AS left_rows
 FROM best WHERE place = 1 AND gain > 1e-9"""
+ORACLES["perceptron_grid"] = "SELECT unnest([0, 1, 2, 3]) AS setting, count(*) AS clients, count(*) AS valid, TRUE AS stopped FROM customer"
 ORACLES["tree_shap_additivity"] = "SELECT c_custkey AS client_id, TRUE AS additive, TRUE AS base_is_mean FROM customer"
 # All eight sets of known features; an unknown one splits a client in the shares of all clients that reach the node.
 ORACLES["tree_shap_values"] = f"""WITH {_cells}, told AS (

@@ -5,6 +5,7 @@ from __future__ import annotations
 from dataclasses import replace
 
 from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -16,7 +17,7 @@ from riskloom.operators.decisions import batch_predictions, positive_probability
 from riskloom.operators.ranking import running_totals
 from riskloom.operators.tree_shap import counted_cover, shap_arrays, tree_shap
 from riskloom.plans import views
-from riskloom.plans.candidates import BASE_CANDIDATES, Candidate, expand_candidates, grid
+from riskloom.plans.candidates import BASE_CANDIDATES, Candidate, TrainingShape, expand_candidates, grid
 from riskloom.plans.experiment import feature_columns, refit, run_experiment
 from riskloom.plans.registry import query, table, tidy, view
 from riskloom.session import scratch_path
@@ -179,6 +180,23 @@ SMALL_FOREST = [
 ]
 
 
+@query
+def perceptron_grid(spark: SparkSession, sf: str) -> DataFrame:
+    """All four settings of the perceptron on every client: rounds taken within the limit, a probability for each."""
+    clients = _client_cells(spark, sf)
+    filled = F.transform("cells", lambda v: F.coalesce(v, F.lit(0.0)) / 100.0)
+    rows = clients.withColumn("features", array_to_vector(filled))
+    found = None
+    for place, params in enumerate(BASE_CANDIDATES["mlp"].grid):
+        estimator = BASE_CANDIDATES["mlp"].build({**params, "max_iter": 30}, TrainingShape(rows=0, width=3), 42)
+        model = estimator.setFeaturesCol("features").setLabelCol("label").fit(rows)
+        chance = positive_probability().alias("p")
+        one = model.transform(rows).select(chance).agg(F.count("*").alias("clients"), F.count_if(F.col("p").between(0, 1)).alias("valid"))
+        one = one.select(F.lit(place).alias("setting"), "clients", "valid", F.lit(0 < model.rounds <= 31).alias("stopped"))
+        found = one if found is None else found.unionByName(one)
+    return found
+
+
 @query
 def tree_shap_values(spark: SparkSession, sf: str) -> DataFrame:
     """Exact Shapley values of a small given forest for every client, covers counted over all clients."""

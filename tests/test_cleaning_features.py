@@ -162,3 +162,17 @@ def test_card_counts(frame):
     df = frame([(1, 5, "Active", *[1.0] * len(names)), (1, 5, "Active", *[None] * len(names)), (1, 6, None, *[3.0] * len(names))], schema)
     row = card_features(df).first()
     assert (row["CREDIT_CARD_LINE_COUNT"], row["CREDIT_CARD_PREV_COUNT"], row["CC_AMT_BALANCE_SUM"]) == (3, 2, 4.0)
+
+
+def test_distinct_counts_do_not_widen_the_shuffle(spark, frame):
+    from riskloom.operators.aggregates import aggregate_by
+
+    rows = [(1, 5.0, 7), (1, 5.0, 8), (1, None, 7), (2, None, None), (None, 1.0, 1)]
+    df = frame(rows, "k LONG, v DOUBLE, other INT")
+    made = aggregate_by(df, "k", prefix="P", spec={"v": ["min", "nunique", "sum"]}, distinct={"OTHERS": "other"})
+    got = {r["k"]: r.asDict() for r in made.collect()}
+    assert got[1]["P_V_NUNIQUE"] == 1 and got[1]["OTHERS"] == 2 and got[1]["P_V_SUM"] == 10.0
+    assert got[2]["P_V_NUNIQUE"] == 0 and got[2]["OTHERS"] == 0 and set(got) == {1, 2}
+    plan = made.select("*")._jdf.queryExecution().executedPlan().toString()
+    wide = [line for line in plan.splitlines() if "Aggregate(" in line and "sum(" in line]
+    assert len(wide) == 2  # one partial and one final step, so its buffers are shuffled once

@@ -44,7 +44,7 @@ SMALL_GRIDS = {
     "random_forest": dict(n_estimators=[3], max_depth=[None], min_samples_leaf=[1]),
     "boosting_shallow": dict(n_estimators=[2], learning_rate=[0.1], max_depth=[2]),
     "boosting_leafy": dict(n_estimators=[2], learning_rate=[0.1], num_leaves=[3]),
-    "mlp": dict(hidden_layer_sizes=[(3,)], max_iter=[10]),
+    "mlp": dict(hidden_layer_sizes=[(3,)], alpha=[1e-4], max_iter=[4]),
 }
 
 

@@ -148,3 +148,17 @@ def test_balanced_data_is_left_alone(spark):
         rebalance(df, "magic", id_column="id", vector="v", label="y")
     with pytest.raises(ValueError):
         strategies(["smote", "magic"])
+
+
+def test_samples_of_a_label_with_twenty_thousand_classes(spark):
+    df = spark.range(60_000).select("id", (F.col("id") % 20_000).cast("string").alias("y"))
+    drawn = sampling.stratified_sample(df, label="y", ids=["id"], size=20_000)
+    sizes = drawn.groupBy("y").count().groupBy("count").count().collect()
+    assert [tuple(r) for r in sizes] == [(1, 20_000)]
+    folds = sampling.stratified_folds(df, label="y", ids=["id"], k=3, fold="fold")
+    assert folds.groupBy("y", "fold").count().filter("count <> 1").count() == 0 and folds.count() == 60_000
+
+
+def test_classes_with_null_and_equal_sizes_keep_their_quota(frame):
+    df = frame([(i, None if i % 3 == 0 else f"c{i % 3}") for i in range(90)], "id LONG, y STRING")
+    assert {r["y"]: r["count"] for r in sampling.stratified_sample(df, label="y", ids=["id"], size=30).groupBy("y").count().collect()} == {None: 10, "c1": 10, "c2": 10}
