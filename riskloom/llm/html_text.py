@@ -18,10 +18,11 @@ from __future__ import annotations
 
 import json
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 from html import unescape
 
+import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -32,6 +33,8 @@ from riskloom.session import materialize
 
 #: Pages of a host, different from each other, that must agree on a node's text before it is template.
 TEMPLATE_PAGES = 5
+#: Cells up to which the table of a matching is held whole.
+SMALL_TABLE = 4096
 #: Element names and roles of the markup language.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 RAW = set("script style textarea title noscript template iframe xmp noembed noframes svg math".split())
@@ -256,44 +259,102 @@ def text_hash(text: str) -> int:
     return xxhash.xxh3_64_intdigest(text) - (1 << 63)
 
 
+def _matching(left: list[int], right: list[int], weight: Callable[[int, int], int], trace: bool) -> tuple[int, list[tuple[int, int]]]:
+    """Weight of the best matching of two lists that keeps their order and, if asked for, its pairs of places.
+
+    Small lists go through a plain table. Of long ones only a row of weights is held at a time, with two bits a cell for
+    the way back; equal shapes share their weights, so a row is one lookup.
+    """
+    if len(left) * len(right) <= SMALL_TABLE:
+        best = [[0] * (len(right) + 1) for _ in range(len(left) + 1)]
+        for i, x in enumerate(left):
+            for j, y in enumerate(right):
+                best[i + 1][j + 1] = max(best[i][j + 1], best[i + 1][j], best[i][j] + weight(x, y))
+        total, skips_left, skips_right = best[-1][-1], None, None
+    else:
+        kinds, where = np.unique(right, return_inverse=True)
+        by_kind = {x: np.array([weight(x, y) for y in kinds.tolist()], np.int64) for x in set(left)}
+        row, skips_left, skips_right = np.zeros(len(right) + 1, np.int64), [], []
+        for x in left:
+            new = np.zeros_like(row)
+            new[1:] = np.maximum.accumulate(np.maximum(row[1:], row[:-1] + by_kind[x][where]))
+            if trace:
+                skips_left.append(np.packbits(new[1:] == row[1:]))
+                skips_right.append(np.packbits(new[1:] == new[:-1]))
+            row = new
+        total = int(row[-1])
+    pairs, i, j = [], len(left), len(right)
+    while trace and i and j:
+        if skips_left is None:
+            up, back = best[i][j] == best[i - 1][j], best[i][j] == best[i][j - 1]
+        else:
+            byte, bit = (j - 1) >> 3, 7 - ((j - 1) & 7)
+            up, back = skips_left[i - 1][byte] >> bit & 1, skips_right[i - 1][byte] >> bit & 1
+        if up:
+            i -= 1
+        elif back:
+            j -= 1
+        else:
+            i, j = i - 1, j - 1
+            pairs.append((i, j))
+    return total, pairs
+
+
 def align(tree: str, reference: str) -> list[int]:
-    """For each node of ``tree`` the matching node of ``reference``, or -1: simple tree matching from the roots."""
+    """For each node of ``tree`` the matching node of ``reference``, or -1: simple tree matching from the roots.
+
+    Subtrees of equal shape are one shape, and a pair of shapes is weighed once, so long lists of like siblings cost
+    little; children are matched one by one only for pairs of nodes that are matched themselves.
+    """
     first, second = json.loads(tree), json.loads(reference)
     if first == second:
         return list(range(len(first)))
-    below = [[[] for _ in nodes] for nodes in (first, second)]
-    for children, nodes in zip(below, (first, second), strict=True):
+    numbers: dict[tuple, int] = {}
+    labels: list = []  # by shape
+    parts: list[list[int]] = []
+    below, shapes = [], []
+    for nodes in (first, second):
+        children: list[list[int]] = [[] for _ in nodes]
         for number, (parent, _) in enumerate(nodes):
             if parent >= 0:
                 children[parent].append(number)
-    pairs = [(0, 0)]  # pairs of nodes whose ancestors have equal labels, parents before children
-    for a, b in pairs:
-        pairs += [(x, y) for x in below[0][a] for y in below[1][b] if first[x][1] == second[y][1]]
-    size: dict[tuple[int, int], int] = {}
-    matched: dict[tuple[int, int], list[tuple[int, int]]] = {}
-    for a, b in reversed(pairs):
-        left, right = below[0][a], below[1][b]
-        best = [[0] * (len(right) + 1) for _ in range(len(left) + 1)]
-        for i, x in enumerate(left):
-            for j, y in enumerate(right):
-                best[i + 1][j + 1] = max(best[i][j + 1], best[i + 1][j], best[i][j] + size.get((x, y), 0))
-        size[a, b] = best[-1][-1] + 1
-        i, j, chosen = len(left), len(right), []
-        while i and j:
-            if best[i][j] == best[i - 1][j]:
-                i -= 1
-            elif best[i][j] == best[i][j - 1]:
-                j -= 1
-            else:
-                i, j = i - 1, j - 1
-                chosen.append((left[i], right[j]))
-        matched[a, b] = chosen
+        own = [0] * len(nodes)
+        for number in range(len(nodes) - 1, -1, -1):  # children come after their parents
+            inner = [own[c] for c in children[number]]
+            key = (str(nodes[number][1]), tuple(inner))
+            if key not in numbers:
+                numbers[key] = len(labels)
+                labels.append(nodes[number][1])
+                parts.append(inner)
+            own[number] = numbers[key]
+        below.append(children)
+        shapes.append(own)
+    sizes: dict[tuple[int, int], int] = {}
+
+    def weight(x: int, y: int) -> int:
+        return sizes[x, y] if labels[x] == labels[y] else 0
+
+    waiting = [(shapes[0][0], shapes[1][0])]
+    while waiting:
+        x, y = waiting[-1]
+        if (x, y) in sizes:
+            waiting.pop()
+            continue
+        inner = [(p, q) for p in dict.fromkeys(parts[x]) for q in dict.fromkeys(parts[y]) if labels[p] == labels[q]]
+        missing = [pair for pair in inner if pair not in sizes]
+        if missing:
+            waiting += missing
+        else:
+            sizes[x, y] = _matching(parts[x], parts[y], weight, False)[0] + 1
+            waiting.pop()
     found = [-1] * len(first)
     work = [(0, 0)]
     while work:
         a, b = work.pop()
         found[a] = b
-        work += matched[a, b]
+        left, right = below[0][a], below[1][b]
+        _, pairs = _matching([shapes[0][c] for c in left], [shapes[1][c] for c in right], weight, True)
+        work += [(left[i], right[j]) for i, j in pairs]
     return found
 
 

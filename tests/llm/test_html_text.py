@@ -1,6 +1,11 @@
+import json
+import random
 import re
+import time
+import tracemalloc
 from html import unescape
 
+from riskloom.llm import html_text
 from riskloom.llm.html_text import Page, align, main_texts, wrappers
 from tests.llm.helpers import SF
 
@@ -74,3 +79,61 @@ def test_wrapper_decides_inside_and_beside_marked_articles(frame):
     assert all(got[i] == f"Lead {i}\nStory {i}" for i in range(8))
     assert all(got[100 + i] == "By our desk\nStory same" for i in range(8))
     assert got[200] == "By our desk\nStory few"
+
+
+def plain_alignment(first, second):
+    """Simple tree matching with a whole table for every pair of nodes."""
+    below = [[[k for k, (p, _) in enumerate(nodes) if p == number] for number in range(len(nodes))] for nodes in (first, second)]
+
+    def table(a, b):
+        left, right = below[0][a], below[1][b]
+        best = [[0] * (len(right) + 1) for _ in range(len(left) + 1)]
+        for i, x in enumerate(left):
+            for j, y in enumerate(right):
+                own = 1 + table(x, y)[-1][-1] if first[x][1] == second[y][1] else 0
+                best[i + 1][j + 1] = max(best[i][j + 1], best[i + 1][j], best[i][j] + own)
+        return best
+
+    found, work = [-1] * len(first), [(0, 0)]
+    while work:
+        a, b = work.pop()
+        found[a] = b
+        best, left, right = table(a, b), below[0][a], below[1][b]
+        i, j = len(left), len(right)
+        while i and j:
+            if best[i][j] == best[i - 1][j]:
+                i -= 1
+            elif best[i][j] == best[i][j - 1]:
+                j -= 1
+            else:
+                i, j = i - 1, j - 1
+                work.append((left[i], right[j]))
+    return found
+
+
+def test_alignment_equals_a_plain_one_with_either_kind_of_table(monkeypatch):
+    draw = random.Random(8)
+
+    def tree():
+        nodes = [(-1, "html")]
+        for _ in range(draw.randrange(1, 14)):
+            nodes.append((draw.randrange(max(0, len(nodes) - 4), len(nodes)), draw.choice("abc")))
+        return nodes
+
+    for small in (0, 4096):
+        monkeypatch.setattr(html_text, "SMALL_TABLE", small)
+        for _ in range(150):
+            a, b = tree(), tree()
+            assert align(json.dumps(a), json.dumps(b)) == plain_alignment(a, b)
+
+
+def test_twenty_thousand_siblings_align_in_bounded_memory():
+    a = [(-1, "body"), *((0, "h2" if k % 2 else "p") for k in range(20_000))]
+    b = [(-1, "body"), *((0, "h2" if k % 2 else "p") for k in range(10_000)), (0, "ul"), *((0, "h2" if k % 2 else "p") for k in range(10_000))]
+    tracemalloc.start()
+    started = time.process_time()
+    found = align(json.dumps(a), json.dumps(b))
+    _, peak = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert peak < 500e6 and time.process_time() - started < 120
+    assert sum(k >= 0 for k in found) == 20_001 and 10_001 not in found
