@@ -19,6 +19,8 @@ from riskloom.functions import hash_order, safe_ratio
 
 ROWS_PER_SLICE = 250_000
 BROADCAST_ROWS = 200_000
+#: Classes whose boundaries are written into an expression.
+FEW_CLASSES = 64
 
 
 def class_counts(df: DataFrame, label: str) -> dict[object, int]:
@@ -37,6 +39,17 @@ def proportional_quotas(counts: Mapping[object, int], size: int) -> dict[object,
     return quotas
 
 
+def _with_cuts(intervals: DataFrame, df: DataFrame, label: str, cuts: Mapping[object, Sequence[int]]) -> DataFrame:
+    """The intervals with the rank boundaries of their class: a few as an expression, many from a table of classes."""
+    if len(cuts) > FEW_CLASSES:
+        return intervals.join(_cut_table(df, label, cuts), F.col("__c").eqNullSafe(F.col("__k"))).drop("__k")
+    chosen = F.lit(None).cast("array<bigint>")
+    for value, ranks in cuts.items():
+        bounds = F.array(*[F.lit(int(r)) for r in ranks]).cast("array<bigint>")
+        chosen = F.when(F.col("__c").eqNullSafe(F.lit(value)), bounds).otherwise(chosen)
+    return intervals.withColumn("__cuts", chosen)
+
+
 def _cut_table(df: DataFrame, label: str, cuts: Mapping[object, Sequence[int]]) -> DataFrame:
     """One row per class: its value and its rank boundaries."""
     kind = T.StructType([T.StructField("__k", df.schema[label].dataType), T.StructField("__cuts", T.ArrayType(T.LongType()))])
@@ -65,19 +78,17 @@ def partition_by_rank(
     hashed = df.withColumn("__h", hash_order(*ids, seed=seed)).withColumn("__s", F.shiftright("__h", 64 - bits))
     bounds = F.col("__cuts")
     lower = Window.partitionBy("__c").orderBy("__t").rowsBetween(Window.unboundedPreceding, -1)
-    intervals = (
+    counted = (
         hashed.groupBy(F.col(label).alias("__c"), F.col("__s").alias("__t"))
         .agg(F.count("*").alias("__n"))
         .withColumn("__before", F.coalesce(F.sum("__n").over(lower), F.lit(0)))
-        .join(_cut_table(df, label, cuts), F.col("__c").eqNullSafe(F.col("__k")))
-        .withColumns(
-            {
-                "__first": _part_of(bounds, F.col("__before") + 1),
-                "__last": _part_of(bounds, F.col("__before") + F.col("__n")),
-            }
-        )
-        .drop("__n", "__k")
     )
+    intervals = _with_cuts(counted, df, label, cuts).withColumns(
+        {
+            "__first": _part_of(bounds, F.col("__before") + 1),
+            "__last": _part_of(bounds, F.col("__before") + F.col("__n")),
+        }
+    ).drop("__n")
     # One row per class and slice of 250,000 rows; broadcast where that is provably small, else joined on the slice.
     same = F.col(label).eqNullSafe(F.col("__c")) & (F.col("__s") == F.col("__t"))
     small = len(cuts) << bits <= BROADCAST_ROWS
