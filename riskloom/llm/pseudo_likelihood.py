@@ -37,6 +37,8 @@ ROUNDS = 2
 #: Targets of a task's first steps and of its last ones.
 FIRST_STEP, LAST_STEP = 1024, 4096
 RATE = 0.5
+#: Bound of what goes into an exponential of 32 bits.
+LOGITS = 40
 #: Classes of word counts, eight for each doubling, that tell where the vocabulary ends.
 COUNT_CLASSES = 8
 #: Distinct words a task counts before it passes the counts on.
@@ -230,11 +232,14 @@ class WindowNetwork:
         starts = np.flatnonzero(np.concatenate([[True], ids[order][1:] != ids[order][:-1]]))
         sums = np.add.reduceat(to_seen[order], starts)
         counts = np.diff(np.append(starts, len(ids)))[:, None].astype(np.float32)
-        self.embedding[ids[order][starts]] -= np.float32(RATE) * sums / np.sqrt(counts)
+        # a word's rate per occurrence is that of a first step, however many occurrences this step has
+        of_embedding = np.float32(RATE * np.sqrt(min(1.0, FIRST_STEP / len(target))))
+        self.embedding[ids[order][starts]] -= of_embedding * sums / np.sqrt(counts)
 
 
 def _shares(values: np.ndarray) -> np.ndarray:
-    """Softmax of each row, in place. Values stay far from overflow: the hidden units lie between -1 and 1."""
+    """Softmax of each row, in place; values are kept within LOGITS, so that nothing overflows."""
+    np.clip(values, -LOGITS, LOGITS, out=values)
     np.exp(values, out=values)
     values /= values.sum(axis=1, keepdims=True)
     return values
@@ -242,6 +247,7 @@ def _shares(values: np.ndarray) -> np.ndarray:
 
 def _log_share(values: np.ndarray, chosen: np.ndarray) -> np.ndarray:
     """Log of the softmax share of one column in each row; overwrites ``values``."""
+    np.clip(values, -LOGITS, LOGITS, out=values)
     picked = values[np.arange(len(values)), chosen].astype(np.float64)
     np.exp(values, out=values)
     return picked - np.log(values.sum(axis=1))
