@@ -15,11 +15,11 @@ sum over tasks is an ordinary aggregation by parameter number, so that only one
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -49,18 +49,30 @@ def words(text: str | None) -> list[bytes]:
     return (text or "").lower().encode().split()
 
 
+def split_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The ``words`` of all the texts one after the other, as one column, and how many each text has."""
+    lowered = pa.array([(text or "").lower() for text in texts.to_pylist()], pa.string())
+    pieces = pc.ascii_split_whitespace(lowered)
+    every = pieces.flatten()
+    full = pc.greater(pc.binary_length(every), 0)  # there are empty pieces before and after a text
+    text_of = np.repeat(np.arange(len(texts)), pc.list_value_length(pieces).to_numpy())
+    return every.filter(full), np.bincount(text_of[full.to_numpy(zero_copy_only=False)], minlength=len(texts))
+
+
 def vocabulary(docs: DataFrame) -> dict[bytes, int]:
     """Numbers of the most frequent words of all documents; ties go to the smaller word."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: Counter[bytes] = Counter()
+        parts: list[pa.Table] = []
         for batch in text_batches(batches):
-            for text in batch["text"].to_pylist():
-                counts.update(words(text))
-            if len(counts) >= COUNTED_WORDS:
-                yield _counted(counts)
-                counts.clear()
-        yield _counted(counts)
+            counts = pc.value_counts(split_words(batch["text"])[0])
+            parts.append(pa.table([counts.field(0).cast(pa.binary()), counts.field(1)], ["word", "n"]))
+            if sum(part.num_rows for part in parts) >= 2 * COUNTED_WORDS:
+                parts = [_added(parts)]
+                if parts[0].num_rows >= COUNTED_WORDS:
+                    yield from parts.pop().to_batches()
+        if parts:
+            yield from _added(parts).to_batches()
 
     counted = docs.select(F.col("text").cast("string")).mapInArrow(run, "word binary, n long")
     total = materialize(counted.groupBy("word").agg(F.sum("n").alias("n")), "word-counts")
@@ -77,24 +89,8 @@ def vocabulary(docs: DataFrame) -> dict[bytes, int]:
     return {bytes(r.word): number for number, r in enumerate(ordered)}
 
 
-def _counted(counts: Counter) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(counts.keys(), pa.binary()), pa.array(counts.values(), pa.int64())], ["word", "n"])
-
-
-class WordNumbers(dict):
-    """Number of a word; words outside the vocabulary by hash, remembered up to a bound."""
-
-    def __missing__(self, word: bytes) -> int:
-        number = OWN_WORDS + xxhash.xxh3_64_intdigest(word) % OTHER_BUCKETS
-        if len(self) < 400_000:
-            self[word] = number
-        return number
-
-    def of(self, text: str | None) -> tuple[np.ndarray, list[bytes]]:
-        """Numbers of all words, and the words that have none of their own."""
-        found = words(text)
-        ids = np.fromiter(map(self.__getitem__, found), np.uint16, len(found))
-        return ids, [found[k] for k in np.flatnonzero(ids >= OWN_WORDS)]
+def _added(parts: list[pa.Table]) -> pa.Table:
+    return pa.concat_tables(parts).group_by("word", use_threads=False).aggregate([("n", "sum")]).rename_columns(["word", "n"]).combine_chunks()
 
 
 def numbered(docs: DataFrame, numbers: dict[bytes, int]) -> DataFrame:
@@ -104,21 +100,34 @@ def numbered(docs: DataFrame, numbers: dict[bytes, int]) -> DataFrame:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words_of = WordNumbers(numbers)
+        known, number_of = pa.array(list(numbers), pa.binary()).cast(pa.string()), np.array([*numbers.values(), 0], np.uint16)
         for batch in text_batches(batches):
-            packed, rest, times = [], [], []
-            for text in batch["text"].to_pylist():
-                ids, others = words_of.of(text)
-                packed.append(ids.tobytes())
-                counted = Counter(others)
-                rest.append(np.fromiter(map(xxhash.xxh3_64_intdigest, counted), np.uint64, len(counted)).view(np.int64))
-                times.append(list(counted.values()))
-            arrays = [batch["doc_id"], pa.array(packed, pa.binary()), pa.array(rest, pa.list_(pa.int64())), pa.array(times, pa.list_(pa.int32()))]
-            yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "words", "rest", "times"])
+            found, sizes = split_words(batch["text"])
+            place = pc.index_in(found, value_set=known)
+            outside = place.is_null().to_numpy(zero_copy_only=False)
+            ids = number_of[place.fill_null(-1).to_numpy()]
+            others = found.filter(pa.array(outside)).dictionary_encode()
+            distinct = others.dictionary.cast(pa.binary()).to_pylist()
+            hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, distinct), np.uint64, len(distinct))
+            other = others.indices.to_numpy().astype(np.int64)
+            ids[outside] = OWN_WORDS + hashes[other] % OTHER_BUCKETS
+            row_of = np.repeat(np.arange(len(sizes)), sizes)[outside]
+            # a row and one of its other words as one number
+            pairs, times = np.unique(row_of * max(len(distinct), 1) + other, return_counts=True)
+            row_of, other = np.divmod(pairs, max(len(distinct), 1))
+            ends = pa.array(_ends(np.bincount(row_of, minlength=len(sizes))))
+            packed = pa.Array.from_buffers(pa.binary(), len(sizes), [None, pa.py_buffer(_ends(2 * sizes)), pa.py_buffer(ids)])
+            rest, times = (pa.ListArray.from_arrays(ends, pa.array(values)) for values in (hashes[other].view(np.int64), times.astype(np.int32)))
+            yield pa.RecordBatch.from_arrays([batch["doc_id"], packed, rest, times], ["doc_id", "words", "rest", "times"])
 
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, "doc_id long, words binary, rest array<long>, times array<int>")
 
 
+def _ends(sizes: np.ndarray) -> np.ndarray:
+    """Where neighbouring values of such sizes begin, and where the last one ends."""
+    return np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
+
+
 def within_buckets(sequences: DataFrame) -> DataFrame:
     """row and ``within``: the sum of log(count of the word / count of its bucket) over its words outside the vocabulary.
 
@@ -140,6 +149,14 @@ def unpacked(packed: bytes) -> np.ndarray:
     return np.frombuffer(packed, np.uint16)
 
 
+def word_groups(column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Rows of a few documents, all their words one after the other, and how many each has."""
+    packed = column.to_pylist()
+    sizes = np.array([len(p) for p in packed], np.int64) // 2
+    for rows in _bounded(sizes):
+        yield rows, unpacked(b"".join(packed[rows[0] : rows[-1] + 1])), sizes[rows]
+
+
 class WindowNetwork:
     """Parameters as one flat array, and the passes over batches of targets."""
 
@@ -158,99 +175,129 @@ class WindowNetwork:
         if flat is None:
             flat = np.random.default_rng(11).normal(0, 0.1, sum(sizes))
         self.flat = flat.astype(np.float32)
+        self._kept: dict[str, np.ndarray] = {}
         cuts = np.cumsum(sizes)[:-1]
         self.embedding, self.inner, self.inner_bias, self.to_class, self.class_bias, self.to_word, self.word_bias = (
             part.reshape(shape) for part, shape in zip(np.split(self.flat, cuts), self.SHAPES, strict=True)
         )
 
     @staticmethod
-    def windows(ids: np.ndarray, first: int = 0, step: int = 1) -> np.ndarray:
-        """For every ``step``-th word the numbers of the words on both sides of it."""
-        edge = np.full(SIDE, EDGE, np.uint16)
-        padded = np.concatenate([edge, ids.astype(np.uint16, copy=False), edge])
-        return np.stack([padded[k + first : k + len(ids) : step] for k in range(2 * SIDE + 1) if k != SIDE], axis=1)
+    def windows(ids: np.ndarray, sizes: np.ndarray | None = None) -> np.ndarray:
+        """For every word the numbers of the words on both sides of it; ``sizes``: of texts that follow one another."""
+        sizes = np.array([len(ids)]) if sizes is None else sizes
+        place = np.arange(len(ids)) + np.repeat(np.arange(1, len(sizes) + 1) * SIDE, sizes)
+        padded = np.full(len(ids) + (len(sizes) + 1) * SIDE, EDGE, np.uint16)
+        padded[place] = ids
+        return np.stack([padded[place + k] for k in range(-SIDE, SIDE + 1) if k], axis=1)
+
+    def _room(self, name: str, *shape: int) -> np.ndarray:
+        """An array that later steps use again: new large arrays cost more than most of the arithmetic on them."""
+        size = int(np.prod(shape))
+        if size > len(self._kept.get(name, ())):
+            self._kept[name] = np.empty(size, np.float32)
+        return self._kept[name][:size].reshape(shape)
 
     def _forward(self, context: np.ndarray):
-        seen = self.embedding[context].reshape(len(context), -1)
-        hidden = seen @ self.inner
+        count = len(context)
+        seen = self._room("seen", count, 2 * SIDE, EMBEDDING)
+        self.embedding.take(context, axis=0, out=seen, mode="clip")
+        seen = seen.reshape(count, -1)
+        hidden = np.matmul(seen, self.inner, out=self._room("hidden", count, HIDDEN))
         hidden += self.inner_bias
         np.tanh(hidden, out=hidden)
-        by_class = hidden @ self.to_class
+        by_class = np.matmul(hidden, self.to_class, out=self._room("class", count, CLASSES))
         by_class += self.class_bias
         return seen, hidden, by_class
 
     def _sorted(self, context: np.ndarray, target: np.ndarray):
-        """Targets in order of their class, so that a class is a slice: order, classes, their cuts, places in them."""
+        """Targets in order of their class, so that a class is a slice: order, classes, slices of classes, places in them."""
         kind = (target // PER_CLASS).astype(np.uint8)
         order = np.argsort(kind, kind="stable")  # few distinct small numbers: a radix sort
-        kind = kind[order]
-        cuts = np.concatenate([[0], np.flatnonzero(kind[1:] != kind[:-1]) + 1, [len(kind)]])
-        return order, context[order], kind, cuts, (target % PER_CLASS)[order]
-
-    def _by_word(self, hidden: np.ndarray, kind: np.ndarray, cuts: np.ndarray) -> np.ndarray:
-        own = np.empty((len(hidden), PER_CLASS), np.float32)
-        for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
-            np.matmul(hidden[a:b], self.to_word[kind[a]], out=own[a:b])
-        own += self.word_bias[kind]
+        ends = np.cumsum(np.bincount(kind, minlength=CLASSES)).tolist()
+        slices = [(one, a, b) for one, (a, b) in enumerate(zip([0, *ends], ends, strict=False)) if b > a]
+        return order, context.take(order, axis=0).astype(np.intp), kind.take(order), slices, (target % PER_CLASS).take(order)
+
+    def _by_word(self, hidden: np.ndarray, slices: list[tuple[int, int, int]]) -> np.ndarray:
+        own = self._room("own", len(hidden), PER_CLASS)
+        for one, a, b in slices:
+            part = own[a:b]
+            np.matmul(hidden[a:b], self.to_word[one], out=part)
+            part += self.word_bias[one]
         return own
 
     def log_probability(self, context: np.ndarray, target: np.ndarray) -> np.ndarray:
         if not len(target):
             return np.zeros(0)
-        order, context, kind, cuts, place = self._sorted(context, target)
+        order, context, kind, slices, place = self._sorted(context, target)
         _, hidden, by_class = self._forward(context)
+        found, whole = _chosen(by_class, kind)
+        of_word, whole_word = _chosen(self._by_word(hidden, slices), place)
+        found += of_word
+        found -= np.log(whole * whole_word)
         out = np.empty(len(target))
-        out[order] = _log_share(by_class, kind) + _log_share(self._by_word(hidden, kind, cuts), place)
+        out[order] = found
         return out
 
     def train(self, context: np.ndarray, target: np.ndarray) -> None:
         """One step of gradient descent on the mean log loss, embeddings at a rate per occurrence."""
-        _, context, kind, cuts, place = self._sorted(context, target)
+        _, context, kind, slices, place = self._sorted(context, target)
         seen, hidden, by_class = self._forward(context)
-        every = np.arange(len(target))
+        count = len(target)
+        rows = np.arange(count)
         error = _shares(by_class)
-        error[every, kind] -= 1
-        own = _shares(self._by_word(hidden, kind, cuts))
-        own[every, place] -= 1
-        back = error @ self.to_class.T
-        rate = np.float32(RATE / len(target))
+        error.ravel()[rows * CLASSES + kind] -= 1
+        own = _shares(self._by_word(hidden, slices))
+        own.ravel()[rows * PER_CLASS + place] -= 1
+        back = np.matmul(error, self.to_class.T, out=self._room("back", count, HIDDEN))
+        rate = np.float32(RATE / count)
         of_word = np.float32(rate * CLASSES / 8)
-        bias = np.add.reduceat(own, cuts[:-1], axis=0)
-        for k, (a, b) in enumerate(zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)):
-            one = kind[a]
-            back[a:b] += own[a:b] @ self.to_word[one].T
-            self.to_word[one] -= of_word * (hidden[a:b].T @ own[a:b])
-            self.word_bias[one] -= of_word * bias[k]
-        back *= 1 - hidden**2
-        to_seen = (back @ self.inner.T).reshape(-1, EMBEDDING)
+        once = np.ones(count, np.float32)
+        change, through = np.empty((HIDDEN, PER_CLASS), np.float32), self._room("through", count, HIDDEN)
+        for one, a, b in slices:
+            wrong = own[a:b]
+            np.matmul(wrong, self.to_word[one].T, out=through[a:b])
+            np.matmul(hidden[a:b].T, wrong, out=change)
+            change *= of_word
+            self.to_word[one] -= change
+            self.word_bias[one] -= of_word * (once[a:b] @ wrong)
+        back += through
         self.to_class -= rate * (hidden.T @ error)
-        self.class_bias -= rate * error.sum(axis=0)
+        self.class_bias -= rate * (once @ error)
+        hidden *= hidden
+        back -= np.multiply(back, hidden, out=hidden)  # the slope of tanh is 1 - tanh ** 2
+        # one row for each number of an embedding, with all places of the window one after the other
+        by_number = self.inner.reshape(2 * SIDE, EMBEDDING, HIDDEN).transpose(1, 0, 2).reshape(-1, HIDDEN)
+        to_seen = np.matmul(by_number, back.T, out=self._room("to_seen", len(by_number), count)).reshape(EMBEDDING, -1)
         self.inner -= rate * (seen.T @ back)
-        self.inner_bias -= rate * back.sum(axis=0)
-        ids = context.ravel()
-        order = np.argsort(ids, kind="stable")  # 16-bit numbers: a radix sort
-        starts = np.flatnonzero(np.concatenate([[True], ids[order][1:] != ids[order][:-1]]))
-        sums = np.add.reduceat(to_seen[order], starts)
-        counts = np.diff(np.append(starts, len(ids)))[:, None].astype(np.float32)
+        self.inner_bias -= rate * (once @ back)
+        ids = context.T.ravel()
+        sums = np.stack([np.bincount(ids, one, EDGE + 1) for one in to_seen])
         # a word's rate per occurrence is that of a first step, however many occurrences this step has
-        of_embedding = np.float32(RATE * np.sqrt(min(1.0, FIRST_STEP / len(target))))
-        self.embedding[ids[order][starts]] -= of_embedding * sums / np.sqrt(counts)
+        of_embedding = RATE * np.sqrt(min(1.0, FIRST_STEP / count))
+        sums *= of_embedding / np.sqrt(np.maximum(np.bincount(ids, minlength=EDGE + 1), 1))
+        self.embedding -= sums.T
+
+
+def _bound(values: np.ndarray) -> None:
+    """Keeps values within LOGITS, so that nothing overflows."""
+    if not (values.max() <= LOGITS and values.min() >= -LOGITS):
+        np.clip(values, -LOGITS, LOGITS, out=values)
 
 
 def _shares(values: np.ndarray) -> np.ndarray:
-    """Softmax of each row, in place; values are kept within LOGITS, so that nothing overflows."""
-    np.clip(values, -LOGITS, LOGITS, out=values)
+    """Softmax of each row, in place."""
+    _bound(values)
     np.exp(values, out=values)
-    values /= values.sum(axis=1, keepdims=True)
+    values *= (1 / (values @ np.ones(values.shape[1], np.float32)))[:, None]
     return values
 
 
-def _log_share(values: np.ndarray, chosen: np.ndarray) -> np.ndarray:
-    """Log of the softmax share of one column in each row; overwrites ``values``."""
-    np.clip(values, -LOGITS, LOGITS, out=values)
-    picked = values[np.arange(len(values)), chosen].astype(np.float64)
+def _chosen(values: np.ndarray, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The value of one column in each row, and the row's sum of exponentials; overwrites ``values``."""
+    _bound(values)
+    picked = values.ravel().take(np.arange(0, values.size, values.shape[1]) + chosen)
     np.exp(values, out=values)
-    return picked - np.log(values.sum(axis=1))
+    return picked.astype(np.float64), (values @ np.ones(values.shape[1], np.float32)).astype(np.float64)
 
 
 def targets_of(count: int, turn: int) -> np.ndarray:
@@ -262,6 +309,12 @@ def first_target(count: int, turn: int) -> int:
     return (count + turn) % ROUNDS
 
 
+def round_of(sizes: np.ndarray, turn: int) -> np.ndarray:
+    """Which words of texts that follow one another are targets of a round; as ``targets_of`` for each text."""
+    before = np.repeat(np.cumsum(sizes) - sizes + first_target(sizes, turn), sizes)
+    return (np.arange(len(before)) - before) % ROUNDS == 0
+
+
 def train_round(sequences: DataFrame, network: WindowNetwork, turn: int) -> WindowNetwork:
     """One pass of all tasks over all documents, and the average of their networks."""
     start = network.flat
@@ -270,12 +323,11 @@ def train_round(sequences: DataFrame, network: WindowNetwork, turn: int) -> Wind
         own = WindowNetwork(start.copy())
         contexts, targets, waiting, trained = [], [], 0, 0
         for batch in text_batches(batches):
-            for packed in batch["words"].to_pylist():
-                ids = unpacked(packed)
-                first = first_target(len(ids), turn)
-                contexts.append(WindowNetwork.windows(ids, first, ROUNDS))
-                targets.append(ids[first::ROUNDS])
-                waiting += len(targets[-1])
+            for _, ids, sizes in word_groups(batch["words"]):
+                chosen = np.flatnonzero(round_of(sizes, turn))
+                contexts.append(WindowNetwork.windows(ids, sizes)[chosen])
+                targets.append(ids[chosen])
+                waiting += len(chosen)
                 if waiting >= 2 * LAST_STEP:
                     trained = _steps(own, contexts, targets, trained)
                     contexts, targets, waiting = [], [], 0
@@ -325,16 +377,14 @@ def score_sequences(sequences: DataFrame, network: WindowNetwork) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = WindowNetwork(flat)
         for batch in text_batches(batches):
-            ids = [unpacked(packed) for packed in batch["words"].to_pylist()]
-            sizes = np.array([len(i) for i in ids], np.int64)
-            sums = np.zeros(len(ids))
-            for rows in _bounded(sizes):
-                context = np.concatenate([WindowNetwork.windows(ids[i]) for i in rows])
-                target = np.concatenate([ids[i] for i in rows])
+            counts, sums = np.zeros((2, batch.num_rows))
+            for rows, target, sizes in word_groups(batch["words"]):
+                context = WindowNetwork.windows(target, sizes)
                 found = np.concatenate([own.log_probability(context[a : a + LAST_STEP], target[a : a + LAST_STEP]) for a in range(0, len(target), LAST_STEP)] or [np.zeros(0)])
-                sums[rows] = np.bincount(np.repeat(np.arange(len(rows)), sizes[rows]), found, len(rows))
+                sums[rows] = np.bincount(np.repeat(np.arange(len(rows)), sizes), found, len(rows))
+                counts[rows] = sizes
             own_rows = [batch["row"]] if by_row else []
-            arrays = [batch["doc_id"], pa.array(sizes), pa.array(sums), *own_rows]
+            arrays = [batch["doc_id"], pa.array(counts.astype(np.int64)), pa.array(sums), *own_rows]
             yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "n_words", "log_likelihood", "row"][: len(arrays)])
 
     schema = "doc_id long, n_words long, log_likelihood double" + (", row long" if by_row else "")

@@ -1,13 +1,15 @@
 import math
 import random
+import tracemalloc
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import xxhash
 from pyspark.sql import functions as F
 
 from riskloom.llm.pseudo_likelihood import (
-    EDGE, OTHER_BUCKETS, OWN_WORDS, ROUNDS, WindowNetwork, numbered, pseudo_likelihood, score_sequences, targets_of, trained_model, unpacked, vocabulary, within_buckets, words,
+    EDGE, OTHER_BUCKETS, OWN_WORDS, ROUNDS, WindowNetwork, numbered, pseudo_likelihood, round_of, score_sequences, split_words, targets_of, trained_model, unpacked, vocabulary, within_buckets, words,
 )
 from riskloom.session import materialize
 from tests.llm.helpers import SF, empty_docs, odd_docs
@@ -122,3 +124,32 @@ def test_whole_result_of_fifty_documents_equals_a_plain_sum(spark):
         assert got[doc_id].n_words == len(own)
         assert abs(got[doc_id].log_likelihood - total) < 1e-3 * max(1.0, abs(total))
 
+
+def test_a_step_reuses_its_arrays():
+    draw, network = np.random.default_rng(3), WindowNetwork()
+    context, target = draw.integers(0, EDGE, (4096, 4)).astype(np.uint16), draw.integers(0, EDGE, 4096).astype(np.uint16)
+    for step in (network.train, network.log_probability):
+        step(context, target)
+        tracemalloc.start()
+        step(context, target)
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        # one array of 4,096 rows and 64 columns has 1 MB; a step used to make several
+        assert peak < 2e6
+
+
+def test_texts_together_have_the_windows_of_each():
+    sizes = np.array([3, 0, 1, 8, 2])
+    ids = np.arange(sizes.sum(), dtype=np.uint16)
+    parts = np.split(ids, np.cumsum(sizes)[:-1])
+    assert WindowNetwork.windows(ids, sizes).tolist() == [w for p in parts for w in WindowNetwork.windows(p).tolist()]
+    for turn in range(ROUNDS):
+        expected = [p[targets_of(len(p), turn)] for p in parts]
+        assert ids[round_of(sizes, turn)].tolist() == np.concatenate(expected).tolist()
+
+
+def test_words_of_a_column_are_those_of_each_text():
+    texts = ["", None, " a  B ", "".join(chr(c) + "x" for c in range(128)), "İI ΑΣ ΑΣ. x\x1cy\x85z é", "\n\n", "tail\x0b"]
+    found, sizes = split_words(pa.array(texts, pa.string()))
+    assert [w.encode() for w in found.to_pylist()] == [w for t in texts for w in words(t)]
+    assert sizes.tolist() == [len(words(t)) for t in texts]
