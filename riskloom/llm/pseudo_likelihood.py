@@ -59,8 +59,8 @@ def split_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
     return every.filter(full), np.bincount(text_of[full.to_numpy(zero_copy_only=False)], minlength=len(texts))
 
 
-def vocabulary(docs: DataFrame) -> dict[bytes, int]:
-    """Numbers of the most frequent words of all documents; ties go to the smaller word."""
+def word_counts(docs: DataFrame) -> DataFrame:
+    """word and n: how often each word occurs in all documents."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts: list[pa.Table] = []
@@ -75,7 +75,15 @@ def vocabulary(docs: DataFrame) -> dict[bytes, int]:
             yield from _added(parts).to_batches()
 
     counted = docs.select(F.col("text").cast("string")).mapInArrow(run, "word binary, n long")
-    total = materialize(counted.groupBy("word").agg(F.sum("n").alias("n")), "word-counts")
+    return materialize(counted.groupBy("word").agg(F.sum("n").alias("n")), "word-counts")
+
+
+def vocabulary(docs: DataFrame) -> dict[bytes, int]:
+    """Numbers of the most frequent words of all documents; ties go to the smaller word."""
+    return most_frequent(word_counts(docs))
+
+
+def most_frequent(total: DataFrame) -> dict[bytes, int]:
     # a few hundred rows tell the class of counts in which the vocabulary ends; only words from there on are ordered
     kind = F.floor(F.log2("n") * COUNT_CLASSES)
     sizes = total.groupBy(kind.alias("kind")).agg(F.count("*").alias("words")).collect()
@@ -89,6 +97,22 @@ def vocabulary(docs: DataFrame) -> dict[bytes, int]:
     return {bytes(r.word): number for number, r in enumerate(ordered)}
 
 
+def rare_counts(total: DataFrame, numbers: dict[bytes, int]) -> DataFrame:
+    """hash and n of the words outside the vocabulary."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = pa.array(list(numbers), pa.binary())
+        for batch in batches:
+            rare = batch.filter(pc.invert(pc.is_in(batch["word"], value_set=known)))
+            yield pa.RecordBatch.from_arrays([pa.array(_hashes(rare["word"]).view(np.int64)), rare["n"]], ["hash", "n"])
+
+    return total.mapInArrow(run, "hash long, n long")
+
+
+def _hashes(found: pa.Array) -> np.ndarray:
+    return np.fromiter(map(xxhash.xxh3_64_intdigest, found.to_numpy(zero_copy_only=False)), np.uint64, len(found))
+
+
 def _added(parts: list[pa.Table]) -> pa.Table:
     return pa.concat_tables(parts).group_by("word", use_threads=False).aggregate([("n", "sum")]).rename_columns(["word", "n"]).combine_chunks()
 
@@ -107,14 +131,13 @@ def numbered(docs: DataFrame, numbers: dict[bytes, int]) -> DataFrame:
             outside = place.is_null().to_numpy(zero_copy_only=False)
             ids = number_of[place.fill_null(-1).to_numpy()]
             others = found.filter(pa.array(outside)).dictionary_encode()
-            distinct = others.dictionary.cast(pa.binary()).to_pylist()
-            hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, distinct), np.uint64, len(distinct))
+            hashes = _hashes(others.dictionary.cast(pa.binary()))
             other = others.indices.to_numpy().astype(np.int64)
             ids[outside] = OWN_WORDS + hashes[other] % OTHER_BUCKETS
             row_of = np.repeat(np.arange(len(sizes)), sizes)[outside]
             # a row and one of its other words as one number
-            pairs, times = np.unique(row_of * max(len(distinct), 1) + other, return_counts=True)
-            row_of, other = np.divmod(pairs, max(len(distinct), 1))
+            pairs, times = np.unique(row_of * max(len(hashes), 1) + other, return_counts=True)
+            row_of, other = np.divmod(pairs, max(len(hashes), 1))
             ends = pa.array(_ends(np.bincount(row_of, minlength=len(sizes))))
             packed = pa.Array.from_buffers(pa.binary(), len(sizes), [None, pa.py_buffer(_ends(2 * sizes)), pa.py_buffer(ids)])
             rest, times = (pa.ListArray.from_arrays(ends, pa.array(values)) for values in (hashes[other].view(np.int64), times.astype(np.int32)))
@@ -128,13 +151,14 @@ def _ends(sizes: np.ndarray) -> np.ndarray:
     return np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
 
 
-def within_buckets(sequences: DataFrame) -> DataFrame:
+def within_buckets(sequences: DataFrame, rare: DataFrame | None = None) -> DataFrame:
     """row and ``within``: the sum of log(count of the word / count of its bucket) over its words outside the vocabulary.
 
+    ``rare``: hash and n, counts of these words over all documents; else they are counted here.
     Terms are summed as whole billionths, so that equal rows have equal sums in any order.
     """
     each = sequences.select("row", F.explode(F.arrays_zip("rest", "times")).alias("w")).select("row", F.col("w.rest").alias("hash"), F.col("w.times").alias("n"))
-    counts = each.groupBy("hash").agg(F.sum("n").alias("total"))
+    counts = (each if rare is None else rare).groupBy("hash").agg(F.sum("n").alias("total"))
     # OTHER_BUCKETS rows, whatever the size of the corpus; a power of two, so that the sign of the hash does not matter
     bucket = F.col("hash").bitwiseAND(F.lit(OTHER_BUCKETS - 1))
     counts = materialize(counts.withColumn("bucket", bucket), "rare-words")
@@ -365,7 +389,7 @@ def trained_model(sequences: DataFrame) -> WindowNetwork:
     return network
 
 
-def score_sequences(sequences: DataFrame, network: WindowNetwork) -> DataFrame:
+def score_sequences(sequences: DataFrame, network: WindowNetwork, rare: DataFrame | None = None) -> DataFrame:
     """One row per row: doc_id, n_words, log_likelihood (the sum over all words) and mean_log_likelihood.
 
     Words outside the vocabulary count as their buckets, unless ``sequences`` has the numbers ``row`` of its rows.
@@ -391,7 +415,7 @@ def score_sequences(sequences: DataFrame, network: WindowNetwork) -> DataFrame:
     scored = sequences.select(*sent).mapInArrow(run, schema)
     if by_row:
         whole = F.col("log_likelihood") + F.coalesce("within", F.lit(0.0))
-        scored = scored.join(within_buckets(sequences), "row", "left").select("doc_id", "n_words", whole.alias("log_likelihood"))
+        scored = scored.join(within_buckets(sequences, rare), "row", "left").select("doc_id", "n_words", whole.alias("log_likelihood"))
     return scored.withColumn("mean_log_likelihood", F.when(F.col("n_words") > 0, F.col("log_likelihood") / F.col("n_words")))
 
 
@@ -408,6 +432,8 @@ def pseudo_likelihood(docs: DataFrame) -> DataFrame:
     Null and empty texts have no words, a sum of 0 and a null mean. Null ids are kept, repeated rows give equal
     scores, other columns are ignored. An empty table gives an empty result.
     """
-    rows = numbered(docs, vocabulary(docs)).withColumn("row", F.monotonically_increasing_id())
+    total = word_counts(docs)
+    numbers = most_frequent(total)
+    rows = numbered(docs, numbers).withColumn("row", F.monotonically_increasing_id())
     sequences = materialize(rows, "word-numbers")
-    return score_sequences(sequences, trained_model(sequences))
+    return score_sequences(sequences, trained_model(sequences), rare_counts(total, numbers))

@@ -9,7 +9,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 from riskloom.llm.pseudo_likelihood import (
-    EDGE, OTHER_BUCKETS, OWN_WORDS, ROUNDS, WindowNetwork, numbered, pseudo_likelihood, round_of, score_sequences, split_words, targets_of, trained_model, unpacked, vocabulary, within_buckets, words,
+    EDGE, OTHER_BUCKETS, OWN_WORDS, ROUNDS, WindowNetwork, most_frequent, numbered, pseudo_likelihood, rare_counts, round_of, score_sequences, split_words, targets_of, trained_model, unpacked, vocabulary, within_buckets, word_counts, words,
 )
 from riskloom.session import materialize
 from tests.llm.helpers import SF, empty_docs, odd_docs
@@ -153,3 +153,12 @@ def test_words_of_a_column_are_those_of_each_text():
     found, sizes = split_words(pa.array(texts, pa.string()))
     assert [w.encode() for w in found.to_pylist()] == [w for t in texts for w in words(t)]
     assert sizes.tolist() == [len(words(t)) for t in texts]
+
+
+def test_rare_words_are_counted_once(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    total = word_counts(docs)
+    known = most_frequent(total)
+    sequences = materialize(numbered(docs, known).withColumn("row", F.col("doc_id")), "rare-test")
+    again = within_buckets(sequences).collect()
+    assert again and sorted(within_buckets(sequences, rare_counts(total, known)).collect()) == sorted(again)
