@@ -1,9 +1,13 @@
 """Logistic regressions of many penalties, strengths and folds, trained together: one pass over the rows per step.
 
-Every setting of every fold is a problem of its own with its own quasi-Newton memory on the driver (limited-memory BFGS,
-with the orthant-wise rules for an L1 penalty). Each problem names the point where it needs loss and gradient next; one
-Spark job evaluates all of these points, so the number of jobs is that of the slowest problem, not their sum. A task
-multiplies its rows of a fold with the coefficients of all the fold's settings at once and emits one sum per number.
+Every setting of every fold is a problem of its own on the driver. Each names the point where it needs loss and gradient
+next; one Spark job evaluates all of these points, so the number of jobs is that of the slowest problem, not their sum. A
+task multiplies its rows of a fold with the coefficients of all the fold's settings at once and emits one sum per number.
+
+With few features a pass also sums the second derivatives, and a problem takes Newton steps, the L1 penalty being part of
+the quadratic model that the driver solves. Flat directions (all levels of a category beside the intercept), which only the
+penalty decides, then cost no passes. With many features, where these sums would be too many, a problem has a quasi-Newton
+memory (limited-memory BFGS, with the orthant-wise rules for an L1 penalty).
 
 Features are centred and scaled inside the passes; penalties hold for the coefficients of the features as they are.
 """
@@ -25,6 +29,8 @@ from riskloom.session import discard, stored
 
 MEMORY, STEPS, HALVINGS = 10, 500, 40
 TOLERANCE, NOISE = 1e-9, 1e-15
+#: Second derivatives that a task may sum in a pass; share of the loss that a Newton step must promise to be looked at.
+CURVATURES, PROMISE = 200_000, 1e-11
 
 
 @dataclass(frozen=True)
@@ -43,7 +49,75 @@ class LinearModel:
     passes: int
 
 
-Point = Generator[np.ndarray, tuple[float, np.ndarray], tuple[np.ndarray, int]]
+Point = Generator[np.ndarray, tuple[float, np.ndarray, np.ndarray | None], tuple[np.ndarray, int]]
+
+
+def lowest(bend: np.ndarray, slope: np.ndarray, l1: np.ndarray, start: np.ndarray) -> np.ndarray:
+    """Minimum of ``slope @ z + z @ bend @ z / 2 + l1 @ |z|``, by a search over the signs of its entries.
+
+    Steps solve the equations of the present signs and end at the best of the points where one changes. ``bend`` may be
+    singular: a small multiple of the unit matrix bounds the steps, not the minimum.
+    """
+    z, free = start.copy(), l1 == 0
+    sign, active = np.sign(start), (start != 0) | free
+    ridge = np.eye(len(z)) * max(1e-10 * bend.diagonal().max(), 1e-14)
+    near = 1e-13 * (1.0 + np.abs(slope).max())
+
+    def height(points: np.ndarray) -> np.ndarray:
+        return points @ slope + 0.5 * ((points @ bend) * points).sum(axis=1) + np.abs(points) @ l1
+
+    for _ in range(50 + 20 * len(z)):
+        down = -(slope + bend @ z + l1 * sign * ~free)
+        if not active.any() or np.abs(down[active]).max() <= near:
+            excess = np.where(active, 0.0, np.abs(slope + bend @ z) - l1)
+            place = int(excess.argmax())
+            if excess[place] <= near:
+                break
+            active[place], sign[place] = True, -np.sign(slope[place] + bend[place] @ z)
+            down = -(slope + bend @ z + l1 * sign * ~free)
+        step = np.zeros(len(z))
+        step[active] = np.linalg.solve((bend + ridge)[np.ix_(active, active)], down[active])
+        crossed = active & ~free & (z != 0) & (z * (z + step) < 0)
+        at = np.append(-z[crossed] / step[crossed], 1.0)
+        points = z + at[:, None] * step
+        points[np.arange(len(at) - 1), np.flatnonzero(crossed)] = 0.0
+        heights = height(points)
+        best = int(heights.argmin())
+        if not heights[best] < height(z[None])[0]:
+            break  # as low as doubles allow
+        z = points[best]
+        active = (z != 0) | free
+        sign = np.sign(z)
+    return z
+
+
+def newton(size: int, l1: np.ndarray, l2: np.ndarray) -> Point:
+    """As ``minimised``, from second derivatives: each step leads to the minimum of the quadratic model with the penalty."""
+    x, asked = np.zeros(size), 1
+
+    def penalty(x: np.ndarray) -> float:
+        return 0.5 * float(l2 @ (x * x)) + float(l1 @ np.abs(x))
+
+    loss, gradient, bend = yield x
+    for _ in range(STEPS):
+        slope, bend = gradient + l2 * x, bend + np.diag(l2)
+        direction = lowest(bend, slope - bend @ x, l1, x) - x
+        fall = slope @ direction + float(l1 @ (np.abs(x + direction) - np.abs(x)))
+        promise, value = -fall - 0.5 * direction @ bend @ direction, loss + penalty(x)
+        if not promise > PROMISE * abs(value) + NOISE:
+            return (x + direction if promise > 0 else x), asked  # the rest is a step's square
+        step = 1.0
+        for _ in range(HALVINGS):
+            moved = x + step * direction
+            asked += 1
+            loss, gradient, bend = yield moved
+            if loss + penalty(moved) <= value + 1e-4 * step * fall + NOISE * abs(value):
+                break
+            step /= 2
+        else:
+            break  # no step lowers the value any more
+        x = moved
+    return x, asked
 
 
 def minimised(size: int, l1: np.ndarray, l2: np.ndarray) -> Point:
@@ -59,7 +133,7 @@ def minimised(size: int, l1: np.ndarray, l2: np.ndarray) -> Point:
 
     x, asked, memory, still = np.zeros(size), 1, [], 0
     curvature = 1.0 / (0.25 + l2)  # the features are scaled, so the log loss bends by a quarter at most
-    value, gradient = full(x, *(yield x))
+    value, gradient = full(x, *(yield x)[:2])
     for _ in range(STEPS):
         slope = steepest(x, gradient)
         if np.abs(slope).max() <= TOLERANCE:
@@ -83,7 +157,7 @@ def minimised(size: int, l1: np.ndarray, l2: np.ndarray) -> Point:
             moved = x + step * direction
             moved = np.where((l1 > 0) & (moved * orthant < 0), 0.0, moved)
             asked += 1
-            new_value, new_gradient = full(moved, *(yield moved))
+            new_value, new_gradient = full(moved, *(yield moved)[:2])
             if new_value <= value + 1e-4 * (slope @ (moved - x)) + NOISE * abs(value):
                 break
             step /= 2
@@ -129,11 +203,14 @@ def _moments(rows: DataFrame) -> dict[int, tuple[float, int, np.ndarray, np.ndar
     return found
 
 
-def _evaluated(rows: DataFrame, points: dict[int, np.ndarray], scales: dict[int, tuple[np.ndarray, np.ndarray]]) -> dict[int, np.ndarray]:
-    """Loss and gradient sums (settings x (1 + size)) of each fold at its points, in one pass."""
+def _evaluated(rows: DataFrame, points: dict[int, np.ndarray], scales: dict[int, tuple[np.ndarray, np.ndarray]], curved: bool) -> dict[int, np.ndarray]:
+    """Sums of loss and gradient (settings x (1 + size)) of each fold at its points, in one pass. ``curved``: and behind
+    them the upper triangles of the second derivatives."""
+    corners = {fold: np.triu_indices(p.shape[1]) for fold, p in points.items()}
+    widths = {fold: 1 + p.shape[1] + (len(corners[fold][0]) if curved else 0) for fold, p in points.items()}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums = {fold: np.zeros((len(p), 1 + p.shape[1])) for fold, p in points.items()}
+        sums = {fold: np.zeros((len(p), widths[fold])) for fold, p in points.items()}
         for whole in batches:
             for start in range(0, whole.num_rows, 4096):
                 batch = whole.slice(start, 4096)
@@ -143,13 +220,17 @@ def _evaluated(rows: DataFrame, points: dict[int, np.ndarray], scales: dict[int,
                         continue
                     part = batch.filter(pa.array(fold == one))
                     mean, spread = scales[one]
-                    cells = (np.asarray(part["cells"].flatten(), float).reshape(part.num_rows, -1) - mean) / spread
+                    size = len(mean) + 1
+                    cells = np.ones((part.num_rows, size))
+                    cells[:, :-1] = (np.asarray(part["cells"].flatten(), float).reshape(part.num_rows, -1) - mean) / spread
                     w, y = np.asarray(part["weight"])[:, None], np.asarray(part["label"])[:, None]
-                    margin = cells @ points[one][:, :-1].T + points[one][:, -1]
+                    margin = cells @ points[one].T
                     sums[one][:, 0] += (w * (np.logaddexp(0.0, margin) - y * margin)).sum(axis=0)
-                    rest = w * (1 / (1 + np.exp(-margin)) - y)
-                    sums[one][:, 1:-1] += rest.T @ cells
-                    sums[one][:, -1] += rest.sum(axis=0)
+                    chance = 1 / (1 + np.exp(-margin))
+                    sums[one][:, 1 : 1 + size] += (w * (chance - y)).T @ cells
+                    if curved:
+                        for place, bend in enumerate((w * chance * (1 - chance)).T):
+                            sums[one][place, 1 + size :] += ((cells * bend[:, None]).T @ cells)[corners[one]]
         for one, found in sums.items():
             size = found.size
             yield pa.RecordBatch.from_arrays([pa.array(np.full(size, one, np.int32)), pa.array(np.arange(size)), pa.array(found.ravel())], ["fold", "at", "value"])
@@ -159,13 +240,22 @@ def _evaluated(rows: DataFrame, points: dict[int, np.ndarray], scales: dict[int,
     fold, at, value = (np.asarray(table[c]) for c in ("fold", "at", "value"))
     out = {}
     for one, p in points.items():
-        flat = np.zeros(len(p) * (1 + p.shape[1]))
+        flat = np.zeros(len(p) * widths[one])
         chosen = fold == one
         flat[at[chosen]] = value[chosen]
         out[one] = flat.reshape(len(p), -1)
     return out
 
 
+def _square(corner: np.ndarray, size: int) -> np.ndarray | None:
+    """The symmetric matrix of an upper triangle; None of nothing."""
+    if not len(corner):
+        return None
+    whole = np.zeros((size, size))
+    whole[np.triu_indices(size)] = corner
+    return whole + np.triu(whole, 1).T
+
+
 def fit_logistic_grid(rows: DataFrame, strengths: Sequence, *, fold: str = "fold", features: str = "features", label: str = "label", weight: str | None = None) -> dict[int, list[LinearModel]]:
     """Models of every fold, in the order of the settings.
 
@@ -179,6 +269,7 @@ def fit_logistic_grid(rows: DataFrame, strengths: Sequence, *, fold: str = "fold
     plain = rows.select(F.col(fold).cast("int").alias("fold"), F.col(label).cast("double").alias("label"), weights.alias("weight"), cells.alias("cells"))
     plain, path = stored(plain, "linear-grid")
     moments = _moments(plain)
+    curved = sum(len(strengths) * (len(mean) + 1) * (len(mean) + 2) // 2 for _, _, mean, _ in moments.values()) <= CURVATURES
     waiting: dict[tuple[int, int], Point] = {}
     asked: dict[tuple[int, int], np.ndarray] = {}
     done: dict[tuple[int, int], tuple[np.ndarray, int]] = {}
@@ -189,19 +280,19 @@ def fit_logistic_grid(rows: DataFrame, strengths: Sequence, *, fold: str = "fold
             by_kind = {kind: np.zeros(size) for kind in ("l1", "l2")}
             # the solver works on coefficients times their feature's spread
             by_kind[penalty.kind][:-1] = penalty.strength / (spread if penalty.kind == "l1" else spread**2)
-            waiting[one, place] = minimised(size, by_kind["l1"], by_kind["l2"])
+            waiting[one, place] = (newton if curved else minimised)(size, by_kind["l1"], by_kind["l2"])
             asked[one, place] = next(waiting[one, place])
     while asked:
         folds = sorted({one for one, _ in asked})
         order = {one: [place for f, place in asked if f == one] for one in folds}
         points = {one: np.stack([asked[one, place] for place in order[one]]) for one in folds}
-        found = _evaluated(plain, points, {one: moments[one][2:] for one in folds})
+        found = _evaluated(plain, points, {one: moments[one][2:] for one in folds}, curved)
         asked = {}
         for one in folds:
-            whole = moments[one][0]
-            for place, sums in zip(order[one], found[one], strict=True):
+            whole, size = moments[one][0], points[one].shape[1]
+            for place, sums in zip(order[one], found[one] / whole, strict=True):
                 try:
-                    asked[one, place] = waiting[one, place].send((float(sums[0]) / whole, sums[1:] / whole))
+                    asked[one, place] = waiting[one, place].send((float(sums[0]), sums[1 : 1 + size], _square(sums[1 + size :], size)))
                 except StopIteration as end:
                     done[one, place] = end.value
     discard(spark, path)

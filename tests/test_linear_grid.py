@@ -70,3 +70,45 @@ def test_one_class_and_constant_features(frame):
     rows = [(0, 1.0, [1.0, 2.0])] * 20
     (model,) = fit_logistic_grid(frame(rows, "fold INT, label DOUBLE, features ARRAY<DOUBLE>"), [Penalty("l2", 0.1)])[0]
     assert np.abs(model.coefficients).max() < 1e-6 and model.intercept > 5
+
+
+def test_all_levels_of_a_category_cost_no_passes(frame):
+    """Levels beside the intercept leave a direction that only the penalty decides."""
+    draw = np.random.default_rng(3)
+    level, numbers = draw.integers(0, 5, 3000), draw.normal(size=(3000, 2)) * [3000.0, 50_000.0] + [4500.0, 250_000.0]
+    x = np.c_[numbers, np.eye(5)[level]]
+    y = (numbers[:, 0] + 300 * level + draw.normal(size=3000) * 400 < 2000).astype(float)
+    w = np.where(y == 1, 3.0, 0.6)
+    data = [(0, b, c, r) for b, c, r in zip(y.tolist(), w.tolist(), x.tolist(), strict=True)]
+    settings = [Penalty(kind, 1 / (c * 3000)) for kind in ("l1", "l2") for c in (0.1, 0.5, 1.0, 2.0)]
+    models = fit_logistic_grid(frame(data, "fold INT, label DOUBLE, weight DOUBLE, features ARRAY<DOUBLE>"), settings, weight="weight")[0]
+    assert max(m.passes for m in models) <= 20
+    for penalty, model in zip(settings, models, strict=True):
+        b = model.coefficients
+        rest = w * (1 / (1 + np.exp(-(x @ b + model.intercept))) - y) / w.sum()
+        slope = rest @ x + (penalty.strength * b if penalty.kind == "l2" else 0.0)
+        if penalty.kind == "l1":
+            slope = np.where(b != 0, slope + penalty.strength * np.sign(b), np.maximum(np.abs(slope) - penalty.strength, 0.0))
+        assert abs(rest.sum()) < 1e-9 and (np.abs(slope) / x.std(axis=0).clip(1.0)).max() < 1e-9
+
+
+def test_many_features_take_gradients_only(rows, monkeypatch):
+    few = fit_logistic_grid(rows, SETTINGS, weight="weight")
+    monkeypatch.setattr(linear_grid, "CURVATURES", 0)
+    many = fit_logistic_grid(rows, SETTINGS, weight="weight")
+    for fold, models in few.items():
+        for a, b in zip(models, many[fold], strict=True):
+            np.testing.assert_allclose(a.coefficients, b.coefficients, rtol=1e-4, atol=1e-7)
+            assert a.intercept == pytest.approx(b.intercept, abs=1e-4)
+
+
+def test_lowest_of_singular_models():
+    draw = np.random.default_rng(5)
+    for _ in range(200):
+        half = draw.normal(size=(4, 6))
+        bend, slope = half.T @ half, half.T @ draw.normal(size=4)
+        l1 = np.append(draw.uniform(0.01, 1.0, 5), 0.0)
+        z = linear_grid.lowest(bend, slope, l1, draw.normal(size=6))
+        steep = slope + bend @ z
+        off = np.where(z != 0, np.abs(steep + l1 * np.sign(z)), np.maximum(np.abs(steep) - l1, 0.0))
+        assert off.max() < 1e-9
