@@ -31,6 +31,8 @@ MEMORY, STEPS, HALVINGS = 10, 500, 40
 TOLERANCE, NOISE = 1e-9, 1e-15
 #: Second derivatives that a task may sum in a pass; share of the loss that a Newton step must promise to be looked at.
 CURVATURES, PROMISE = 200_000, 1e-11
+#: Of a stored block of rows.
+BLOCK_BYTES = 1 << 19
 
 
 @dataclass(frozen=True)
@@ -173,16 +175,33 @@ def minimised(size: int, l1: np.ndarray, l2: np.ndarray) -> Point:
     return x, asked
 
 
+def _packed(rows: DataFrame) -> DataFrame:
+    """Blocks of rows of one fold as bytes (label, weight and cells of each row), which passes read without converting."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            fold, made = np.asarray(batch["fold"]), []
+            for one in np.unique(fold).tolist():
+                part = batch.filter(pa.array(fold == one))
+                cells = np.asarray(part["cells"].flatten(), float).reshape(part.num_rows, -1)
+                block = np.column_stack([np.asarray(part["label"], float), np.asarray(part["weight"], float), cells])
+                most = max(1, BLOCK_BYTES // (8 * block.shape[1]))
+                made += [(one, len(x), x.tobytes()) for x in (block[i : i + most] for i in range(0, len(block), most))]
+            for one, n, cells in made:
+                yield pa.RecordBatch.from_arrays([pa.array([one], pa.int32()), pa.array([n], pa.int32()), pa.array([cells], pa.binary())], ["fold", "rows", "block"])
+
+    return rows.mapInArrow(run, "fold int, rows int, block binary")
+
+
 def _moments(rows: DataFrame) -> dict[int, tuple[float, int, np.ndarray, np.ndarray]]:
     """Of each fold: weight, rows, and means and standard deviations of the features (1 for constant ones)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[int, list] = {}
         for batch in batches:
-            fold = np.asarray(batch["fold"])
-            for one in np.unique(fold).tolist():
-                part = batch.filter(pa.array(fold == one))
-                cells, w = np.asarray(part["cells"].flatten(), float).reshape(part.num_rows, -1), np.asarray(part["weight"])
+            for one, n, block in zip(*batch.columns, strict=True):
+                one, held = one.as_py(), np.frombuffer(block.as_buffer()).reshape(n.as_py(), -1)
+                w, cells = held[:, 1], held[:, 2:]
                 own = [w.sum(), float(len(w)), w @ cells, w @ cells**2]
                 sums[one] = own if one not in sums else [a + b for a, b in zip(sums[one], own, strict=True)]
         rows = [(one, float(a), b, c.tolist(), d.tolist()) for one, (a, b, c, d) in sums.items()]
@@ -211,26 +230,23 @@ def _evaluated(rows: DataFrame, points: dict[int, np.ndarray], scales: dict[int,
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums = {fold: np.zeros((len(p), widths[fold])) for fold, p in points.items()}
-        for whole in batches:
-            for start in range(0, whole.num_rows, 4096):
-                batch = whole.slice(start, 4096)
-                fold = np.asarray(batch["fold"])
-                for one in np.unique(fold).tolist():
-                    if one not in points:
-                        continue
-                    part = batch.filter(pa.array(fold == one))
-                    mean, spread = scales[one]
-                    size = len(mean) + 1
-                    cells = np.ones((part.num_rows, size))
-                    cells[:, :-1] = (np.asarray(part["cells"].flatten(), float).reshape(part.num_rows, -1) - mean) / spread
-                    w, y = np.asarray(part["weight"])[:, None], np.asarray(part["label"])[:, None]
-                    margin = cells @ points[one].T
-                    sums[one][:, 0] += (w * (np.logaddexp(0.0, margin) - y * margin)).sum(axis=0)
-                    chance = 1 / (1 + np.exp(-margin))
-                    sums[one][:, 1 : 1 + size] += (w * (chance - y)).T @ cells
-                    if curved:
-                        for place, bend in enumerate((w * chance * (1 - chance)).T):
-                            sums[one][place, 1 + size :] += ((cells * bend[:, None]).T @ cells)[corners[one]]
+        for batch in batches:
+            for one, n, block in zip(*batch.columns, strict=True):
+                one = one.as_py()
+                if one not in points:
+                    continue
+                mean, spread = scales[one]
+                size, held = len(mean) + 1, np.frombuffer(block.as_buffer()).reshape(n.as_py(), -1)
+                cells = np.ones((len(held), size))
+                cells[:, :-1] = (held[:, 2:] - mean) / spread
+                y, w = held[:, :1], held[:, 1:2]
+                margin = cells @ points[one].T
+                sums[one][:, 0] += (w * (np.logaddexp(0.0, margin) - y * margin)).sum(axis=0)
+                chance = 1 / (1 + np.exp(-margin))
+                sums[one][:, 1 : 1 + size] += (w * (chance - y)).T @ cells
+                if curved:
+                    for place, bend in enumerate((w * chance * (1 - chance)).T):
+                        sums[one][place, 1 + size :] += ((cells * bend[:, None]).T @ cells)[corners[one]]
         for one, found in sums.items():
             size = found.size
             yield pa.RecordBatch.from_arrays([pa.array(np.full(size, one, np.int32)), pa.array(np.arange(size)), pa.array(found.ravel())], ["fold", "at", "value"])
@@ -267,7 +283,7 @@ def fit_logistic_grid(rows: DataFrame, strengths: Sequence, *, fold: str = "fold
     cells = F.col(features).cast("array<double>") if rows.schema[features].dataType.typeName() == "array" else vector_to_array(features)
     weights: Column = F.col(weight).cast("double") if weight else F.lit(1.0)
     plain = rows.select(F.col(fold).cast("int").alias("fold"), F.col(label).cast("double").alias("label"), weights.alias("weight"), cells.alias("cells"))
-    plain, path = stored(plain, "linear-grid")
+    plain, path = stored(_packed(plain), "linear-grid")
     moments = _moments(plain)
     curved = sum(len(strengths) * (len(mean) + 1) * (len(mean) + 2) // 2 for _, _, mean, _ in moments.values()) <= CURVATURES
     waiting: dict[tuple[int, int], Point] = {}

@@ -21,7 +21,6 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskloom.functions import bucket_index
 from riskloom.functions.columns import ColumnLike
 
 MIN_BUCKETS = 64
@@ -60,6 +59,17 @@ def _group(keys: Sequence[str]) -> list[Column]:
     return [F.struct(*keys).alias("__k")] if keys else []
 
 
+def _with_bucket(df: DataFrame, value: str, max_cuts: int) -> DataFrame:
+    """``functions.bucket_index`` of ``value`` in ``__cuts``, one compiled column per step of the search."""
+    found = F.lit(0)
+    for power in reversed(range(max_cuts.bit_length())):
+        jump = 1 << power
+        taken = F.get("__cuts", found + (jump - 1)) <= F.col(value)
+        df = df.withColumn("__bucket", found + F.when(taken, jump).otherwise(0))
+        found = F.col("__bucket")
+    return df
+
+
 def running_totals(
     df: DataFrame,
     *,
@@ -97,11 +107,12 @@ def running_totals(
         # A group's rows are met by its cuts in several salted places, so no task holds all values of one group.
         salts = max(1, buckets // 8)
         spread = layout.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-        salted = counts.withColumn("__salt", F.pmod(F.hash(value), F.lit(salts)))
+        # never NULL, so that no filter on it keeps this branch's shuffle apart from the layout's
+        salted = counts.withColumn("__salt", F.coalesce(F.pmod(F.hash(value), F.lit(salts)), F.lit(0)))
         laid_out = salted.join(spread, ["__k", "__salt"]).drop("__salt")
     else:
         laid_out = attach(counts, layout, [])
-    placed = laid_out.withColumn("__bucket", bucket_index("__cuts", value, max_splits=buckets - 1)).drop("__cuts")
+    placed = _with_bucket(laid_out, value, buckets - 1).drop("__cuts")
     slot = [*group, "__bucket"]
 
     below = Window.partitionBy(*slot).orderBy(value).rowsBetween(Window.unboundedPreceding, -1)

@@ -4,6 +4,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from riskloom.functions import bucket_index
+from riskloom.operators import ranking
 from riskloom.operators.ranking import exact_quantiles, hashed_rank, running_totals
 
 
@@ -45,3 +47,22 @@ def test_hashed_rank_is_a_permutation_per_group(spark):
         assert sorted(r["rank"] for r in ranked if r["k"] == key) == list(range(1, size + 1))
     again = {r["id"]: r["rank"] for r in hashed_rank(df.repartition(7), keys=["k"], ids=["id"], seed=1, buckets=8).collect()}
     assert again == {r["id"]: r["rank"] for r in ranked}
+
+
+def test_bucket_search_of_running_totals(frame):
+    """The compiled steps find what bucket_index finds, at cuts, between them, for NaN and without cuts."""
+    rows = [(v, [0.5 * i for i in range(n)]) for v in (-1.0, 0.0, 0.7, 1.0, 3.0, 99.0, float("nan")) for n in (0, 1, 2, 7)]
+    df = frame([*rows, (1.0, None)], "v DOUBLE, __cuts ARRAY<DOUBLE>").withColumn("plain", bucket_index("__cuts", "v", max_splits=7))
+    found = ranking._with_bucket(df, "v", 7).collect()
+    assert len(found) == 29 and all(r["__bucket"] == r["plain"] for r in found)
+
+
+def test_running_totals_share_the_shuffle_of_the_values(frame):
+    df = frame([(i % 3, float(i % 50)) for i in range(300)], "k INT, v DOUBLE")
+    totals = running_totals(df, value="v", measures={"n": F.lit(1)}, keys=["k"])
+    assert sorted((r["k"], r["n_total"]) for r in totals.collect())[::50] == [(0, 100), (1, 100), (2, 100)]
+    plan = totals._jdf.queryExecution().executedPlan().toString()
+    first = plan[: plan.index("Initial Plan")]
+    values = [x for x in first.split("\n") if "Exchange hashpartitioning(k#" in x]
+    assert len([x for x in values if "Reused" not in x]) == 1 and len(values) == 3
+    assert "lambdafunction" not in first
