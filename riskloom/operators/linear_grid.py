@@ -62,32 +62,37 @@ def lowest(bend: np.ndarray, slope: np.ndarray, l1: np.ndarray, start: np.ndarra
     """
     z, free = start.copy(), l1 == 0
     sign, active = np.sign(start), (start != 0) | free
-    ridge = np.eye(len(z)) * max(1e-10 * bend.diagonal().max(), 1e-14)
-    near = 1e-13 * (1.0 + np.abs(slope).max())
+    firm = bend + np.eye(len(z)) * max(1e-10 * bend.diagonal().max(), 1e-14)
+    near, settled = 1e-13 * (1.0 + np.abs(slope).max()), False
 
     def height(points: np.ndarray) -> np.ndarray:
         return points @ slope + 0.5 * ((points @ bend) * points).sum(axis=1) + np.abs(points) @ l1
 
     for _ in range(50 + 20 * len(z)):
         down = -(slope + bend @ z + l1 * sign * ~free)
-        if not active.any() or np.abs(down[active]).max() <= near:
+        added = settled or not active.any() or np.abs(down[active]).max() <= near
+        if added:
             excess = np.where(active, 0.0, np.abs(slope + bend @ z) - l1)
             place = int(excess.argmax())
             if excess[place] <= near:
                 break
             active[place], sign[place] = True, -np.sign(slope[place] + bend[place] @ z)
             down = -(slope + bend @ z + l1 * sign * ~free)
-        step = np.zeros(len(z))
-        step[active] = np.linalg.solve((bend + ridge)[np.ix_(active, active)], down[active])
+        step, own = np.zeros(len(z)), np.ix_(active, active)
+        for _ in range(2):  # the second takes back what the multiple has bent
+            step[active] += np.linalg.solve(firm[own], down[active] - bend[own] @ step[active])
         crossed = active & ~free & (z != 0) & (z * (z + step) < 0)
         at = np.append(-z[crossed] / step[crossed], 1.0)
         points = z + at[:, None] * step
         points[np.arange(len(at) - 1), np.flatnonzero(crossed)] = 0.0
         heights = height(points)
         best = int(heights.argmin())
-        if not heights[best] < height(z[None])[0]:
-            break  # as low as doubles allow
-        z = points[best]
+        if not heights[best] < height(z[None])[0]:  # as low as doubles allow
+            if added:
+                break
+            settled = True  # with the present signs; entries at zero are still to be tried
+            continue
+        z, settled = points[best], False
         active = (z != 0) | free
         sign = np.sign(z)
     return z
